@@ -33,6 +33,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Make Spark send rows with whole texts to Python in batches of a few MB; returns ``df``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join with the hot keys of ``left`` dealt over ``salts`` tasks; ``right`` should be unique on ``on``.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, materialise, mix64, salted_join, word_hashes
+from .common import Rolling, materialise, mix64, salted_join, small_batches, word_hashes
 
 HEAD, GRAM = 50, 8
 _letters, _words = Rolling(0x9E3779B97F4A7C15), Rolling(0xD1342543DE82EF95)
@@ -129,7 +129,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     s, number n) and single positions. key tells apart rows that share an id. Null ids are neither smaller nor
     larger than others: such rows repeat nothing. Null and empty texts have no words.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     base = materialise(texts.mapInArrow(_read, "doc_id long, key long, n_words long, sha string, runs array<struct<part:long,path:long,s:int,n:int>>"), "suffix-runs")
     runs = base.where("doc_id is not null").select("doc_id", "key", F.inline("runs"))
     parts = runs.groupBy("part").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), (F.min("path") < F.max("path")).alias("forked")).where("lo < hi").select("part", "forked")
@@ -152,7 +152,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): one row per row of ``docs``; see ``repeats`` for nulls."""
     base, found = repeats(docs, id_col, text_col)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     cut = texts.join(found.hint("shuffle_hash"), ["doc_id", "key"]).select("doc_id", "key", "text", "whole", "single")
     cut = cut.mapInArrow(_cut, "doc_id long, key long, n_removed long, sha string").dropDuplicates(["doc_id", "key"]).withColumnRenamed("sha", "kept")
     return base.join(cut, ["doc_id", "key"], "left").select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept", "sha").alias("kept_sha256"))
