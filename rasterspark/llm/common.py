@@ -40,14 +40,15 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS, hash_right: bool = False) -> DataFrame:
     """Join with the hot keys of ``left`` dealt over ``salts`` tasks; ``right`` should be unique on ``on``.
 
     ``how``: inner, left or left_semi. Every row of ``right`` is repeated ``salts`` times, so it should be the smaller side.
+    ``hash_right``: hash a partition of ``right`` instead of sorting the rows of ``left``, where these are wide.
     """
     a = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     b = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return a.join(b, [*on, "_salt"], how).drop("_salt")
+    return a.join(b.hint("shuffle_hash") if hash_right else b, [*on, "_salt"], how).drop("_salt")
 
 
 def n_words(text: Column) -> Column:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import rules, simhash, substrings
+from . import decontaminate, mixing, rules, simhash, substrings, tokens, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,16 +17,36 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.cut_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.normalise(warc.write(_table(spark, sf_dir, "pages"))))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read(tokens.write(_table(spark, sf_dir, "documents")))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op4_substrings, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_decontamination, op4_substrings, op6_warc, op8_token_files, op9_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
