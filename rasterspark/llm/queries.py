@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, rules, simhash, substrings, tokens, urlfilter, warc
+from . import decontaminate, mixing, quality_model, rules, secrets, simhash, substrings, tokens, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,18 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.cut_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.normalise(warc.write(_table(spark, sf_dir, "pages"))))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(tokens.write(_table(spark, sf_dir, "documents")))
 
@@ -46,7 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_decontamination, op4_substrings, op6_warc, op8_token_files, op9_url_filter, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_decontamination, op4_substrings, op5_quality_classifier, op6_warc, op7_secret_scan, op8_token_files, op9_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
