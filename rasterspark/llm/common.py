@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -14,6 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SALTS = 8
 
 _own_dir: list[str] = []
+_scope: list[str] = []
+_scratch: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -23,7 +26,27 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="rasterspark-"))
         base = "file://" + _own_dir[0]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scope:
+        _scratch.setdefault(_scope[-1], []).append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(name: str):
+    """What is written to the shared folder meanwhile belongs to ``name``, until ``release`` deletes it."""
+    _scope.append(name)
+    try:
+        yield
+    finally:
+        _scope.pop()
+
+
+def release(spark: SparkSession, name: str) -> None:
+    """Delete what belongs to ``name``: to be called once nothing reads it any more."""
+    for path in _scratch.pop(name, []):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

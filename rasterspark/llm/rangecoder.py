@@ -4,8 +4,8 @@ A block of ids is laid out as lanes of ``STEPS`` consecutive ids each. All lanes
 step: at each step the model predicts all lanes' next ids, their range coders advance, then the model learns
 all lanes' ids. Order 2 and order 1 predict the id last seen in their context, with a confidence; each
 confidence has an adaptive hit rate, and an online logistic mixer weighs both rates, in integers throughout,
-so encoder and decoder agree on any machine. A first coding step tells which prediction holds; an id that
-neither predicts is coded by order 0, adaptive frequencies of the block so far. Coders are carry-less range
+so encoder and decoder agree on any machine. The id's interval is that of the prediction that holds, or, within
+what both leave, that of order 0: adaptive frequencies of the block so far. Coders are carry-less range
 coders with 64-bit states that emit 16-bit words.
 
 A block is independent of all others: magic, sizes, crc32 of the ids, lane lengths, lane bytes.
@@ -19,9 +19,9 @@ import zlib
 
 import numpy as np
 
-MAGIC, STEPS, BLOCK = b"RSB1", 256, 1 << 20
+MAGIC, STEPS, BLOCK = b"RSB1", 256, 1 << 21
 IDS = 1 << 16
-_HEAD = struct.Struct("<4sIIII")
+_HEAD = "<4sIIII"
 _PROB = 12  # bits of a hit rate
 _BASE = 18  # bits of order-0 totals
 _U = np.uint64
@@ -53,12 +53,12 @@ class Model:
         room = (1 << _BASE) - IDS
         freq = self.count * room // self.count.sum() + 1
         freq[int(freq.argmax())] += (1 << _BASE) - int(freq.sum())
-        self.freq = freq.astype(np.uint64)
-        self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
-        self.symbol = np.repeat(np.arange(IDS, dtype=np.int32), freq)
+        self.freq = freq.astype(np.uint32)
+        self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint32)
+        self.symbol = np.repeat(np.arange(IDS, dtype=np.uint16), freq)
 
     def predict(self, a: np.ndarray, b: np.ndarray):
-        """After ids a, b (b the nearer): the predicted ids and the shares of both, of 1 << 16."""
+        """After ids a, b (b the nearer): the predicted ids and the shares of both, of 1 << _PROB."""
         self.at1, self.at2 = b, (a * 40503 ^ b * 2654435761) & ((1 << _CTX2) - 1)
         v1, v2 = self.slot1[self.at1], self.slot2[self.at2]
         p1, p2 = v1 >> 3, v2 >> 3
@@ -69,9 +69,9 @@ class Model:
         self.s1, self.s2 = s1, s2
         m2 = _SQUASH[np.clip(s2 + (s1 * self.weight[1] >> 16), -2560, 2560) + 2560]
         m1 = _SQUASH[np.clip(s1 + (s2 * self.weight[0] >> 16), -2560, 2560) + 2560]
-        q2 = m2 << 4
+        q2 = m2.copy()
         q2[0] = 0
-        q1 = m1 * ((1 << 16) - q2) >> _PROB
+        q1 = np.maximum(m1 * ((1 << _PROB) - q2) >> _PROB, 1)
         q1[:, 0] = 0
         self.m1, self.m2 = m1, m2
         return p1, p2, q1.reshape(-1)[self.cell], q2.reshape(-1)[self.cell]
@@ -110,6 +110,24 @@ def _lanes(n: int) -> tuple[int, np.ndarray]:
     return lanes, np.where(np.arange(STEPS) < last, lanes, lanes - 1)
 
 
+def _shift(low: np.ndarray, span: np.ndarray):
+    """Bring all lanes' ranges back to 2**32 or more: yields (lanes, words) as often as any lane emits one."""
+    todo = None
+    while True:
+        lo, sp = (low, span) if todo is None else (low[todo], span[todo])
+        same = (lo ^ (lo + sp)) < _TOP
+        small = sp < _LOW
+        go = np.flatnonzero(same | small)
+        if not len(go):
+            return
+        lo, sp, same = lo[go], sp[go], same[go]
+        sp = np.where(same, sp, (~lo + _U(1)) & (_LOW - _U(1)))
+        todo = go if todo is None else todo[go]
+        yield todo, (lo >> _U(48)).astype(np.uint16)
+        low[todo] = lo << _U(16)
+        span[todo] = sp << _U(16)
+
+
 def encode_block(ids: np.ndarray) -> bytes:
     n = len(ids)
     ids = ids.astype(np.int64)
@@ -120,26 +138,7 @@ def encode_block(ids: np.ndarray) -> bytes:
     model = Model()
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     words, owner = [], []
-
-    def code(at, start, freq, bits):
-        r = span[at] >> _U(bits)
-        low[at] += start * r
-        span[at] = r * freq
-        todo = at
-        while len(todo):
-            lo, sp = low[todo], span[todo]
-            same = (lo ^ (lo + sp)) < _TOP
-            small = ~same & (sp < _LOW)
-            sp = np.where(small, (~lo + _U(1)) & (_LOW - _U(1)), sp)
-            go = same | small
-            todo, lo, sp = todo[go], lo[go], sp[go]
-            words.append((lo >> _U(48)).astype(np.uint16))
-            owner.append(todo)
-            low[todo] = lo << _U(16)
-            span[todo] = sp << _U(16)
-
     a = b = np.zeros(lanes, np.int64)
-    every = np.arange(lanes)
     with np.errstate(over="ignore"):
         for t in range(STEPS):
             k = int(active[t])
@@ -147,43 +146,49 @@ def encode_block(ids: np.ndarray) -> bytes:
                 break
             x = grid[t, :k]
             p1, p2, q1, q2 = model.predict(a[:k], b[:k])
-            hit2 = (q2 > 0) & (p2 == x)
-            hit1 = ~hit2 & (q1 > 0) & (p1 == x)
-            q0 = (1 << 16) - q1 - q2
-            start = np.where(hit2, 0, np.where(hit1, q2, q2 + q1))
-            freq = np.where(hit2, q2, np.where(hit1, q1, q0))
-            code(every[:k], start.astype(_U), freq.astype(_U), 16)
-            rest = np.flatnonzero(~(hit1 | hit2))
-            if len(rest):
-                y = x[rest]
-                code(rest, model.start[y], model.freq[y], _BASE)
+            hit2 = (p2 == x) & (q2 > 0)
+            hit1 = (p1 == x) & (q1 > 0) & ~hit2
+            q12 = q1 + q2
+            q0 = ((1 << _PROB) - q12).astype(_U)
+            start = (q12.astype(_U) << _U(_BASE)) + q0 * model.start[x]
+            freq = q0 * model.freq[x]
+            for hit, s, f in ((hit2, 0, q2), (hit1, q2, q1)):
+                at = np.flatnonzero(hit)
+                start[at] = 0 if hit is hit2 else s[at].astype(_U) << _U(_BASE)
+                freq[at] = f[at].astype(_U) << _U(_BASE)
+            r = span[:k] >> _U(_PROB + _BASE)
+            low[:k] += start * r
+            span[:k] = freq * r
+            for lane, word in _shift(low[:k], span[:k]):
+                words.append(word)
+                owner.append(lane)
             model.learn(x, hit1, hit2)
             a, b = b[:k], x
-    for i in range(4):
+    for _ in range(4):
         words.append((low >> _U(48)).astype(np.uint16))
-        owner.append(every)
+        owner.append(np.arange(lanes))
         low = low << _U(16)
     own = np.concatenate(owner)
-    order = np.argsort(own, kind="stable")
+    order = np.argsort(own.astype(np.uint16) if lanes <= 1 << 16 else own, kind="stable")
     body = np.concatenate(words)[order].astype("<u2").tobytes()
     sizes = np.bincount(own, minlength=lanes).astype("<u2").tobytes()
-    return _HEAD.pack(MAGIC, n, len(body), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(sizes + body)) + sizes + body
+    return struct.pack(_HEAD, MAGIC, n, len(body), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(sizes + body)) + sizes + body
 
 
 def block_size(data: bytes, at: int = 0) -> int:
     """Bytes of the block that starts at ``at``."""
-    magic, n, body, _, _ = _HEAD.unpack_from(data, at)
+    magic, n, body, _, _ = struct.unpack_from(_HEAD, data, at)
     if magic != MAGIC:
         raise ValueError("no block starts here")
-    return _HEAD.size + 2 * _lanes(n)[0] + body
+    return struct.calcsize(_HEAD) + 2 * _lanes(n)[0] + body
 
 
 def decode_block(data: bytes, at: int = 0) -> np.ndarray:
-    magic, n, size, crc, own_crc = _HEAD.unpack_from(data, at)
+    magic, n, size, crc, own_crc = struct.unpack_from(_HEAD, data, at)
     if magic != MAGIC:
         raise ValueError("no block starts here")
     lanes, active = _lanes(n)
-    at += _HEAD.size
+    at += struct.calcsize(_HEAD)
     if zlib.crc32(data[at : at + 2 * lanes + size]) != own_crc:
         raise ValueError("a block's bytes are damaged")
     sizes = np.frombuffer(data, "<u2", lanes, at).astype(np.int64)
@@ -196,46 +201,33 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
         next_ += 1
     grid = np.zeros((STEPS, lanes), np.int64)
     model = Model()
-
-    def advance(at, start, freq, r):
-        low[at] += start * r
-        span[at] = r * freq
-        todo = at
-        while len(todo):
-            lo, sp = low[todo], span[todo]
-            same = (lo ^ (lo + sp)) < _TOP
-            small = ~same & (sp < _LOW)
-            sp = np.where(small, (~lo + _U(1)) & (_LOW - _U(1)), sp)
-            go = same | small
-            todo, lo, sp = todo[go], lo[go], sp[go]
-            value[todo] = value[todo] << _U(16) | words[next_[todo]]
-            next_[todo] += 1
-            low[todo] = lo << _U(16)
-            span[todo] = sp << _U(16)
-
     a = b = np.zeros(lanes, np.int64)
-    every = np.arange(lanes)
     with np.errstate(over="ignore"):
         for t in range(STEPS):
             k = int(active[t])
             if not k:
                 break
             p1, p2, q1, q2 = model.predict(a[:k], b[:k])
-            lane = every[:k]
-            r = span[:k] >> _U(16)
-            v = np.minimum((value[:k] - low[:k]) // r, _U((1 << 16) - 1)).astype(np.int64)
-            hit2 = v < q2
-            hit1 = ~hit2 & (v < q2 + q1)
-            start = np.where(hit2, 0, np.where(hit1, q2, q2 + q1))
-            freq = np.where(hit2, q2, np.where(hit1, q1, (1 << 16) - q1 - q2))
-            advance(lane, start.astype(_U), freq.astype(_U), r)
-            x = np.where(hit2, p2, p1).astype(np.int64)
-            rest = np.flatnonzero(~(hit1 | hit2))
-            if len(rest):
-                r = span[rest] >> _U(_BASE)
-                y = model.symbol[np.minimum((value[rest] - low[rest]) // r, _U((1 << _BASE) - 1)).astype(np.int64)]
-                advance(rest, model.start[y], model.freq[y], r)
-                x[rest] = y
+            r = span[:k] >> _U(_PROB + _BASE)
+            v = np.minimum((value[:k] - low[:k]) // r, _U((1 << _PROB + _BASE) - 1)).astype(np.int64)
+            q12 = q1 + q2
+            q0 = (1 << _PROB) - q12
+            e = v >> _BASE
+            hit2 = e < q2
+            hit1 = (e < q12) & ~hit2
+            x = model.symbol[np.maximum(v - (q12 << _BASE), 0) // q0].astype(np.int64)
+            start = (q12 << _BASE).astype(_U) + q0.astype(_U) * model.start[x]
+            freq = q0.astype(_U) * model.freq[x]
+            for hit, p, s, f in ((hit2, p2, None, q2), (hit1, p1, q2, q1)):
+                at = np.flatnonzero(hit)
+                x[at] = p[at]
+                start[at] = 0 if s is None else s[at].astype(_U) << _U(_BASE)
+                freq[at] = f[at].astype(_U) << _U(_BASE)
+            low[:k] += start * r
+            span[:k] = freq * r
+            for lane, _ in _shift(low[:k], span[:k]):
+                value[lane] = value[lane] << _U(16) | words[next_[lane]]
+                next_[lane] += 1
             grid[t, :k] = x
             model.learn(x, hit1, hit2)
             a, b = b[:k], x

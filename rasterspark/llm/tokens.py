@@ -9,9 +9,11 @@ returned are read, so a lost or repeated task leaves nothing behind that counts.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ from .rangecoder import BLOCK, block_size, decode_block, encode_block
 END = 2
 _TAIL = "<QQIII4s"  # start and size of the table, its crc32, documents, of these with null id, magic
 _MAGIC = b"RSTF"
+_STOP = re.compile(rb"(?<=[A-Za-z])[.,](?=[ \n]|\Z)")
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _loaded: dict = {}
 
 
@@ -35,6 +39,17 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _split(text: str | None) -> list[bytes]:
+    """Words, with a full stop or comma behind letters as a word of its own: the pre-tokenizer cuts there too.
+
+    A to Z are lower-cased, as the vocabulary does, but not where a special token might come of it.
+    """
+    data = (text or "").encode("utf-8", "surrogatepass")
+    if b"<|" not in data:
+        data = data.lower()
+    return _STOP.sub(rb" \g<0>", data).split()
+
+
 class WordIds:
     """Ids of whole texts by way of a bounded memory of words.
 
@@ -42,12 +57,14 @@ class WordIds:
     words in turn; each new word goes to the library once, many in one call.
     """
 
-    LIMIT = 500_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -64,22 +81,42 @@ class WordIds:
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
     def _learn(self) -> None:
-        flat, sizes = [self.flat], [self.size]
-        for i in range(0, len(self.new), 20_000):
-            words = [w.decode("utf-8", "surrogatepass") for w in self.new[i : i + 20_000]]
-            e = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-            flat.append(np.array(e.ids, np.uint16))
-            sizes.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(words)) if e.ids else np.zeros(len(words), np.int64))
+        """Ask the library for the words that are new.
+
+        A word of Latin letters is one pre-token, whose last id alone carries the vocabulary's word-end mark. Such
+        words go to the library many in a line and are told apart by these marks; all others go one by one.
+        """
+        texts = [w.decode("utf-8", "surrogatepass") for w in self.new]
+        plain = np.array([t.isalpha() if t.isascii() else _LATIN.fullmatch(t) is not None for t in texts])
+        start, size, flat, n = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [self.flat], len(self.flat)
+        many, alone = np.flatnonzero(plain), np.flatnonzero(~plain).tolist()
+        for k in range(0, len(many), 500):
+            part = many[k : k + 500]
+            got = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, np.uint16)
+            cut = np.flatnonzero(self.ends[got]) + 1
+            if len(cut) != len(part) or cut[-1] != len(got):
+                alone += part.tolist()
+                continue
+            size[part] = np.diff(cut, prepend=0)
+            start[part] = n + cut - size[part]
+            flat.append(got)
+            n += len(got)
+        for k in range(0, len(alone), 500):
+            part = alone[k : k + 500]
+            for i, e in zip(part, self.tokenizer.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
+                got = np.array(e.ids, np.uint16)
+                start[i], size[i] = n, len(got)
+                flat.append(got)
+                n += len(got)
+        self.flat, self.start, self.size = np.concatenate(flat), np.concatenate([self.start, start]), np.concatenate([self.size, size])
         self.new.clear()
-        self.flat, self.size = np.concatenate(flat), np.concatenate(sizes)
-        self.start = np.cumsum(self.size) - self.size
 
     def encode(self, texts: list[str | None], end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text's."""
         if len(self.index) > self.LIMIT:
             self._clear()
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        at = np.fromiter((self.index[w] for words in split for w in words), np.int64)
+        split = [_split(t) for t in texts]
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64)
         if self.new:
             self._learn()
         size = self.size[at]
