@@ -14,6 +14,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,19 +32,22 @@ _words = Rolling(0xA0761D6478BD642F)
 
 
 def _hash(b: bytes) -> int:
-    import xxhash
-
     return xxhash.xxh64_intdigest(b, 7) >> 4 << 3  # 63 bits, the low three free for flags
 
 
 class _Forms(dict):
     """Word to its form: hash, bit 0 set if it may be a name, bit 1 if it ends a sentence, bit 2 for placeholders."""
 
-    LIMIT = 300_000
+    LIMIT = 1_000_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
+        stop = word[-1:] in b".,"
+        core = word[:-1] if stop else word
+        if core.isalpha() and core.islower() and core not in UNITS:  # most words: ASCII letters, perhaps a stop
+            form = self[word] = _hash(core) | 2 * word.endswith(b".")
+            return form
         core = word.strip(_EDGE)
         ends = 2 * word.rstrip(b"\"')]}*_").endswith((b".", b"!", b"?", b":"))
         low = core.lower()
@@ -104,7 +108,8 @@ def _finder(sizes: list[int], whole: bool, known: np.ndarray | None):
                     if table is not None:
                         ok = ok & table[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
                         at = np.flatnonzero(ok)
-                        at = at[np.isin(h[at], known)]
+                        if len(at):
+                            at = at[known[np.minimum(np.searchsorted(known, h[at]), len(known) - 1)] == h[at]]
                     else:
                         at = np.flatnonzero(ok)
                     for i in at.tolist():
