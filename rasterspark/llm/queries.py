@@ -57,5 +57,42 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_decontamination, op4_substrings, op5_quality_classifier, op6_warc, op7_secret_scan, op8_token_files, op9_url_filter, op10_quality_rules)}
 
 
+def _rules_sql() -> str:
+    """op10 in DuckDB: the same counts, cutoffs by the binomial tail in logarithms, and verdicts."""
+    rate, level = rules.RISK / len(rules.GRID), rules.DELTA / (len(rules.GRID) * (len(rules.BANDS) + 1))
+    metrics = {
+        "symbols_per_word": ("n_symbols", "n_words"),
+        "dup_line_share": ("n_dup_lines", "n_lines"),
+        "repeat_share": ("n_repeat_words", "n_words"),
+        "chars_per_word": ("word_chars", "n_words"),
+        "capital_share": ("n_capitals", "word_chars"),
+    }
+    grid = ", ".join(f"('{m}', {i}, {c}::double)" for m, cuts in rules.GRID.items() for i, c in enumerate(cuts))
+    long = " union all ".join(f"select nr, doc_id, stratum, base_failed, '{m}' as metric, case when {b} > 0 then {a}::double / {b} else 0 end as v from judged" for m, (a, b) in metrics.items())
+    return rf"""
+with texts as (select row_number() over () as nr, doc_id, coalesce(text, '') as t from documents),
+ split as (select nr, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws from texts),
+ grams as (select nr, unnest(range(1, len(ws) - 1)) as i, ws from split where len(ws) >= 3),
+ keyed as (select nr, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g from grams),
+ twice as (select nr, i from keyed qualify count(*) over (partition by nr, g) > 1),
+ covered as (select nr, count(distinct i + d) as n from twice, (values (0), (1), (2)) k(d) group by nr),
+ lines as (select nr, unnest(string_split(t, chr(10))) as line from texts),
+ dups as (select nr, count(*) as n_lines, count(*) - count(distinct line) as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by nr),
+ counts as (select s.nr, doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols,
+  coalesce(dups.n, 0)::bigint as n_dup_lines, coalesce(n_lines, 0)::bigint as n_lines, coalesce(covered.n, 0)::bigint as n_repeat_words, len(regexp_extract_all(t, '\p{{Lu}}'))::bigint as n_capitals
+  from split s left join dups on dups.nr = s.nr left join covered on covered.nr = s.nr),
+ judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {" + ".join(f"(n_words >= {b})::int" for b in rules.BANDS)} as stratum from counts),
+ measured as ({long}),
+ grid(metric, rnk, cut) as (values {grid}),
+ good as (select m.* from measured m join labels l on l.doc_id = m.doc_id where l.quality = 1 and not base_failed),
+ tests as (select stratum, good.metric, rnk, count(*) as n, count(*) filter (v > cut) as k from good join grid on grid.metric = good.metric group by stratum, good.metric, rnk),
+ passed as (select *, k < n * {rate} and list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) <= {level} as ok from tests),
+ stops as (select stratum, metric, min(rnk) filter (not ok) as stop, max(rnk) + 1 as ends from passed group by stratum, metric),
+ cuts as (select s.stratum, s.metric, cut from stops s join grid on grid.metric = s.metric and grid.rnk = coalesce(stop, ends) - 1),
+ bad as (select distinct nr from measured m join cuts c on c.stratum = m.stratum and c.metric = m.metric where v > cut)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and nr not in (select nr from bad) as kept from judged"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """op10 only; fingerprints, alignments, flows, codecs and models are tested against brute force."""
+    return {"op10_quality_rules": _rules_sql()}
