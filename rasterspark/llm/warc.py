@@ -57,7 +57,7 @@ def _writer(folder: str, file_bytes: int):
         for b in batches:
             for page_id, url, html, refers_to in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if out is None:
-                    name, n, size, gz = f"{uuid.uuid4().hex}.warc.gz", 0, 0, zlib.compressobj(1, zlib.DEFLATED, 31)
+                    name, n, size, gz = f"{uuid.uuid4().hex}.warc.gz", 0, 0, zlib.compressobj(6, zlib.DEFLATED, 31)
                     out = fs.open_output_stream(f"{path}/{name}", compression=None)
                 data = record(page_id, url, (html or "").encode("utf-8", "surrogatepass"), refers_to)
                 out.write(gz.compress(data))
