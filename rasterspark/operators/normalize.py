@@ -47,9 +47,12 @@ def resolve(scenes: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def stack(obs: DataFrame, order: tuple = ("o1", "nr", "o3", "o4", "o5", "o6")) -> DataFrame:
-    """(scene_ts, y, x, dn), of several observations of a scene and pixel the first valid one."""
+    """(scene_ts, y, x, dn), of several observations of a scene and pixel the first valid one.
+
+    With one ordering column (an item's rank) the grouping is by hash; with several it sorts.
+    """
     valid = obs.where(plausible(F.col("lwir11")) & clear(F.col("qa_pixel")))
-    first = F.min_by(F.col("lwir11"), F.struct(*order)).cast("int").alias("dn")
+    first = F.min_by(F.col("lwir11"), F.struct(*order) if len(order) > 1 else F.col(order[0])).cast("int").alias("dn")
     return valid.groupBy("scene_ts", *PIXEL).agg(first)
 
 

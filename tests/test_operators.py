@@ -1,0 +1,185 @@
+"""Sinks, lookups and checks that raise, and invariants of normalisation."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from rasterspark.functions import grid, quality
+from rasterspark.operators import audit, catalog, composite, masks, normalize, runs, sweeps
+from rasterspark.params import DN_HIGH, DN_LOW, Params
+from rasterspark.plans import tile
+from rasterspark.sources.fixtures import BASE_DIR, load
+
+SF = f"{BASE_DIR}/sf0.001"
+
+
+def times(spark, *days):
+    return spark.createDataFrame([(dt.datetime(2021, 1, d),) for d in days], "scene_ts timestamp")
+
+
+def offsets_of(spark, *days):
+    return times(spark, *days).withColumn("offset4", F.lit(4).cast("long"))
+
+
+def test_clamp_is_the_integer_range(spark):
+    df = spark.range(1, 65536).select(F.col("id").alias("dn"), quality.celsius(F.col("id")).alias("c"))
+    assert df.where((F.col("c").between(-50, 80)) != F.col("dn").between(DN_LOW, DN_HIGH)).count() == 0
+
+
+@pytest.mark.parametrize("c,dn", [(-50.0, 0), (-49.99, 1), (0.0, 5000), (605.35, 65535), (606.0, 0), (None, 0)])
+def test_packing(spark, c, dn):
+    row = spark.createDataFrame([(c,)], "c double").select(quality.encode(F.col("c") + 1e-9).alias("dn")).first()
+    assert row.dn == dn
+
+
+def test_bias_is_recovered(spark):
+    cube = sweeps.synthetic_cube(spark, 12, 12, 60, 1).withColumn("qa_pixel", F.lit(64))
+    steady = cube.withColumn("lwir11", F.lit(44000) + F.when(F.dayofyear("scene_ts") % 3 == 0, 600).otherwise(0))
+    dn = normalize.stack(steady)
+    table = normalize.offsets(normalize.anomalies(dn, normalize.climatology(dn)), Params(floor=1))
+    values = normalize.debias(dn, table)
+    spread = values.groupBy("y", "x", F.month("scene_ts")).agg((F.max("v4") - F.min("v4")).alias("d"))
+    assert spread.where("d <> 0").count() == 0
+
+
+def test_partitions_change_nothing(spark):
+    obs = load(spark, SF, "obs")
+    a, b = (sorted(map(tuple, normalize.climatology(normalize.stack(o)).collect())) for o in (obs, obs.repartition(13)))
+    assert a == b
+
+
+def test_all_rejected_raises(spark):
+    dn = normalize.stack(load(spark, SF, "obs"))
+    table = normalize.offsets(normalize.anomalies(dn, normalize.climatology(dn)), Params(floor=10**9))
+    with pytest.raises(ValueError, match="rejected"):
+        normalize.debias(dn, table)
+    with pytest.raises(ValueError, match="no offset"):
+        normalize.debias(dn, table.limit(0))
+
+
+def test_offset_store(spark, tmp_path):
+    table, path = offsets_of(spark, 1, 2), str(tmp_path / "o")
+    normalize.store_offsets(table, path, "N00E000", "2021", "k1")
+    normalize.store_offsets(offsets_of(spark, 5), path, "N00E000", "2021", "k2")
+    normalize.store_offsets(table, path, "N00E000", "2021", "k1")
+    assert normalize.lookup_offsets(times(spark, 1, 2), path, "N00E000", "2021", "k1").count() == 2
+    assert normalize.lookup_offsets(times(spark, 1, 2, 3), path, "N00E000", "2021", "k1") is None
+
+
+def test_partials(spark):
+    want = times(spark, 1, 2, 3)
+    assert normalize.merge_partials([offsets_of(spark, 1, 3), offsets_of(spark, 2)], want).count() == 3
+    for bad, what in (((1, 2), "missing"), ((1, 2, 3, 3), "several"), ((1, 2, 3, 4), "not of this run")):
+        with pytest.raises(ValueError, match=what):
+            normalize.merge_partials([offsets_of(spark, *bad)], want)
+
+
+def test_times_cut_to_seconds(spark):
+    exact = spark.createDataFrame([(dt.datetime(2021, 1, 1, 0, 0, 0, 500),), (dt.datetime(2021, 1, 2),)], "scene_ts timestamp")
+    assert normalize.match_times(offsets_of(spark, 1, 2), exact).join(exact, "scene_ts").count() == 2
+    with pytest.raises(ValueError, match="share a second"):
+        normalize.match_times(offsets_of(spark, 1), exact.union(exact.select(exact.scene_ts + F.expr("interval 1 microsecond"))))
+
+
+def test_cover_must_align(spark):
+    cover = times(spark, 1, 2).withColumn("cover", F.lit(1.0))
+    assert sweeps.align_cover(cover, times(spark, 1, 2)).count() == 2
+    with pytest.raises(ValueError, match="no cover"):
+        sweeps.align_cover(cover, times(spark, 1, 2, 3))
+
+
+def test_composite_sink(spark, tmp_path):
+    comp, path = tile._comp(spark, SF), str(tmp_path / "c")
+    composite.write_composite(comp, path, "2021", "N05W060")
+    composite.write_composite(comp, path, "2021", "N05W060")
+    back = spark.read.parquet(path).where("window = '2021' and tile = 'N05W060'")
+    assert back.count() == comp.count() and "lst_dn" in back.columns
+
+
+def test_bands(spark):
+    rows = spark.range(6).select(F.col("id").alias("y"), F.lit(1).alias("v"))
+    low, high = rows.where("y < 3"), rows.where("y >= 3")
+    assert composite.merge_bands([low, high], 6).count() == 6
+    for bands, height, what in (([low, high.where("y > 3")], 6, "gap"), ([low, rows], 6, "gap"), ([low, high], 7, "height"), ([low, high.drop("v")], 6, "differ")):
+        with pytest.raises(ValueError, match=what):
+            composite.merge_bands(bands, height)
+
+
+def test_catalog(spark, tmp_path):
+    names = ["lst_p95_2021_N05W060.tif", "qa_count_2021_N05W060.tif", "lst_p95_2021_S10E100.tif"]
+    files = spark.createDataFrame([(n,) for n in names], "name string")
+    with pytest.raises(ValueError, match="lacks"):
+        catalog.pair_products(files)
+    pairs = catalog.pair_products(files.limit(2))
+    head = spark.createDataFrame([("N05W060", -60.0, 0.0, -55.0, 5.0)], "tile string, west double, south double, east double, north double")
+    items = catalog.build_items(pairs, head)
+    catalog.write_items(items, str(tmp_path / "items"))
+    assert spark.read.parquet(str(tmp_path / "items")).first().id == "N05W060_2021"
+    with pytest.raises(ValueError, match="off its tile"):
+        catalog.build_items(pairs, head.withColumn("east", F.lit(-55.1)))
+    assert catalog.extent(items.limit(0)).first().west == -180
+
+
+def test_hilbert_is_a_curve(spark):
+    df = spark.range(256).select((F.col("id") % 16).alias("i"), F.floor(F.col("id") / 16).alias("j"))
+    at = df.select("i", "j", grid.hilbert((F.col("i") + 0.5) / 16 * 360 - 180, (F.col("j") + 0.5) / 16 * 180 - 90, 4).alias("d")).collect()
+    order = {r.d: (r.i, r.j) for r in at}
+    assert sorted(order) == list(range(256))
+    assert all(abs(order[k][0] - order[k + 1][0]) + abs(order[k][1] - order[k + 1][1]) == 1 for k in range(255))
+
+
+def test_run_states(spark, tmp_path):
+    for key in ("N05W060/attempt-2/state", "N05W060/state"):
+        p = tmp_path / f"{key}.json"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(json.dumps({"phase": "read", "updated_at": "2024-01-01T00:00:00Z", "phase_seconds": {"read": 2.0}, "rss_series": [[0.0, 1.0]]}))
+    got = {(r.tile, r.attempt, r.kind, r.phase_seconds["read"]) for r in runs.read_states(spark, str(tmp_path)).collect()}
+    assert got == {("N05W060", 2, "state", 2.0), ("N05W060", 0, "state", 2.0)}
+
+
+def test_tables_as_files(spark, tmp_path):
+    df = spark.range(3)
+    for kind, read in (("csv", lambda p: spark.read.option("header", True).csv(p)), ("json", spark.read.json)):
+        sweeps.write_table(df, str(tmp_path / kind), kind)
+        assert read(str(tmp_path / kind)).count() == 3
+
+
+def test_dilation_wraps(spark):
+    cells = spark.createDataFrame([(5, 0)], "row long, col long")
+    got = {(r.row, r.col) for r in masks.dilate(cells, 1, 10).collect()}
+    assert got == {(r, c) for r in (4, 5, 6) for c in (9, 0, 1)}
+
+
+def test_buffer(spark):
+    e = spark.createDataFrame([(1, 1, 2.0, 2.0, 6.0, 2.0)], "poly_id int, class int, x0 double, y0 double, x1 double, y1 double")
+    got = {(r.y, r.x) for r in masks.near_edges(e, 10, 10, 1.0).collect()}
+    near = lambda y, x: (x + 0.5 - min(max(x + 0.5, 2), 6)) ** 2 + (y + 0.5 - 2) ** 2 <= 1
+    assert got == {(y, x) for y in range(10) for x in range(10) if near(y, x)}
+
+
+def test_inventory_and_hash(spark):
+    inv = spark.createDataFrame([("p", "1", "a"), ("p", "1", "b")], "product string, version string, granule string")
+    assert audit.check_inventory(inv, "p", "1", 2).first().n == 2
+    for args, df in ((("p", "2", 2), inv), (("p", "1", 3), inv), (("p", "1", 4), inv.union(inv))):
+        with pytest.raises(ValueError):
+            audit.check_inventory(df, *args)
+    assert audit.content_hash(inv).first() == audit.content_hash(inv.repartition(5).orderBy(F.desc("granule"))).first()
+
+
+def test_orientation_and_cells(spark):
+    c = spark.createDataFrame([(0, 0, True, False), (0, 0, False, True)], "r int, c int, lat_ascends boolean, lon_descends boolean")
+    assert {(x.r, x.c) for x in audit.orient(c).collect()} == {(99, 0), (0, 99)}
+    m = spark.createDataFrame([(0, 0, True), (1, 1, False)], "r int, c int, v boolean")
+    assert [tuple(x) for x in audit.mask_cells(m).collect()] == [(89, -180)]
+    p = spark.createDataFrame([([(1.5, 2.5), (1.2, 3.0), (2.0, 2.1), (1.5, 2.5)],), ([(1.0, 2.0)],)], "p array<struct<lat:double,lon:double>>")
+    assert [tuple(x) for x in p.select(*audit.granule_cell(F.col("p"))).collect()] == [(1, 2), (None, None)]
+
+
+def test_clamp_reaches_the_scan(spark, tmp_path):
+    sweeps.synthetic_cube(spark, 4, 4, 4).write.parquet(str(tmp_path / "o"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    df = normalize.stack(spark.read.parquet(str(tmp_path / "o")), ("o1",))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"LessThanOrEqual(lwir11,{DN_HIGH})" in plan and "HashAggregate" in plan and "o3" not in plan
