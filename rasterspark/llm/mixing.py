@@ -6,7 +6,7 @@ the second pass, 2 for the third, so repetition is convex and used last. The net
 and source, never per document; its size is checked. The flow says how many words to take from each
 pattern: whole passes over it, and one partial pass. The partial pass takes documents in seeded order up to
 the number of words, found from a histogram of the order and exact running sums in the one bin that the
-number falls in, and then the one further document that comes closest to what is missing.
+number falls in, and then, up to FILLS times, the one further document that comes closest to what is missing.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import materialise, n_words
 
 WEIGHTS, BUDGET, PASSES, SEED = (5, 2, 1), 1.5, 2, 20240607
-BIN_BITS = 12
+BIN_BITS, FILLS = 12, 4
 
 
 def targets(sizes: dict, weights: tuple = WEIGHTS, budget: float = BUDGET, passes: float = PASSES) -> dict:
@@ -156,12 +156,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     at = rows.drop("_row").join(plan, "pattern").join(cut, "pattern", "left").withColumn("bin", bin_).where("bin >= cut")
     order = Window.partitionBy("pattern").orderBy("draw", "doc_id", "nr")
     edge = materialise(at.where("bin = cut").withColumn("upto", F.sum("size").over(order)).select("pattern", "nr", "rest", "upto"), "mixing-edge")
-    took = edge.where("upto <= rest")
-    missing = edge.groupBy("pattern").agg((F.max("rest") - F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))), F.lit(0))).alias("missing"))
-    open_ = at.join(F.broadcast(missing), "pattern")
-    open_ = open_.join(took.select("nr"), "nr", "left_anti").where(F.abs(F.col("size") - F.col("missing")) < F.col("missing"))
-    extra = open_.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - F.col("missing")).alias("off"), "draw", "doc_id", "nr"))["nr"].alias("nr"))
-    more = materialise(took.select("nr").union(extra.select("nr")), "mixing-more").withColumn("_more", F.lit(1))
+    took = edge.where("upto <= rest").select("nr")
+    fits = F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto")))
+    missing = {tuple(r.pattern): r.missing for r in edge.groupBy("pattern").agg((F.max("rest") - F.coalesce(fits, F.lit(0))).alias("missing")).collect()}  # a row per pattern
+    picked: list[tuple[int]] = []
+    for _ in range(FILLS):
+        left = [(list(p), n) for p, n in missing.items() if n > 0]
+        if not left:
+            break
+        state = F.broadcast(spark.createDataFrame(left, "pattern array<string>, missing long"))
+        off = F.abs(F.col("size") - F.col("missing"))
+        open_ = at.join(state, "pattern").where(off < F.col("missing")).join(took, "nr", "left_anti").join(F.broadcast(spark.createDataFrame(picked, "nr long")), "nr", "left_anti")
+        found = open_.groupBy("pattern").agg(F.min(F.struct(off.alias("off"), "draw", "doc_id", "nr", "size")).alias("d")).collect()
+        picked += [(r.d.nr,) for r in found]
+        missing = {tuple(r.pattern): missing[tuple(r.pattern)] - r.d.size for r in found}
+    more = materialise(took.union(spark.createDataFrame(picked, "nr long")), "mixing-more").withColumn("_more", F.lit(1))
     out = rows.join(plan, "pattern").join(cut, "pattern", "left").join(more, "nr", "left")
     times = F.col("whole") + F.when(F.col("cut").isNull(), 0).when(bin_ < F.col("cut"), 1).otherwise(F.coalesce("_more", F.lit(0)))
     return out.select(*["_row"] * carry, "doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
