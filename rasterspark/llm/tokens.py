@@ -28,7 +28,7 @@ from .rangecoder import BLOCK, block_size, decode_block, encode_block
 END = 2
 _TAIL = "<QQIII4s"  # start and size of the table, its crc32, documents, of these with null id, magic
 _MAGIC = b"RSTF"
-_STOP = re.compile(rb"(?<=[A-Za-z])[.,](?=[ \n]|\Z)")
+_STOP = re.compile(rb"[.,](?<=[A-Za-z].)(?=[ \n]|\Z)")  # the stop first: a search for it is fast
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _loaded: dict = {}
 
@@ -57,7 +57,7 @@ class WordIds:
     words in turn; each new word goes to the library once, many in one call.
     """
 
-    LIMIT = 1_000_000
+    LIMIT = 1_500_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
