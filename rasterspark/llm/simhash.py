@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, materialise, salted_join, small_batches
@@ -45,16 +45,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * count > len(starts), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``, fp the fingerprint as a signed long."""
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes (k0, k1) that together with the id tell rows of different texts apart."""
+    return [F.xxhash64(F.lit(i), text).alias(f"k{i}") for i in range(2)]
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp): one row per row of ``docs``, fp the fingerprint as a signed long. ``keyed``: also the row's ``text_keys``."""
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], ["doc_id", "fp", *["k0", "k1"] * keyed])
 
-    chosen = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, fp long")
+    chosen = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *text_keys(F.col(text_col)) * keyed)
+    return chosen.mapInArrow(run, "doc_id long, fp long" + ", k0 long, k1 long" * keyed)
 
 
 def _masks() -> list[int]:
@@ -173,26 +178,41 @@ def links(fps: DataFrame, max_cell: int = 20_000) -> DataFrame:
     return out if crowded.isEmpty() else out.union(_neighbour_links(materialise(crowded, "simhash-crowded"))).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_cell: int = 20_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_cell: int = 20_000, keyed: bool = False) -> DataFrame:
     """(doc_id, fingerprint, component_id, component_size): one row per row of ``docs``.
 
     component_id is the least id reachable over links of at most 4 bits. Null, empty and blank texts have
     fingerprint zero and link like any other; rows with a null id belong to their component but never name
     it, so a component of null ids only has a null component_id. Repeated rows stay repeated; extra columns
-    are ignored; an empty table gives an empty result.
+    are ignored; an empty table gives an empty result. ``keyed``: also the row's ``text_keys`` and its group, never null.
     """
-    rows = materialise(fingerprints(docs, id_col, text_col), "simhash")
+    rows = materialise(fingerprints(docs, id_col, text_col, keyed=keyed), "simhash")
     each = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
     roots = components(links(each.select("fp"), max_cell)).select(F.col("node").alias("fp"), "root")
     named = each.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_size"))
-    known = named.select("fp", "root").join(ids, "root").drop("root")
-    return salted_join(rows, known, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size")
+    known = named.select("fp", "root").join(ids, "root")
+    return salted_join(rows, known, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size", *["k0", "k1", F.col("root").alias("group")] * keyed)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one with the least doc_id."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    ids = materialise(kept.groupBy("_id").agg(F.count("*").alias("_n")), "simhash-kept")
-    out = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return out if ids.where("_n > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the least doc_id, null ids last.
+
+    Rows are told apart by id and text, so rows of different groups all stay whether their ids are null, repeated
+    or neither; of rows alike in both, one stays. ``groups(doc_id, k0, k1, group)``: the groups, by default those
+    of ``near_duplicates``.
+    """
+    rows = near_duplicates(docs, keyed=True) if groups is None else groups
+    each = rows.groupBy("group", "doc_id", "k0", "k1").agg(F.count("*").alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k0", "k1", "n")
+    kept = materialise(each.groupBy("group").agg(F.min(first).alias("r")).select("r.doc_id", "r.k0", "r.k1", "r.n"), "near-kept")
+
+    def chosen(ids: DataFrame) -> DataFrame:
+        ids = ids.select(F.col("doc_id").alias("_id"), F.col("k0").alias("_k0"), F.col("k1").alias("_k1"))
+        k0, k1 = text_keys(docs["text"])
+        return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (k0 == F.col("_k0")) & (k1 == F.col("_k1")), "left_semi")
+
+    many = kept.where("n > 1")
+    if many.isEmpty():
+        return chosen(kept)
+    return chosen(kept.where("n = 1")).union(chosen(many).dropDuplicates(["doc_id", "text"]))

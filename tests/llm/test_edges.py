@@ -52,6 +52,14 @@ def test_defined_results(spark, odd):
     assert [r.doc_id for r in simhash.keep_one(odd).collect() if r.doc_id == 1] == [1]
 
 
+def test_keep_one_by_row(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (1, texts[2]), (1, texts[3]), (2, texts[4]), (2, texts[4]), (3, texts[4]), (1, texts[5]), (0, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.text[0], r.doc_id) for r in simhash.keep_one(df).collect())
+    assert kept == [("a", None), ("b", None), ("c", 1), ("d", 1), ("e", 2), ("f", 0)]
+
+
 def test_pages(spark):
     schema = "page_id long, url string, html string, sha string, first long, canon string, h long, nr long"
     rows = [(1, "http://A.com/x", "p"), (1, "http://A.com/x", "p"), (None, None, "p"), (2, "no scheme", None), (3, "http://spam.org:80/index.html?utm_source=a#f", ""), (4, "x://", "é" * 100_000)]
