@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from rasterspark.llm import decontaminate, mixing, quality_model, rangecoder, rules, secrets, simhash, substrings, tokens, urlfilter, warc
+from rasterspark.llm import decontaminate, minhash, mixing, quality_model, rangecoder, rules, secrets, simhash, substrings, tokens, urlfilter, warc
 from rasterspark.llm.common import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,6 +63,28 @@ def test_simhash_dense(spark):
         assert {f: roots.get(f, f) for f in fps} == want
 
 
+def test_minhash(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for base in range(12):
+        words = [f"w{i}" for i in rng.integers(0, 2000, 200)]
+        for copy in range(6):
+            edited = list(words)
+            for at in rng.choice(200, copy, replace=False):
+                edited[at] = f"new{base}-{copy}-{at}"
+            rows.append((len(rows), " ".join(edited).upper() if copy == 5 else " ".join(edited)))
+    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(196)} for i, t in rows}
+    pairs = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in sets for j in sets if i < j}
+    assert any(0.8 <= v < 0.85 for v in pairs.values())
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    group = {r.doc_id: r.group for r in minhash.groups(df).collect()}
+    assert all(group[i] == group[j] for (i, j), v in pairs.items() if v >= 0.8)
+    assert all(i // 6 == j // 6 for i in group for j in group if group[i] == group[j])
+    from corpus_pipeline import near_duplicates
+
+    assert {r.doc_id for r in near_duplicates(spark, df, "").collect()} == {min(j for j in group if group[j] == g) for g in group.values()}
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 600)], "a long, b long")
     assert {r.node: r.root for r in components(e).collect()} == {i: 0 for i in range(201)} | {500: 500, 600: 500}
