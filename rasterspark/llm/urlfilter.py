@@ -17,7 +17,7 @@ from .common import materialise, salted_join
 #: (verdict, host, path). The longest rule that fits wins.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 #: Words in the host of a URL that put it on the list, where no list is given.
-LISTED_WORDS = ("spam", "pills", "casino", "malware", "phish")
+LISTED_WORDS = ("spam", "pills", "casino", "malware", "phish", "bets", "ads-", "adult")
 BITS_PER_URL, BROADCAST_BLOCKS = 16, 1 << 18
 # Query parameters that don't change the page.
 TRACKING = r"(?:utm_[a-z]+|gclid|fbclid|ref|sessionid|sid)"

@@ -261,6 +261,16 @@ def test_urls(spark, pages):
         assert x.verdict == (max(fit)[2] if fit else "block" if bad else "allow") and x.listed == bad
 
 
+def test_list_decides_without_a_rule(spark):
+    urls = ["http://blog.adult-x.example.net/en/a", "http://free-bets.example.org/en/a", "http://m.ads-track.example.org/x", "http://clean.example.net/en/a", "https://www.clean.example.net/en/a/?utm_source=b", "http://clean.example.net/en/b"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in urlfilter.judge(df).collect()}
+    assert [got[i].rule for i in range(6)] == [None] * 6
+    assert [got[i].verdict for i in range(6)] == ["block"] * 3 + ["allow"] * 3
+    got = {r.page_id: r.verdict for r in urlfilter.judge(df, spark.createDataFrame([(urls[3],)], "url string")).collect()}
+    assert [got[i] for i in range(6)] == ["allow"] * 3 + ["block", "block", "allow"]
+
+
 def slow_counts(t):
     t = t or ""
     w = WORD.findall(t)
