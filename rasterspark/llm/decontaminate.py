@@ -4,7 +4,7 @@ Words become template tokens: numbers, units and names turn into typed placehold
 without outer punctuation. Windows of ``WINDOW`` tokens with at least ``LITERALS`` plain ones are hash-joined
 between documents and benchmark items (items of fewer tokens give one window of their whole length). Matches
 of one document and item on one diagonal (the same shift between their positions) are one alignment; its slots,
-the words behind the placeholders, must map one to one. A document is contaminated if consistent alignments
+the words behind the placeholders, must map each item value to one document value. A document is contaminated if consistent alignments
 cover at least ``COVER`` of an item's windows: verbatim if all slots are equal, else re-parameterised.
 """
 
@@ -151,8 +151,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     met = salted_join(hits, total, ["h", "form"]).withColumn("shift", F.col("at") - F.col("item_at"))
     pair = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: p["i"].isNotNull())
     lines = met.groupBy("nr", "item_id", "shift", "windows").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"))
-    one = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda p: p[f])))
-    lines = lines.where((one("i") == F.size("pairs")) & (one("d") == F.size("pairs")))
+    lines = lines.where(F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs"))
     per = lines.groupBy("nr", "item_id", "windows").agg(F.least(F.sum("n") / F.col("windows"), F.lit(1.0)).alias("cover"), F.bool_and(~F.exists("pairs", lambda p: p["i"] != p["d"])).alias("same"))
     per = per.where(F.col("cover") >= COVER).groupBy("nr").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("cover").alias("cover"), F.bool_or("same").alias("verbatim"))
     base = numbered.select("nr", "_row", "doc_id") if carry else found.select("nr", "doc_id")

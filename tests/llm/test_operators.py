@@ -134,6 +134,13 @@ def test_reparameterised(spark):
     assert [got[i].verbatim for i in (1, 3)] == [False, True]
 
 
+def test_redrawn_to_one_value(spark):
+    item = "What mass of 3 kg does the strong man carry to the river when 4 kg are lost"
+    d = spark.createDataFrame([(1, item.replace("3", "5").replace("4", "5")), (2, item.replace("3", "6").replace("4", "7"))], "doc_id long, text string")
+    got = by_id(decontaminate.contamination(d, spark.createDataFrame([(9, item)], "item_id long, text string")).collect())
+    assert [got[i].contaminated for i in (1, 2)] == [True, True]
+
+
 def slow_cut(docs):
     words = {i: WORD.findall(t or "") for i, t in docs.items()}
     least = {}
