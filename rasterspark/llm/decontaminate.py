@@ -6,6 +6,8 @@ between documents and benchmark items (items of fewer tokens give one window of
 of one document and item on one diagonal (the same shift between their positions) are one alignment; its slots,
 the words behind the placeholders, must map each item value to one document value. A document is contaminated if consistent alignments
 cover at least ``COVER`` of an item's windows: verbatim if all slots are equal, else re-parameterised.
+Windows of the lower-cased words themselves are joined beside them, whatever the words are (items of fewer words give
+the whole item): a document with at least ``EXACT_COVER`` of these is contaminated too, verbatim if it has all.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import Rolling, materialise, mix64, salted_join, small_batches
 
-WINDOW, LITERALS, SHORTEST, COVER = 8, 5, 5, 0.5
+WINDOW, LITERALS, SHORTEST, COVER, EXACT_COVER = 8, 5, 5, 0.5, 2 / 3
 #: Benchmark windows up to which their hashes are sent to all tasks (8 bytes each).
 FILTER_LIMIT = 2_000_000
 # Common units of measure.
@@ -63,33 +65,60 @@ class _Forms(dict):
         return form | ends
 
 
-_NAME_FORM = _hash(b"\0%d" % NAME)
+_NAME_FORM, _NONE = _hash(b"\0%d" % NAME), np.uint64(_hash(b""))
+_EXACT = np.uint64(0xE7037ED1A0B428DB)
 
 
-def template(words: list[bytes], forms: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each template token; whether it is a slot. A capital that starts no sentence makes a name."""
+def template(words: list[bytes], forms: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each template token; whether it is a slot; hash of the word itself; whether it may be a name.
+
+    A capital that starts no sentence makes a name.
+    """
     f = np.fromiter(map(forms.__getitem__, words), np.int64, len(words))
     start = np.concatenate([[True], (f[:-1] & 2) > 0]) if len(f) else np.zeros(0, bool)
     name = ((f & 1) > 0) & ~start
-    return np.where(name, _NAME_FORM, f & ~7).astype(np.uint64), name | ((f & 4) > 0)
+    plain = (f & ~7).astype(np.uint64)
+    for i in np.flatnonzero(f & 4).tolist():
+        plain[i] = _hash(words[i].strip(_EDGE).lower())
+    return np.where(name, np.uint64(_NAME_FORM), (f & ~7).astype(np.uint64)), name | ((f & 4) > 0), plain, (f & 1) > 0
+
 
+def windows(tokens: np.ndarray, slots: np.ndarray, size: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``size`` tokens; whether each has enough plain tokens.
 
-def windows(tokens: np.ndarray, slots: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``size`` tokens; whether each has enough plain tokens."""
+    ``first``: the first token of each window is this one instead, a slot where it was none and the reverse.
+    """
     n = len(tokens) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
     at = np.arange(n)
-    h = mix64(_words.hashes(_words.sums(mix64(tokens)), at, at + size) ^ np.uint64(size))
+    mixed = mix64(tokens)
+    h = _words.hashes(_words.sums(mixed), at, at + size)
     count = np.concatenate([[0], np.cumsum(~slots)])
-    return h, count[size:] - count[:-size] >= min(LITERALS, size - 1)
+    count = count[size:] - count[:-size]
+    if first is not None:
+        h = h + (mix64(first[:n]) - mixed[:n])
+        count = count + np.where(slots[:n], 1, -1)
+    return mix64(h ^ np.uint64(size)), count >= min(LITERALS, size - 1)
+
+
+def exact_windows(plain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``size`` words as they are; whether any has a letter or digit in it."""
+    n = max(0, len(plain) - size + 1)
+    at = np.arange(n)
+    h = mix64(_words.hashes(_words.sums(mix64(plain)), at, at + size) ^ _EXACT ^ np.uint64(size))
+    count = np.concatenate([[0], np.cumsum(plain != _NONE)])
+    return h, count[at + size] > count[at]
 
 
 _HIT = "array<struct<h:long,at:int,form:string,slots:array<string>>>"
 
 
 def _finder(sizes: list[int], whole: bool, known: np.ndarray | None):
-    """Over (id, text): the windows, all of them or those among ``known``. ``whole``: short texts count as one window."""
+    """Over (id, text): the windows, all of them or those among ``known``. ``whole``: short texts count as one window.
+
+    The form of a window of the words themselves begins with \\1.
+    """
 
     def run(batches):
         forms = _Forms()
@@ -101,21 +130,32 @@ def _finder(sizes: list[int], whole: bool, known: np.ndarray | None):
             n, hits = [], []
             for text in b.column(1).to_pylist():
                 words = (text or "").encode("utf-8", "surrogatepass").split()
-                tokens, slots = template(words, forms)
+                tokens, slots, plain, names = template(words, forms)
+                first = np.where(slots, plain, np.uint64(_NAME_FORM))
                 rows = []
-                for size in [min(WINDOW, len(words))] * (len(words) >= SHORTEST) if whole else sizes:
-                    h, ok = windows(tokens, slots, size)
-                    if table is not None:
-                        ok = ok & table[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
-                        at = np.flatnonzero(ok)
-                        if len(at):
-                            at = at[known[np.minimum(np.searchsorted(known, h[at]), len(known) - 1)] == h[at]]
-                    else:
-                        at = np.flatnonzero(ok)
-                    for i in at.tolist():
-                        cut = [w.strip(_EDGE).lower().decode("utf-8", "replace") for w in words[i : i + size]]
-                        slot = slots[i : i + size].tolist()
-                        rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": " ".join("\0" if s else w for w, s in zip(cut, slot)), "slots": [w if s else None for w, s in zip(cut, slot)]})
+                for size in [min(WINDOW, len(words))] * (len(words) > 0) if whole else sizes:
+                    ways = [(*exact_windows(plain, size), None, True)]
+                    if size >= SHORTEST:
+                        ways.append((*windows(tokens, slots, size), slots, False))
+                    if size >= SHORTEST and not whole:  # a capital at the start of a window, as a name and as none
+                        h, ok = windows(tokens, slots, size, first)
+                        ways.append((h, ok & names[: len(h)], slots, True))
+                    for h, ok, slot_of, other in ways:
+                        if table is not None:
+                            ok = ok & table[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
+                            at = np.flatnonzero(ok)
+                            if len(at):
+                                at = at[known[np.minimum(np.searchsorted(known, h[at]), len(known) - 1)] == h[at]]
+                        else:
+                            at = np.flatnonzero(ok)
+                        for i in at.tolist():
+                            cut = [w.strip(_EDGE).lower().decode("utf-8", "surrogatepass").lower().encode("utf-8", "replace").decode() for w in words[i : i + size]]
+                            if slot_of is None:
+                                rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": "\1" + " ".join(cut), "slots": []})
+                                continue
+                            slot = slot_of[i : i + size].tolist()
+                            slot[0] ^= other
+                            rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": " ".join("\0" if s else w for w, s in zip(cut, slot)), "slots": [w if s else None for w, s in zip(cut, slot)]})
                 n.append(len(words))
                 hits.append(rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("form", pa.string()), ("slots", pa.list_(pa.string()))])))], ["id", "n", "hits"])
@@ -127,13 +167,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(doc_id, contaminated, verbatim, n_items, items, cover): one row per row of ``docs``.
 
     items: the ids of the benchmark items found, in order; cover: the largest share of an item's windows. Null and
-    empty texts contain nothing and items of fewer than ``SHORTEST`` words or with null texts are never found; rows
+    empty texts contain nothing and items with null texts or without a letter or digit are never found, those of fewer
+    than ``SHORTEST`` words only as they are; rows
     of one id are judged apart; extra columns are ignored; either table may be empty. ``carry``: also the row, as _row.
     """
     spark = small_batches(docs).sparkSession
     items = benchmark.select(F.col("item_id").alias("id"), "text").mapInArrow(_finder([], True, None), f"id long, n int, hits {_HIT}")
     items = materialise(items.where("size(hits) > 0"), "templates")
-    total = items.select("id", F.size("hits").alias("windows"), F.inline("hits")).withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots").withColumnRenamed("id", "item_id")
+    is_exact = lambda f: f.startswith("\1")
+    n_exact = F.size(F.filter("hits", lambda x: is_exact(x["form"])))
+    total = items.select("id", n_exact.alias("n_exact"), F.size("hits").alias("n_all"), F.inline("hits"))
+    total = total.withColumns({"exact": is_exact(F.col("form")), "windows": F.when(is_exact(F.col("form")), F.col("n_exact")).otherwise(F.col("n_all") - F.col("n_exact"))}).drop("n_exact", "n_all")
+    total = total.withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots").withColumnRenamed("id", "item_id")
     sizes = [r.n for r in items.select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect()]  # WINDOW values at most
     known = None
     if total.count() <= FILTER_LIMIT:
@@ -150,10 +195,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = found.where("size(hits) > 0").select("nr", F.inline("hits"))
     met = salted_join(hits, total, ["h", "form"]).withColumn("shift", F.col("at") - F.col("item_at"))
     pair = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: p["i"].isNotNull())
-    lines = met.groupBy("nr", "item_id", "shift", "windows").agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"))
+    lines = met.groupBy("nr", "item_id", "exact", "shift", "windows").agg(F.count("*").alias("n"), F.collect_set("item_at").alias("item_ats"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"))
     lines = lines.where(F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs"))
-    per = lines.groupBy("nr", "item_id", "windows").agg(F.least(F.sum("n") / F.col("windows"), F.lit(1.0)).alias("cover"), F.bool_and(~F.exists("pairs", lambda p: p["i"] != p["d"])).alias("same"))
-    per = per.where(F.col("cover") >= COVER).groupBy("nr").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("cover").alias("cover"), F.bool_or("same").alias("verbatim"))
+    covered = F.when(F.col("exact"), F.size(F.array_distinct(F.flatten(F.collect_set("item_ats"))))).otherwise(F.sum("n"))
+    equal = F.when(F.col("exact"), F.col("cover") >= 1).otherwise(F.col("equal"))
+    per = lines.groupBy("nr", "item_id", "exact", "windows").agg(F.least(covered / F.col("windows"), F.lit(1.0)).alias("cover"), F.bool_and(~F.exists("pairs", lambda p: p["i"] != p["d"])).alias("equal")).withColumn("same", equal)
+    per = per.where(F.col("cover") >= F.when(F.col("exact"), EXACT_COVER).otherwise(COVER)).groupBy("nr").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("cover").alias("cover"), F.bool_or("same").alias("verbatim"))
     base = numbered.select("nr", "_row", "doc_id") if carry else found.select("nr", "doc_id")
     out = base.join(per, "nr", "left")
     return out.select(*["_row"] * carry, "doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("verbatim", F.lit(False)).alias("verbatim"), F.coalesce(F.size("items"), F.lit(0)).alias("n_items"), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("cover", F.lit(0.0)).alias("cover"))

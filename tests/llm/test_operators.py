@@ -141,6 +141,18 @@ def test_redrawn_to_one_value(spark):
     assert [got[i].contaminated for i in (1, 2)] == [True, True]
 
 
+def test_exact_way(spark):
+    dense = "12 kg 14 m 7 s 3 h Alice 9 kg Bob 8 m 5 s Carol 4 h"
+    short, listed = "Grass is green", "Name the seven long rivers of the north"
+    long = " ".join(f"plain{i}x" for i in range(30)) + " of 5 kg " + " ".join(f"plain{i}y" for i in range(40)) + " of 5 kg"
+    capital = "Find the sum of 4 and 9 apples"
+    b = spark.createDataFrame(list(enumerate([dense, short, listed, long, capital, "...", None])), "item_id long, text string")
+    texts = [f"note {dense} end", "we know (grass is GREEN), they say", f"List\n{listed}\nend", long.replace("5 kg", "7 kg", 1), "Quiz\nFind the sum of 3 and 8 apples", "grass is not green ... so"]
+    got = by_id(decontaminate.contamination(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b).collect())
+    assert [got[i].items for i in range(6)] == [[0], [1], [2], [3], [4], []]
+    assert [got[i].verbatim for i in range(5)] == [True, True, True, False, False]
+
+
 def slow_cut(docs):
     words = {i: WORD.findall(t or "") for i, t in docs.items()}
     least = {}
