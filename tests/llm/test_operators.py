@@ -239,6 +239,21 @@ def test_network_learns():
     assert (p[:200] >= net.threshold).mean() >= 0.95 and (p[200:] >= net.threshold).mean() < 0.05
 
 
+def test_every_uncovered_candidate_is_asked():
+    import pyarrow as pa
+
+    class Sure:
+        threshold = 0.5
+
+        def probability(self, x):
+            return np.ones(len(x))
+
+    texts = ["take QwXzKjVbGhPlMtRd with you", "take abcdefgh.jklmnopq.z with", "token=ABCDEFGHIJKL, 0123456789abcdef+QwXzKjVbGhPlMtRdAA", "none of it is long"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    spans = [s for b in secrets._report(Sure())(secrets._scan([batch])) for s in b.column(5).to_pylist()]
+    assert spans == ["net:5:21", "net:5:24", "assign:0:18,hex:20:36,net:36:55", ""]
+
+
 def test_token_files(docs):
     from tokenizers import Tokenizer
 
