@@ -1,14 +1,17 @@
 """An adaptive context-mixing range coder for token ids, over many lanes at once.
 
-A block of ids is laid out as lanes of ``STEPS`` consecutive ids each. All lanes share one model and move in
-step: at each step the model predicts all lanes' next ids, their range coders advance, then the model learns
-all lanes' ids. Order 2 and order 1 predict the id last seen in their context, with a confidence; each
-confidence has an adaptive hit rate, and an online logistic mixer weighs both rates, in integers throughout,
-so encoder and decoder agree on any machine. The id's interval is that of the prediction that holds, or, within
-what both leave, that of order 0: adaptive frequencies of the block so far. Coders are carry-less range
-coders with 64-bit states that emit 16-bit words.
-
-A block is independent of all others: magic, sizes, crc32 of the ids, lane lengths, lane bytes.
+A block of ids is laid out as lanes of ``STEPS`` consecutive ids each, and lanes are coded ``GROUP`` at a time. The lanes
+of a group move in step: at each step the model predicts all their next ids, their range coders advance, then
+the model learns these ids; each group also knows all groups before it.
+
+Three orders predict. Order 2 gives the id last seen behind the two ids before, with a confidence; order 1 gives
+the distribution of what followed the id before, order 0 that of all ids, both of the block so far and taken
+anew whenever it has grown by half. How far orders 2 and 1 can be trusted is an adaptive hit rate for each
+confidence; an online logistic mixer weighs both rates, in integers throughout, so encoder and decoder agree on any
+machine. The id's interval is order 2's if that holds, else its share of order 1's, else of order 0's.
+Coders are carry-less range coders with 64-bit states that emit 16-bit words.
+
+A block is independent of all others: magic, sizes, crc32 of the ids and of the bytes, lane lengths, lane bytes.
 """
 
 from __future__ import annotations
@@ -19,52 +22,73 @@ import zlib
 
 import numpy as np
 
-MAGIC, STEPS, BLOCK = b"RSB1", 256, 1 << 21
+MAGIC, STEPS, GROUP, BLOCK = b"RSB2", 256, 16384, 1 << 21
+RENEW = 2  # distributions are taken anew when a block has grown by this part
 IDS = 1 << 16
 _HEAD = "<4sIIII"
 _PROB = 12  # bits of a hit rate
-_BASE = 18  # bits of order-0 totals
+_BASE = 18  # bits of the totals of orders 0 and 1
 _U = np.uint64
 _TOP, _LOW = _U(1 << 48), _U(1 << 32)
 _STRETCH = np.array([round(256 * math.log((i + 0.5) / ((1 << _PROB) - i - 0.5))) for i in range(1 << _PROB)], np.int64)
 _SQUASH = np.array([min((1 << _PROB) - 32, max(32, round((1 << _PROB) / (1 + math.exp(-i / 256))))) for i in range(-2560, 2561)], np.int64)
-_CTX2 = 18  # bits of an order-2 context
+_CTX2, _TABLE = 20, 20  # bits of an order-2 context and of the encoder's table of pairs
 
 
 class Model:
     """What a block has shown so far. ``predict`` and ``learn`` take all lanes of a step.
 
-    A slot of a context holds the id last seen there and a confidence of 0 to 7 in its low three bits. Rates and
-    mixing weights depend on both orders' confidences only, so a step works out 64 cells, not each lane.
+    Confidences are 0 to 7: of order 2 how often its slot held lately, of order 1 how often its ids were seen on average
+    (powers of two; 0: never). Rates and mixing weights depend on both only, so a step works out 64 cells,
+    not each lane.
     """
 
     def __init__(self):
-        self.slot1, self.slot2 = np.zeros(IDS, np.int32), np.zeros(1 << _CTX2, np.int32)
+        self.slot2 = np.zeros(1 << _CTX2, np.int64)  # id and, in the low three bits, confidence
         self.rate = np.full((2, 8), 1 << 15, np.int64)  # 16-bit hit rates by order and confidence
         self.weight = np.zeros((2, 8, 8), np.int64)  # of the other order, by both confidences; 1 << 16 is one
         self.count = np.ones(IDS, np.int64)
+        self.pair, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)  # order 1: id before and id, sorted; how often
         self.pending: list[np.ndarray] = []
-        self.seen = 0
-        self.due = 0
-        self._base()
+        self.seen = self.due = 0
+        self._renew()
 
-    def _base(self) -> None:
-        """Order-0 frequencies that sum to 1 << _BASE."""
+    def _renew(self) -> None:
+        """Distributions of orders 0 and 1 that sum to 1 << _BASE."""
+        if self.pending:
+            new, n = np.unique(now := np.concatenate(self.pending), return_counts=True)
+            at = np.searchsorted(self.pair, new)
+            old = np.zeros(len(new), bool) if not len(self.pair) else self.pair[np.minimum(at, len(self.pair) - 1)] == new
+            self.times[at[old]] += n[old]
+            self.pair, self.times = np.insert(self.pair, at[~old], new[~old]), np.insert(self.times, at[~old], n[~old])
+            self.count += 32 * np.bincount(now & IDS - 1, minlength=IDS)
+            self.pending = []
         room = (1 << _BASE) - IDS
         freq = self.count * room // self.count.sum() + 1
         freq[int(freq.argmax())] += (1 << _BASE) - int(freq.sum())
-        self.freq = freq.astype(np.uint32)
-        self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint32)
+        self.freq = freq
+        self.start = np.concatenate([[0], np.cumsum(freq)[:-1]])
         self.symbol = np.repeat(np.arange(IDS, dtype=np.uint16), freq)
+        before = self.pair >> 16
+        kinds, total = np.bincount(before, minlength=IDS), np.zeros(IDS, np.int64)
+        upto = np.concatenate([[0], np.cumsum(self.times)])
+        first = np.concatenate([[0], np.cumsum(kinds)])
+        total = upto[first[1:]] - upto[first[:-1]]
+        own = upto[:-1] - upto[first[before]]
+        scaled = lambda c: (c << _BASE) // np.maximum(total[before], 1)
+        start1 = scaled(own)
+        self.freq1, self.start1 = scaled(own + self.times) - start1, start1
+        self.place, self.table = before << _BASE | start1, None
+        ratio = total // np.maximum(kinds, 1)
+        self.trust1 = np.minimum(np.where(kinds > 0, 1 + np.floor(np.log2(np.maximum(ratio, 1))).astype(np.int64), 0), 7)
 
     def predict(self, a: np.ndarray, b: np.ndarray):
-        """After ids a, b (b the nearer): the predicted ids and the shares of both, of 1 << _PROB."""
-        self.at1, self.at2 = b, (a * 40503 ^ b * 2654435761) & ((1 << _CTX2) - 1)
-        v1, v2 = self.slot1[self.at1], self.slot2[self.at2]
-        p1, p2 = v1 >> 3, v2 >> 3
-        self.v1, self.v2 = v1, v2
-        c1 = (v1 & 7) * (p1 != p2)  # order 1 has nothing of its own to say where both agree
-        self.cell = (v2 & 7) << 3 | c1
+        """After ids a, b (b the nearer): order 2's id and the shares of orders 1 and 2, of 1 << _PROB."""
+        self.b = b
+        self.at2 = (a * 40503 ^ b * 2654435761) & ((1 << _CTX2) - 1)
+        self.v2 = self.slot2[self.at2]
+        self.p2, self.c2 = self.v2 >> 3, self.v2 & 7
+        self.cell = self.c2 << 3 | self.trust1[b]
         s1, s2 = _STRETCH[self.rate[0] >> 4][None, :], _STRETCH[self.rate[1] >> 4][:, None]
         self.s1, self.s2 = s1, s2
         m2 = _SQUASH[np.clip(s2 + (s1 * self.weight[1] >> 16), -2560, 2560) + 2560]
@@ -74,12 +98,26 @@ class Model:
         q1 = np.maximum(m1 * ((1 << _PROB) - q2) >> _PROB, 1)
         q1[:, 0] = 0
         self.m1, self.m2 = m1, m2
-        return p1, p2, q1.reshape(-1)[self.cell], q2.reshape(-1)[self.cell]
+        return self.p2, q1.reshape(-1)[self.cell], q2.reshape(-1)[self.cell]
+
+    def find(self, i: np.ndarray, x: np.ndarray):
+        """Where order 1 holds x behind b in lanes i, and whether it is known to.
+
+        Pairs that more frequent ones keep out of the table go by order 0, which the decoder need not know beforehand.
+        """
+        if not len(self.pair):
+            return np.zeros(len(i), np.int64), np.zeros(len(i), bool)
+        if self.table is None:
+            self.table = np.zeros(1 << _TABLE, np.int32)
+            rare_first = np.argsort(np.minimum(self.times, 65535).astype(np.uint16), kind="stable")
+            self.table[_slot(self.pair[rare_first])] = rare_first
+        key = self.b[i] << 16 | x[i]
+        at = self.table[_slot(key)]
+        return at, self.pair[at] == key
 
     def learn(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
-        n = np.bincount(self.cell, minlength=64).reshape(8, 8)
-        h1 = np.bincount(self.cell[hit1], minlength=64).reshape(8, 8)
-        h2 = np.bincount(self.cell[hit2], minlength=64).reshape(8, 8)
+        miss, h1, h2 = np.bincount(self.cell + (hit1 * 64 + hit2 * 128), minlength=192).reshape(3, 8, 8)
+        n = miss + h1 + h2
         n1 = n - h2  # order 1 is asked where order 2 has failed
         for order, axis, h, of in ((0, 0, h1, n1), (1, 1, h2, n)):
             total = of.sum(axis)
@@ -89,18 +127,26 @@ class Model:
         for order, h, of, m, s in ((0, h1, n1, self.m1, self.s2), (1, h2, n, self.m2, self.s1)):
             self.weight[order] += ((h << _PROB) - of * m) * s // np.maximum(of, 1) >> 10
         np.clip(self.weight, -(1 << 16), 1 << 16, out=self.weight)
-        ids = ids.astype(np.int32)
-        for at, v, table in ((self.at1, self.v1, self.slot1), (self.at2, self.v2, self.slot2)):
-            c = v & 7
-            kept = np.where(c > 1, v - (c + 1 >> 1), ids << 3 | 1)
-            table[at] = np.where(v >> 3 == ids, v + (c < 7), kept)
-        self.pending.append(ids)
-        self.seen += 1
+        v, c = self.v2, self.c2
+        kept = np.where(c > 1, v - (c + 1 >> 1), ids << 3 | 1)
+        self.slot2[self.at2] = np.where(self.p2 == ids, v + (c < 7), kept)
+        self.pending.append(self.b << 16 | ids)
+        self.seen += len(ids)
         if self.seen > self.due:
-            self.count += 32 * np.bincount(np.concatenate(self.pending), minlength=IDS)
-            self.pending = []
-            self.due = self.seen + max(1, self.seen // 2)
-            self._base()
+            self.due = self.seen + max(1024, self.seen // RENEW)
+            self._renew()
+
+
+def _slot(pair: np.ndarray) -> np.ndarray:
+    return (pair * 0x9E3779B97F4A7C1 >> 20) & ((1 << _TABLE) - 1)
+
+
+def _search(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key would go; keys in order find their place sooner."""
+    order = np.argsort(keys)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.searchsorted(table, keys[order])
+    return out
 
 
 def _lanes(n: int) -> tuple[int, np.ndarray]:
@@ -136,38 +182,42 @@ def encode_block(ids: np.ndarray) -> bytes:
     grid[:n] = ids
     grid = grid.reshape(lanes, STEPS).T.copy()
     model = Model()
-    low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     words, owner = [], []
-    a = b = np.zeros(lanes, np.int64)
     with np.errstate(over="ignore"):
-        for t in range(STEPS):
-            k = int(active[t])
-            if not k:
-                break
-            x = grid[t, :k]
-            p1, p2, q1, q2 = model.predict(a[:k], b[:k])
-            hit2 = (p2 == x) & (q2 > 0)
-            hit1 = (p1 == x) & (q1 > 0) & ~hit2
-            q12 = q1 + q2
-            q0 = ((1 << _PROB) - q12).astype(_U)
-            start = (q12.astype(_U) << _U(_BASE)) + q0 * model.start[x]
-            freq = q0 * model.freq[x]
-            for hit, s, f in ((hit2, 0, q2), (hit1, q2, q1)):
-                at = np.flatnonzero(hit)
-                start[at] = 0 if hit is hit2 else s[at].astype(_U) << _U(_BASE)
-                freq[at] = f[at].astype(_U) << _U(_BASE)
-            r = span[:k] >> _U(_PROB + _BASE)
-            low[:k] += start * r
-            span[:k] = freq * r
-            for lane, word in _shift(low[:k], span[:k]):
-                words.append(word)
-                owner.append(lane)
-            model.learn(x, hit1, hit2)
-            a, b = b[:k], x
-    for _ in range(4):
-        words.append((low >> _U(48)).astype(np.uint16))
-        owner.append(np.arange(lanes))
-        low = low << _U(16)
+        for g in range(0, lanes, GROUP):
+            low, span = np.zeros(min(GROUP, lanes - g), _U), np.full(min(GROUP, lanes - g), (1 << 64) - 1, _U)
+            a = b = np.zeros(len(low), np.int64)
+            for t in range(STEPS):
+                k = min(len(low), int(active[t]) - g)
+                if k <= 0:
+                    break
+                x = grid[t, g : g + k]
+                p2, q1, q2 = model.predict(a[:k], b[:k])
+                hit2 = (p2 == x) & (q2 > 0)
+                start, freq = np.zeros(k, np.int64), q2 << _BASE  # where order 2 holds
+                i = np.flatnonzero(~hit2)
+                at, known = model.find(i, x)
+                known &= q1[i] > 0
+                hit1 = np.zeros(k, bool)
+                i1, i0, j = i[known], i[~known], at[known]
+                hit1[i1] = True
+                q = q1[i1]
+                start[i1], freq[i1] = (q2[i1] << _BASE) + q * model.start1[j], q * model.freq1[j]
+                q, y = q1[i0] + q2[i0], x[i0]
+                start[i0], freq[i0] = (q << _BASE) + ((1 << _PROB) - q) * model.start[y], ((1 << _PROB) - q) * model.freq[y]
+                start, freq = start.view(_U), freq.view(_U)
+                r = span[:k] >> _U(_PROB + _BASE)
+                low[:k] += start * r
+                span[:k] = freq * r
+                for lane, word in _shift(low[:k], span[:k]):
+                    words.append(word)
+                    owner.append(lane + g)
+                model.learn(x, hit1, hit2)
+                a, b = b[:k], x
+            for _ in range(4):
+                words.append((low >> _U(48)).astype(np.uint16))
+                owner.append(np.arange(g, g + len(low)))
+                low = low << _U(16)
     own = np.concatenate(owner)
     order = np.argsort(own.astype(np.uint16) if lanes <= 1 << 16 else own, kind="stable")
     body = np.concatenate(words)[order].astype("<u2").tobytes()
@@ -194,43 +244,46 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
     sizes = np.frombuffer(data, "<u2", lanes, at).astype(np.int64)
     words = np.frombuffer(data, "<u2", size // 2, at + 2 * lanes).astype(_U)
     words = np.concatenate([words, np.zeros(8, _U)])
-    next_ = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    low, span, value = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U), np.zeros(lanes, _U)
-    for _ in range(4):
-        value = value << _U(16) | words[next_]
-        next_ += 1
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     grid = np.zeros((STEPS, lanes), np.int64)
     model = Model()
-    a = b = np.zeros(lanes, np.int64)
     with np.errstate(over="ignore"):
-        for t in range(STEPS):
-            k = int(active[t])
-            if not k:
-                break
-            p1, p2, q1, q2 = model.predict(a[:k], b[:k])
-            r = span[:k] >> _U(_PROB + _BASE)
-            v = np.minimum((value[:k] - low[:k]) // r, _U((1 << _PROB + _BASE) - 1)).astype(np.int64)
-            q12 = q1 + q2
-            q0 = (1 << _PROB) - q12
-            e = v >> _BASE
-            hit2 = e < q2
-            hit1 = (e < q12) & ~hit2
-            x = model.symbol[np.maximum(v - (q12 << _BASE), 0) // q0].astype(np.int64)
-            start = (q12 << _BASE).astype(_U) + q0.astype(_U) * model.start[x]
-            freq = q0.astype(_U) * model.freq[x]
-            for hit, p, s, f in ((hit2, p2, None, q2), (hit1, p1, q2, q1)):
-                at = np.flatnonzero(hit)
-                x[at] = p[at]
-                start[at] = 0 if s is None else s[at].astype(_U) << _U(_BASE)
-                freq[at] = f[at].astype(_U) << _U(_BASE)
-            low[:k] += start * r
-            span[:k] = freq * r
-            for lane, _ in _shift(low[:k], span[:k]):
-                value[lane] = value[lane] << _U(16) | words[next_[lane]]
-                next_[lane] += 1
-            grid[t, :k] = x
-            model.learn(x, hit1, hit2)
-            a, b = b[:k], x
+        for g in range(0, lanes, GROUP):
+            m = min(GROUP, lanes - g)
+            next_ = begin[g : g + m].copy()
+            low, span, value = np.zeros(m, _U), np.full(m, (1 << 64) - 1, _U), np.zeros(m, _U)
+            for _ in range(4):
+                value = value << _U(16) | words[next_]
+                next_ += 1
+            a = b = np.zeros(m, np.int64)
+            for t in range(STEPS):
+                k = min(m, int(active[t]) - g)
+                if k <= 0:
+                    break
+                p2, q1, q2 = model.predict(a[:k], b[:k])
+                r = span[:k] >> _U(_PROB + _BASE)
+                v = np.minimum((value[:k] - low[:k]) // r, _U((1 << _PROB + _BASE) - 1)).astype(np.int64)
+                e = v >> _BASE
+                hit2, hit1 = e < q2, (e >= q2) & (e < q1 + q2)
+                x, start, freq = p2.copy(), np.zeros(k, np.int64), q2 << _BASE
+                i = np.flatnonzero(hit1)
+                if len(i):
+                    q, before = q1[i], q2[i] << _BASE
+                    j = _search(model.place, (b[:k][i] << _BASE | (v[i] - before) // q) + 1) - 1
+                    x[i], start[i], freq[i] = model.pair[j] & 0xFFFF, before + q * model.start1[j], q * model.freq1[j]
+                i = np.flatnonzero(~(hit1 | hit2))
+                q = q1[i] + q2[i]
+                y = model.symbol[(v[i] - (q << _BASE)) // ((1 << _PROB) - q)]
+                x[i], start[i], freq[i] = y, (q << _BASE) + ((1 << _PROB) - q) * model.start[y], ((1 << _PROB) - q) * model.freq[y]
+                start, freq = start.view(_U), freq.view(_U)
+                low[:k] += start * r
+                span[:k] = freq * r
+                for lane, _ in _shift(low[:k], span[:k]):
+                    value[lane] = value[lane] << _U(16) | words[next_[lane]]
+                    next_[lane] += 1
+                grid[t, g : g + k] = x
+                model.learn(x, hit1, hit2)
+                a, b = b[:k], x
     ids = grid.T.reshape(-1)[:n].astype("<u4")
     if zlib.crc32(ids.tobytes()) != crc:
         raise ValueError("a block's ids differ from those written")

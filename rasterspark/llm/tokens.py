@@ -9,27 +9,31 @@ returned are read, so a lost or repeated task leaves nothing behind that counts.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, shared_dir, small_batches
-from .rangecoder import BLOCK, block_size, decode_block, encode_block
+from .rangecoder import BLOCK, IDS, block_size, decode_block, encode_block
 
-END = 2
+END, GATHER = 2, 32 << 20
 _TAIL = "<QQIII4s"  # start and size of the table, its crc32, documents, of these with null id, magic
 _MAGIC = b"RSTF"
-_STOP = re.compile(rb"[.,](?<=[A-Za-z].)(?=[ \n]|\Z)")  # the stop first: a search for it is fast
-_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# The vocabulary's word-end mark and its way to cut texts, which ``WordIds`` relies on.
+_WORD_END = "</w>"
+_CUTS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+#: A word of Latin letters with marks before and after it; no apostrophe, which may be cut with letters behind it.
+_SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
 _loaded: dict = {}
 
 
@@ -39,22 +43,17 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _split(text: str | None) -> list[bytes]:
-    """Words, with a full stop or comma behind letters as a word of its own: the pre-tokenizer cuts there too.
-
-    A to Z are lower-cased, as the vocabulary does, but not where a special token might come of it.
-    """
-    data = (text or "").encode("utf-8", "surrogatepass")
-    if b"<|" not in data:
-        data = data.lower()
-    return _STOP.sub(rb" \g<0>", data).split()
+def _split(texts: pa.Array) -> pa.ListArray:
+    """Words at ASCII white space. A to Z are lower-cased, as the vocabulary does, but not where a special token might come of it."""
+    texts = pc.fill_null(texts, "")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
 
 
 class WordIds:
     """Ids of whole texts by way of a bounded memory of words.
 
-    The vocabulary's pre-tokenizer never joins anything across white space, so a text's ids are those of its
-    words in turn; each new word goes to the library once, many in one call.
+    Where the vocabulary's pre-tokenizer never joins anything across white space, a text's ids are those of its words in
+    turn; each new word goes to the library once, many in one call. Any other vocabulary gets whole texts.
     """
 
     LIMIT = 1_500_000
@@ -63,42 +62,52 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ends = np.zeros(1 << 16, bool)
-        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        parts = json.loads(self.tokenizer.to_str())
+        if self.tokenizer.get_vocab_size() > IDS:
+            raise ValueError(f"ids must be below {IDS}")
+        steps = (parts["pre_tokenizer"] or {}).get("pretokenizers", [parts["pre_tokenizer"]])
+        lower = any(n["type"] == "Lowercase" for n in (parts["normalizer"] or {}).get("normalizers", [parts["normalizer"] or {"type": None}]))
+        self.by_word = lower and bool(steps) and steps[0] == _CUTS and parts["model"].get("end_of_word_suffix") == _WORD_END
+        self.ends = np.zeros(IDS, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(_WORD_END)]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.new, pending = [], []
-        self.new = pending
-
-        class Index(dict):
-            def __missing__(self, word):
-                pending.append(word)
-                n = self[word] = len(self)
-                return n
-
-        self.index = Index()
+        self.index: dict[bytes, int] = {}
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
-    def _learn(self) -> None:
-        """Ask the library for the words that are new.
+    def _learn(self, words: list[bytes]) -> None:
+        """Ask the library for words that are new.
 
-        A word of Latin letters is one pre-token, whose last id alone carries the vocabulary's word-end mark. Such
-        words go to the library many in a line and are told apart by these marks; all others go one by one.
+        A word of ASCII letters goes straight to the vocabulary's model. A simple word is cut into up to three pieces, each of
+        which ends with an id that carries the word-end mark; such words go to the library many in a line and are
+        told apart by these marks. All others go one by one.
         """
-        texts = [w.decode("utf-8", "surrogatepass") for w in self.new]
-        plain = np.array([t.isalpha() if t.isascii() else _LATIN.fullmatch(t) is not None for t in texts])
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
         start, size, flat, n = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [self.flat], len(self.flat)
-        many, alone = np.flatnonzero(plain), np.flatnonzero(~plain).tolist()
+        pieces, model = np.zeros(len(texts), np.int64), self.tokenizer.model
+        plain, ids, upto = [], [], []
+        for i, t in enumerate(texts):
+            if t.isalpha() and t.isascii():  # one piece, and nothing to normalise
+                ids += [x.id for x in model.tokenize(t.lower())]
+                plain.append(i)
+                upto.append(len(ids))
+            elif m := _SIMPLE.fullmatch(t):
+                pieces[i] = sum(map(bool, m.groups())) if m[2] else 1
+        size[plain] = np.diff(upto, prepend=0)
+        start[plain], pieces[plain] = n + np.array(upto, np.int64) - size[plain], -1
+        flat.append(np.array(ids, np.uint16))
+        n += len(ids)
+        many, alone = np.flatnonzero(pieces > 0), np.flatnonzero(pieces == 0).tolist()
         for k in range(0, len(many), 500):
             part = many[k : k + 500]
             got = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, np.uint16)
-            cut = np.flatnonzero(self.ends[got]) + 1
-            if len(cut) != len(part) or cut[-1] != len(got):
+            cut, last = np.flatnonzero(self.ends[got]) + 1, np.cumsum(pieces[part]) - 1
+            if len(cut) != last[-1] + 1 or cut[-1] != len(got):
                 alone += part.tolist()
                 continue
-            size[part] = np.diff(cut, prepend=0)
-            start[part] = n + cut - size[part]
+            size[part] = np.diff(cut[last], prepend=0)
+            start[part] = n + cut[last] - size[part]
             flat.append(got)
             n += len(got)
         for k in range(0, len(alone), 500):
@@ -109,26 +118,40 @@ class WordIds:
                 flat.append(got)
                 n += len(got)
         self.flat, self.start, self.size = np.concatenate(flat), np.concatenate([self.start, start]), np.concatenate([self.size, size])
-        self.new.clear()
 
-    def encode(self, texts: list[str | None], end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text's."""
-        if len(self.index) > self.LIMIT:
-            self._clear()
-        split = [_split(t) for t in texts]
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64)
-        if self.new:
-            self._learn()
-        size = self.size[at]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.repeat(self.start[at] - upto[:-1], size) + np.arange(upto[-1])]
-        words = np.cumsum([0, *map(len, split)])
-        counts = upto[words[1:]] - upto[words[:-1]]
+        if self.by_word:
+            ids, counts = self._encode_words(texts)
+        else:
+            got = [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(pc.fill_null(texts, "").to_pylist(), add_special_tokens=False)]
+            ids, counts = np.concatenate([np.zeros(0, np.uint16), *got]), np.array(list(map(len, got)), np.int64)
         if end is not None:
             ids = np.insert(ids, np.cumsum(counts), end)
             counts = counts + 1
         return ids, counts
 
+    def _encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.index) > self.LIMIT:
+            self._clear()
+        split = _split(texts)
+        words = split.flatten().dictionary_encode()
+        kinds = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in kinds if w not in self.index and w]
+        if new:
+            known = len(self.index)
+            self.index.update(zip(new, range(known, known + len(new))))
+            self._learn(new)
+        at = np.fromiter((self.index.get(w, -1) for w in kinds), np.int64, len(kinds))
+        # the splitter gives an empty word for white space at either end
+        size, start = (np.where(at >= 0, x[at], 0) if len(x) else np.zeros(len(at), np.int64) for x in (self.size, self.start))
+        word = np.asarray(words.indices)
+        size, start = size[word], start[word]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+        offsets = np.asarray(split.offsets)
+        return ids, upto[offsets[1:] - offsets[0]] - upto[offsets[:-1] - offsets[0]]
+
 
 def _word_ids(path: str) -> WordIds:
     if path not in _loaded:
@@ -136,6 +159,19 @@ def _word_ids(path: str) -> WordIds:
     return _loaded[path]
 
 
+def _gathered(batches):
+    """Batches put together up to some GATHER bytes of text."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= GATHER:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _writer(folder: str, vocabulary: str, block: int):
     def run(batches):
         part, codes = TaskContext.get().partitionId(), None
@@ -144,9 +180,9 @@ def _writer(folder: str, vocabulary: str, block: int):
         name = f"part-{part:06d}-{uuid.uuid4().hex}.rstf"
         ids, sizes, kept, n, at = [], [], np.zeros(0, np.uint16), 0, 0
         with fs.open_output_stream(f"{path}/{name}") as out:
-            for b in batches:
+            for b in _gathered(batches):
                 codes = codes or _word_ids(vocabulary)
-                new, counts = codes.encode(b.column(1).to_pylist())
+                new, counts = codes.encode(b.column(1))
                 ids += b.column(0).to_pylist()
                 sizes.append(counts)
                 kept = np.concatenate([kept, new])
@@ -170,8 +206,9 @@ def _writer(folder: str, vocabulary: str, block: int):
 def write(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Write all rows of ``docs``; returns the files: (part, file, n_docs, n_ids).
 
-    Null texts have the end id only; null ids come first; rows of one id go by their text. An empty table gives
-    no files. ``folder`` is a URI that executors and driver share; ``vocabulary`` is a file that all can open.
+    Null texts have the end id only, very long ones run over as many blocks as they need; null ids come first; rows of
+    one id go by their text, repeated rows are written each; extra columns are ignored. An empty table gives no files.
+    ``folder`` is a URI that executors and driver share; ``vocabulary`` is a file that all can open, of up to 65,536 ids.
     """
     spark = small_batches(docs).sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -203,6 +240,8 @@ def _reader(batches):
                     upto = np.cumsum(counts[done:])
                     k = int(np.searchsorted(upto, len(rest), "right"))
                     if not k:
+                        if at >= start:
+                            raise ValueError(f"{file} holds fewer ids than its table counts")
                         continue
                     cuts = [0, *upto[:k].tolist()]
                     crcs = [zlib.crc32(rest[s:e].tobytes()) for s, e in zip(cuts, cuts[1:])]

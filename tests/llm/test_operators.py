@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -240,8 +241,6 @@ def test_network_learns():
 
 
 def test_every_uncovered_candidate_is_asked():
-    import pyarrow as pa
-
     class Sure:
         threshold = 0.5
 
@@ -268,9 +267,42 @@ def test_token_files(docs):
 def test_words_one_by_one():
     texts = ["It's İstanbul <|endoftext|>x <|ENDOFTEXT|> ça—va ０１２ don't!! e\u0301a straße. ǅ ªº", None, "", "a.b, ... — —. x\u00a0y\x1cz", "S'T 'LL.", "it's. o'clock, I'm. ÉÀ. ß,"]
     w = tokens.WordIds(tokens.default_vocabulary())
-    ids, counts = w.encode(texts, None)
+    ids, counts = w.encode(pa.array(texts), None)
+    assert w.by_word
     want = [w.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+    w.by_word = False
+    ids, counts = w.encode(pa.array(texts), None)
+    assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+
+
+def test_other_vocabularies_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    w, texts = tokens.WordIds(path), ["Some  text, with spaces\n kept", None, "  lead"]
+    want = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids for t in texts]
+    ids, counts = w.encode(pa.array(texts), None)
+    assert not w.by_word and ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+
+
+def test_damaged_token_file(spark, docs, tmp_path):
+    import glob
+    import struct
+
+    tokens.write(docs, f"file://{tmp_path}").count()
+    file = sorted(glob.glob(f"{tmp_path}/*.rstf"))[0]
+    data = open(file, "rb").read()
+    tail = struct.calcsize(tokens._TAIL)
+    at, size, *_ = struct.unpack(tokens._TAIL, data[-tail:])
+    table = np.frombuffer(zlib.decompress(data[at : at + size]), "<i8").copy()
+    table[-1] += 1
+    table = zlib.compress(table.tobytes())
+    n, nulls, magic = struct.unpack(tokens._TAIL, data[-tail:])[3:]
+    open(file, "wb").write(data[:at] + table + struct.pack(tokens._TAIL, at, len(table), zlib.crc32(table), n, nulls, magic))
+    with pytest.raises(Exception, match="fewer ids"):
+        list(tokens._reader([pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "file": [f"file://{file}"]})]))
 
 
 @pytest.mark.parametrize("ids", [[0], [65535] * 700, list(range(5)) * 300, "random", "skewed"])
@@ -283,6 +315,17 @@ def test_range_coder(ids):
         rangecoder.decode_block(data[:-1] + bytes([data[-1] ^ 1]))
 
 
+def test_coder_learns_what_follows():
+    rng = np.random.default_rng(6)
+    follow = rng.integers(0, 40_000, (500, 6))  # each id is followed by one of six
+    x, at = [], 0
+    for pick in rng.integers(0, 6, 300_000):
+        x.append(at)
+        at = int(follow[at % 500, pick])
+    x = np.array(x, np.uint16)
+    assert 8 * len(rangecoder.encode(x)) / len(x) < 5 and len(rangecoder.encode(x)) < len(zlib.compress(x.tobytes(), 9))
+
+
 def test_urls(spark, pages):
     got = {r.page_id: r for r in urlfilter.judge(pages, bits_per_url=1).collect()}
     for r in pages.collect():
