@@ -41,9 +41,9 @@ def floor_guard(p95: Column, n: Column) -> Column:
     return F.when((n > 0) & (p95 < FLOOR_C), None).otherwise(p95)
 
 
-def gap_drop(p95: Column, in_gap: Column) -> Column:
-    """Values of HOT_C or more in a gap are missing."""
-    return F.when(in_gap & (p95 >= HOT_C), None).otherwise(p95)
+def gap_drop(p95: Column, in_gap: Column, hot: float = HOT_C) -> Column:
+    """Values of ``hot`` degrees or more in a gap are missing."""
+    return F.when(in_gap & (p95 >= hot), None).otherwise(p95)
 
 
 def threshold_dn(t: float, scale: float = PACK_SCALE, offset: float = PACK_OFFSET) -> int:

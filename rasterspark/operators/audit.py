@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .masks import dilate, flag_gap
-from .normalize import require_empty
+from .normalize import PIXEL, require_empty
 
 
 def cross_tab(pixels: DataFrame) -> DataFrame:
@@ -64,10 +64,22 @@ def gap_table(cells: DataFrame, expected: DataFrame) -> tuple[DataFrame, DataFra
     return cells.where("numobs = 0"), manifest
 
 
-def content_hash(df: DataFrame) -> DataFrame:
-    """(rows, hash) whatever the order of rows and partitions."""
-    h = F.xxhash64(*sorted(df.columns))
-    return df.agg(F.count("*").alias("rows"), F.sum(F.pmod(h, F.lit(1 << 40))).alias("hash"))
+def content_hash(gaps: DataFrame, consumed: DataFrame, absent: DataFrame, product: str, inventory: dict | None = None) -> DataFrame:
+    """(hash): sha256 of a gap table's content, whatever the order of rows and files.
+
+    ``gaps(row, col)`` are hashed per 1-degree granule, at most 10,000 cells each, then the granules' hashes, at most one per
+    1-degree cell of the globe, with product, ``consumed(granule, sha256)``, ``absent(granule)`` and the inventory's identity.
+    Not byte-equal to a hash of one sorted list of cells, which one task would have to hold.
+    """
+    cells = gaps.groupBy(F.floor(F.col("row") / 100).alias("gr"), F.floor(F.col("col") / 100).alias("gc")).agg(F.array_sort(F.collect_list(F.struct("row", "col"))).alias("cells"))
+    text = F.array_join(F.transform("cells", lambda c: F.concat_ws(" ", c["row"], c["col"])), "\n")
+    lines = cells.select(F.concat_ws(" ", F.lit("gaps"), "gr", "gc", F.sha2(text, 256)).alias("line"))
+    lines = lines.union(consumed.select(F.concat_ws(" ", F.lit("consumed"), "granule", "sha256"))).union(absent.select(F.concat_ws(" ", F.lit("absent-upstream"), "granule")))
+    known = {k: (inventory or {}).get(k, "") for k in ("short_name", "version", "queried_at", "granule_count")}
+    known["granule_count"] = known["granule_count"] or 0
+    head = "\n".join([f"product {product}", *[f"inventory {k}={v}" for k, v in known.items()]])
+    body = F.array_join(F.array_sort(F.collect_list("line")), "\n")
+    return lines.agg(F.sha2(F.concat_ws("\n", F.lit(head), body), 256).alias("hash"))
 
 
 def granule_cell(points: Column) -> tuple[Column, Column]:
@@ -124,21 +136,29 @@ def cells_of_class(points: DataFrame, classes: tuple) -> DataFrame:
 def validate(predicted: DataFrame, observed: DataFrame, land: DataFrame) -> DataFrame:
     """C20: hits, misses and false alarms of predicted gaps over land."""
     a, b = predicted.withColumn("p", F.lit(True)), observed.withColumn("o", F.lit(True))
-    j = a.join(b, ["y", "x"], "full").join(land, ["y", "x"], "left_semi")
+    j = a.join(b, PIXEL, "full").join(land, PIXEL, "left_semi")
     p, o = F.coalesce("p", F.lit(False)), F.coalesce("o", F.lit(False))
     return j.agg(F.count_if(p & o).alias("hits"), F.count_if(~p & o).alias("misses"), F.count_if(p & ~o).alias("false_alarms"))
 
 
-def classify_absent(missing: DataFrame, domain: DataFrame, inventory: DataFrame, core: DataFrame) -> DataFrame:
-    """(granule, label) by what is known of a granule that isn't there."""
+# What is known of a granule that isn't there.
+ABSENT_UPSTREAM, ABSENT_UNVERIFIED = "absent-upstream", "absent-unverified-upstream"
+ABSENT_OUTSIDE, ABSENT_WITHIN = "absent-outside-fetch-domain", "absent-within-fetch-domain"
+
+
+def classify_absent(missing: DataFrame, inventory: DataFrame | None = None, domain: DataFrame | None = None) -> DataFrame:
+    """(granule, label): not in the upstream inventory; else unverified without a fetch domain; else within or outside it."""
     flag = lambda d, c: d.select("granule").distinct().withColumn(c, F.lit(True))
-    j = missing.join(flag(domain, "d"), "granule", "left").join(flag(inventory, "i"), "granule", "left").join(flag(core, "c"), "granule", "left")
-    label = F.when(F.col("d").isNull(), "outside").when(F.col("i") & F.col("c"), "fetchable_core").when(F.col("i"), "fetchable_margin").when(F.col("c"), "absent_core").otherwise("absent_margin")
+    j, label = missing, F.lit(ABSENT_UNVERIFIED)
+    if domain is not None:
+        j, label = j.join(flag(domain, "_d"), "granule", "left"), F.when(F.col("_d"), ABSENT_WITHIN).otherwise(ABSENT_OUTSIDE)
+    if inventory is not None:
+        j, label = j.join(flag(inventory, "_i"), "granule", "left"), F.when(F.col("_i").isNull(), ABSENT_UPSTREAM).otherwise(label)
     return j.select("granule", label.alias("label"))
 
 
 def coverage_report(expected: DataFrame, present: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Counts of expected, missing, extra, core-missing, absent upstream and fetchable granules, tiles affected, names as a sample.
+    """Counts of expected, missing, extra, core-missing, absent upstream and fetchable granules, tiles that a fetchable one (or a core one) concerns, 25 names as a sample.
 
     ``expected(tile, granule, core)``.
     """
@@ -146,18 +166,25 @@ def coverage_report(expected: DataFrame, present: DataFrame, inventory: DataFram
     missing = g.join(present.select("granule").distinct(), "granule", "left_anti")
     extra = present.select("granule").distinct().exceptAll(g.select("granule"))
     fetchable = missing.select("granule").intersect(inventory.select("granule"))
-    tiles = expected.join(missing.select("granule"), "granule", "left_semi").select("tile").distinct()
-    counts = [(g, "expected"), (missing, "missing"), (extra, "extra"), (missing.where("core"), "missing_core"), (missing.select("granule").subtract(inventory.select("granule")), "absent_upstream"), (fetchable, "fetchable"), (tiles, "tiles_affected")]
-    out = missing.agg(F.array_join(F.slice(F.array_sort(F.collect_set("granule")), 1, 25), ",").alias("sample")).withColumn("k", F.lit(1))
+    touched = expected.join(fetchable, "granule", "left_semi")
+    tiles, core_tiles = (t.select("tile").distinct() for t in (touched, touched.where("core")))
+    counts = [(g, "expected"), (missing, "missing"), (extra, "extra"), (missing.where("core"), "missing_core"), (missing.select("granule").subtract(inventory.select("granule")), "absent_upstream"), (fetchable, "fetchable"), (tiles, "tiles_affected"), (core_tiles, "core_tiles_affected")]
+    first = missing.select("granule").orderBy("granule").limit(25)
+    out = first.agg(F.array_join(F.array_sort(F.collect_list("granule")), ",").alias("sample")).withColumn("k", F.lit(1))
     for df, name in counts:
         out = out.join(df.agg(F.count("*").alias(name)).withColumn("k", F.lit(1)), "k")
     return out.drop("k")
 
 
 def check_inventory(inventory: DataFrame, product: str, version: str, hits: int) -> DataFrame:
-    """(n, names_sha256) of an upstream listing; another product or version, doubled names and another count are errors."""
+    """(n, names_sha256) of an upstream listing; another product or version, doubled names and another count are errors.
+
+    Names are hashed in blocks, 4,096 of them by the first digits of each name's sha256, and the blocks' hashes in order after that, so that
+    no task holds all names; not byte-equal to a hash of one sorted list.
+    """
     require_empty(inventory.where((F.col("product") != product) | (F.col("version") != version)), "another product or version")
     require_empty(inventory.groupBy("granule").count().where("count > 1"), "a name is doubled")
-    out = inventory.agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("granule")), "\n"), 256).alias("names_sha256"))
+    block = inventory.groupBy(F.substring(F.sha2("granule", 256), 1, 3).alias("block")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("granule")), "\n"), 256).alias("sha"))
+    out = block.agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "sha"))), lambda b: b["sha"]), "\n"), 256).alias("names_sha256"))
     require_empty(out.where(F.col("n") != hits), f"upstream reports {hits}")
     return out

@@ -18,7 +18,7 @@ def from_quarters(v4: Column) -> Column:
 
 
 def composite(values: DataFrame, q: float = 0.95) -> DataFrame:
-    """(y, x, lst, n, m1 ... m12): one grouping; months without observations count 0."""
+    """(tile, y, x, lst, n, m1 ... m12): one grouping; months without observations count 0."""
     month = F.month("scene_ts")
     aggs = [F.percentile("v4", F.lit(q)).alias("v"), F.count("*").alias("n"), *[F.count_if(month == m).alias(f"m{m}") for m in MONTHS]]
     out = values.groupBy(*PIXEL).agg(*aggs)
@@ -31,9 +31,9 @@ def percentiles(values: DataFrame, qs: tuple = (0.5, 0.75, 0.9, 0.95)) -> DataFr
     return p.select(*PIXEL, *[from_quarters(F.col("p")[i]).alias(f"p{round(q * 100):02d}") for i, q in enumerate(qs)])
 
 
-def write_composite(comp: DataFrame, path: str, window: str, tile: str) -> None:
-    """A10: packed values and counts, a partition per window and tile."""
-    rows = comp.withColumn("lst_dn", encode(F.col("lst"))).drop("lst").withColumns({"window": F.lit(window), "tile": F.lit(tile)})
+def write_composite(comp: DataFrame, path: str, window: str) -> None:
+    """A10: packed values and counts, a partition per window and tile; writing again replaces the tiles that ``comp`` has."""
+    rows = comp.withColumn("lst_dn", encode(F.col("lst"))).drop("lst").withColumn("window", F.lit(window))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window", "tile").parquet(path)
 
 
@@ -70,8 +70,8 @@ def plausibility(values: DataFrame) -> DataFrame:
 
 def overview(level: DataFrame, value: str = "lst_dn", count: str = "n") -> DataFrame:
     """The next pyramid level on the global grid: mean of valid values, mean of counts with zeros."""
-    block = [F.floor(F.col(c) / 2).cast("long").alias(c) for c in PIXEL]
-    return level.groupBy(*block).agg(F.coalesce(F.avg(F.nullif(F.col(value), F.lit(0))), F.lit(0.0)).alias(value), F.avg(count).alias(count))
+    block = [F.floor(F.col(c) / 2).cast("long").alias(c) for c in ("y", "x")]
+    return level.groupBy("tile", *block).agg(F.coalesce(F.avg(F.nullif(F.col(value), F.lit(0))), F.lit(0.0)).alias(value), F.avg(count).alias(count))
 
 
 def pyramid_health(native: DataFrame, level: DataFrame, count: str = "n") -> DataFrame:
@@ -84,7 +84,7 @@ def pyramid_health(native: DataFrame, level: DataFrame, count: str = "n") -> Dat
 def preview(comp: DataFrame, step: int = 4) -> DataFrame:
     """The centre pixel of each block, decoded."""
     at = comp.where((F.col("y") % step == step // 2) & (F.col("x") % step == step // 2))
-    return at.select(*[F.floor(F.col(c) / step).cast("long").alias(c) for c in PIXEL], decode(F.col("lst_dn")).alias("lst"))
+    return at.select("tile", *[F.floor(F.col(c) / step).cast("long").alias(c) for c in ("y", "x")], decode(F.col("lst_dn")).alias("lst"))
 
 
 def merge_bands(bands: list[DataFrame], height: int) -> DataFrame:
@@ -110,7 +110,7 @@ def scene_days(dn: DataFrame) -> DataFrame:
 
 def class_counts(dn: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, month, mean_pixels): valid pixels of a scene by class, averaged over the month's scenes."""
-    per = dn.join(classes, PIXEL).groupBy("scene_ts", "class").agg(F.count("*").alias("pixels"))
+    per = dn.join(classes, PIXEL).groupBy("tile", "scene_ts", "class").agg(F.count("*").alias("pixels"))
     return per.groupBy("class", F.month("scene_ts").alias("month")).agg(F.avg("pixels").alias("mean_pixels"))
 
 
@@ -134,4 +134,4 @@ def window_metrics(comp: DataFrame, land: DataFrame) -> DataFrame:
 
 def striping(comp: DataFrame) -> DataFrame:
     """Spread of the columns' mean counts over their mean."""
-    return comp.groupBy("x").agg(F.avg("n").alias("c")).agg((F.stddev_pop("c") / F.avg("c")).alias("striping"))
+    return comp.groupBy("tile", "x").agg(F.avg("n").alias("c")).agg((F.stddev_pop("c") / F.avg("c")).alias("striping"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quality import gap_drop
+from ..params import HOT_C
 from .normalize import PIXEL
 
 
@@ -38,9 +39,9 @@ def flag_gap(pixels: DataFrame, gap_cells: DataFrame) -> DataFrame:
     return pixels.join(gap_cells.select("row", "col").distinct().withColumn("in_gap", F.lit(True)), ["row", "col"], "left").withColumn("in_gap", F.coalesce("in_gap", F.lit(False)))
 
 
-def mask_gaps(comp: DataFrame) -> DataFrame:
-    """Hot values in gaps go; counts stay."""
-    return comp.withColumn("lst", gap_drop(F.col("lst"), F.col("in_gap")))
+def mask_gaps(comp: DataFrame, hot: float = HOT_C) -> DataFrame:
+    """Values of ``hot`` degrees or more in gaps go; counts stay."""
+    return comp.withColumn("lst", gap_drop(F.col("lst"), F.col("in_gap"), hot))
 
 
 def block_weights(blocks: DataFrame, footprints: DataFrame, bucket: float = 10.0) -> DataFrame:

@@ -7,8 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUN_STATE = T.StructType([T.StructField("phase", T.StringType()), T.StructField("updated_at", T.TimestampType()), T.StructField("phase_seconds", T.MapType(T.StringType(), T.DoubleType())), T.StructField("rss_series", T.ArrayType(T.ArrayType(T.DoubleType())))])
-# Price bands relative to the on-demand rate.
+# Price bands relative to the on-demand rate; classes of task keys, in lower case with dashes, whole or by how they begin.
 SPOT_BAND, UNKNOWN_BAND = (0.30, 0.75), (0.30, 1.0)
+READ_KEYS, READ_STARTS = ("keixel", "lwir11", "qa-pixel", "open", "cfg", "grid"), ("open-", "cfg-", "grid-")
+COMPUTE_KEYS, COMPUTE_STARTS = ("sub",), ("getitem-stack-", "where", "astype", "invert", "custom-nanquantile", "nanquantile-last", "getitem-sum-", "stack", "sum")
+RECHUNK_KEYS, RECHUNK_STARTS = ("transpose", "getitem"), ("rechunk", "shuffle-")
+STORE_KEYS, STORE_STARTS = (), ("store",)
+# Scenes of a five-year window by latitude; terminal phases; a tile's byte model: MB/s, minutes, USD an hour.
+SCENES_BY_LATITUDE = ((2.5, 3899), (37.5, 2758), (57.5, 3802))
+TERMINAL = {"done": "done", "failed": "failed", "skipped": "done"}
+OFFSET_RATE, COMPOSITE_RATE, OFFSET_MINUTES, COMPOSITE_MINUTES, VM_HOUR = 140.0, 45.5, 15.0, 38.0, 0.504
+OUTPUT_GB_PER_TILE, USD_PER_GB_MONTH = 1.5, 0.023
+STALE_S, RATE_WINDOW = 120.0, 5
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:
@@ -37,26 +47,45 @@ def rate_band(rate: Column, lifecycle: Column) -> Column:
 
 
 def prefix_class(prefix: Column) -> Column:
-    """The first of these that fits."""
-    return F.when(prefix.rlike("read|open|load|view"), "read").when(prefix.rlike("rechunk|merge"), "rechunk").when(prefix.rlike("store|write|purchase"), "store").when(prefix.rlike("median|quantile|click|signup"), "compute").otherwise("other")
+    """Read, compute, rechunk or store, the first that fits; else other."""
+    key = F.regexp_replace(F.lower(prefix), "_", "-")
+    out = F.lit("other")
+    for name, keys, starts in (("store", STORE_KEYS, STORE_STARTS), ("rechunk", RECHUNK_KEYS, RECHUNK_STARTS), ("compute", COMPUTE_KEYS, COMPUTE_STARTS), ("read", READ_KEYS, READ_STARTS)):
+        out = F.when(key.isin(*keys) | key.rlike("^(" + "|".join(starts) + ")"), name).otherwise(out)
+    return out
 
 
 def scenes_for(lat: Column) -> Column:
-    """Scenes over a window by latitude: linear from 2500 at the equator to 1000 at 60 degrees, clamped."""
-    return F.bround(2500 - F.least(F.abs(lat), F.lit(60)) * 25).cast("int")
-
-
-def tile_bytes(tiles: DataFrame, side: int = 18000, factor: int = 2) -> DataFrame:
-    """Bytes of the coarse and native pass of ``tiles(name, scenes, land)``, hours at a read rate, cost at a price."""
-    native = F.col("scenes") * F.col("land") * float(side * side * 4)
-    coarse = F.col("scenes") * float(side * side * 4) / (factor * factor)
-    hours = coarse / 140e6 / 3600 + native / 45.5e6 / 3600
-    return tiles.select("name", coarse.alias("coarse_bytes"), native.alias("native_bytes"), hours.alias("hours"))
-
-
-def category(phase: Column, settled: Column, age_s: Column, stale_s: float = 900.0) -> Column:
-    """B40."""
-    return F.when(settled, "settled").when(phase == "error", "failed").when(age_s > stale_s, "stale").otherwise("running")
+    """Scenes by latitude: linear between measured latitudes, halves to even, constant outside them."""
+    at = F.abs(lat).cast("double")
+    out = F.lit(SCENES_BY_LATITUDE[-1][1])
+    for (a, low), (b, high) in reversed(list(zip(SCENES_BY_LATITUDE, SCENES_BY_LATITUDE[1:]))):
+        out = F.when(at <= b, F.bround(low + (at - a) / (b - a) * (high - low)).cast("int")).otherwise(out)
+    return F.when(at <= SCENES_BY_LATITUDE[0][0], SCENES_BY_LATITUDE[0][1]).otherwise(out)
+
+
+def tile_bytes(tiles: DataFrame, side: int = 18000, factor: int = 2, offset_rate: float = OFFSET_RATE, composite_rate: float = COMPOSITE_RATE) -> DataFrame:
+    """The byte model of ``tiles(name, scenes, land)``: passes in GB, hours on one machine, machines within the budgets, cost.
+
+    Both bands of two bytes; land saves the first of two coarse passes, the native pass reads all.
+    """
+    coarse = F.col("scenes") * float((side // factor) ** 2 * 4)
+    native = F.col("scenes") * float(side * side * 4)
+    hours = {"offset_hours": coarse * (F.col("land") + 1) / (offset_rate * 1e6) / 3600, "composite_hours": native / (composite_rate * 1e6) / 3600}
+    both, cost = F.col("offset_hours") + F.col("composite_hours"), (F.col("offset_hours") + F.col("composite_hours")) * VM_HOUR
+    return tiles.withColumns(hours).select(
+        "name", (coarse / 1e9).alias("coarse_gb"), (native / 1e9).alias("native_gb"), "offset_hours", "composite_hours", both.alias("vm_hours"),
+        (F.col("offset_hours") * 60 / OFFSET_MINUTES).alias("offset_vms"), (F.col("composite_hours") * 60 / COMPOSITE_MINUTES).alias("composite_vms"), (both <= 1).alias("within_hour"),
+        cost.alias("cost"), (cost * SPOT_BAND[0]).alias("spot_low"), (cost * SPOT_BAND[1]).alias("spot_high"),
+    )
+
+
+def category(phase: Column, settled: Column, age_s: Column, stale_s: float = STALE_S) -> Column:
+    """Terminal phases first, then what the listing settled, then silence; an unknown age is stale."""
+    out = F.when(settled, "done").when(age_s.isNull() | (age_s > stale_s), "stale").otherwise("running")
+    for name, shown in TERMINAL.items():
+        out = F.when(phase == name, shown).otherwise(out)
+    return out
 
 
 def skip_done(jobs: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,10 +94,10 @@ def skip_done(jobs: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_price(machines: DataFrame, prices: DataFrame, default_type) -> DataFrame:
-    """C17: hourly price: that of the type, else of the default type, with where it is from; null where there is none."""
-    fallback = prices.where(F.col("type") == default_type).select(F.lit(1).alias("_k"), F.col("hourly").alias("_default"))
-    j = machines.join(prices, "type", "left").withColumn("_k", F.lit(1)).join(fallback, "_k", "left").drop("_k")
-    origin = F.when(F.col("hourly").isNotNull(), "exact").when(F.col("_default").isNotNull(), "default").otherwise("none")
+    """C17: hourly price of ``machines(region, type)``: the published one, else the region's for the default type (assumed), else none."""
+    fallback = prices.where(F.col("type") == default_type).select("region", F.col("hourly").alias("_default"))
+    j = machines.join(prices, ["region", "type"], "left").join(fallback, "region", "left")
+    origin = F.when(F.col("hourly").isNotNull(), "published").when(F.col("_default").isNotNull(), "assumed").otherwise("none")
     return j.withColumn("provenance", origin).withColumn("hourly", F.coalesce("hourly", "_default")).drop("_default")
 
 
@@ -110,10 +139,10 @@ def outcome(tiles: DataFrame, listing: DataFrame, states: DataFrame) -> DataFram
 def fleet_cost(rows: DataFrame, all_tiles: int) -> DataFrame:
     """Cost of ``rows(tile, seconds, hourly, provenance)``, its mean per tile and that for all tiles; the weakest provenance counts; nulls without rows."""
     cost = billed_seconds(F.col("seconds")) / 3600 * F.col("hourly")
-    weak = F.when(F.col("provenance") == "exact", 0).when(F.col("provenance") == "default", 1).otherwise(2)
+    weak = F.when(F.col("provenance") == "published", 0).when(F.col("provenance") == "assumed", 1).otherwise(2)
     per = rows.groupBy("tile").agg(F.sum(cost).alias("cost"), F.max(weak).alias("weak"))
     a = per.agg(F.count("*").alias("tiles"), F.sum("cost").alias("cost"), F.avg("cost").alias("mean"), F.max("weak").alias("weak"))
-    return a.select("tiles", "cost", "mean", (F.col("mean") * all_tiles).alias("all_tiles"), F.element_at(F.array(F.lit("exact"), F.lit("default"), F.lit("none")), F.col("weak") + 1).alias("provenance"))
+    return a.select("tiles", "cost", "mean", (F.col("mean") * all_tiles).alias("all_tiles"), F.element_at(F.array(F.lit("published"), F.lit("assumed"), F.lit("none")), F.col("weak") + 1).alias("provenance"))
 
 
 def task_summary(tasks: DataFrame) -> DataFrame:
@@ -141,11 +170,10 @@ def phase_stats(states: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by, "phase").agg(F.min("seconds").alias("min"), F.median("seconds").alias("median"), F.max("seconds").alias("max"))
 
 
-def wave_envelope(clusters: DataFrame) -> DataFrame:
-    """(wave, workers, span, billed, useful, idle) of ``clusters(wave, lifetimes array<double>, boot, useful)``."""
-    e = clusters.select("wave", "boot", "useful", F.explode("lifetimes").alias("life"))
+def wave_envelope(workers: DataFrame) -> DataFrame:
+    """(wave, workers, span, billed, useful, idle) of ``workers(wave, life, boot, useful)``, a row per worker."""
     billed, work = billed_seconds(F.col("life")), F.least("life", F.col("boot") + F.col("useful"))
-    return e.groupBy("wave").agg(F.count("*").alias("workers"), F.max("life").alias("span"), F.sum(billed).alias("billed"), F.sum(F.greatest(work - F.col("boot"), F.lit(0.0))).alias("useful"), F.sum(F.greatest(billed - work, F.lit(0.0))).alias("idle"))
+    return workers.groupBy("wave").agg(F.count("*").alias("workers"), F.max("life").alias("span"), F.sum(billed).alias("billed"), F.sum(F.greatest(work - F.col("boot"), F.lit(0.0))).alias("useful"), F.sum(F.greatest(billed - work, F.lit(0.0))).alias("idle"))
 
 
 def cost_layers(stages: DataFrame, equivalents: float) -> DataFrame:
@@ -161,11 +189,15 @@ def tile_equivalents(tiles: DataFrame, reference: str) -> DataFrame:
     return a.select((F.col("w") / F.col("rw")).alias("by_work"), (F.col("s") / F.col("rs")).alias("by_scenes"))
 
 
-def project(equivalents: float, cost: float, scenarios: DataFrame) -> DataFrame:
-    """Cost interval of ``scenarios(name, lifecycle, retry, contingency)``."""
-    band = rate_band(F.lit(equivalents * cost), F.col("lifecycle"))
+def project(compute: float, provisioning: float, tiles: int, scenarios: DataFrame) -> DataFrame:
+    """On-demand and spot cost intervals of ``scenarios(name, capture_low, capture_high, retry, contingency)``.
+
+    Capture is the share of the provisioning that consolidation removes: the highest cost has the least of it.
+    """
     up = (1 + F.col("retry")) * (1 + F.col("contingency"))
-    return scenarios.select("name", F.struct((band["low"] * up).alias("low"), (band["high"] * up).alias("high")).alias("cost")).select("name", "cost.low", "cost.high")
+    storage = OUTPUT_GB_PER_TILE * tiles * USD_PER_GB_MONTH
+    j = scenarios.withColumns({"low": (compute + provisioning * (1 - F.col("capture_high"))) * up, "high": (compute + provisioning * (1 - F.col("capture_low"))) * up})
+    return j.select("name", "low", "high", (F.col("low") * SPOT_BAND[0] + storage).alias("spot_low"), (F.col("high") * SPOT_BAND[1] + storage).alias("spot_high"))
 
 
 def scenes_per_tile(scenes: DataFrame) -> DataFrame:
@@ -189,15 +221,31 @@ def peak_resident(events: DataFrame) -> DataFrame:
 
 
 def epochs(beats: DataFrame) -> DataFrame:
-    """Runs of beats of one attempt; (tile, epoch, beats, rate1, rate5) of each tile's last, rates per second over the last one and five steps."""
+    """The epoch a tile is in, by its beats ``(tile, updated_at, event_id, seq, done, total)``: the newest beats of one graph whose tasks done never fell.
+
+    (tile, beats, rate, rate5, eta_s): tasks a second over the last step and over up to five beats, and the seconds left by the
+    latter; null where time stood still or nothing was done.
+    """
     w = Window.partitionBy("tile").orderBy("updated_at", "event_id")
-    change = F.when(F.col("attempt") == F.lag("attempt").over(w), 0).otherwise(1)
-    e = beats.withColumn("_c", change).withColumn("epoch", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    in_ = Window.partitionBy("tile", "epoch").orderBy("updated_at", "event_id")
-    rate = lambda k: (F.col("rss") - F.lag("rss", k).over(in_)) / F.nullif((F.unix_micros("updated_at") - F.unix_micros(F.lag("updated_at", k).over(in_))) / 1e6, F.lit(0.0))
-    e = e.withColumns({"rate1": rate(1), "rate5": rate(4), "beats": F.row_number().over(in_)})
-    order = F.struct("epoch", "beats")
-    return e.groupBy("tile").agg(F.max_by(F.struct("epoch", "beats", "rate1", "rate5"), order).alias("s")).select("tile", "s.*")
+    same = (F.col("seq") == F.lag("seq").over(w)) & (F.col("done") >= F.lag("done").over(w))
+    e = beats.withColumn("_new", F.when(same, 0).otherwise(1)).withColumn("_epoch", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    in_ = Window.partitionBy("tile", "_epoch").orderBy("updated_at", "event_id")
+    e = e.withColumn("beats", F.row_number().over(in_))
+    last5 = in_.rowsBetween(1 - RATE_WINDOW, 0)
+    e = e.withColumns({"rate": per_second(F.lag("done").over(in_), F.lag("updated_at").over(in_)), "rate5": per_second(F.first("done").over(last5), F.first("updated_at").over(last5))})
+    newest_ = e.groupBy("tile").agg(F.max_by(F.struct("beats", "rate", "rate5", "done", "total"), F.struct("_epoch", "beats")).alias("s"))
+    return newest_.select("tile", "s.beats", "s.rate", "s.rate5", eta(F.col("s.total"), F.col("s.done"), F.col("s.rate5")).alias("eta_s"))
+
+
+def per_second(done: Column, at: Column) -> Column:
+    """Tasks a second since an older beat; a count that fell is 0, no time between is null."""
+    seconds = (F.unix_micros("updated_at") - F.unix_micros(at)) / 1e6
+    return F.when(seconds > 0, F.greatest(F.col("done") - done, F.lit(0)) / seconds)
+
+
+def eta(total: Column, done: Column, rate: Column) -> Column:
+    """Seconds left; null without progress."""
+    return F.when(rate > 0, F.greatest(total - done, F.lit(0)) / rate)
 
 
 def sample_gaps(beats: DataFrame, limit_s: float = 2.0) -> DataFrame:

@@ -58,11 +58,11 @@ def cloud_correlation(table: DataFrame, cover: DataFrame, pixels: int) -> DataFr
 
 def thinned(dn: DataFrame, factors: tuple, params: Params = Params()) -> DataFrame:
     """Offsets from every f-th month only, against the full ones: deltas and changed decisions of shared scenes."""
-    full = n.offsets(n.anomalies(dn, n.climatology(dn)), params).select("scene_ts", F.col("offset_c").alias("o"), F.col("keep").alias("k"))
+    full = n.offsets(n.anomalies(dn, n.climatology(dn)), params).select(*n.SCENE, F.col("offset_c").alias("o"), F.col("keep").alias("k"))
     out = None
     for f in factors:
         part = dn.where((F.year("scene_ts") * 12 + F.month("scene_ts")) % f == 0)
-        t = n.offsets(n.anomalies(part, n.climatology(part)), params).join(full, "scene_ts")
+        t = n.offsets(n.anomalies(part, n.climatology(part)), params).join(full, n.SCENE)
         d = F.abs(F.col("offset_c") - F.col("o"))
         row = t.agg(F.lit(f).alias("f"), F.count("*").alias("scenes"), F.median(d).alias("median_delta"), F.max(d).alias("max_delta"), F.count_if(F.col("keep") != F.col("k")).alias("flips"))
         out = row if out is None else out.unionByName(row)
@@ -72,16 +72,40 @@ def thinned(dn: DataFrame, factors: tuple, params: Params = Params()) -> DataFra
 def coarse_table(obs: DataFrame, params: Params = Params()) -> DataFrame:
     """A7, then B1-B6 and D1-D4 on the coarse grid, mean counts rounded to integers."""
     coarse = n.coarsen(obs, params.factor).withColumn("lwir11", F.round("lwir11").cast("long"))
-    dn = n.stack(coarse, ("lwir11",))
-    return n.offsets(n.anomalies(dn, n.climatology(dn)), params)
-
-
-def compare_offsets(a: DataFrame, b: DataFrame, params: Params = Params()) -> DataFrame:
-    """B against a by scene, with a verdict."""
-    j = a.select("scene_ts", F.col("offset_c").alias("a"), F.col("keep").alias("ka")).join(b.select("scene_ts", F.col("offset_c").alias("b"), F.col("keep").alias("kb")), "scene_ts")
-    d = F.col("b") - F.col("a")
-    out = j.agg(F.count("*").alias("scenes"), F.median(F.abs(d)).alias("median_abs"), F.percentile(F.abs(d), F.lit(0.99)).alias("p99_abs"), F.max(F.abs(d)).alias("max_abs"), F.avg(d).alias("bias"), F.corr("a", "b").alias("corr"), F.regr_slope("b", "a").alias("slope"), F.count_if(F.col("ka") != F.col("kb")).alias("flips"))
-    return out.withColumn("accepted", (F.col("p99_abs") <= 0.1) & (F.col("flips") == 0))
+    dn = n.stack(coarse.withColumn("rank", F.lit(0).cast("long")))
+    return n.offsets(n.anomalies(dn, n.climatology(dn)), params.on_grid(params.factor))
+
+
+# How far a coarse estimate of the offsets may be off.
+ACCEPT = {"median_abs": 0.05, "p99_abs": 0.25, "max_abs": 0.5, "bias": 0.05, "flip_frac": 0.01, "flip_margin": 1.0}
+# Scenes of a production tile, least spread of peaks that says anything, memory of a machine (GiB), growth of a leak.
+PRODUCTION_SCENES, PEAK_SPREAD, VM_GIB, LEAK_GROWTH = 2930, 1.2, 64.0, 1.5
+
+
+def compare_offsets(native: DataFrame, coarse: DataFrame, floor: int, coarse_floor: int, cap: float = 15.0) -> DataFrame:
+    """Coarse offsets against native ones, with a verdict.
+
+    Scenes either side would call too sparse count as sparse_flips where the sides differ and for nothing else; of the
+    others those that one side keeps and the other doesn't are flips, with the largest distance of a native offset from the cap;
+    the rest are compared. Zeros where there is nothing to compare.
+    """
+    j = native.select(*n.SCENE, F.col("offset_c").alias("a"), F.col("n_valid").alias("na")).join(coarse.select(*n.SCENE, F.col("offset_c").alias("b"), F.col("n_valid").alias("nb")), n.SCENE)
+    ok_a, ok_b = F.col("na") >= floor, F.col("nb") >= coarse_floor
+    keep_a, keep_b = F.abs("a") <= cap, F.abs("b") <= cap
+    j = j.withColumns({"fit": ok_a & ok_b & F.col("a").isNotNull() & F.col("b").isNotNull(), "sparse": ok_a != ok_b})
+    j = j.withColumns({"flip": F.col("fit") & (keep_a != keep_b), "scored": F.col("fit") & keep_a & keep_b})
+    at = lambda c: F.when(F.col("scored"), c)
+    d, zero = at(F.col("b") - F.col("a")), F.lit(0.0)
+    scored = F.count_if("scored")
+    out = j.agg(
+        scored.alias("scored"), F.coalesce(F.median(F.abs(d)), zero).alias("median_abs"), F.coalesce(F.percentile(F.abs(d), F.lit(0.99)), zero).alias("p99_abs"), F.coalesce(F.max(F.abs(d)), zero).alias("max_abs"), F.coalesce(F.median(d), zero).alias("bias"),
+        F.when(scored > 2, F.corr(at(F.col("a")), at(F.col("b")))).otherwise(zero).alias("corr"), F.when(scored > 2, F.regr_slope(at(F.col("b")), at(F.col("a")))).otherwise(zero).alias("slope"),
+        F.count_if("fit").alias("admissible"), F.count_if("flip").alias("flips"), F.coalesce(F.max(F.when(F.col("flip"), F.abs(F.abs("a") - cap))), zero).alias("flip_margin"), F.count_if("sparse").alias("sparse_flips"),
+    ).withColumn("flip_frac", F.col("flips") / F.greatest("admissible", F.lit(1)))
+    accepted = F.lit(True)
+    for name, most in ACCEPT.items():
+        accepted &= F.abs(name) <= most
+    return out.withColumn("accepted", accepted)
 
 
 def compare_composites(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
@@ -92,11 +116,35 @@ def compare_composites(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
 
 
 def window_comparison(values: DataFrame, land: DataFrame, last: int, years: tuple) -> DataFrame:
-    """Land pixels without value and observations for windows of several lengths up to ``last``."""
+    """D40 and D41 for windows of several lengths up to ``last``: a row per length.
+
+    (years, land, gaps, gap_fraction, observations, striping, median_m1, zero_m1 ... median_m12, zero_m12).
+    """
     y = F.year("scene_ts")
-    per = values.withColumn("years", each(years)).where((y > last - F.col("years")) & (y <= last)).groupBy("years", *PIXEL).agg(F.count("*").alias("n"))
+    per = values.withColumn("years", each(years)).where((y > last - F.col("years")) & (y <= last)).groupBy("years", *PIXEL).agg(F.count("*").alias("n"), *[F.count_if(F.month("scene_ts") == m).alias(f"m{m}") for m in range(1, 13)])
     g = land.withColumn("years", each(years)).join(per, ["years", *PIXEL], "left")
-    return g.groupBy("years").agg(F.count("*").alias("land"), F.count_if(F.col("n").isNull()).alias("gaps"), F.avg(F.col("n").isNull().cast("double")).alias("gap_fraction"), F.coalesce(F.sum("n"), F.lit(0)).alias("observations"))
+    months = []
+    for m in range(1, 13):
+        k = F.coalesce(F.col(f"m{m}"), F.lit(0))
+        months += [F.median(k).alias(f"median_m{m}"), (100 * F.avg((k == 0).cast("double"))).alias(f"zero_m{m}")]
+    out = g.groupBy("years").agg(F.count("*").alias("land"), F.count_if(F.col("n").isNull()).alias("gaps"), F.avg(F.col("n").isNull().cast("double")).alias("gap_fraction"), F.coalesce(F.sum("n"), F.lit(0)).alias("observations"), *months)
+    column = g.groupBy("years", *PIXEL[:-2], "x").agg(F.avg(F.coalesce("n", F.lit(0))).alias("c")).groupBy("years").agg((F.stddev_pop("c") / F.nullif(F.avg("c"), F.lit(0.0))).alias("striping"))
+    return out.join(column, "years")
+
+
+def peak_verdict(runs: DataFrame, target: int = PRODUCTION_SCENES) -> DataFrame:
+    """What runs of several scene counts say about memory: ``runs(scenes, peak_mb, floor_mb, tasks, ok)``, one row.
+
+    Tasks are fitted always; peaks only if they rise with the scenes and spread enough, else the runs did not stream. A ratio
+    of peak to floor that grows by more than half is a leak. Fewer than two good runs are insufficient.
+    """
+    ratio = F.col("peak_mb") / F.nullif(F.col("floor_mb"), F.lit(0.0))
+    fit = lambda y, k: [F.coalesce(f(y, "scenes"), F.lit(0.0)).alias(f"{k}_{n}") for f, n in ((F.regr_slope, "slope"), (F.regr_intercept, "intercept"))]
+    a = runs.where("ok").agg(F.count("*").alias("measured"), *fit("peak_mb", "mem"), *fit("tasks", "task"), F.coalesce(F.max("peak_mb") / F.nullif(F.min("peak_mb"), F.lit(0.0)), F.lit(0.0)).alias("peak_spread"), F.coalesce(F.max(ratio) / F.nullif(F.min(ratio), F.lit(0.0)), F.lit(0.0)).alias("ratio_growth"), F.avg(ratio).alias("mean_ratio"))
+    streams = (F.col("mem_slope") > 0) & (F.col("peak_spread") >= PEAK_SPREAD)
+    verdict = F.when(F.col("measured") < 2, "insufficient").when(~streams, "not_streaming").when(F.col("ratio_growth") > LEAK_GROWTH, "growing_ratio").otherwise("constant_ratio")
+    peak = F.when(streams, F.col("mem_slope") * target + F.col("mem_intercept"))
+    return a.select("measured", (F.col("task_slope") * target + F.col("task_intercept")).alias("projected_tasks"), "peak_spread", peak.alias("projected_peak_mb"), (peak / 1024 <= VM_GIB).alias("fits"), F.when(streams, F.col("ratio_growth")).alias("ratio_growth"), F.when(streams, F.col("mean_ratio")).alias("mean_ratio"), verdict.alias("verdict"))
 
 
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -111,9 +159,10 @@ def repeat_stats(df: DataFrame, by: list[str], ok: Column, value: str) -> DataFr
     return df.groupBy(*by).agg(F.avg(ok.cast("double")).alias("success"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def relative_effect(df: DataFrame, arm: str, value: str, lower_is_better: bool = True) -> DataFrame:
-    """Medians of two arms ('a' and 'b') and b's relative gain over a."""
-    m = df.agg(F.median(F.when(F.col(arm) == "a", F.col(value))).alias("a"), F.median(F.when(F.col(arm) == "b", F.col(value))).alias("b"))
+def relative_effect(df: DataFrame, arm: str, value: str, method: str = "median", order: str | None = None, lower_is_better: bool = True) -> DataFrame:
+    """One number of each of two arms ('a' and 'b'), their first by ``order`` (single), mean or median, and b's relative gain over a."""
+    one = {"single": lambda c: F.min_by(c, F.when(c.isNotNull(), F.col(order or value))), "mean": F.avg, "median": F.median}[method]
+    m = df.agg(*[one(F.when(F.col(arm) == k, F.col(value))).alias(k) for k in ("a", "b")])
     gain = (F.col("a") - F.col("b")) if lower_is_better else (F.col("b") - F.col("a"))
     return m.withColumn("effect", gain / F.nullif(F.col("a"), F.lit(0.0)))
 
@@ -126,13 +175,13 @@ def equivalent(a: DataFrame, b: DataFrame, keys: list[str], col: str, tolerance:
     return out.withColumn("equivalent", (F.col("max_abs") <= tolerance) & (F.col("null_mismatches") == 0))
 
 
-def synthetic_cube(spark: SparkSession, height: int, width: int, scenes: int, seed: int = 0) -> DataFrame:
-    """For scale tests: counts 36322 to 50952, three in ten cloudy, times even over five years."""
-    r = spark.range(height * width * scenes)
+def synthetic_cube(spark: SparkSession, height: int, width: int, scenes: int, seed: int = 0, tile: str = "N00E000") -> DataFrame:
+    """For scale tests: counts 36322 to 50952, three in ten cloudy, times even over five years; drawn by row number, so whatever the partitions."""
     i = F.col("id")
     step = F.floor(i / (height * width))
     ts = F.timestamp_seconds(1609459200 + F.floor(step * (5 * 365.25 * 86400 / scenes)))
-    return r.select(ts.alias("scene_ts"), (F.floor(i / width) % height).alias("y"), (i % width).alias("x"), (36322 + F.floor(F.rand(seed) * 14631)).cast("int").alias("lwir11"), F.when(F.rand(seed + 1) < 0.3, 8).otherwise(64).alias("qa_pixel"), i.alias("o1"), F.lit(1).alias("nr"), *[F.lit(0).alias(c) for c in ("o3", "o4", "o5", "o6")])
+    draw = lambda k, n: F.pmod(F.xxhash64(i, F.lit(seed), F.lit(k)), F.lit(n))
+    return spark.range(height * width * scenes).select(F.lit(tile).alias("tile"), ts.alias("scene_ts"), (F.floor(i / width) % height).alias("y"), (i % width).alias("x"), (36322 + draw(0, 14631)).cast("int").alias("lwir11"), F.when(draw(1, 10) < 3, 8).otherwise(64).alias("qa_pixel"), F.lit(0).cast("long").alias("rank"))
 
 
 def write_table(df: DataFrame, path: str, kind: str = "csv") -> None:

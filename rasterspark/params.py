@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 # Surface-temperature scaling of the sensor, packing of the composite, masks.
 DN_SCALE, DN_OFFSET, KELVIN = 0.00341802, 149.0, 273.15
@@ -27,14 +27,14 @@ DN_HIGH = next(d for d in range(math.ceil((CLAMP_HIGH + KELVIN - DN_OFFSET) / DN
 
 @dataclass(frozen=True)
 class Params:
-    """Of normalisation: largest believable scene offset (C), fewest pixels behind it, cloud limit (%), coarse factor."""
+    """Of normalisation: largest believable scene offset (C), fewest pixels behind it on the native and on a coarser grid, cloud limit (%), coarse factor."""
 
     cap: float = 15.0
-    floor: int = 20
+    floor: int = 500
+    coarse_floor: int = 200
     max_cloud: float = 100.0
     factor: int = 2
 
-    @staticmethod
-    def rejection_floor(factor: int) -> int:
-        """Pixels a scene needs: of the native grid, or of any coarser one."""
-        return 500 if factor == 1 else 200
+    def on_grid(self, factor: int) -> Params:
+        """The same with the floor of the grid that offsets are estimated on; one replaces the other, they don't convert."""
+        return self if factor == 1 else replace(self, floor=self.coarse_floor)

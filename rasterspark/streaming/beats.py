@@ -7,54 +7,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-LATEST = "tile long, updated_at timestamp, phase string, rss double, rate double, beats long, status string"
-_STATE = "at array<long>, rss array<double>, phase string, beats long"
-KEPT = 5
+from ..operators.runs import RATE_WINDOW, STALE_S, TERMINAL
 
+LATEST = "tile long, attempt long, updated_at timestamp, phase string, beats long, rate double, eta_s double, category string"
+_STATE = "at array<long>, seq array<long>, done array<long>, total long, phase string, beats long"
 
-def _advance(stale_s: float):
+
+def _rate(done: list, at: list, k: int) -> float | None:
+    """Tasks a second over the last k steps."""
+    seconds = (at[-1] - at[-1 - k]) / 1e6 if k else 0
+    return max(done[-1] - done[-1 - k], 0) / seconds if seconds > 0 else None
+
+
+def _row(key, state: tuple, silent: bool) -> pd.DataFrame:
+    at, seq, done, total, phase, beats = state
+    k = 0
+    while k + 1 < len(at) and seq[-2 - k] == seq[-1] and done[-2 - k] <= done[-1 - k]:
+        k += 1
+    rate = _rate(done, at, k)
+    left = max(total - done[-1], 0) / rate if rate else None
+    category = TERMINAL.get(phase, "stale" if silent else "running")
+    return pd.DataFrame({"tile": [key[0]], "attempt": [key[1]], "updated_at": [pd.Timestamp(at[-1], unit="us")], "phase": [phase], "beats": [beats], "rate": pd.Series([rate], dtype="float64"), "eta_s": pd.Series([left], dtype="float64"), "category": [category]})
+
+
+def _advance(stale_ms: int):
     def run(key, frames, state: GroupState):
         if state.hasTimedOut:
-            at, rss, phase, beats = state.get
+            old = state.get
             state.remove()
-            yield _row(key[0], at, rss, phase, beats, "stale")
+            yield _row(key, old, True)
             return
-        at, rss, phase, beats = state.get if state.exists else ([], [], "", 0)
-        at, rss = list(at), list(rss)
+        at, seq, done, total, phase, beats = state.get if state.exists else ([], [], [], 0, "", 0)
+        kept = pd.DataFrame({"at": list(at), "seq": list(seq), "done": list(done), "event_id": -1, "total": total, "phase": phase})
+        parts = [kept] if len(kept) else []
         for f in frames:
-            f = f.sort_values(["updated_at", "event_id"])
-            t = [int(v.timestamp() * 1e6) for v in f["updated_at"]]
-            old = list(zip(at, rss, [phase] * len(at)))
-            rows = sorted(old + list(zip(t, f["rss"], f["phase"])), key=lambda r: r[0])[-KEPT:]
-            at, rss, phase = [r[0] for r in rows], [float(r[1]) for r in rows], rows[-1][2]
             beats += len(f)
-        state.update((at, rss, phase, beats))
-        state.setTimeoutDuration(int(stale_s * 1000))
-        yield _row(key[0], at, rss, phase, beats, "running")
+            f = f.assign(at=f["updated_at"].astype("datetime64[us]").astype("int64"))
+            parts = [pd.concat([*parts, f[kept.columns]]).sort_values(["at", "event_id"]).tail(RATE_WINDOW)]
+        last = parts[0]
+        new = (last["at"].tolist(), last["seq"].tolist(), last["done"].tolist(), int(last["total"].iloc[-1]), last["phase"].iloc[-1], beats)
+        state.update(new)
+        state.setTimeoutTimestamp(max(new[0][-1] // 1000 + stale_ms, state.getCurrentWatermarkMs() + 1))
+        yield _row(key, new, False)
 
     return run
 
 
-def _row(tile, at, rss, phase, beats, status):
-    rate = (rss[-1] - rss[0]) / ((at[-1] - at[0]) / 1e6) if len(at) > 1 and at[-1] > at[0] else None
-    return pd.DataFrame({"tile": [tile], "updated_at": [pd.Timestamp(at[-1], unit="us")], "phase": [phase], "rss": [rss[-1]], "rate": pd.Series([rate], dtype="float64"), "beats": [beats], "status": [status]})
-
-
-def latest(beats: DataFrame, stale_s: float = 900.0, delay: str = "10 minutes") -> DataFrame:
-    """H1-H3: a row per tile whenever it has new beats: the newest one, the rate over the last five, beats so far; status stale after no beat for ``stale_s`` of processing time.
+def latest(beats: DataFrame, stale_s: float = STALE_S, delay: str = "10 minutes") -> DataFrame:
+    """H1-H3: a row per tile and attempt whenever it has new beats: the newest one, tasks a second over the last five of its graph, seconds left, beats so far.
 
-    Repeated beats count once while the watermark remembers them.
+    Once the watermark is ``stale_s`` past a tile's newest beat, it gives a last row, stale unless its phase is terminal, and
+    its state goes, so state is bounded by what is live. Time is that of the beats, so runs on stored beats end and agree.
     """
-    once = beats.withWatermark("updated_at", delay).dropDuplicatesWithinWatermark(["event_id"])
-    return once.groupBy("tile").applyInPandasWithState(_advance(stale_s), LATEST, _STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    marked = beats.withWatermark("updated_at", delay)
+    return marked.groupBy("tile", "attempt").applyInPandasWithState(_advance(int(stale_s * 1000)), LATEST, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def counts_by_category(beats: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """H3: beats by phase category, for update mode."""
-    category = F.when(F.col("phase") == "error", "failed").otherwise("running")
-    return beats.withWatermark("updated_at", delay).groupBy(category.alias("category")).agg(F.count("*").alias("n"))
+    """H3: beats by category of their phase, for update mode. Beats that come again (by event_id) within the watermark count once."""
+    category = F.lit("running")
+    for phase, shown in TERMINAL.items():
+        category = F.when(F.col("phase") == phase, shown).otherwise(category)
+    return beats.withWatermark("updated_at", delay).dropDuplicatesWithinWatermark(["event_id"]).groupBy(category.alias("category")).agg(F.count("*").alias("n"))
 
 
 def phase_time(beats: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """H4: the beats' summed value by tumbling window and phase, for append mode."""
+    """H4: the beats' summed value by tumbling window and phase, for append mode: windows that the watermark has passed."""
     return beats.withWatermark("updated_at", delay).groupBy(F.window("updated_at", window).alias("w"), "phase").agg(F.sum("rss").alias("total"), F.count("*").alias("n")).select(F.col("w.start").alias("start"), "phase", "total", "n")

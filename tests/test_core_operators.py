@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rasterspark.functions import grid, quality
 from rasterspark.operators import audit, catalog, composite, masks, normalize, runs, sweeps
+from rasterspark.operators import tile as whole
 from rasterspark.params import DN_HIGH, DN_LOW, Params
 from rasterspark.plans import tile
 from rasterspark.sources.fixtures import BASE_DIR, load
@@ -16,7 +17,7 @@ SF = f"{BASE_DIR}/sf0.001"
 
 
 def times(spark, *days):
-    return spark.createDataFrame([(dt.datetime(2021, 1, d),) for d in days], "scene_ts timestamp")
+    return spark.createDataFrame([("N00E000", dt.datetime(2021, 1, d)) for d in days], "tile string, scene_ts timestamp")
 
 
 def offsets_of(spark, *days):
@@ -57,15 +58,18 @@ def test_all_rejected_raises(spark):
         normalize.debias(dn, table)
     with pytest.raises(ValueError, match="no offset"):
         normalize.debias(dn, table.limit(0))
+    some = table.withColumn("keep", F.lit(True)).limit(3)
+    with pytest.raises(Exception, match="a scene has no offset"):
+        normalize.debias(dn, some).collect()
 
 
 def test_offset_store(spark, tmp_path):
     table, path = offsets_of(spark, 1, 2), str(tmp_path / "o")
-    normalize.store_offsets(table, path, "N00E000", "2021", "k1")
-    normalize.store_offsets(offsets_of(spark, 5), path, "N00E000", "2021", "k2")
-    normalize.store_offsets(table, path, "N00E000", "2021", "k1")
-    assert normalize.lookup_offsets(times(spark, 1, 2), path, "N00E000", "2021", "k1").count() == 2
-    assert normalize.lookup_offsets(times(spark, 1, 2, 3), path, "N00E000", "2021", "k1") is None
+    normalize.store_offsets(table, path, "2021", "k1")
+    normalize.store_offsets(offsets_of(spark, 5), path, "2021", "k2")
+    normalize.store_offsets(table, path, "2021", "k1")
+    assert normalize.lookup_offsets(times(spark, 1, 2), path, "2021", "k1").count() == 2
+    assert normalize.lookup_offsets(times(spark, 1, 2, 3), path, "2021", "k1") is None
 
 
 def test_partials(spark):
@@ -77,10 +81,10 @@ def test_partials(spark):
 
 
 def test_times_cut_to_seconds(spark):
-    exact = spark.createDataFrame([(dt.datetime(2021, 1, 1, 0, 0, 0, 500),), (dt.datetime(2021, 1, 2),)], "scene_ts timestamp")
+    exact = spark.createDataFrame([("N00E000", dt.datetime(2021, 1, 1, 0, 0, 0, 500)), ("N00E000", dt.datetime(2021, 1, 2))], "tile string, scene_ts timestamp")
     assert normalize.match_times(offsets_of(spark, 1, 2), exact).join(exact, "scene_ts").count() == 2
     with pytest.raises(ValueError, match="share a second"):
-        normalize.match_times(offsets_of(spark, 1), exact.union(exact.select(exact.scene_ts + F.expr("interval 1 microsecond"))))
+        normalize.match_times(offsets_of(spark, 1), exact.union(exact.select("tile", exact.scene_ts + F.expr("interval 1 microsecond"))))
 
 
 def test_cover_must_align(spark):
@@ -92,9 +96,9 @@ def test_cover_must_align(spark):
 
 def test_composite_sink(spark, tmp_path):
     comp, path = tile._comp(spark, SF), str(tmp_path / "c")
-    composite.write_composite(comp, path, "2021", "N05W060")
-    composite.write_composite(comp, path, "2021", "N05W060")
-    back = spark.read.parquet(path).where("window = '2021' and tile = 'N05W060'")
+    composite.write_composite(comp, path, "2021")
+    composite.write_composite(comp.where("tile = 'N05E000'"), path, "2021")
+    back = spark.read.parquet(path).where("window = '2021'")
     assert back.count() == comp.count() and "lst_dn" in back.columns
 
 
@@ -165,7 +169,13 @@ def test_inventory_and_hash(spark):
     for args, df in ((("p", "2", 2), inv), (("p", "1", 3), inv), (("p", "1", 4), inv.union(inv))):
         with pytest.raises(ValueError):
             audit.check_inventory(df, *args)
-    assert audit.content_hash(inv).first() == audit.content_hash(inv.repartition(5).orderBy(F.desc("granule"))).first()
+    gaps = spark.range(300).select((F.col("id") * 7).alias("row"), (F.col("id") * 31).alias("col"))
+    held = inv.select("granule", F.col("product").alias("sha256"))
+    one = lambda g, h, p="p", i=None: audit.content_hash(g, h, inv.select("granule").limit(1), p, i).first().hash
+    same = one(gaps, held)
+    assert one(gaps.repartition(5).orderBy(F.desc("row")), held.orderBy(F.desc("granule"))) == same
+    others = [one(gaps.where("row > 0"), held), one(gaps, held.limit(1)), one(gaps, held, "q"), one(gaps, held, "p", {"version": "2"}), one(gaps.withColumn("col", F.col("col") + 1), held)]
+    assert len({same, *others}) == 6
 
 
 def test_orientation_and_cells(spark):
@@ -180,6 +190,47 @@ def test_orientation_and_cells(spark):
 def test_clamp_reaches_the_scan(spark, tmp_path):
     sweeps.synthetic_cube(spark, 4, 4, 4).write.parquet(str(tmp_path / "o"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    df = normalize.stack(spark.read.parquet(str(tmp_path / "o")), ("o1",))
+    df = normalize.stack(spark.read.parquet(str(tmp_path / "o")))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert f"LessThanOrEqual(lwir11,{DN_HIGH})" in plan and "HashAggregate" in plan and "o3" not in plan
+    assert f"LessThanOrEqual(lwir11,{DN_HIGH})" in plan and "HashAggregate" in plan and "Sort" not in plan
+
+
+def test_task_classes(spark):
+    keys = {"read": "open open-x KEIXEL lwir11 qa_pixel cfg-1 grid", "compute": "where-1 astype sub getitem-stack-a getitem_sum-b custom_nanquantile stack", "rechunk": "rechunk-merge shuffle-p2p transpose getitem", "store": "store-map", "other": "subtract finalize openx"}
+    rows = [(k, name) for name, line in keys.items() for k in line.split()]
+    df = spark.createDataFrame(rows, "k string, want string")
+    assert df.where(runs.prefix_class(F.col("k")) != F.col("want")).count() == 0
+
+
+@pytest.mark.parametrize("lat,n", [(0, 3899), (-2.5, 3899), (20.0, 3328), (37.5, 2758), (-47.5, 3280), (57.5, 3802), (80, 3802)])
+def test_scenes_by_latitude(spark, lat, n):
+    assert spark.range(1).select(runs.scenes_for(F.lit(float(lat)))).first()[0] == n
+
+
+def test_byte_model(spark):
+    t = spark.createDataFrame([("a", 1000, 0.5)], "name string, scenes int, land double")
+    r = runs.tile_bytes(t).first()
+    assert (r.coarse_gb, r.native_gb) == (324.0, 1296.0)
+    assert abs(r.offset_hours - 324e9 * 1.5 / 140e6 / 3600) < 1e-9 and abs(r.composite_hours - 1296e9 / 45.5e6 / 3600) < 1e-9
+    assert abs(r.cost - r.vm_hours * 0.504) < 1e-9 and not r.within_hour
+
+
+def test_categories(spark):
+    rows = [("failed", True, 1.0, "failed"), ("skipped", False, 1.0, "done"), ("read", True, None, "done"), ("read", False, None, "stale"), ("read", False, 121.0, "stale"), ("read", False, 120.0, "running")]
+    df = spark.createDataFrame(rows, "phase string, settled boolean, age double, want string")
+    assert df.where(runs.category(F.col("phase"), F.col("settled"), F.col("age")) != F.col("want")).count() == 0
+
+
+def test_cube_is_the_same_whatever_the_partitions(spark):
+    a = sweeps.synthetic_cube(spark, 6, 5, 4, 7)
+    rows = sorted(map(tuple, a.collect()))
+    assert rows == sorted(map(tuple, a.repartition(7).collect())) and len(rows) == 120
+    assert all(36322 <= r.lwir11 <= 50952 for r in a.collect()) and 0 < a.where("qa_pixel = 8").count() < 60
+
+
+def test_full_tile_on_a_coarser_estimate(spark):
+    obs, jobs = load(spark, SF, "obs"), tile.jobs(spark, SF)
+    gaps = load(spark, SF, "cells").where("numobs = 0")
+    got = whole.process(obs, jobs, load(spark, SF, "land"), gaps, tile.P, factor=2, cell=5, hot=tile.HOT).collect()
+    land = load(spark, SF, "land").count()
+    assert len(got) == 2 * land and any(r.lst is not None for r in got) and all((r.lst_dn == 0) == (r.lst is None) for r in got)

@@ -7,10 +7,10 @@ import math
 import duckdb
 import pytest
 
-from rasterspark.plans import audit, runs, tile
+from rasterspark.plans import audit, runs, sinks, tile
 from rasterspark.sources.fixtures import BASE_DIR
 
-CORE = tile.QUERIES | audit.QUERIES | runs.QUERIES
+CORE = tile.QUERIES | audit.QUERIES | runs.QUERIES | sinks.QUERIES
 SF = f"{BASE_DIR}/sf0.001"
 
 
