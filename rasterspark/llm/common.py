@@ -74,6 +74,25 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     return a.join(b.hint("shuffle_hash") if hash_right else b, [*on, "_salt"], how).drop("_salt")
 
 
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes (k0, k1) that together with the id tell rows of different texts apart."""
+    return [F.xxhash64(F.lit(i), text).alias(f"k{i}") for i in range(2)]
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, how: str, broadcast_limit: int = 0) -> DataFrame:
+    """Rows of ``docs`` whose id and text are (left_semi) or are not (left_anti) among ``keys(doc_id, k0, k1)``, null ids included.
+
+    Up to ``broadcast_limit`` keys, counted, are sent to all tasks; beyond that both sides are shuffled and the keys of a
+    partition are hashed, never the texts.
+    """
+    small = keys.select(F.col("doc_id").alias("_id"), F.col("k0").alias("_k0"), F.col("k1").alias("_k1"))
+    few = broadcast_limit > 0 and keys.count() <= broadcast_limit
+    small = F.broadcast(small) if few else small.hint("shuffle_hash")
+    k0, k1 = text_keys(docs["text"])
+    same = docs["doc_id"].cast("long").eqNullSafe(small["_id"]) & (k0 == small["_k0"]) & (k1 == small["_k1"])
+    return docs.join(small, same, how)
+
+
 def n_words(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -20,11 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, materialise, mix64, salted_join, small_batches
+from .common import Rolling, materialise, mix64, rows_of, salted_join, small_batches, text_keys
 
 WINDOW, LITERALS, SHORTEST, COVER, EXACT_COVER = 8, 5, 5, 0.5, 2 / 3
 #: Benchmark windows up to which their hashes are sent to all tasks (8 bytes each).
 FILTER_LIMIT = 2_000_000
+#: Contaminated rows up to which their keys are sent to all tasks (24 bytes each).
+DROP_BROADCAST = 2_000_000
 # Common units of measure.
 UNITS = frozenset(b"kg g mg lb lbs oz km m cm mm mi ft yd mile miles meter meters metre metres inch inches feet l ml litre litres liter liters gallon gallons s ms sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh km/h m/s w kw kwh v mv a ma hz khz mhz ghz j kj cal kcal pa kpa k c f kb mb gb tb usd eur gbp dollar dollars cent cents euro euros pound pounds percent".split())
 _EDGE = b"\"'`.,;:!?()[]{}<>*_|~#$%&/\\-+="
@@ -163,13 +165,14 @@ def _finder(sizes: list[int], whole: bool, known: np.ndarray | None):
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
     """(doc_id, contaminated, verbatim, n_items, items, cover): one row per row of ``docs``.
 
     items: the ids of the benchmark items found, in order; cover: the largest share of an item's windows. Null and
     empty texts contain nothing and items with null texts or without a letter or digit are never found, those of fewer
     than ``SHORTEST`` words only as they are; rows
-    of one id are judged apart; extra columns are ignored; either table may be empty. ``carry``: also the row, as _row.
+    of one id are judged apart; very long texts are judged whole; extra columns are ignored; either table may be empty.
+    ``keyed``: (doc_id, k0, k1) of the contaminated rows only; k0 and k1 are ``text_keys``.
     """
     spark = small_batches(docs).sparkSession
     items = benchmark.select(F.col("item_id").alias("id"), "text").mapInArrow(_finder([], True, None), f"id long, n int, hits {_HIT}")
@@ -183,15 +186,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = None
     if total.count() <= FILTER_LIMIT:
         known = np.unique(np.array([r.h for r in total.select("h").distinct().collect()], np.int64).view(np.uint64))
-    row = F.struct(*docs.columns).alias("_row")
-    numbered = docs.select(*[row] * carry, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    if carry:
-        numbered = materialise(numbered.withColumn("nr", F.monotonically_increasing_id()), "templates-docs")
-    else:
-        numbered = numbered.withColumn("nr", F.monotonically_increasing_id())
-    ids = "struct<nr:long,doc_id:long>"
-    found = numbered.select(F.struct("nr", F.col("doc_id").cast("long").alias("doc_id")).alias("id"), "text").mapInArrow(_finder(sizes, False, known), f"id {ids}, n int, hits {_HIT}")
-    found = materialise(found.select("id.nr", "id.doc_id", "hits"), "templates-found")
+    key = F.struct(F.monotonically_increasing_id().alias("nr"), F.col(id_col).cast("long").alias("doc_id"), *text_keys(F.col(text_col)) * keyed)
+    kind = "struct<nr:long,doc_id:long" + ",k0:long,k1:long" * keyed + ">"
+    found = docs.select(key.alias("id"), F.col(text_col).alias("text")).mapInArrow(_finder(sizes, False, known), f"id {kind}, n int, hits {_HIT}")
+    if keyed:
+        found = found.where("size(hits) > 0")
+    found = materialise(found.select("id.*", "hits"), "templates-found")
     hits = found.where("size(hits) > 0").select("nr", F.inline("hits"))
     met = salted_join(hits, total, ["h", "form"]).withColumn("shift", F.col("at") - F.col("item_at"))
     pair = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: p["i"].isNotNull())
@@ -201,11 +201,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     equal = F.when(F.col("exact"), F.col("cover") >= 1).otherwise(F.col("equal"))
     per = lines.groupBy("nr", "item_id", "exact", "windows").agg(F.least(covered / F.col("windows"), F.lit(1.0)).alias("cover"), F.bool_and(~F.exists("pairs", lambda p: p["i"] != p["d"])).alias("equal")).withColumn("same", equal)
     per = per.where(F.col("cover") >= F.when(F.col("exact"), EXACT_COVER).otherwise(COVER)).groupBy("nr").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("cover").alias("cover"), F.bool_or("same").alias("verbatim"))
-    base = numbered.select("nr", "_row", "doc_id") if carry else found.select("nr", "doc_id")
-    out = base.join(per, "nr", "left")
-    return out.select(*["_row"] * carry, "doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("verbatim", F.lit(False)).alias("verbatim"), F.coalesce(F.size("items"), F.lit(0)).alias("n_items"), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("cover", F.lit(0.0)).alias("cover"))
+    if keyed:
+        return found.drop("hits").join(per, "nr", "left_semi").select("doc_id", "k0", "k1").distinct()
+    out = found.drop("hits").join(per, "nr", "left")
+    return out.select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("verbatim", F.lit(False)).alias("verbatim"), F.coalesce(F.size("items"), F.lit(0)).alias("n_items"), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("cover", F.lit(0.0)).alias("cover"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that contain a benchmark item."""
-    return contamination(docs, benchmark, carry=True).where("not contaminated").select("_row.*")
+    """``docs`` without the rows that contain a benchmark item.
+
+    Rows of null ids are judged like others and repeated rows go or stay together; extra columns stay, whatever their names.
+    Only the keys of rows that go are written; up to DROP_BROADCAST of them, counted, are sent to all tasks.
+    """
+    return rows_of(docs, materialise(contamination(docs, benchmark, keyed=True), "contaminated"), "left_anti", DROP_BROADCAST)
