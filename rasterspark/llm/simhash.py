@@ -4,8 +4,8 @@ A 64-bit fingerprint becomes 32 counts, the set bits of each two-bit segment. Fl
 count by one, so the Manhattan distance of two count vectors is at most the Hamming distance of the
 fingerprints. The counts are gridded: eight groups of four segments; two vectors at Manhattan distance 4
 or less leave at least four groups untouched, so they share the grid cell of some choice of four groups.
-Each fingerprint is dealt to its 70 cells, cells are range-joined inside sorted partitions, and every
-candidate is verified exactly on the fingerprints. Cells that hold more than ``max_cell`` fingerprints
+Each fingerprint is dealt to its 70 cells and cells are range-joined inside sorted partitions: what is in one cell is
+pruned by the Manhattan distance of the counts, and what is left is verified exactly on the fingerprints. Cells that hold more than ``max_cell`` fingerprints
 take an exact way without pairs: two fingerprints at distance 4 or less have a common neighbour at
 distance 2, so all are dealt to their neighbours within 2 and each neighbour links its group to its least.
 """
@@ -17,13 +17,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, salted_join, small_batches
+from .common import components, materialise, rows_of, salted_join, small_batches, text_keys
 
 SEED, SHINGLE, BITS, GROUPS = 42, 4, 4, 8
 _LOW = 0x5555555555555555
+_EVEN = np.uint64(_LOW)
 _CHUNK = 1 << 17
 
 
@@ -45,11 +46,6 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * count > len(starts), bitorder="little").view(np.uint64)[0])
 
 
-def text_keys(text: Column) -> list[Column]:
-    """Two hashes (k0, k1) that together with the id tell rows of different texts apart."""
-    return [F.xxhash64(F.lit(i), text).alias(f"k{i}") for i in range(2)]
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
     """(doc_id, fp): one row per row of ``docs``, fp the fingerprint as a signed long. ``keyed``: also the row's ``text_keys``."""
 
@@ -77,6 +73,21 @@ def cells(fps: DataFrame) -> DataFrame:
     return fps.select("fp", counts.alias("_counts")).select("fp", F.posexplode(F.transform(table, lambda m: F.col("_counts").bitwiseAND(m))).alias("choice", "cell"))
 
 
+def _close(x: np.ndarray, y: np.ndarray | np.uint64) -> np.ndarray:
+    """Which of x and y are within BITS: those within it by the Manhattan distance of their counts are verified.
+
+    A two-bit segment's count is 0, 1 or 2; counts differ by 2 where both bits differ and are equal in each fingerprint, by 1
+    where one differs, by 0 else, so the distance needs no unpacking.
+    """
+    d = x ^ y
+    one, two = (d ^ d >> np.uint64(1)) & _EVEN, d & d >> np.uint64(1) & ~(x ^ x >> np.uint64(1)) & _EVEN
+    out = np.bitwise_count(one).astype(np.int64) + 2 * np.bitwise_count(two) <= BITS
+    if x.ndim:
+        left = np.flatnonzero(out)
+        out[left] = np.bitwise_count(d[left]) <= BITS
+    return out
+
+
 def _span(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that join whatever is reachable among x, at most one less than there are members."""
     rest, a, b = np.arange(len(x)), [], []
@@ -84,7 +95,7 @@ def _span(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         todo, rest = [rest[0]], rest[1:]
         while todo and len(rest):
             i = todo.pop()
-            near = np.bitwise_count(x[rest] ^ x[i]) <= BITS
+            near = _close(x[rest], x[i])
             hit = rest[near]
             a += [i] * len(hit)
             b += hit.tolist()
@@ -138,7 +149,7 @@ def _link(max_cell: int, small: int = 16):
         for d in range(1, min(small, int(sizes.max()))):
             ok = (group[d:] == group[:-d]) & (size[d:] <= small)
             i = np.flatnonzero(ok)
-            i = i[np.bitwise_count(x[i] ^ x[i + d]) <= BITS]
+            i = i[_close(x[i], x[i + d])]
             a.append(f[i])
             b.append(f[i + d])
         for s, n in zip(start[sizes > small].tolist(), sizes[sizes > small].tolist()):
@@ -191,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(each.select("fp"), max_cell)).select(F.col("node").alias("fp"), "root")
     named = each.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_size"))
-    known = named.select("fp", "root").join(ids, "root")
+    known = salted_join(named.select("fp", "root"), ids, ["root"])
     return salted_join(rows, known, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size", *["k0", "k1", F.col("root").alias("group")] * keyed)
 
 
@@ -199,20 +210,15 @@ def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the least doc_id, null ids last.
 
     Rows are told apart by id and text, so rows of different groups all stay whether their ids are null, repeated
-    or neither; of rows alike in both, one stays. ``groups(doc_id, k0, k1, group)``: the groups, by default those
+    or neither; of rows alike in both, one stays, whole. Null, empty and blank texts are one group; very long texts are like
+    others; extra columns stay, whatever their names; an empty table stays empty. ``groups(doc_id, k0, k1, group)``: the groups, by default those
     of ``near_duplicates``.
     """
     rows = near_duplicates(docs, keyed=True) if groups is None else groups
     each = rows.groupBy("group", "doc_id", "k0", "k1").agg(F.count("*").alias("n"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k0", "k1", "n")
     kept = materialise(each.groupBy("group").agg(F.min(first).alias("r")).select("r.doc_id", "r.k0", "r.k1", "r.n"), "near-kept")
-
-    def chosen(ids: DataFrame) -> DataFrame:
-        ids = ids.select(F.col("doc_id").alias("_id"), F.col("k0").alias("_k0"), F.col("k1").alias("_k1"))
-        k0, k1 = text_keys(docs["text"])
-        return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (k0 == F.col("_k0")) & (k1 == F.col("_k1")), "left_semi")
-
     many = kept.where("n > 1")
     if many.isEmpty():
-        return chosen(kept)
-    return chosen(kept.where("n = 1")).union(chosen(many).dropDuplicates(["doc_id", "text"]))
+        return rows_of(docs, kept, "left_semi")
+    return rows_of(docs, kept.where("n = 1"), "left_semi").union(rows_of(docs, many, "left_semi").dropDuplicates(["doc_id", "text"]))
