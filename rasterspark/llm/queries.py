@@ -14,42 +14,52 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and their components; one row per document. Nulls, empty, very long and repeated rows as the operator says."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document. Nulls, empty, very long and repeated rows as the operator says."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document contains. Nulls, empty, very long and repeated rows as the operator says."""
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document keeps without passages that a smaller doc_id has. Nulls, empty, very long and repeated rows as the operator says."""
     return substrings.cut_repeats(_table(spark, sf_dir, "documents"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated scores of all documents, learnt from those not held out. Nulls, empty, very long and repeated rows as the operator says."""
     return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the pages as read back from normalised archives. Nulls, empty, very long and repeated rows as the operator says."""
     return warc.read(warc.normalise(warc.write(_table(spark, sf_dir, "pages"))))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of each document, by patterns and by the network. Nulls, empty, very long and repeated rows as the operator says."""
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from token files. Nulls, empty, very long and repeated rows as the operator says."""
     return tokens.read(tokens.write(_table(spark, sf_dir, "documents")))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all URLs, by rules and by the list. Nulls, empty, very long and repeated rows as the operator says."""
     return urlfilter.judge(_table(spark, sf_dir, "pages"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the quality rules for each document. Nulls, empty, very long and repeated rows as the operator says."""
     return rules.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
@@ -58,8 +68,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _rules_sql() -> str:
-    """op10 in DuckDB: the same counts, cutoffs by the binomial tail in logarithms, and verdicts."""
-    rate, level = rules.RISK / len(rules.GRID), rules.DELTA / (len(rules.GRID) * (len(rules.BANDS) + 1))
+    """op10 in DuckDB: the same counts, levels by the binomial tail in logarithms, and verdicts."""
+    enough, alpha, risk = rules.fewest(), rules.DELTA / (len(rules.BANDS) + 1), rules.RISK
     metrics = {
         "symbols_per_word": ("n_symbols", "n_words"),
         "dup_line_share": ("n_dup_lines", "n_lines"),
@@ -67,8 +77,8 @@ def _rules_sql() -> str:
         "chars_per_word": ("word_chars", "n_words"),
         "capital_share": ("n_capitals", "word_chars"),
     }
-    grid = ", ".join(f"('{m}', {i}, {c}::double)" for m, cuts in rules.GRID.items() for i, c in enumerate(cuts))
-    long = " union all ".join(f"select nr, doc_id, stratum, base_failed, '{m}' as metric, case when {b} > 0 then {a}::double / {b} else 0 end as v from judged" for m, (a, b) in metrics.items())
+    share = {m: f"(case when {b} > 0 then {a}::double / {b} else 0 end)" for m, (a, b) in metrics.items()}
+    passed = ", ".join("(" + " + ".join(f"({share[m]} <= {c}::double)::int" for c in cuts) + ")" for m, cuts in rules.LADDER.items())
     return rf"""
 with texts as (select row_number() over () as nr, doc_id, coalesce(text, '') as t from documents),
  split as (select nr, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws from texts),
@@ -81,16 +91,15 @@ with texts as (select row_number() over () as nr, doc_id, coalesce(text, '') as
  counts as (select s.nr, doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols,
   coalesce(dups.n, 0)::bigint as n_dup_lines, coalesce(n_lines, 0)::bigint as n_lines, coalesce(covered.n, 0)::bigint as n_repeat_words, len(regexp_extract_all(t, '\p{{Lu}}'))::bigint as n_capitals
   from split s left join dups on dups.nr = s.nr left join covered on covered.nr = s.nr),
- judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {" + ".join(f"(n_words >= {b})::int" for b in rules.BANDS)} as stratum from counts),
- measured as ({long}),
- grid(metric, rnk, cut) as (values {grid}),
- good as (select m.* from measured m join labels l on l.doc_id = m.doc_id where l.quality = 1 and not base_failed),
- tests as (select stratum, good.metric, rnk, count(*) as n, count(*) filter (v > cut) as k from good join grid on grid.metric = good.metric group by stratum, good.metric, rnk),
- passed as (select *, k < n * {rate} and list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) <= {level} as ok from tests),
- stops as (select stratum, metric, min(rnk) filter (not ok) as stop, max(rnk) + 1 as ends from passed group by stratum, metric),
- cuts as (select s.stratum, s.metric, cut from stops s join grid on grid.metric = s.metric and grid.rnk = coalesce(stop, ends) - 1),
- bad as (select distinct nr from measured m join cuts c on c.stratum = m.stratum and c.metric = m.metric where v > cut)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and nr not in (select nr from bad) as kept from judged"""
+ judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {" + ".join(f"(n_words >= {b})::int" for b in rules.BANDS)} as band, least({passed}) as reach from counts),
+ good as (select band, reach from judged j join labels l on l.doc_id = j.doc_id where l.quality = 1 and not base_failed),
+ sizes as (select count(*) filter (band = 0) as a, count(*) filter (band = 1) as b, count(*) filter (band = 2) as c from good),
+ strata as (select band, case when a >= {enough} then case when band = 0 then 0 when b >= {enough} then case when band = 2 and c >= {enough} then 2 else 1 end when b + c >= {enough} then 1 else 0 end
+  when a + b >= {enough} and band = 2 and c >= {enough} then 1 else 0 end as stratum from sizes, range(3) r(band)),
+ tests as (select stratum, level, count(*) as n, count(*) filter (reach <= level) as k from good join strata on strata.band = good.band, range({rules.LEVELS}) l(level) group by stratum, level),
+ passed as (select *, k < n * {risk} and list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) <= {alpha} as ok from tests),
+ levels as (select band, coalesce((select coalesce(min(level) filter (not ok), {rules.LEVELS}) from passed where passed.stratum = strata.stratum), 0) - 1 as level from strata)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and reach > level as kept from judged join levels on levels.band = judged.band"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,16 +1,21 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Base rules are fixed. On top, each metric gets a cutoff per stratum (length band), chosen on labelled
-holdouts so that the share of good documents it rejects is at most ``risk`` divided by the number of metrics,
-with all of these statements holding together at probability 1 - ``delta``. For one metric and stratum the
-cutoffs are tried from the most lenient one on; a cutoff passes if the exact binomial tail
-P(Bin(n, r) <= k) is at most delta / (metrics x strata), where n good documents were seen and k of them
-rejected, and trying stops at the first that fails. Fixed-sequence testing needs no correction within a
-sequence; Bonferroni corrects over the sequences. With too few labels no cutoff passes and the base rules rule.
+Base rules are fixed. On top, documents are held to a ladder of levels, each with a cutoff for every metric, from lenient
+to strict. The level of a stratum is chosen on labelled holdouts so that the share of good documents it rejects is
+at most ``risk`` in every stratum, all of this together at probability 1 - ``delta``. A level passes if the exact binomial
+tail P(Bin(n, risk) <= k) is at most delta / length bands, where n good documents were seen and k of them are rejected;
+levels are tried from the most lenient one on, and trying stops at the first that fails. Fixed-sequence testing needs
+no correction within a stratum; Bonferroni corrects over the strata. All labelled documents serve as holdout: nothing else is
+learnt from them.
+
+Strata are the length bands; bands with too few good documents for any level to pass are joined with the next ones, by their
+numbers alone, never by what the rules say of them. With too few labels altogether the base rules rule.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +24,20 @@ from .common import materialise
 RISK, DELTA = 0.02, 0.05
 #: Upper ends of the length bands, in words; the last band is open.
 BANDS = (150, 600)
-#: Metric to its cutoffs, from lenient to strict.
-GRID = {
+#: Metric to its cutoffs by level, from lenient to strict.
+LADDER = {
     "symbols_per_word": (4.0, 2.0, 1.0, 0.7, 0.5, 0.35, 0.25, 0.15, 0.1),
-    "dup_line_share": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2),
-    "repeat_share": (0.48, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2),
-    "chars_per_word": (40.0, 30.0, 25.0, 20.0, 16.0, 14.0, 12.0),
-    "capital_share": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3),
+    "dup_line_share": (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2),
+    "repeat_share": (0.48, 0.45, 0.42, 0.4, 0.35, 0.3, 0.25, 0.22, 0.2),
+    "chars_per_word": (40.0, 30.0, 25.0, 20.0, 18.0, 16.0, 14.0, 13.0, 12.0),
+    "capital_share": (0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35, 0.3),
 }
+LEVELS = 9
+
+
+def fewest(risk: float = RISK, delta: float = DELTA) -> int:
+    """Good documents without a rejection that it takes for a level to pass."""
+    return math.ceil(math.log(delta / (len(BANDS) + 1)) / math.log(1 - risk))
 
 
 def _per(a: Column, b: Column) -> Column:
@@ -64,7 +75,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", car
 
 
 def judge_base(counts: DataFrame) -> DataFrame:
-    """Adds base_failed, the metrics and the stratum."""
+    """Adds base_failed, the length band and reach: how many levels the document passes."""
     n = F.col("n_words")
     metrics = {
         "symbols_per_word": _per(F.col("n_symbols"), n),
@@ -74,32 +85,38 @@ def judge_base(counts: DataFrame) -> DataFrame:
         "capital_share": _per(F.col("n_capitals"), F.col("word_chars")),
     }
     band = sum(((n >= b).cast("int") for b in BANDS), F.lit(0))
-    return counts.withColumns({"base_failed": (n < 50) | (100 * F.col("n_repeat_words") > 50 * n), **metrics, "stratum": band})
+    passed = [sum(((v <= c).cast("int") for c in LADDER[m]), F.lit(0)) for m, v in metrics.items()]
+    return counts.withColumns({"base_failed": (n < 50) | (100 * F.col("n_repeat_words") > 50 * n), "reach": F.least(*passed), "band": band})
 
 
 def thresholds(judged: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, a column per metric): the cutoffs; null where none is certified. At most one row per stratum.
+    """(band, stratum, n, level): a row per length band, the strictest level certified for its stratum; -1 where none is.
 
-    ``labels(doc_id, quality)``: rows with quality 1 are the good documents; null qualities and ids count for
-    nothing. Documents that fail the base rules are no evidence about the cutoffs.
+    ``judged(doc_id, band, reach, base_failed)``; ``labels(doc_id, quality)``: rows with quality 1 are the good documents; null
+    qualities and ids count for nothing. Documents that fail the base rules are no evidence about the levels.
     """
-    rate, level = risk / len(GRID), delta / (len(GRID) * (len(BANDS) + 1))
+    bands, enough, alpha = range(len(BANDS) + 1), fewest(risk, delta), delta / (len(BANDS) + 1)
     good = judged.where("not base_failed").join(labels.where("quality = 1").select("doc_id"), "doc_id")
-    tests = [(m, i, c) for m, cuts in GRID.items() for i, c in enumerate(cuts)]
-    counts = good.groupBy("stratum").agg(F.count("*").alias("n"), *[F.count_if(F.col(m) > c).alias(f"{m}_{i}") for m, i, c in tests])
-    rows = counts.select("stratum", "n", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(i).alias("rank"), F.col(f"{m}_{i}").alias("k")) for m, i, c in tests])))
+    seen = good.agg(F.array(*[F.count_if(F.col("band") == b) for b in bands]).alias("n"), F.array(*[F.array(*[F.count_if((F.col("band") == b) & (F.col("reach") <= i)) for i in range(LEVELS)]) for b in bands]).alias("k"))
+
+    def step(s: Column, n: Column) -> Column:
+        total = s["held"] + n
+        full = total >= enough
+        return F.struct(F.when(full, F.lit(0).cast("long")).otherwise(total).alias("held"), (s["next"] + full.cast("int")).alias("next"), F.concat(s["of"], F.array(s["next"])).alias("of"))
+
+    start = F.struct(F.lit(0).cast("long").alias("held"), F.lit(0).alias("next"), F.array().cast("array<int>").alias("of"))
+    # what is left over at the end joins the stratum before it
+    seen = seen.withColumn("_s", F.aggregate("n", start, step)).withColumn("of", F.transform("_s.of", lambda g: F.greatest(F.least(g, F.col("_s.next") - 1), F.lit(0))))
+    over = lambda b, f: sum((F.when(F.col("of")[c] == F.col("of")[b], f(c)).otherwise(F.lit(0).cast("long")) for c in bands), F.lit(0).cast("long"))
+    tests = [F.struct(F.lit(b).alias("band"), F.col("of")[b].alias("stratum"), over(b, lambda c: F.col("n")[c]).alias("n"), F.lit(i).alias("level"), over(b, lambda c, i=i: F.col("k")[c][i]).alias("k")) for b in bands for i in range(LEVELS)]
+    rows = seen.select(F.inline(F.array(*tests)))
     n, k = F.col("n").cast("double"), F.col("k")
-    step = lambda s, i: _next(s, i, n, rate)
-    first = F.struct((n * F.log(F.lit(1 - rate))).alias("log"), F.exp(n * F.log(F.lit(1 - rate))).alias("sum"))
-    tail = F.aggregate(F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<long>")), first, step, lambda s: s["sum"])
-    passed = F.when(k < n * rate, tail <= level).otherwise(F.lit(False))
-    stop = rows.groupBy("stratum", "metric").agg(F.min(F.when(passed, None).otherwise(F.col("rank"))).alias("stop"))
-    cut = F.lit(None).cast("double")
-    for m, i, c in tests:
-        last = F.coalesce(F.col("stop"), F.lit(len(GRID[m]))) - 1
-        cut = F.when((F.col("metric") == m) & (last == i), F.lit(c)).otherwise(cut)
-    at = stop.select("stratum", "metric", cut.alias("cut"))
-    return at.groupBy("stratum").agg(*[F.max(F.when(F.col("metric") == m, F.col("cut"))).alias(f"cut_{m}") for m in GRID])
+    first = F.struct((n * F.log(F.lit(1 - risk))).alias("log"), F.exp(n * F.log(F.lit(1 - risk))).alias("sum"))
+    terms = F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<long>"))
+    tail = F.aggregate(terms, first, lambda s, i: _next(s, i, n, risk), lambda s: s["sum"])
+    passed = F.when(k < n * risk, tail <= alpha).otherwise(F.lit(False))
+    stop = F.coalesce(F.min(F.when(~passed, F.col("level"))), F.lit(LEVELS))
+    return rows.groupBy("band", "stratum", "n").agg((stop - 1).alias("level"))
 
 
 def _next(s: Column, i: Column, n: Column, rate: float) -> Column:
@@ -110,17 +127,15 @@ def _next(s: Column, i: Column, n: Column, rate: float) -> Column:
 def assess(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, delta: float = DELTA, carry: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, the counts, base_failed, kept.
 
-    Null and empty texts have no words, so they fail the base rules; repeated rows are judged each; extra
-    columns are ignored; without labels or documents nothing is certified.
+    Null and empty texts have no words, so they fail the base rules; very long texts are judged whole; repeated rows are
+    judged each; extra columns are ignored; without labels or documents nothing is certified.
     """
     judged = materialise(judge_base(measure(docs, id_col, text_col, carry)), "quality")
-    cuts = F.broadcast(thresholds(judged, labels, risk, delta))  # a row per length band at most
-    fits = F.lit(True)
-    for m in GRID:
-        fits &= F.coalesce(F.col(m) <= F.col(f"cut_{m}"), F.lit(True))
-    return judged.join(cuts, "stratum", "left").select(*["_row"] * carry, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & fits).alias("kept"))
+    levels = F.broadcast(thresholds(judged, labels, risk, delta).select("band", "level"))  # a row per length band
+    kept = ~F.col("base_failed") & (F.col("reach") > F.col("level"))
+    return judged.join(levels, "band").select(*["_row"] * carry, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the rules reject."""
+    """``docs`` without the rows that the rules reject, null and empty texts among them; repeated rows stay or go together; extra columns stay, whatever their names."""
     return assess(docs, labels, carry=True).where("kept").select("_row.*")
