@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import Rolling, materialise, mix64, rows_of, salted_join, small_batches, text_keys
 
 WINDOW, LITERALS, SHORTEST, COVER, EXACT_COVER = 8, 5, 5, 0.5, 2 / 3
-#: Benchmark windows up to which their hashes are sent to all tasks (8 bytes each).
-FILTER_LIMIT = 2_000_000
+#: Bits (as a power of two) of the table of benchmark windows that is sent to all tasks: at least, at most.
+FILTER_BITS = (22, 28)
 #: Contaminated rows up to which their keys are sent to all tasks (24 bytes each).
 DROP_BROADCAST = 2_000_000
 # Common units of measure.
@@ -116,18 +116,37 @@ def exact_windows(plain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]
 _HIT = "array<struct<h:long,at:int,form:string,slots:array<string>>>"
 
 
-def _finder(sizes: list[int], whole: bool, known: np.ndarray | None):
-    """Over (id, text): the windows, all of them or those among ``known``. ``whole``: short texts count as one window.
+def window_table(hashes: DataFrame, count: int) -> np.ndarray:
+    """A bit table of ``hashes(h)``, two bits each, of 64 times as many bits within FILTER_BITS; built by tasks, only its words are collected.
+
+    What passes it is joined exactly, so a table too small for its benchmark lets more through and loses nothing.
+    """
+    low, high = FILTER_BITS
+    words = 1 << min(max((64 * count).bit_length(), low), high) - 6
+    spots = F.array(*[F.struct(F.shiftrightunsigned("h", 6 + 26 * i).bitwiseAND(F.lit(words - 1)).alias("word"), F.shiftrightunsigned("h", 58 * i).bitwiseAND(F.lit(63)).cast("int").alias("bit")) for i in range(2)])
+    cells = hashes.select(F.inline(spots)).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    table = np.zeros(words, np.uint64)
+    table[np.asarray(cells.column("word").combine_chunks())] = np.asarray(cells.column("bits").combine_chunks()).view(np.uint64)
+    return table
+
+
+def _may_be(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether both bits of each hash are set; for most hashes one look is enough."""
+    mask, one = np.uint64(len(table) - 1), np.uint64(1)
+    out = (table[(h >> np.uint64(6) & mask).astype(np.int64)] >> (h & np.uint64(63)) & one).astype(bool)
+    at = np.flatnonzero(out)
+    out[at] = table[(h[at] >> np.uint64(32) & mask).astype(np.int64)] >> (h[at] >> np.uint64(58)) & one
+    return out
+
+
+def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
+    """Over (id, text): the windows, all of them or those that ``table`` may hold. ``whole``: short texts count as one window.
 
     The form of a window of the words themselves begins with \\1.
     """
 
     def run(batches):
         forms = _Forms()
-        table = None
-        if known is not None:
-            table = np.zeros(1 << 22, bool)
-            table[(known & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
         for b in batches:
             n, hits = [], []
             for text in b.column(1).to_pylist():
@@ -143,13 +162,7 @@ def _finder(sizes: list[int], whole: bool, known: np.ndarray | None):
                         h, ok = windows(tokens, slots, size, first)
                         ways.append((h, ok & names[: len(h)], slots, True))
                     for h, ok, slot_of, other in ways:
-                        if table is not None:
-                            ok = ok & table[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]
-                            at = np.flatnonzero(ok)
-                            if len(at):
-                                at = at[known[np.minimum(np.searchsorted(known, h[at]), len(known) - 1)] == h[at]]
-                        else:
-                            at = np.flatnonzero(ok)
+                        at = np.flatnonzero(ok if table is None else ok & _may_be(table, h))
                         for i in at.tolist():
                             cut = [w.strip(_EDGE).lower().decode("utf-8", "surrogatepass").lower().encode("utf-8", "replace").decode() for w in words[i : i + size]]
                             if slot_of is None:
@@ -174,7 +187,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     of one id are judged apart; very long texts are judged whole; extra columns are ignored; either table may be empty.
     ``keyed``: (doc_id, k0, k1) of the contaminated rows only; k0 and k1 are ``text_keys``.
     """
-    spark = small_batches(docs).sparkSession
+    small_batches(docs)
     items = benchmark.select(F.col("item_id").alias("id"), "text").mapInArrow(_finder([], True, None), f"id long, n int, hits {_HIT}")
     items = materialise(items.where("size(hits) > 0"), "templates")
     is_exact = lambda f: f.startswith("\1")
@@ -183,12 +196,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     total = total.withColumns({"exact": is_exact(F.col("form")), "windows": F.when(is_exact(F.col("form")), F.col("n_exact")).otherwise(F.col("n_all") - F.col("n_exact"))}).drop("n_exact", "n_all")
     total = total.withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots").withColumnRenamed("id", "item_id")
     sizes = [r.n for r in items.select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect()]  # WINDOW values at most
-    known = None
-    if total.count() <= FILTER_LIMIT:
-        known = np.unique(np.array([r.h for r in total.select("h").distinct().collect()], np.int64).view(np.uint64))
+    table = window_table(total.select("h").distinct(), total.count())
     key = F.struct(F.monotonically_increasing_id().alias("nr"), F.col(id_col).cast("long").alias("doc_id"), *text_keys(F.col(text_col)) * keyed)
     kind = "struct<nr:long,doc_id:long" + ",k0:long,k1:long" * keyed + ">"
-    found = docs.select(key.alias("id"), F.col(text_col).alias("text")).mapInArrow(_finder(sizes, False, known), f"id {kind}, n int, hits {_HIT}")
+    found = docs.select(key.alias("id"), F.col(text_col).alias("text")).mapInArrow(_finder(sizes, False, table), f"id {kind}, n int, hits {_HIT}")
     if keyed:
         found = found.where("size(hits) > 0")
     found = materialise(found.select("id.*", "hits"), "templates-found")
