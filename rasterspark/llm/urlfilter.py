@@ -52,7 +52,7 @@ def canonical(url: Column) -> Column:
 def rule_columns(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, else nulls; among equally long ones the first."""
     rule = verdict = F.lit(None).cast("string")
-    for kind, name, start in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):  # the longest is asked first
+    for kind, name, start in sorted(reversed(rules), key=lambda r: len(r[1]) + len(r[2])):  # the longest is asked first
         fits = ((h == name) | h.endswith("." + name)) & p.startswith(start)
         rule, verdict = F.when(fits, name + start).otherwise(rule), F.when(fits, kind).otherwise(verdict)
     return rule, verdict
@@ -68,13 +68,21 @@ def bloom(listed: DataFrame, blocks: int) -> DataFrame:
     return at.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(4)])
 
 
+def may_be_listed(probe: DataFrame, table: DataFrame, blocks: int, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
+    """Rows of ``probe(h, ...)`` whose four bits are all set in the table: all that are listed, and a few that are not."""
+    met = probe.withColumn("block", F.pmod("h", F.lit(blocks))).join(F.broadcast(table) if blocks <= broadcast_blocks else table, "block")  # a checked number of 40-byte rows
+    for i, bit in enumerate(_bits("h")):
+        met = met.where(F.col(f"w{i}").bitwiseAND(bit) != 0)
+    return met.drop("block", *[f"w{i}" for i in range(4)])
+
+
 def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, id_col: str = "page_id", url_col: str = "url", bits_per_url: int = BITS_PER_URL, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """(page_id, host, path, rule, verdict, listed): one row per row of ``pages``.
 
     A rule decides; without one, a URL on the list is blocked and all others are allowed. ``listed(url)`` are the
     listed URLs; by default those of ``pages`` whose host contains one of ``LISTED_WORDS``. Null URLs and those
-    without :// have empty host and path, no rule, and are on no list; repeated rows are judged each; an empty
-    list or table is no error.
+    without :// have empty host and path, no rule, and are on no list; very long ones are judged whole; repeated rows are
+    judged each; extra columns are ignored; an empty list or table is no error.
     """
     url = F.col(url_col)
     if listed is None:
@@ -85,10 +93,7 @@ def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, id_col
     rows = rows.withColumns({"h": F.xxhash64("canon"), "nr": F.monotonically_increasing_id()})
     rows = materialise(rows, "urls")
     table = bloom(known, blocks)
-    probe = rows.where("canon is not null and host <> ''").select("h").distinct().withColumn("block", F.pmod("h", F.lit(blocks)))
-    met = probe.join(F.broadcast(table) if blocks <= broadcast_blocks else table, "block")  # a checked number of 40-byte rows
-    for i, bit in enumerate(_bits("h")):
-        met = met.where(F.col(f"w{i}").bitwiseAND(bit) != 0)
+    met = may_be_listed(rows.where("canon is not null and host <> ''").select("h").distinct(), table, blocks, broadcast_blocks)
     # the exact join: distinct hashes that may be listed, then the URLs themselves
     hits = met.select("h").join(known, "h").select("h", "canon").withColumn("listed", F.lit(True))
     out = salted_join(rows, hits, ["h", "canon"], "left")
