@@ -6,7 +6,7 @@ the model learns these ids; each group also knows all groups before it.
 
 Three orders predict. Order 2 gives the id last seen behind the two ids before, with a confidence; order 1 gives
 the distribution of what followed the id before, order 0 that of all ids, both of the block so far and taken
-anew whenever it has grown by half. How far orders 2 and 1 can be trusted is an adaptive hit rate for each
+anew whenever it has doubled. How far orders 2 and 1 can be trusted is an adaptive hit rate for each
 confidence; an online logistic mixer weighs both rates, in integers throughout, so encoder and decoder agree on any
 machine. The id's interval is order 2's if that holds, else its share of order 1's, else of order 0's.
 Coders are carry-less range coders with 64-bit states that emit 16-bit words.
@@ -23,16 +23,17 @@ import zlib
 import numpy as np
 
 MAGIC, STEPS, GROUP, BLOCK = b"RSB2", 256, 16384, 1 << 21
-RENEW = 2  # distributions are taken anew when a block has grown by this part
+RENEW = 1  # distributions are taken anew when a block has grown by this part
 IDS = 1 << 16
 _HEAD = "<4sIIII"
 _PROB = 12  # bits of a hit rate
 _BASE = 18  # bits of the totals of orders 0 and 1
 _U = np.uint64
+_WIDTH = (1 << 20) - 1
 _TOP, _LOW = _U(1 << 48), _U(1 << 32)
 _STRETCH = np.array([round(256 * math.log((i + 0.5) / ((1 << _PROB) - i - 0.5))) for i in range(1 << _PROB)], np.int64)
 _SQUASH = np.array([min((1 << _PROB) - 32, max(32, round((1 << _PROB) / (1 + math.exp(-i / 256))))) for i in range(-2560, 2561)], np.int64)
-_CTX2, _TABLE = 20, 20  # bits of an order-2 context and of the encoder's table of pairs
+_CTX2, _TABLE = 18, 19  # bits of an order-2 context and of the encoder's table of pairs
 
 
 class Model:
@@ -43,8 +44,9 @@ class Model:
     not each lane.
     """
 
-    def __init__(self):
-        self.slot2 = np.zeros(1 << _CTX2, np.int64)  # id and, in the low three bits, confidence
+    def __init__(self, decoding: bool):
+        self.decoding = decoding
+        self.slot2 = np.zeros(1 << _CTX2, np.int32)  # id and, in the low three bits, confidence
         self.rate = np.full((2, 8), 1 << 15, np.int64)  # 16-bit hit rates by order and confidence
         self.weight = np.zeros((2, 8, 8), np.int64)  # of the other order, by both confidences; 1 << 16 is one
         self.count = np.ones(IDS, np.int64)
@@ -66,21 +68,22 @@ class Model:
         room = (1 << _BASE) - IDS
         freq = self.count * room // self.count.sum() + 1
         freq[int(freq.argmax())] += (1 << _BASE) - int(freq.sum())
-        self.freq = freq
-        self.start = np.concatenate([[0], np.cumsum(freq)[:-1]])
-        self.symbol = np.repeat(np.arange(IDS, dtype=np.uint16), freq)
+        self.share = (np.cumsum(freq) - freq) << 20 | freq  # start and width in one number
         before = self.pair >> 16
-        kinds, total = np.bincount(before, minlength=IDS), np.zeros(IDS, np.int64)
-        upto = np.concatenate([[0], np.cumsum(self.times)])
-        first = np.concatenate([[0], np.cumsum(kinds)])
+        kinds = np.bincount(before, minlength=IDS)
+        upto, first = np.concatenate([[0], np.cumsum(self.times)]), np.concatenate([[0], np.cumsum(kinds)])
         total = upto[first[1:]] - upto[first[:-1]]
-        own = upto[:-1] - upto[first[before]]
-        scaled = lambda c: (c << _BASE) // np.maximum(total[before], 1)
-        start1 = scaled(own)
-        self.freq1, self.start1 = scaled(own + self.times) - start1, start1
-        self.place, self.table = before << _BASE | start1, None
+        own, of = upto[:-1] - upto[first[before]], np.maximum(total[before], 1)
+        start1 = (own << _BASE) // of
+        self.share1 = start1 << 20 | ((own + self.times << _BASE) // of - start1)
         ratio = total // np.maximum(kinds, 1)
-        self.trust1 = np.minimum(np.where(kinds > 0, 1 + np.floor(np.log2(np.maximum(ratio, 1))).astype(np.int64), 0), 7)
+        self.trust1 = np.minimum(np.where(kinds > 0, 1 + np.floor(np.log2(np.maximum(ratio, 1))), 0), 7).astype(np.int8)
+        if self.decoding:
+            self.symbol, self.place = np.repeat(np.arange(IDS, dtype=np.uint16), freq), before << _BASE | start1
+        elif len(self.pair):
+            self.table = np.zeros(1 << _TABLE, np.int32)
+            rare_first = np.argsort(np.minimum(self.times, 65535).astype(np.uint16), kind="stable")
+            self.table[_slot(self.pair[rare_first])] = rare_first
 
     def predict(self, a: np.ndarray, b: np.ndarray):
         """After ids a, b (b the nearer): order 2's id and the shares of orders 1 and 2, of 1 << _PROB."""
@@ -107,10 +110,6 @@ class Model:
         """
         if not len(self.pair):
             return np.zeros(len(i), np.int64), np.zeros(len(i), bool)
-        if self.table is None:
-            self.table = np.zeros(1 << _TABLE, np.int32)
-            rare_first = np.argsort(np.minimum(self.times, 65535).astype(np.uint16), kind="stable")
-            self.table[_slot(self.pair[rare_first])] = rare_first
         key = self.b[i] << 16 | x[i]
         at = self.table[_slot(key)]
         return at, self.pair[at] == key
@@ -128,7 +127,7 @@ class Model:
             self.weight[order] += ((h << _PROB) - of * m) * s // np.maximum(of, 1) >> 10
         np.clip(self.weight, -(1 << 16), 1 << 16, out=self.weight)
         v, c = self.v2, self.c2
-        kept = np.where(c > 1, v - (c + 1 >> 1), ids << 3 | 1)
+        kept = np.where(c > 1, v - (c + 1 >> 1), ids.astype(np.int32) << 3 | 1)
         self.slot2[self.at2] = np.where(self.p2 == ids, v + (c < 7), kept)
         self.pending.append(self.b << 16 | ids)
         self.seen += len(ids)
@@ -181,7 +180,7 @@ def encode_block(ids: np.ndarray) -> bytes:
     grid = np.zeros(lanes * STEPS, np.int64)
     grid[:n] = ids
     grid = grid.reshape(lanes, STEPS).T.copy()
-    model = Model()
+    model = Model(False)
     words, owner = [], []
     with np.errstate(over="ignore"):
         for g in range(0, lanes, GROUP):
@@ -202,9 +201,10 @@ def encode_block(ids: np.ndarray) -> bytes:
                 i1, i0, j = i[known], i[~known], at[known]
                 hit1[i1] = True
                 q = q1[i1]
-                start[i1], freq[i1] = (q2[i1] << _BASE) + q * model.start1[j], q * model.freq1[j]
-                q, y = q1[i0] + q2[i0], x[i0]
-                start[i0], freq[i0] = (q << _BASE) + ((1 << _PROB) - q) * model.start[y], ((1 << _PROB) - q) * model.freq[y]
+                share = model.share1[j]
+                start[i1], freq[i1] = (q2[i1] << _BASE) + q * (share >> 20), q * (share & _WIDTH)
+                q, share = q1[i0] + q2[i0], model.share[x[i0]]
+                start[i0], freq[i0] = (q << _BASE) + ((1 << _PROB) - q) * (share >> 20), ((1 << _PROB) - q) * (share & _WIDTH)
                 start, freq = start.view(_U), freq.view(_U)
                 r = span[:k] >> _U(_PROB + _BASE)
                 low[:k] += start * r
@@ -246,7 +246,7 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
     words = np.concatenate([words, np.zeros(8, _U)])
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     grid = np.zeros((STEPS, lanes), np.int64)
-    model = Model()
+    model = Model(True)
     with np.errstate(over="ignore"):
         for g in range(0, lanes, GROUP):
             m = min(GROUP, lanes - g)
@@ -265,16 +265,18 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
                 v = np.minimum((value[:k] - low[:k]) // r, _U((1 << _PROB + _BASE) - 1)).astype(np.int64)
                 e = v >> _BASE
                 hit2, hit1 = e < q2, (e >= q2) & (e < q1 + q2)
-                x, start, freq = p2.copy(), np.zeros(k, np.int64), q2 << _BASE
+                x, start, freq = p2.astype(np.int64), np.zeros(k, np.int64), q2 << _BASE
                 i = np.flatnonzero(hit1)
                 if len(i):
                     q, before = q1[i], q2[i] << _BASE
                     j = _search(model.place, (b[:k][i] << _BASE | (v[i] - before) // q) + 1) - 1
-                    x[i], start[i], freq[i] = model.pair[j] & 0xFFFF, before + q * model.start1[j], q * model.freq1[j]
+                    share = model.share1[j]
+                    x[i], start[i], freq[i] = model.pair[j] & 0xFFFF, before + q * (share >> 20), q * (share & _WIDTH)
                 i = np.flatnonzero(~(hit1 | hit2))
                 q = q1[i] + q2[i]
                 y = model.symbol[(v[i] - (q << _BASE)) // ((1 << _PROB) - q)]
-                x[i], start[i], freq[i] = y, (q << _BASE) + ((1 << _PROB) - q) * model.start[y], ((1 << _PROB) - q) * model.freq[y]
+                share = model.share[y]
+                x[i], start[i], freq[i] = y, (q << _BASE) + ((1 << _PROB) - q) * (share >> 20), ((1 << _PROB) - q) * (share & _WIDTH)
                 start, freq = start.view(_U), freq.view(_U)
                 low[:k] += start * r
                 span[:k] = freq * r

@@ -34,6 +34,8 @@ _WORD_END = "</w>"
 _CUTS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
 #: A word of Latin letters with marks before and after it; no apostrophe, which may be cut with letters behind it.
 _SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
+#: Latin letters beyond ASCII as the two characters that byte-level vocabularies have for their bytes.
+_BYTES = {c: "".join(chr(b if b > 160 and b != 173 else 323 if b == 173 else 162 + b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 _loaded: dict = {}
 
 
@@ -59,7 +61,7 @@ class WordIds:
     LIMIT = 1_500_000
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         parts = json.loads(self.tokenizer.to_str())
@@ -67,7 +69,12 @@ class WordIds:
             raise ValueError(f"ids must be below {IDS}")
         steps = (parts["pre_tokenizer"] or {}).get("pretokenizers", [parts["pre_tokenizer"]])
         lower = any(n["type"] == "Lowercase" for n in (parts["normalizer"] or {}).get("normalizers", [parts["normalizer"] or {"type": None}]))
-        self.by_word = lower and bool(steps) and steps[0] == _CUTS and parts["model"].get("end_of_word_suffix") == _WORD_END
+        model = parts["model"]
+        self.by_word = lower and bool(steps) and steps[0] == _CUTS and steps[-1]["type"] == "ByteLevel" and parts["model"].get("end_of_word_suffix") == _WORD_END
+        if self.by_word:
+            bare = models.BPE(model["vocab"], [tuple(m) for m in model["merges"]], end_of_word_suffix=_WORD_END, cache_capacity=0)
+            self.model = Tokenizer(bare)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.zeros(IDS, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(_WORD_END)]] = True
         self._clear()
@@ -79,30 +86,31 @@ class WordIds:
     def _learn(self, words: list[bytes]) -> None:
         """Ask the library for words that are new.
 
-        A word of ASCII letters goes straight to the vocabulary's model. A simple word is cut into up to three pieces, each of
-        which ends with an id that carries the word-end mark; such words go to the library many in a line and are
-        told apart by these marks. All others go one by one.
+        A simple word has up to three pieces, each of which ends with an id that carries the word-end mark. Such words go to
+        the vocabulary's model many in a line, spaces between their pieces, and are told apart by these marks. All others, what
+        may hold a special token among them, go to the library one by one.
         """
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
         start, size, flat, n = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [self.flat], len(self.flat)
-        pieces, model = np.zeros(len(texts), np.int64), self.tokenizer.model
-        plain, ids, upto = [], [], []
+        many: list[int] | np.ndarray = []
+        lines, pieces, alone = [], [], []
         for i, t in enumerate(texts):
-            if t.isalpha() and t.isascii():  # one piece, and nothing to normalise
-                ids += [x.id for x in model.tokenize(t.lower())]
-                plain.append(i)
-                upto.append(len(ids))
-            elif m := _SIMPLE.fullmatch(t):
-                pieces[i] = sum(map(bool, m.groups())) if m[2] else 1
-        size[plain] = np.diff(upto, prepend=0)
-        start[plain], pieces[plain] = n + np.array(upto, np.int64) - size[plain], -1
-        flat.append(np.array(ids, np.uint16))
-        n += len(ids)
-        many, alone = np.flatnonzero(pieces > 0), np.flatnonzero(pieces == 0).tolist()
-        for k in range(0, len(many), 500):
-            part = many[k : k + 500]
-            got = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, np.uint16)
-            cut, last = np.flatnonzero(self.ends[got]) + 1, np.cumsum(pieces[part]) - 1
+            if t.isalpha() and t.isascii():
+                lines.append(t.lower())
+                pieces.append(1)
+            elif "<|" not in t and (m := _SIMPLE.fullmatch(t)):
+                parts = [x for x in m.groups() if x]
+                lines.append(" ".join(parts).lower().translate(_BYTES))
+                pieces.append(len(parts))
+            else:
+                alone.append(i)
+                continue
+            many.append(i)
+        many, pieces = np.array(many, np.int64), np.array(pieces, np.int64)
+        for k in range(0, len(many), 2000):
+            part = many[k : k + 2000]
+            got = np.array(self.model.encode_batch_fast([" ".join(lines[k : k + 2000])], add_special_tokens=False)[0].ids, np.uint16)
+            cut, last = np.flatnonzero(self.ends[got]) + 1, np.cumsum(pieces[k : k + 2000]) - 1
             if len(cut) != last[-1] + 1 or cut[-1] != len(got):
                 alone += part.tolist()
                 continue
