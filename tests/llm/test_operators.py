@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from rasterspark.llm import decontaminate, minhash, mixing, quality_model, rangecoder, rules, secrets, simhash, substrings, tokens, urlfilter, warc
 from rasterspark.llm.common import components
@@ -185,7 +186,17 @@ def test_substrings_forked(spark):
             w[int(rng.integers(0, len(w)))] = f"new{i}"
         texts[i] = " ".join(w)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r.doc_id: tuple(r)[1:] for r in substrings.cut_repeats(df).collect()} == slow_cut(texts)
+    for words in (2_000_000, 500, 60):  # groups of any size, parted by longer and longer prefixes, and by whole heads
+        assert {r.doc_id: tuple(r)[1:] for r in substrings.cut_repeats(df, words=words).collect()} == slow_cut(texts)
+
+
+def test_subtrees_compare_words():
+    words = [f"w{i}" for i in range(60)]
+    other = [*words[:49], "new", *words[50:]]
+    rows = [(1, 5, 0, 0, 11, " ".join(words)), (1, 7, 0, 3, 11, " ".join(words)), (1, 9, 0, 0, 11, " ".join(other))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), substrings._RUN_TYPES)], substrings._RUN)
+    got = {(r["doc_id"], r["at"]) for r in substrings._subtrees(batch).to_pylist()}
+    assert got == {(7, 3 + j) for j in range(11)}  # of the other 49 words in a row at most
 
 
 def test_classifier(spark):
@@ -227,6 +238,28 @@ def test_secrets(docs):
         assert set(filter(None, line.split(","))) <= set(got[r.doc_id].spans.split(","))
 
 
+def test_unseen_formats_are_found(spark):
+    """Planted secrets of formats that neither the patterns nor the examples know."""
+    rng, alnum = np.random.default_rng(8), secrets._ALNUM
+    formats = {"mail": ("SG.", (alnum, 22, 22), ".", (alnum + "_-", 43, 43)), "package": ("npm_", (alnum, 36, 36)), "letters": ((secrets._UPPER + secrets._LOWER, 24, 24),), "map": ("AIza", (alnum + "_-", 35, 35)), "key line": ((alnum + "+/", 64, 64),), "lab": ("glpat-", (alnum + "_-", 20, 20))}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    planted = []
+    texts = [r.text for r in docs.where("length(text) > 300").orderBy("doc_id").limit(240).collect()]
+    for i, t in enumerate(texts):
+        name = list(formats)[i % len(formats)]
+        s, cut = secrets.made_secret(formats[name], rng), t.rfind(" ", 0, 150) + 1
+        planted.append((1_000_000 + i, f"{t[:cut]}{s} {t[cut:]}", name, cut, cut + len(s)))
+    df = docs.union(spark.createDataFrame([p[:2] for p in planted], docs.schema))
+    got = by_id(secrets.scan(df).collect())
+    hit = collections.Counter()
+    for i, _, name, s, e in planted:
+        spans = [x.split(":") for x in got[i].spans.split(",") if x]
+        hit[name] += any(int(a) < e and s < int(b) for _, a, b in spans)
+    assert all(hit[name] >= 0.9 * len(planted) / len(formats) for name in formats), hit
+    clean = [r for i, r in got.items() if i < 1_000_000]
+    assert sum("net:" in r.spans for r in clean) <= 0.01 * len(clean)
+
+
 def test_network_learns():
     rng = np.random.default_rng(0)
     hexes = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(200)]
@@ -265,7 +298,7 @@ def test_token_files(docs):
 
 
 def test_words_one_by_one():
-    texts = ["It's İstanbul <|endoftext|>x <|ENDOFTEXT|> ça—va ０１２ don't!! e\u0301a straße. ǅ ªº", None, "", "a.b, ... — —. x\u00a0y\x1cz", "S'T 'LL.", "it's. o'clock, I'm. ÉÀ. ß,"]
+    texts = ["It's İstanbul <|endoftext|>x <|ENDOFTEXT|> ça—va ０１２ don't!! e\u0301a straße. ǅ ªº", None, "", "a.b, ... — —. x\u00a0y\x1cz", "S'T 'LL.", "it's. o'clock, I'm. ÉÀ. ß,", "(Straße) <|endoftext|> <|x|> \"çà!\" ÿ÷×Þ A-B __a__ $$$"]
     w = tokens.WordIds(tokens.default_vocabulary())
     ids, counts = w.encode(pa.array(texts), None)
     assert w.by_word
@@ -348,6 +381,22 @@ def test_list_decides_without_a_rule(spark):
     assert [got[i] for i in range(6)] == ["allow"] * 3 + ["block", "block", "allow"]
 
 
+def test_bloom_misses_nothing_and_passes_little(spark):
+    listed = spark.range(5000).select(F.xxhash64(F.concat(F.lit("bad.example/"), F.col("id"))).alias("h"))
+    others = spark.range(40_000).select(F.xxhash64(F.concat(F.lit("good.example/"), F.col("id"))).alias("h"))
+    blocks = 5000 * urlfilter.BITS_PER_URL // 256
+    table = urlfilter.bloom(listed, blocks)
+    for limit in (0, 1 << 18):  # joined by shuffle, broadcast
+        assert urlfilter.may_be_listed(listed, table, blocks, limit).count() == 5000
+        assert 0 < urlfilter.may_be_listed(others, table, blocks, limit).count() < 0.01 * 40_000
+
+
+def test_first_of_equally_long_rules(spark):
+    rules_ = (("block", "a.net", "/"), ("allow", "net", "/xx"))
+    rule, verdict = urlfilter.rule_columns(F.lit("a.net"), F.lit("/xx"), rules_)
+    assert tuple(spark.range(1).select(rule, verdict).first()) == ("a.net/", "block")
+
+
 def slow_counts(t):
     t = t or ""
     w = WORD.findall(t)
@@ -364,19 +413,32 @@ def test_rules(docs, labels):
         assert got[r.doc_id][:6] == slow_counts(r.text) and not (got[r.doc_id][5] and got[r.doc_id][6])
 
 
-def test_thresholds_are_certified(spark):
+def slow_level(reaches, bands):
+    """The strictest level that no more than the binomial tail allows of the good documents fail."""
     import math
 
-    rows = [(i, f"{i}", 0.05 if i % 500 else 0.3, 1 if i < 4000 else 0) for i in range(6000)]
-    df = spark.createDataFrame(rows, "doc_id long, t string, symbols_per_word double, quality int")
-    judged = df.selectExpr("doc_id", "symbols_per_word", "0.0D as dup_line_share", "0.0D as repeat_share", "5.0D as chars_per_word", "0.0D as capital_share", "0 as stratum", "false as base_failed")
-    cut = rules.thresholds(judged, df.select("doc_id", "quality")).first()
-    level, rate = rules.DELTA / (len(rules.GRID) * 3), rules.RISK / len(rules.GRID)
-    best = None
-    for c in rules.GRID["symbols_per_word"]:
-        k = sum(q == 1 and v > c for _, _, v, q in rows)
-        p = sum(math.comb(4000, i) * rate**i * (1 - rate) ** (4000 - i) for i in range(k + 1))
-        if p > level:
-            break
-        best = c
-    assert cut.cut_symbols_per_word == best
+    n, best = len(reaches), -1
+    for i in range(rules.LEVELS):
+        k = sum(r <= i for r in reaches)
+        if k >= n * rules.RISK or sum(math.comb(n, j) * rules.RISK**j * (1 - rules.RISK) ** (n - j) for j in range(k + 1)) > rules.DELTA / bands:
+            return best
+        best = i
+    return best
+
+
+@pytest.mark.parametrize("sizes,strata", [((900, 700, 800), (0, 1, 2)), ((100, 150, 800), (0, 0, 1)), ((100, 50, 20), (0, 0, 0)), ((900, 50, 20), (0, 0, 0)), ((900, 150, 120), (0, 1, 1)), ((0, 0, 0), (0, 0, 0))])
+def test_levels_are_certified(spark, sizes, strata):
+    rng = np.random.default_rng(5)
+    rows = [(b * 10_000 + i, b, int(9 - min(9, rng.geometric(0.7) - 1)), 1) for b, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame([*rows, (99_999, 1, 0, 0), (99_998, 1, 0, None)], "doc_id long, band int, reach int, quality int")
+    got = {r.band: r for r in rules.thresholds(df.withColumn("base_failed", F.lit(False)), df.select("doc_id", "quality")).collect()}
+    for b in range(3):
+        mine = [r[2] for r in rows if strata[r[1]] == strata[b]]
+        assert (got[b].stratum, got[b].n, got[b].level) == (strata[b], len(mine), slow_level(mine, 3))
+
+
+def test_rules_decide_beyond_the_base_rules(spark):
+    d, lab = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = rules.assess(d, lab).where("not base_failed").join(lab, "doc_id").collect()
+    bad, good = ([r for r in rows if r.quality == q] for q in (0, 1))
+    assert any(not r.kept for r in bad) and sum(not r.kept for r in good) <= rules.RISK * len(good)
