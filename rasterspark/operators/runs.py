@@ -101,15 +101,41 @@ def with_price(machines: DataFrame, prices: DataFrame, default_type) -> DataFram
     return j.withColumn("provenance", origin).withColumn("hourly", F.coalesce("hourly", "_default")).drop("_default")
 
 
+BUCKET = "hour"  # of telemetry: what one task orders is one unit's bucket, what is carried over is a row per bucket
+
+
+def running(df: DataFrame, unit: str, ts: str, order: list[str], sums: list[str]) -> DataFrame:
+    """``df`` with the running sums of columns by unit, each under the column's own name with an underscore.
+
+    Sums run within a unit's time buckets; what the buckets before add is carried, so a unit with very many rows is no single task.
+    """
+    b = df.withColumn("_bucket", F.date_trunc(BUCKET, ts))
+    totals = b.groupBy(unit, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    before = Window.partitionBy(unit).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(unit, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_c_{c}") for c in sums])
+    within = Window.partitionBy(unit, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = b.join(carried, [unit, "_bucket"]).withColumns({f"{c}_": F.sum(c).over(within) + F.col(f"_c_{c}") for c in sums})
+    return out.drop("_bucket", *[f"_c_{c}" for c in sums])
+
+
+def previous(df: DataFrame, unit: str, ts: str, order: list[str], cols: list[str]) -> DataFrame:
+    """``df`` with the unit's row before each row, as the struct _prev of ``cols``; null for the first. Rows are ordered within time buckets."""
+    b = df.withColumn("_bucket", F.date_trunc(BUCKET, ts))
+    last = b.groupBy(unit, "_bucket").agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
+    carried = last.select(unit, "_bucket", F.lag("_last").over(Window.partitionBy(unit).orderBy("_bucket")).alias("_carried"))
+    within = Window.partitionBy(unit, "_bucket").orderBy(*order)
+    j = b.join(carried, [unit, "_bucket"])
+    return j.withColumn("_prev", F.coalesce(F.lag(F.struct(*cols)).over(within), F.col("_carried"))).drop("_bucket", "_carried")
+
+
 def timeline(samples: DataFrame, tasks: DataFrame) -> DataFrame:
     """(worker, ts, active, finished): tasks running and done as of each sample; a start or end at that moment counts."""
     end = F.timestamp_micros(F.unix_micros("started") + (F.col("seconds") * 1_000_000).cast("long"))
     ev = tasks.select("worker", F.col("started").alias("ts"), F.lit(1).alias("up"), F.lit(0).alias("down"), F.lit(0).alias("kind"))
     ev = ev.unionAll(tasks.select("worker", end.alias("ts"), F.lit(0), F.lit(1), F.lit(0)))
     ev = ev.unionAll(samples.select("worker", "ts", F.lit(0), F.lit(0), F.lit(1)))
-    w = Window.partitionBy("worker").orderBy("ts", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    run = ev.select("worker", "ts", "kind", F.sum("up").over(w).alias("u"), F.sum("down").over(w).alias("finished"))
-    return run.where("kind = 1").select("worker", "ts", (F.col("u") - F.col("finished")).alias("active"), "finished")
+    run = running(ev, "worker", "ts", ["ts", "kind"], ["up", "down"])
+    return run.where("kind = 1").select("worker", "ts", (F.col("up_") - F.col("down_")).alias("active"), F.col("down_").alias("finished"))
 
 
 def plan_comparison(plan: DataFrame, results: DataFrame) -> DataFrame:
@@ -208,16 +234,15 @@ def scenes_per_tile(scenes: DataFrame) -> DataFrame:
 
 def rates(samples: DataFrame, counter: str, unit: str = "tile") -> DataFrame:
     """A counter's rate since the sample before; negative ones and the first are 0."""
-    w = Window.partitionBy(unit).orderBy("updated_at", "event_id")
-    dt = F.unix_micros(F.col("updated_at")) - F.unix_micros(F.lag("updated_at").over(w))
-    dv = F.col(counter) - F.lag(counter).over(w)
-    return samples.withColumn("rate", F.coalesce(F.greatest(dv / F.nullif(dt / 1e6, F.lit(0.0)), F.lit(0.0)), F.lit(0.0)))
+    j = previous(samples, unit, "updated_at", ["updated_at", "event_id"], ["updated_at", counter])
+    seconds = (F.unix_micros("updated_at") - F.unix_micros("_prev.updated_at")) / 1e6
+    rate = (F.col(counter) - F.col(f"_prev.{counter}")) / F.nullif(seconds, F.lit(0.0))
+    return j.withColumn("rate", F.coalesce(F.greatest(rate, F.lit(0.0)), F.lit(0.0))).drop("_prev")
 
 
 def peak_resident(events: DataFrame) -> DataFrame:
     """Most bytes held at once, of ``events(worker, ts, delta, event_id)``."""
-    w = Window.partitionBy("worker").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("held", F.sum("delta").over(w)).groupBy("worker").agg(F.max("held").alias("peak"))
+    return running(events, "worker", "ts", ["ts", "event_id"], ["delta"]).groupBy("worker").agg(F.max("delta_").alias("peak"))
 
 
 def epochs(beats: DataFrame) -> DataFrame:
@@ -226,15 +251,22 @@ def epochs(beats: DataFrame) -> DataFrame:
     (tile, beats, rate, rate5, eta_s): tasks a second over the last step and over up to five beats, and the seconds left by the
     latter; null where time stood still or nothing was done.
     """
-    w = Window.partitionBy("tile").orderBy("updated_at", "event_id")
-    same = (F.col("seq") == F.lag("seq").over(w)) & (F.col("done") >= F.lag("done").over(w))
-    e = beats.withColumn("_new", F.when(same, 0).otherwise(1)).withColumn("_epoch", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    in_ = Window.partitionBy("tile", "_epoch").orderBy("updated_at", "event_id")
-    e = e.withColumn("beats", F.row_number().over(in_))
-    last5 = in_.rowsBetween(1 - RATE_WINDOW, 0)
-    e = e.withColumns({"rate": per_second(F.lag("done").over(in_), F.lag("updated_at").over(in_)), "rate5": per_second(F.first("done").over(last5), F.first("updated_at").over(last5))})
-    newest_ = e.groupBy("tile").agg(F.max_by(F.struct("beats", "rate", "rate5", "done", "total"), F.struct("_epoch", "beats")).alias("s"))
-    return newest_.select("tile", "s.beats", "s.rate", "s.rate5", eta(F.col("s.total"), F.col("s.done"), F.col("s.rate5")).alias("eta_s"))
+    order = ["updated_at", "event_id"]
+    e = previous(beats, "tile", "updated_at", order, ["seq", "done"])
+    same = (F.col("seq") == F.col("_prev.seq")) & (F.col("done") >= F.col("_prev.done"))
+    e = e.withColumn("_at", F.struct(*order)).withColumn("_new", ~F.coalesce(same, F.lit(False)))
+    begun = e.groupBy("tile").agg(F.max(F.when(F.col("_new"), F.col("_at"))).alias("_begun"))  # the epoch it is in began last
+    e = e.join(begun, "tile").where("_at >= _begun")
+    n = e.groupBy("tile").agg(F.count("*").alias("beats"))
+    recent = e.withColumn("_bucket", F.date_trunc(BUCKET, "updated_at"))
+    for by in (["tile", "_bucket"], ["tile"]):  # the newest of each bucket, then of these
+        newest_first = Window.partitionBy(*by).orderBy(F.desc("_at"))
+        recent = recent.withColumn("_k", F.row_number().over(newest_first)).where(F.col("_k") <= RATE_WINDOW)
+    row = F.struct("updated_at", "done", "total")
+    got = recent.groupBy("tile").agg(F.max(F.when(F.col("_k") == 1, row)).alias("b"), F.max(F.when(F.col("_k") == 2, row)).alias("p"), F.max_by(row, "_k").alias("f")).join(n, "tile")
+    flat = got.select("tile", "beats", F.col("b.updated_at").alias("updated_at"), F.col("b.done").alias("done"), F.col("b.total").alias("total"), "p", "f")
+    flat = flat.withColumns({"rate": per_second(F.col("p.done"), F.col("p.updated_at")), "rate5": per_second(F.col("f.done"), F.col("f.updated_at"))})
+    return flat.select("tile", "beats", "rate", "rate5", eta(F.col("total"), F.col("done"), F.col("rate5")).alias("eta_s"))
 
 
 def per_second(done: Column, at: Column) -> Column:
@@ -250,9 +282,9 @@ def eta(total: Column, done: Column, rate: Column) -> Column:
 
 def sample_gaps(beats: DataFrame, limit_s: float = 2.0) -> DataFrame:
     """Mean and largest gap between beats and the number above a limit."""
-    w = Window.partitionBy("tile").orderBy("updated_at", "event_id")
-    gap = (F.unix_micros("updated_at") - F.unix_micros(F.lag("updated_at").over(w))) / 1e6
-    return beats.select(gap.alias("g")).where("g is not null").agg(F.avg("g").alias("mean"), F.max("g").alias("max"), F.count_if(F.col("g") > limit_s).alias("over"))
+    j = previous(beats, "tile", "updated_at", ["updated_at", "event_id"], ["updated_at"])
+    gap = (F.unix_micros("updated_at") - F.unix_micros("_prev.updated_at")) / 1e6
+    return j.select(gap.alias("g")).where("g is not null").agg(F.avg("g").alias("mean"), F.max("g").alias("max"), F.count_if(F.col("g") > limit_s).alias("over"))
 
 
 def late_attach(beats: DataFrame, started: Column, interval_s: float) -> DataFrame:
