@@ -15,7 +15,11 @@ from ..sources.fixtures import load, with_tables
 from .tile import _COMP, _V, HOT, _comp, _dn, _round, _values
 
 _HOT = HOT
-_PIX = f"{_COMP}, pix as (select comp.*, cast(floor(y / 5) as bigint) as r, cast(floor(x / 5) as bigint) as k, case when lst is null then 'missing' when lst >= {_HOT} then 'hot' else 'cool' end as state from comp), gaps as (select \"row\" as r, col as k from cells where numobs = 0)"
+_PIX = f"""{_COMP}, pix as (select comp.*, cast(floor(y / 5) as bigint) as r, cast(floor(x / 5) as bigint) as k, case when lst is null then 'missing' when lst >= {_HOT} then 'hot' else 'cool' end as state
+        from comp),
+        gaps as (select \"row\" as r, col as k
+        from cells
+        where numobs = 0)"""
 
 
 def _pixels(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +78,10 @@ def _edges(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("poly_id", "class", F.inline(F.array(*sides)))
 
 
-_DIAMOND = "dia as (select id % 4 as class, id * 7 % 20 + 2.25e0 as cx, id * 11 % 20 + 2.35e0 as cy, id % 3 + 1.5e0 as r from places), pxl as (select y, x from range(24) a(y), range(24) b(x))"
+_DIAMOND = """dia as (select id % 4 as class, id * 7 % 20 + 2.25e0 as cx, id * 11 % 20 + 2.35e0 as cy, id % 3 + 1.5e0 as r
+        from places),
+        pxl as (select y, x
+        from range(24) a(y), range(24) b(x))"""
 
 
 def granule_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,38 +133,251 @@ def _absent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    "gap_composite": (gap_composite, with_tables("obs land cells", f"with {_COMP}, big as (select distinct \"row\" + dr as r, (((col + dc) % 36000) + 36000) % 36000 as k from cells, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc) where numobs = 0), l as (select tile, y, x, true as land from land), j as (select comp.tile, comp.y, comp.x, case when land then n else 0 end as n, case when land then lst end as lst, (floor(comp.y / 5), floor(comp.x / 5)) in (select (r, k) from big) as in_gap from comp left join l on comp.tile = l.tile and comp.y = l.y and comp.x = l.x) select tile, y, x, in_gap, n, round(case when in_gap and lst >= {_HOT} then null else lst end, 4) as lst from j")),
-    "land_observations": (lambda spark, sf: m.mask_land(_dn(spark, sf), load(spark, sf, "land")).groupBy("scene_ts").agg(F.count("*").alias("n")), with_tables("obs land", f"with {_V} select scene_ts, count(*) as n from dn join land on dn.tile = land.tile and dn.y = land.y and dn.x = land.x group by scene_ts")),
-    "tier_cross_tab": (tier_cross_tab, with_tables("obs cells", f"with {_PIX}, p2 as (select pix.state, case when numobs < 0 then 'absent' else cast(least(numobs, 4) as varchar) end as tier from pix join cells on pix.r = cells.\"row\" and pix.k = cells.col), gr as (select tier, state, count(*) as n from p2 group by tier, state), t as (select tier, sum(n) as t, coalesce(sum(n) filter (state = 'hot'), 0) as th from gr group by tier), al as (select sum(n) as a, coalesce(sum(n) filter (state = 'hot'), 0) as ah from gr) select gr.tier, state, n, round(n / t, 4) as share, round(th / t, 4) as hot_rate, round((th / t) / nullif(ah / a, 0), 4) as enrichment from gr join t on gr.tier = t.tier, al")),
-    "coverage_tiers": (coverage_tiers, with_tables("cells", "select case when col = 4 then null when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier, count(*) as n from cells group by 1")),
-    "mask_tradeoffs": (lambda spark, sf: a.tradeoffs(_pixels(spark, sf), _gaps(spark, sf)), with_tables("obs cells", f"with {_PIX}, big as (select distinct r + dr as r, k + dc as k from gaps, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc)), h as (select 'grow0' as rule, state from pix where (r, k) in (select (r, k) from gaps) union all select 'grow1', state from pix where (r, k) in (select (r, k) from big)) select rule, count(*) filter (state = 'cool') as cool, count(*) filter (state = 'hot') as hot, count(*) filter (state = 'missing') as missing from h group by rule union all select rule || '_hot', 0, count(*) filter (state = 'hot'), 0 from h group by rule")),
-    "registration_scan": (lambda spark, sf: a.registration(_pixels(spark, sf), _gaps(spark, sf)), with_tables("obs cells", f"with {_PIX}, s as (select dr, dc from range(-2, 3) a(dr), range(-2, 3) b(dc)) select cast(dr as int) as dr, cast(dc as int) as dc, count(gaps.r) as hits from s join pix on state = 'hot' left join gaps on pix.r + dr = gaps.r and pix.k + dc = gaps.k group by dr, dc")),
-    "registration_best": (lambda spark, sf: a.best_shift(a.registration(_pixels(spark, sf), _gaps(spark, sf))), with_tables("obs cells", f"with {_PIX}, s as (select dr, dc from range(-2, 3) a(dr), range(-2, 3) b(dc)), h as (select cast(dr as int) as dr, cast(dc as int) as dc, count(gaps.r) as hits from s join pix on state = 'hot' left join gaps on pix.r + dr = gaps.r and pix.k + dc = gaps.k group by dr, dc) select dr, dc, hits from h order by hits desc, abs(dr) + abs(dc), dr, dc limit 1")),
-    "class_gap_shares": (class_areas, with_tables("classes cells", f"with {_MOLL}, t as (select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier from moll join cells on floor((90 - lat) / 36) = \"row\" and floor((lon + 180) / 72) = col), u as (select cast(class as varchar) as c, tier from t union all select 'all', tier from t union all select 'urban', tier from t where class in (2, 3)) select c as class, round(count(*) filter (tier = 'gap') / count(*), 4) as gap_share from u group by c")),
-    "class_cells": (lambda spark, sf: a.cells_of_class(_classes(spark, sf), (2, 3)), with_tables("classes", f"with {_MOLL} select distinct cast(floor(lat) as int) as lat, cast(floor(lon) as int) as lon from moll where class in (2, 3)")),
-    "polygon_raster": (lambda spark, sf: m.rasterise(_edges(spark, sf), 24, 24), with_tables("places", f"with {_DIAMOND} select y, x, max(class) as class from pxl, dia where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r group by y, x")),
-    "polygon_buffer": (lambda spark, sf: m.buffered_mask(_edges(spark, sf), 24, 24, 0.8), with_tables("places", f"with {_DIAMOND}, sd as (select cx + r * ax as x0, cy + r * ay as y0, cx + r * bx as x1, cy + r * by_ as y1 from dia, (values (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) v(ax, ay, bx, by_)), nr as (select y, x, x0, y0, x1 - x0 as dx, y1 - y0 as dy, greatest(0.0e0, least(1.0e0, ((x + 0.5e0 - x0) * (x1 - x0) + (y + 0.5e0 - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) as t from pxl, sd) select y, x from pxl, dia where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r union select y, x from nr where pow(x + 0.5e0 - x0 - t * dx, 2) + pow(y + 0.5e0 - y0 - t * dy, 2) <= 0.64e0")),
-    "gap_validation": (lambda spark, sf: a.validate(m.flag_gap(m.with_cell(p := _comp(spark, sf), 5), _gaps(spark, sf)).where("in_gap").select("tile", "y", "x"), p.where("n < 30").select("tile", "y", "x"), load(spark, sf, "land")), with_tables("obs land cells", f"with {_PIX}, j as (select (r, k) in (select (r, k) from gaps) as p, n < 30 as o from pix join land on pix.tile = land.tile and pix.y = land.y and pix.x = land.x) select count(*) filter (p and o) as hits, count(*) filter (not p and o) as misses, count(*) filter (p and not o) as false_alarms from j")),
-    "granule_coverage": (granule_coverage, with_tables("places", f"with {_GRAN} select (select array_to_string(list_slice(list_sort(list(granule)), 1, 25), ',') from mis) as sample, (select count(*) from g) as expected, (select count(*) from mis) as missing, (select count(*) from have where granule not in (select granule from g)) as extra, (select count(*) from mis where core) as missing_core, (select count(*) from mis where granule not in (select granule from listed)) as absent_upstream, (select count(*) from mis where granule in (select granule from listed)) as fetchable, (select count(distinct tile) from need where granule in (select granule from mis) and granule in (select granule from listed)) as tiles_affected, (select count(distinct tile) from need where core and granule in (select granule from mis) and granule in (select granule from listed)) as core_tiles_affected")),
-    "absent_granules": (_absent, "select cast(s_suppkey as varchar) as granule, case when s_suppkey % 3 = 0 then 'absent-upstream' when s_suppkey % 5 = 0 then 'absent-outside-fetch-domain' else 'absent-within-fetch-domain' end as label, case when s_suppkey % 3 = 0 then 'absent-upstream' else 'absent-unverified-upstream' end as without_domain from supplier where s_suppkey % 2 = 0"),
-    "inventory_check": (lambda spark, sf: a.check_inventory(i := load(spark, sf, "supplier").select(F.lit("p").alias("product"), F.lit("3").alias("version"), F.col("s_name").alias("granule")), "p", "3", i.count()), "with b as (select substr(sha256(s_name), 1, 3) as block, count(*) as n, sha256(string_agg(s_name, chr(10) order by s_name)) as sha from supplier group by 1) select cast(sum(n) as bigint) as n, sha256(string_agg(sha, chr(10) order by block)) as names_sha256 from b"),
-    "gap_manifest": (lambda spark, sf: a.gap_table(_granule_cells(spark, sf).where("granule not like '%9'"), _granule_cells(spark, sf))[1], "with c as (select distinct o_orderkey % 40 || '_' || o_custkey % 30 as granule from orders) select granule, case when granule like '%9' then 'absent' else 'consumed' end as status from c"),
-    "gap_table": (lambda spark, sf: a.gap_table(_granule_cells(spark, sf), _granule_cells(spark, sf))[0].groupBy("granule").agg(F.count("*").alias("gaps")), "select o_orderkey % 40 || '_' || o_custkey % 30 as granule, count(*) as gaps from orders where o_orderkey % 6 = 1 group by 1"),
-    "content_hash": (lambda spark, sf: a.content_hash(load(spark, sf, "orders").select((F.col("o_orderkey") * 37 % 18000).alias("row"), (F.col("o_custkey") * 91 % 36000).alias("col")).distinct(), load(spark, sf, "supplier").select(F.col("s_name").alias("granule"), F.sha2("s_name", 256).alias("sha256")), load(spark, sf, "customer").where("c_custkey % 9 = 0").select(F.col("c_name").alias("granule")), "AG1km", {"short_name": "AG1km", "version": "003", "granule_count": 12}), "with g as (select distinct o_orderkey * 37 % 18000 as r, o_custkey * 91 % 36000 as c from orders), l as (select 'gaps ' || (r // 100) || ' ' || (c // 100) || ' ' || sha256(string_agg(r || ' ' || c, chr(10) order by r, c)) as line from g group by r // 100, c // 100 union all select 'consumed ' || s_name || ' ' || sha256(s_name) from supplier union all select 'absent-upstream ' || c_name from customer where c_custkey % 9 = 0) select sha256('product AG1km' || chr(10) || 'inventory short_name=AG1km' || chr(10) || 'inventory version=003' || chr(10) || 'inventory queried_at=' || chr(10) || 'inventory granule_count=12' || chr(10) || string_agg(line, chr(10) order by line)) as hash from l"),
-    "block_weights": (lambda spark, sf: m.block_weights(load(spark, sf, "places").select(F.col("id").alias("block"), ((F.col("id") % 25) * 12 - 150.0).alias("west"), ((F.col("id") % 25) * 3 - 40.0).alias("south"), ((F.col("id") % 25) * 12 - 138.0).alias("east"), ((F.col("id") % 25) * 3 - 33.0).alias("north"), (F.col("id") % 4 != 0).alias("land")), load(spark, sf, "scenes").select("item_id", *[F.when(F.col("item_id") % 10 > 0, v).alias(k) for k, v in (("west", F.col("west") + 0.5), ("south", F.col("south") + 0.5), ("east", F.col("west") + 3.5), ("north", F.col("south") + 2.5))])), with_tables("scenes places", "with b as (select id as block, id % 25 * 12 - 150.0e0 as w, id % 25 * 3 - 40.0e0 as s, id % 25 * 12 - 138.0e0 as e, id % 25 * 3 - 33.0e0 as n, id % 4 <> 0 as land from places) select block, count(item_id) as scenes from b left join scenes on land and item_id % 10 > 0 and w < west + 3.5 and west + 0.5 < e and s < south + 2.5 and south + 0.5 < n group by block")),
-    "tile_dimension": (lambda spark, sf: g.tiles(spark).join(load(spark, sf, "places").select(((F.col("id") % 25) * 10 - 120).cast("int").alias("lon")).distinct(), "lon").select("name", F.col("lat"), "lon", *[v.alias(k) for k, v in zip(("plat", "plon"), g.parse_tile(F.col("name")))]), with_tables("places", "select case when lat >= 0 then 'N' else 'S' end || lpad(cast(abs(lat) as varchar), 2, '0') || case when lon >= 0 then 'E' else 'W' end || lpad(cast(abs(lon) as varchar), 3, '0') as name, cast(lat as int) as lat, cast(lon as int) as lon, cast(lat as int) as plat, cast(lon as int) as plon from (select unnest(range(-55, 61, 5)) as lat) a, (select distinct id % 25 * 10 - 120 as lon from places) b")),
-    "land_tiles": (lambda spark, sf: g.land_tiles(g.tiles(spark), load(spark, sf, "places").select(g.tile_name(F.col("lat"), F.col("lon")).alias("name"))), with_tables("places", "select distinct case when lat >= 0 then 'N' else 'S' end || lpad(cast(abs(lat) as varchar), 2, '0') || case when lon >= 0 then 'E' else 'W' end || lpad(cast(abs(lon) as varchar), 3, '0') as name, cast(lat as int) as lat, cast(lon as int) as lon from places where lat between -55 and 60")),
-    "bounds_check": (lambda spark, sf: load(spark, sf, "scenes").groupBy(g.in_bounds(F.col("south") - 10, F.col("south") + 10).alias("inside")).agg(F.count("*").alias("n")), with_tables("scenes", "select south - 10 >= -60 and south + 10 <= 60 as inside, count(*) as n from scenes group by 1")),
-    "land_fractions": (lambda spark, sf: _round(m.land_fraction(load(spark, sf, "obs").select("tile", "y", "x").distinct(), load(spark, sf, "land")), "fraction"), with_tables("obs land", "select o.tile, round(avg(case when l.y is null then 0.0e0 else 1.0e0 end), 4) as fraction from (select distinct tile, y, x from obs) o left join land l on o.tile = l.tile and o.y = l.y and o.x = l.x group by o.tile")),
-    "partial_classes": (lambda spark, sf: _round(a.tier_area(_class_points(spark, sf), 0.25, load(spark, sf, "classes").where("class = 1").select("class").distinct()), "km2"), with_tables("classes cells", f"with {_MOLL} select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier, round(count(*) * 0.25e0, 4) as km2 from moll join cells on floor((90 - lat) / 36) = \"row\" and floor((lon + 180) / 72) = col where class <> 1 group by 1, 2")),
-    "settlement_tiers": (lambda spark, sf: a.class_tiers(_classes(spark, sf), _fine_tiers(spark, sf)).groupBy("class", "tier").agg(F.count("*").alias("n")), with_tables("classes", f"with {_MOLL}, r as (select distinct cast(floor((90 - lat) * 100) as bigint) as r, cast(floor((lon + 180) * 100) as bigint) as k from moll where floor((90 - lat) * 100) % 3 <> 0) select class, case when r is null then null when (r + k) % 5 = 0 then 'gap' else 'normal' end as tier, count(*) as n from moll left join r on floor((90 - lat) * 100) = r.r and floor((lon + 180) * 100) = r.k group by 1, 2")),
-    "oriented_cells": (lambda spark, sf: a.orient(load(spark, sf, "orders").select((F.col("o_orderkey") % 100).alias("r"), (F.col("o_custkey") % 100).alias("c"), (F.col("o_orderkey") % 3 == 0).alias("lat_ascends"), (F.col("o_custkey") % 2 == 0).alias("lon_descends"))).groupBy("r", "c").agg(F.count("*").alias("n")), "select case when o_orderkey % 3 = 0 then 99 - o_orderkey % 100 else o_orderkey % 100 end as r, case when o_custkey % 2 = 0 then 99 - o_custkey % 100 else o_custkey % 100 end as c, count(*) as n from orders group by 1, 2"),
-    "granule_cells": (lambda spark, sf: load(spark, sf, "scenes").select("item_id", *[v.alias(k) for k, v in zip(("lat", "lon"), a.granule_cell(_ring()))]), with_tables("scenes", "select item_id, case when item_id % 7 <> 0 then cast(floor(south + 0.25) as int) end as lat, case when item_id % 7 <> 0 then cast(floor(west + 0.5) as int) end as lon from scenes")),
-    "mask_cells": (lambda spark, sf: a.mask_cells(load(spark, sf, "orders").select((F.col("o_orderkey") % 180).alias("r"), (F.col("o_custkey") % 360).alias("c"), (F.col("o_totalprice") > 100000).alias("v"))).distinct(), "select distinct 89 - o_orderkey % 180 as lat, o_custkey % 360 - 180 as lon from orders where o_totalprice > 100000"),
-    "tile_jobs": (lambda spark, sf: g.jobs(load(spark, sf, "places").select(F.col("name").alias("name")), 2018, 2024, 3), with_tables("places", "select name as name, cast(s as int) as start, cast(least(s + 2, 2024) as int) as \"end\", case when s = 2024 then '2024' else s || '-' || least(s + 2, 2024) end as \"window\" from places, (values (2018), (2021), (2024)) t(s)")),
-    "point_tiles": (lambda spark, sf: load(spark, sf, "customer").select("c_custkey", *[v.alias(k) for k, v in zip(("lat", "lon"), g.tile_of(F.col("c_acctbal") / 200, F.col("c_acctbal") / 60))], *[v.alias(k) for k, v in zip(("row", "col"), g.pixel(F.col("c_acctbal") / 200, F.col("c_acctbal") / 60))]), "select c_custkey, cast(ceil(c_acctbal / 200 / 5) * 5 as int) as lat, cast(floor(c_acctbal / 60 / 5) * 5 as int) as lon, cast(round_even((60 - c_acctbal / 200) * 3600, 0) as bigint) as \"row\", cast(round_even((c_acctbal / 60 + 180) * 3600, 0) as bigint) as col from customer"),
-    "pixel_cells": (lambda spark, sf: load(spark, sf, "orders").select("o_orderkey", *[v.alias(k) for k, v in zip(("row", "col"), g.cell_of_pixel(F.col("o_orderkey") * 29 % 432000, F.col("o_orderkey") * 977 % 1400000))]).withColumn("granule", g.granule(F.col("row"), F.col("col"))), "with c as (select o_orderkey, cast(floor(o_orderkey * 29 % 432000 / 36) as bigint) + 3000 as r, cast(floor(o_orderkey * 977 % 1400000 / 36) as bigint) % 36000 as k from orders) select o_orderkey, r as \"row\", k as col, case when 90 - floor(r / 100) >= 0 then 'N' else 'S' end || lpad(cast(cast(abs(90 - floor(r / 100)) as bigint) as varchar), 2, '0') || case when floor(k / 100) - 180 >= 0 then 'E' else 'W' end || lpad(cast(cast(abs(floor(k / 100) - 180) as bigint) as varchar), 3, '0') as granule from c"),
-    "scene_tiles": (lambda spark, sf: g.tiles_of_box(load(spark, sf, "scenes").select("item_id", "west", "south", (F.col("west") + 7).alias("east"), (F.col("south") + 4).alias("north"))).groupBy("lat", "lon").agg(F.count("*").alias("scenes")), with_tables("scenes", "select cast(a as int) as lat, cast(o as int) as lon, count(*) as scenes from scenes, lateral (select unnest(range(cast(floor(south / 5) * 5 + 5 as bigint), cast(ceil((south + 4) / 5) * 5 as bigint) + 1, 5)) as a) x, lateral (select unnest(range(cast(floor(west / 5) * 5 as bigint), cast(ceil((west + 7) / 5) * 5 as bigint), 5)) as o) y group by a, o")),
-    "solar_days": (lambda spark, sf: load(spark, sf, "scenes").groupBy(g.solar_day(F.col("datetime"), F.col("west") + 5).alias("day")).agg(F.count("*").alias("n"), F.round(F.avg("cloud"), 4).alias("cover")), with_tables("scenes", "select cast(datetime + to_seconds(cast(floor((west + 5) * 240) as bigint)) as date) as day, count(*) as n, round(avg(cloud), 4) as cover from scenes group by 1")),
-    "packing": (lambda spark, sf: load(spark, sf, "customer").select("c_custkey", q.encode(F.col("c_acctbal") / 16).alias("dn"), F.round(q.decode(q.encode(F.col("c_acctbal") / 16)), 4).alias("back"), (F.col("c_acctbal") / 16 * 100 >= q.threshold_dn(30.0) - 5000).alias("over")), "with p as (select c_custkey, c_acctbal / 16 as v, (c_acctbal / 16 + 50) / 0.01e0 as d from customer), e as (select *, case when d >= 1 and floor(d) <= 65535 then cast(floor(d) as int) else 0 end as dn from p) select c_custkey, dn, round(case when dn <> 0 then dn * 0.01e0 - 50 end, 4) as back, v * 100 >= 3000 as over from e"),
+    "gap_composite": (gap_composite, with_tables("obs land cells", f"""with {_COMP}, big as (select distinct \"row\" + dr as r, (((col + dc) % 36000) + 36000) % 36000 as k
+        from cells, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc)
+        where numobs = 0),
+        l as (select tile, y, x, true as land
+        from land),
+        j as (select comp.tile, comp.y, comp.x, case when land then n else 0 end as n, case when land then lst end as lst, (floor(comp.y / 5), floor(comp.x / 5)) in (select (r, k)
+        from big) as in_gap
+        from comp
+        left
+        join l on comp.tile = l.tile and comp.y = l.y and comp.x = l.x) select tile, y, x, in_gap, n, round(case when in_gap and lst >= {_HOT} then null else lst end, 4) as lst
+        from j""")),
+    "land_observations": (
+        lambda spark, sf: m.mask_land(_dn(spark, sf), load(spark, sf, "land")).groupBy("scene_ts").agg(F.count("*").alias("n")),
+        with_tables("obs land", f"with {_V} select scene_ts, count(*) as n from dn join land on dn.tile = land.tile and dn.y = land.y and dn.x = land.x group by scene_ts")),
+    "tier_cross_tab": (tier_cross_tab, with_tables("obs cells", f"""with {_PIX}, p2 as (select pix.state, case when numobs < 0 then 'absent' else cast(least(numobs, 4) as varchar) end as tier
+        from pix
+        join cells on pix.r = cells.\"row\" and pix.k = cells.col),
+        gr as (select tier, state, count(*) as n
+        from p2
+        group by tier, state),
+        t as (select tier, sum(n) as t, coalesce(sum(n) filter (state = 'hot'), 0) as th
+        from gr
+        group by tier),
+        al as (select sum(n) as a, coalesce(sum(n) filter (state = 'hot'), 0) as ah
+        from gr) select gr.tier, state, n, round(n / t, 4) as share, round(th / t, 4) as hot_rate, round((th / t) / nullif(ah / a, 0), 4) as enrichment
+        from gr
+        join t on gr.tier = t.tier, al""")),
+    "coverage_tiers": (coverage_tiers, with_tables("cells", """select case when col = 4 then null when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier, count(*) as n
+        from cells
+        group by 1""")),
+    "mask_tradeoffs": (
+        lambda spark, sf: a.tradeoffs(_pixels(spark, sf), _gaps(spark, sf)),
+        with_tables("obs cells", f"""with {_PIX}, big as (select distinct r + dr as r, k + dc as k
+        from gaps, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc)),
+        h as (select 'grow0' as rule, state
+        from pix
+        where (r, k) in (select (r, k)
+        from gaps)
+        union all select 'grow1', state
+        from pix
+        where (r, k) in (select (r, k)
+        from big)) select rule, count(*) filter (state = 'cool') as cool, count(*) filter (state = 'hot') as hot, count(*) filter (state = 'missing') as missing
+        from h
+        group by rule
+        union all select rule || '_hot', 0, count(*) filter (state = 'hot'), 0
+        from h
+        group by rule""")),
+    "registration_scan": (
+        lambda spark, sf: a.registration(_pixels(spark, sf), _gaps(spark, sf)),
+        with_tables("obs cells", f"""with {_PIX}, s as (select dr, dc
+        from range(-2, 3) a(dr), range(-2, 3) b(dc)) select cast(dr as int) as dr, cast(dc as int) as dc, count(gaps.r) as hits
+        from s
+        join pix on state = 'hot'
+        left
+        join gaps on pix.r + dr = gaps.r and pix.k + dc = gaps.k
+        group by dr, dc""")),
+    "registration_best": (
+        lambda spark, sf: a.best_shift(a.registration(_pixels(spark, sf), _gaps(spark, sf))),
+        with_tables("obs cells", f"""with {_PIX}, s as (select dr, dc
+        from range(-2, 3) a(dr), range(-2, 3) b(dc)),
+        h as (select cast(dr as int) as dr, cast(dc as int) as dc, count(gaps.r) as hits
+        from s
+        join pix on state = 'hot'
+        left
+        join gaps on pix.r + dr = gaps.r and pix.k + dc = gaps.k
+        group by dr, dc) select dr, dc, hits
+        from h
+        order by hits desc, abs(dr) + abs(dc), dr, dc limit 1""")),
+    "class_gap_shares": (class_areas, with_tables("classes cells", f"""with {_MOLL}, t as (select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier
+        from moll
+        join cells on floor((90 - lat) / 36) = \"row\" and floor((lon + 180) / 72) = col),
+        u as (select cast(class as varchar) as c, tier
+        from t
+        union all select 'all', tier
+        from t
+        union all select 'urban', tier
+        from t
+        where class in (2, 3)) select c as class, round(count(*) filter (tier = 'gap') / count(*), 4) as gap_share
+        from u
+        group by c""")),
+    "class_cells": (
+        lambda spark, sf: a.cells_of_class(_classes(spark, sf), (2, 3)),
+        with_tables("classes", f"with {_MOLL} select distinct cast(floor(lat) as int) as lat, cast(floor(lon) as int) as lon from moll where class in (2, 3)")),
+    "polygon_raster": (
+        lambda spark, sf: m.rasterise(_edges(spark, sf), 24, 24),
+        with_tables("places", f"with {_DIAMOND} select y, x, max(class) as class from pxl, dia where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r group by y, x")),
+    "polygon_buffer": (
+        lambda spark, sf: m.buffered_mask(_edges(spark, sf), 24, 24, 0.8),
+        with_tables("places", f"""with {_DIAMOND}, sd as (select cx + r * ax as x0, cy + r * ay as y0, cx + r * bx as x1, cy + r * by_ as y1
+        from dia, (values (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) v(ax, ay, bx, by_)),
+        nr as (select y, x, x0, y0, x1 - x0 as dx, y1 - y0 as dy, greatest(0.0e0, least(1.0e0, ((x + 0.5e0 - x0) * (x1 - x0) + (y + 0.5e0 - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) as t
+        from pxl, sd) select y, x
+        from pxl, dia
+        where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r union select y, x
+        from nr
+        where pow(x + 0.5e0 - x0 - t * dx, 2) + pow(y + 0.5e0 - y0 - t * dy, 2) <= 0.64e0""")),
+    "gap_validation": (
+        lambda spark, sf: a.validate(m.flag_gap(m.with_cell(p := _comp(spark, sf), 5), _gaps(spark, sf)).where("in_gap").select("tile", "y", "x"), p.where("n < 30").select("tile", "y", "x"), load(spark, sf, "land")),
+        with_tables("obs land cells", f"""with {_PIX}, j as (select (r, k) in (select (r, k)
+        from gaps) as p, n < 30 as o
+        from pix
+        join land on pix.tile = land.tile and pix.y = land.y and pix.x = land.x) select count(*) filter (p and o) as hits, count(*) filter (not p and o) as misses, count(*) filter (p and not o) as false_alarms
+        from j""")),
+    "granule_coverage": (granule_coverage, with_tables("places", f"""with {_GRAN} select (select array_to_string(list_slice(list_sort(list(granule)), 1, 25), ',')
+        from mis) as sample, (select count(*)
+        from g) as expected, (select count(*)
+        from mis) as missing, (select count(*)
+        from have
+        where granule not in (select granule
+        from g)) as extra, (select count(*)
+        from mis
+        where core) as missing_core, (select count(*)
+        from mis
+        where granule not in (select granule
+        from listed)) as absent_upstream, (select count(*)
+        from mis
+        where granule in (select granule
+        from listed)) as fetchable, (select count(distinct tile)
+        from need
+        where granule in (select granule
+        from mis) and granule in (select granule
+        from listed)) as tiles_affected, (select count(distinct tile)
+        from need
+        where core and granule in (select granule
+        from mis) and granule in (select granule
+        from listed)) as core_tiles_affected""")),
+    "absent_granules": (_absent, """select cast(s_suppkey as varchar) as granule, case when s_suppkey % 3 = 0 then 'absent-upstream' when s_suppkey % 5 = 0 then 'absent-outside-fetch-domain' else 'absent-within-fetch-domain' end as label, case when s_suppkey % 3 = 0 then 'absent-upstream' else 'absent-unverified-upstream' end as without_domain
+        from supplier
+        where s_suppkey % 2 = 0"""),
+    "inventory_check": (
+        lambda spark, sf: a.check_inventory(i := load(spark, sf, "supplier").select(F.lit("p").alias("product"), F.lit("3").alias("version"), F.col("s_name").alias("granule")), "p", "3", i.count()),
+        """with b as (select substr(sha256(s_name), 1, 3) as block, count(*) as n, sha256(string_agg(s_name, chr(10)
+        order by s_name)) as sha
+        from supplier
+        group by 1) select cast(sum(n) as bigint) as n, sha256(string_agg(sha, chr(10)
+        order by block)) as names_sha256
+        from b"""),
+    "gap_manifest": (
+        lambda spark, sf: a.gap_table(_granule_cells(spark, sf).where("granule not like '%9'"), _granule_cells(spark, sf))[1],
+        """with c as (select distinct o_orderkey % 40 || '_' || o_custkey % 30 as granule
+        from orders) select granule, case when granule like '%9' then 'absent' else 'consumed' end as status
+        from c"""),
+    "gap_table": (
+        lambda spark, sf: a.gap_table(_granule_cells(spark, sf), _granule_cells(spark, sf))[0].groupBy("granule").agg(F.count("*").alias("gaps")),
+        "select o_orderkey % 40 || '_' || o_custkey % 30 as granule, count(*) as gaps from orders where o_orderkey % 6 = 1 group by 1"),
+    "content_hash": (
+        lambda spark, sf: a.content_hash(load(spark, sf, "orders").select((F.col("o_orderkey") * 37 % 18000).alias("row"), (F.col("o_custkey") * 91 % 36000).alias("col")).distinct(), load(spark, sf, "supplier").select(F.col("s_name").alias("granule"), F.sha2("s_name", 256).alias("sha256")), load(spark, sf, "customer").where("c_custkey % 9 = 0").select(F.col("c_name").alias("granule")), "AG1km", {"short_name": "AG1km", "version": "003", "granule_count": 12}),
+        """with g as (select distinct o_orderkey * 37 % 18000 as r, o_custkey * 91 % 36000 as c
+        from orders),
+        l as (select 'gaps ' || (r // 100) || ' ' || (c // 100) || ' ' || sha256(string_agg(r || ' ' || c, chr(10)
+        order by r, c)) as line
+        from g
+        group by r // 100, c // 100
+        union all select 'consumed ' || s_name || ' ' || sha256(s_name)
+        from supplier
+        union all select 'absent-upstream ' || c_name
+        from customer
+        where c_custkey % 9 = 0) select sha256('product AG1km' || chr(10) || 'inventory short_name=AG1km' || chr(10) || 'inventory version=003' || chr(10) || 'inventory queried_at=' || chr(10) || 'inventory granule_count=12' || chr(10) || string_agg(line, chr(10)
+        order by line)) as hash
+        from l"""),
+    "block_weights": (
+        lambda spark, sf: m.block_weights(load(spark, sf, "places").select(F.col("id").alias("block"), ((F.col("id") % 25) * 12 - 150.0).alias("west"), ((F.col("id") % 25) * 3 - 40.0).alias("south"), ((F.col("id") % 25) * 12 - 138.0).alias("east"), ((F.col("id") % 25) * 3 - 33.0).alias("north"), (F.col("id") % 4 != 0).alias("land")), load(spark, sf, "scenes").select("item_id", *[F.when(F.col("item_id") % 10 > 0, v).alias(k) for k, v in (("west", F.col("west") + 0.5), ("south", F.col("south") + 0.5), ("east", F.col("west") + 3.5), ("north", F.col("south") + 2.5))])),
+        with_tables("scenes places", """with b as (select id as block, id % 25 * 12 - 150.0e0 as w, id % 25 * 3 - 40.0e0 as s, id % 25 * 12 - 138.0e0 as e, id % 25 * 3 - 33.0e0 as n, id % 4 <> 0 as land
+        from places) select block, count(item_id) as scenes
+        from b
+        left
+        join scenes on land and item_id % 10 > 0 and w < west + 3.5 and west + 0.5 < e and s < south + 2.5 and south + 0.5 < n
+        group by block""")),
+    "tile_dimension": (
+        lambda spark, sf: g.tiles(spark).join(load(spark, sf, "places").select(((F.col("id") % 25) * 10 - 120).cast("int").alias("lon")).distinct(), "lon").select("name", F.col("lat"), "lon", *[v.alias(k) for k, v in zip(("plat", "plon"), g.parse_tile(F.col("name")))]),
+        with_tables("places", """select case when lat >= 0 then 'N' else 'S' end || lpad(cast(abs(lat) as varchar), 2, '0') || case when lon >= 0 then 'E' else 'W' end || lpad(cast(abs(lon) as varchar), 3, '0') as name, cast(lat as int) as lat, cast(lon as int) as lon, cast(lat as int) as plat, cast(lon as int) as plon
+        from (select unnest(range(-55, 61, 5)) as lat) a, (select distinct id % 25 * 10 - 120 as lon
+        from places) b""")),
+    "land_tiles": (
+        lambda spark, sf: g.land_tiles(g.tiles(spark), load(spark, sf, "places").select(g.tile_name(F.col("lat"), F.col("lon")).alias("name"))),
+        with_tables("places", """select distinct case when lat >= 0 then 'N' else 'S' end || lpad(cast(abs(lat) as varchar), 2, '0') || case when lon >= 0 then 'E' else 'W' end || lpad(cast(abs(lon) as varchar), 3, '0') as name, cast(lat as int) as lat, cast(lon as int) as lon
+        from places
+        where lat between -55 and 60""")),
+    "bounds_check": (
+        lambda spark, sf: load(spark, sf, "scenes").groupBy(g.in_bounds(F.col("south") - 10, F.col("south") + 10).alias("inside")).agg(F.count("*").alias("n")),
+        with_tables("scenes", "select south - 10 >= -60 and south + 10 <= 60 as inside, count(*) as n from scenes group by 1")),
+    "land_fractions": (
+        lambda spark, sf: _round(m.land_fraction(load(spark, sf, "obs").select("tile", "y", "x").distinct(), load(spark, sf, "land")), "fraction"),
+        with_tables("obs land", """select o.tile, round(avg(case when l.y is null then 0.0e0 else 1.0e0 end), 4) as fraction
+        from (select distinct tile, y, x
+        from obs) o
+        left
+        join land l on o.tile = l.tile and o.y = l.y and o.x = l.x
+        group by o.tile""")),
+    "partial_classes": (
+        lambda spark, sf: _round(a.tier_area(_class_points(spark, sf), 0.25, load(spark, sf, "classes").where("class = 1").select("class").distinct()), "km2"),
+        with_tables("classes cells", f"""with {_MOLL} select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier, round(count(*) * 0.25e0, 4) as km2
+        from moll
+        join cells on floor((90 - lat) / 36) = \"row\" and floor((lon + 180) / 72) = col
+        where class <> 1
+        group by 1, 2""")),
+    "settlement_tiers": (
+        lambda spark, sf: a.class_tiers(_classes(spark, sf), _fine_tiers(spark, sf)).groupBy("class", "tier").agg(F.count("*").alias("n")),
+        with_tables("classes", f"""with {_MOLL}, r as (select distinct cast(floor((90 - lat) * 100) as bigint) as r, cast(floor((lon + 180) * 100) as bigint) as k
+        from moll
+        where floor((90 - lat) * 100) % 3 <> 0) select class, case when r is null then null when (r + k) % 5 = 0 then 'gap' else 'normal' end as tier, count(*) as n
+        from moll
+        left
+        join r on floor((90 - lat) * 100) = r.r and floor((lon + 180) * 100) = r.k
+        group by 1, 2""")),
+    "oriented_cells": (
+        lambda spark, sf: a.orient(load(spark, sf, "orders").select((F.col("o_orderkey") % 100).alias("r"), (F.col("o_custkey") % 100).alias("c"), (F.col("o_orderkey") % 3 == 0).alias("lat_ascends"), (F.col("o_custkey") % 2 == 0).alias("lon_descends"))).groupBy("r", "c").agg(F.count("*").alias("n")),
+        """select case when o_orderkey % 3 = 0 then 99 - o_orderkey % 100 else o_orderkey % 100 end as r, case when o_custkey % 2 = 0 then 99 - o_custkey % 100 else o_custkey % 100 end as c, count(*) as n
+        from orders
+        group by 1, 2"""),
+    "granule_cells": (
+        lambda spark, sf: load(spark, sf, "scenes").select("item_id", *[v.alias(k) for k, v in zip(("lat", "lon"), a.granule_cell(_ring()))]),
+        with_tables("scenes", """select item_id, case when item_id % 7 <> 0 then cast(floor(south + 0.25) as int) end as lat, case when item_id % 7 <> 0 then cast(floor(west + 0.5) as int) end as lon
+        from scenes""")),
+    "mask_cells": (
+        lambda spark, sf: a.mask_cells(load(spark, sf, "orders").select((F.col("o_orderkey") % 180).alias("r"), (F.col("o_custkey") % 360).alias("c"), (F.col("o_totalprice") > 100000).alias("v"))).distinct(),
+        "select distinct 89 - o_orderkey % 180 as lat, o_custkey % 360 - 180 as lon from orders where o_totalprice > 100000"),
+    "tile_jobs": (
+        lambda spark, sf: g.jobs(load(spark, sf, "places").select(F.col("name").alias("name")), 2018, 2024, 3),
+        with_tables("places", """select name as name, cast(s as int) as start, cast(least(s + 2, 2024) as int) as \"end\", case when s = 2024 then '2024' else s || '-' || least(s + 2, 2024) end as \"window\"
+        from places, (values (2018), (2021), (2024)) t(s)""")),
+    "point_tiles": (
+        lambda spark, sf: load(spark, sf, "customer").select("c_custkey", *[v.alias(k) for k, v in zip(("lat", "lon"), g.tile_of(F.col("c_acctbal") / 200, F.col("c_acctbal") / 60))], *[v.alias(k) for k, v in zip(("row", "col"), g.pixel(F.col("c_acctbal") / 200, F.col("c_acctbal") / 60))]),
+        """select c_custkey, cast(ceil(c_acctbal / 200 / 5) * 5 as int) as lat, cast(floor(c_acctbal / 60 / 5) * 5 as int) as lon, cast(round_even((60 - c_acctbal / 200) * 3600, 0) as bigint) as \"row\", cast(round_even((c_acctbal / 60 + 180) * 3600, 0) as bigint) as col
+        from customer"""),
+    "pixel_cells": (
+        lambda spark, sf: load(spark, sf, "orders").select("o_orderkey", *[v.alias(k) for k, v in zip(("row", "col"), g.cell_of_pixel(F.col("o_orderkey") * 29 % 432000, F.col("o_orderkey") * 977 % 1400000))]).withColumn("granule", g.granule(F.col("row"), F.col("col"))),
+        """with c as (select o_orderkey, cast(floor(o_orderkey * 29 % 432000 / 36) as bigint) + 3000 as r, cast(floor(o_orderkey * 977 % 1400000 / 36) as bigint) % 36000 as k
+        from orders) select o_orderkey, r as \"row\", k as col, case when 90 - floor(r / 100) >= 0 then 'N' else 'S' end || lpad(cast(cast(abs(90 - floor(r / 100)) as bigint) as varchar), 2, '0') || case when floor(k / 100) - 180 >= 0 then 'E' else 'W' end || lpad(cast(cast(abs(floor(k / 100) - 180) as bigint) as varchar), 3, '0') as granule
+        from c"""),
+    "scene_tiles": (
+        lambda spark, sf: g.tiles_of_box(load(spark, sf, "scenes").select("item_id", "west", "south", (F.col("west") + 7).alias("east"), (F.col("south") + 4).alias("north"))).groupBy("lat", "lon").agg(F.count("*").alias("scenes")),
+        with_tables("scenes", """select cast(a as int) as lat, cast(o as int) as lon, count(*) as scenes
+        from scenes, lateral (select unnest(range(cast(floor(south / 5) * 5 + 5 as bigint), cast(ceil((south + 4) / 5) * 5 as bigint) + 1, 5)) as a) x, lateral (select unnest(range(cast(floor(west / 5) * 5 as bigint), cast(ceil((west + 7) / 5) * 5 as bigint), 5)) as o) y
+        group by a, o""")),
+    "solar_days": (
+        lambda spark, sf: load(spark, sf, "scenes").groupBy(g.solar_day(F.col("datetime"), F.col("west") + 5).alias("day")).agg(F.count("*").alias("n"), F.round(F.avg("cloud"), 4).alias("cover")),
+        with_tables("scenes", """select cast(datetime + to_seconds(cast(floor((west + 5) * 240) as bigint)) as date) as day, count(*) as n, round(avg(cloud), 4) as cover
+        from scenes
+        group by 1""")),
+    "packing": (
+        lambda spark, sf: load(spark, sf, "customer").select("c_custkey", q.encode(F.col("c_acctbal") / 16).alias("dn"), F.round(q.decode(q.encode(F.col("c_acctbal") / 16)), 4).alias("back"), (F.col("c_acctbal") / 16 * 100 >= q.threshold_dn(30.0) - 5000).alias("over")),
+        """with p as (select c_custkey, c_acctbal / 16 as v, (c_acctbal / 16 + 50) / 0.01e0 as d
+        from customer),
+        e as (select *, case when d >= 1 and floor(d) <= 65535 then cast(floor(d) as int) else 0 end as dn
+        from p) select c_custkey, dn, round(case when dn <> 0 then dn * 0.01e0 - 50 end, 4) as back, v * 100 >= 3000 as over
+        from e"""),
 }

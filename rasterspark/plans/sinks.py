@@ -103,18 +103,26 @@ _COARSE = """cs as (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, ca
 def _coarse_sql() -> str:
     from ..params import DN_HIGH, DN_LOW
 
-    return f"with {_COARSE.format(low=DN_LOW, high=DN_HIGH)} select tile, scene_ts, n_valid, round(o, 4) as offset_c, n_valid >= 4 and abs(o) <= 15 as keep from co"
+    return f"""with {_COARSE.format(low=DN_LOW, high=DN_HIGH)} select tile, scene_ts, n_valid, round(o, 4) as offset_c, n_valid >= 4 and abs(o) <= 15 as keep
+        from co"""
 
 
 QUERIES = {
     "composite_sink": (composite_sink, with_tables("obs", f"with {_COMP} select '1995-2001' as \"window\", tile, y, x, n, {_R6} as lst_dn from comp")),
     "offset_store": (offset_store, with_tables("obs", f"with {_OFF} select tile, scene_ts, n_valid, offset4, round(offset_c, 4) as offset_c, keep from tab")),
     "item_sink": (item_sink, with_tables("places", f"with {_TILE} select tile || '_2021-2025' as id, tile, 2021 as start, 2025 as \"end\" from tl")),
-    "summary_files": (summary_files, with_tables("beats", "with p as (select tile, count(distinct attempt) as n from beats group by tile) select kind, count(*) as tiles, cast(sum(n) as bigint) as attempts, max(n) as most, count(*) filter (n > 1) as retried from p, (values ('csv'), ('json')) k(kind) group by kind")),
+    "summary_files": (summary_files, with_tables("beats", """with p as (select tile, count(distinct attempt) as n
+        from beats
+        group by tile) select kind, count(*) as tiles, cast(sum(n) as bigint) as attempts, max(n) as most, count(*) filter (n > 1) as retried
+        from p, (values ('csv'), ('json')) k(kind)
+        group by kind""")),
     "merged_partials": (merged_partials, with_tables("obs", f"with {_OFF} select tile, scene_ts, n_valid, keep from tab")),
     "matched_times": (matched_times, with_tables("obs", f"with {_OFF} select tile, scene_ts + interval 250 milliseconds as scene_ts, offset4 from tab")),
     "aligned_cover": (aligned_cover, with_tables("scenes", "select date_trunc('month', datetime) as scene_ts, round(avg(cloud), 4) as cover from scenes group by 1")),
     "coarse_offsets": (coarse_offsets, with_tables("obs", _coarse_sql())),
     "merged_bands": (merged_bands, with_tables("obs", f"with {_COMP} select tile, y, x, n from comp")),
-    "artifact_keys": (artifact_keys, "with k as (select case when o_orderkey % 3 < 2 then 'N' || lpad(cast(o_orderkey % 12 * 5 as varchar), 2, '0') || 'W' || lpad(cast(o_orderkey % 36 * 5 as varchar), 3, '0') end as tile, case o_orderkey % 3 when 0 then 0 when 1 then o_orderkey % 7 end as attempt, case o_orderkey % 3 when 0 then 'state' when 1 then 'heart_beat' end as kind from orders) select tile, attempt, kind, count(*) as n from k group by all"),
+    "artifact_keys": (artifact_keys, """with k as (select case when o_orderkey % 3 < 2 then 'N' || lpad(cast(o_orderkey % 12 * 5 as varchar), 2, '0') || 'W' || lpad(cast(o_orderkey % 36 * 5 as varchar), 3, '0') end as tile, case o_orderkey % 3 when 0 then 0 when 1 then o_orderkey % 7 end as attempt, case o_orderkey % 3 when 0 then 'state' when 1 then 'heart_beat' end as kind
+        from orders) select tile, attempt, kind, count(*) as n
+        from k
+        group by all"""),
 }

@@ -22,10 +22,18 @@ _OFF = f"""{_DN}, clim as (select tile, y, x, month, cast(2 * median(dn) as bigi
  anom as (select dn.tile, scene_ts, dn.y, dn.x, dn, 2 * dn - ref2 as anom2 from dn join clim on dn.tile = clim.tile and dn.y = clim.y and dn.x = clim.x and dn.month = clim.month),
  offs as (select tile, scene_ts, count(*) as n_valid, cast(2 * median(anom2) as bigint) as offset4, median(anom2) / 2 * 0.00341802e0 as offset_c from anom group by tile, scene_ts),
  tab as (select *, n_valid >= 10 and abs(offset_c) <= 15 as keep from offs)"""
-_V = f"{_OFF}, v as (select dn.tile, dn.scene_ts, y, x, 4 * dn - offset4 as v4 from dn join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts where keep)"
+_V = f"""{_OFF}, v as (select dn.tile, dn.scene_ts, y, x, 4 * dn - offset4 as v4
+        from dn
+        join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts
+        where keep)"""
 _MONTHS = ", ".join(f"count(*) filter (month(scene_ts) = {m}) as m{m}" for m in c.MONTHS)
-_COMP = f"{_V}, comp0 as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as p, count(*) as n, {_MONTHS} from v group by tile, y, x), comp as (select * exclude (p), case when p < -49.98 then null else p end as lst from comp0)"
-_PACK = f"{_COMP}, pack as (select *, case when lst is null then 0 when (lst + 50) / 0.01e0 >= 1 and floor((lst + 50) / 0.01e0) <= 65535 then cast(floor((lst + 50) / 0.01e0) as int) else 0 end as lst_dn from comp)"
+_COMP = f"""{_V}, comp0 as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as p, count(*) as n, {_MONTHS}
+        from v
+        group by tile, y, x),
+        comp as (select * exclude (p), case when p < -49.98 then null else p end as lst
+        from comp0)"""
+_PACK = f"""{_COMP}, pack as (select *, case when lst is null then 0 when (lst + 50) / 0.01e0 >= 1 and floor((lst + 50) / 0.01e0) <= 65535 then cast(floor((lst + 50) / 0.01e0) as int) else 0 end as lst_dn
+        from comp)"""
 P = Params(floor=10, coarse_floor=4)  # a scene of the fixtures has some hundreds of pixels
 
 
@@ -55,7 +63,8 @@ def _classes(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "classes").select(F.when(F.col("pixel") < 576, "N05E000").otherwise("N10E000").alias("tile"), F.floor(F.col("pixel") % 576 / 24).cast("long").alias("y"), (F.col("pixel") % 24).alias("x"), "class")
 
 
-_CLS = "cls as (select case when pixel < 576 then 'N05E000' else 'N10E000' end as tile, cast(floor(pixel % 576 / 24) as bigint) as y, pixel % 24 as x, class from classes)"
+_CLS = """cls as (select case when pixel < 576 then 'N05E000' else 'N10E000' end as tile, cast(floor(pixel % 576 / 24) as bigint) as y, pixel % 24 as x, class
+        from classes)"""
 
 
 def _round(df: DataFrame, *cols: str, digits: int = 4) -> DataFrame:
@@ -89,7 +98,7 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
     return _round(_packed(spark, sf).withColumn("lst_dn", q.encode(F.round("lst", 6))), "lst")
 
 
-_R6 = "case when lst is null then 0 when (round(lst, 6) + 50) / 0.01e0 >= 1 and floor((round(lst, 6) + 50) / 0.01e0) <= 65535 then cast(floor((round(lst, 6) + 50) / 0.01e0) as int) else 0 end"
+_R6 = """case when lst is null then 0 when (round(lst, 6) + 50) / 0.01e0 >= 1 and floor((round(lst, 6) + 50) / 0.01e0) <= 65535 then cast(floor((round(lst, 6) + 50) / 0.01e0) as int) else 0 end"""
 
 
 def pixel_scalars(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,39 +132,206 @@ def input_digest(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "tile_composite": (tile_composite, with_tables("obs land cells", f"{_D11}, {_R6} as lst_dn from m")),
     "packed_composite": (packed, with_tables("obs", f"with {_COMP} select tile, y, x, round(lst, 4) as lst, n, {', '.join(f'm{m}' for m in c.MONTHS)}, {_R6} as lst_dn from comp")),
-    "pixel_scalars": (pixel_scalars, with_tables("obs", f"select o1, nr, o3, o4, o5, o6, (qa_pixel & 62) = 0 as clear, round(c, 4) as c, lwir11 between {DN_LOW} and {DN_HIGH} as plausible, round(case when lwir11 <> 0 then lwir11 * 0.01e0 - 50 end, 4) as decoded, case when c is null then 'missing' when c >= 40 then 'hot' else 'cool' end as state, case when m in (12, 1, 2) then 'DJF' when m in (3, 4, 5) then 'MAM' when m in (6, 7, 8) then 'JJA' else 'SON' end as season, m in (12, 1, 2) as summer from (select *, month(scene_ts) as m, case when lwir11 <> 0 then lwir11 {_C} end as c from obs) t")),
-    "scene_search": (scene_search, with_tables("scenes", "select item_id, platform, cloud from scenes where west <= 20 and west + 10 >= -60 and south <= 25 and south + 10 >= -30 and datetime between timestamp '1996-01-01' and timestamp '1998-12-31' and cloud < 100 and platform in ('landsat-8', 'landsat-9')")),
-    "scene_sample": (scene_sample, with_tables("scenes", "with o as (select item_id, datetime, row_number() over (order by datetime, item_id) - 1 as pos, count(*) over () as total from scenes) select item_id, datetime from o where pos in (select cast(floor(i * total / 40) as bigint) from range(40) r(i)) ")),
-    "coarse_scan": (coarse_scan, with_tables("obs", "select tile, scene_ts, y, x, round(lwir11, 4) as lwir11, qa_pixel from (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, avg(nullif(lwir11, 0)) as lwir11, min(case when y % 2 = 1 and x % 2 = 1 then qa_pixel end) as qa_pixel from obs group by tile, scene_ts, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)) t where lwir11 is not null and qa_pixel is not null")),
-    "input_digest": (input_digest, with_tables("scenes", "select substr(sha256(string_agg(cast(item_id as varchar), chr(10) order by cast(item_id as varchar)) || chr(10) || 'factor=2'), 1, 16) as digest from scenes where west <= 20 and west + 10 >= -60 and south <= 25 and south + 10 >= -30 and datetime between timestamp '1996-01-01' and timestamp '1996-06-30' and cloud < 100 and platform in ('landsat-8', 'landsat-9')")),
-    "climatology": (lambda spark, sf: n.climatology(_dn(spark, sf)), with_tables("obs", f"with {_OFF} select tile, y, x, month, ref2 from clim")),
-    "scene_offsets": (lambda spark, sf: _round(_table(spark, sf), "offset_c"), with_tables("obs", f"with {_OFF} select tile, scene_ts, n_valid, offset4, round(offset_c, 4) as offset_c, keep from tab")),
-    "offset_diagnostics": (lambda spark, sf: _round(n.diagnostics(_table(spark, sf)), "rejected", "std", "min", "max", "p01", "p50", "p99"), with_tables("obs", f"with {_OFF} select count(*) as n_scenes, count(*) filter (keep) as n_kept, round(avg(case when keep then 0 else 1 end), 4) as rejected, round(stddev_pop(offset_c), 4) as std, round(min(offset_c), 4) as min, round(max(offset_c), 4) as max, round(quantile_cont(offset_c, 0.01), 4) as p01, round(quantile_cont(offset_c, 0.5), 4) as p50, round(quantile_cont(offset_c, 0.99), 4) as p99 from tab")),
-    "multi_percentiles": (lambda spark, sf: _round(c.percentiles(_values(spark, sf)), "p50", "p75", "p90", "p95"), with_tables("obs", f"with {_V} select tile, y, x, {', '.join(f'round(quantile_cont(v4, {p / 100}) / 4 {_C}, 4) as p{p}' for p in (50, 75, 90, 95))} from v group by tile, y, x")),
-    "coverage_summary": (lambda spark, sf: _round(c.coverage(_comp(spark, sf)), "zero_fraction"), with_tables("obs", f"with {_COMP} select min(n) as min_n, median(n) as median_n, max(n) as max_n, round(count(*) filter (n = 0) / count(*), 4) as zero_fraction from comp")),
-    "band_stats": (lambda spark, sf: _round(c.reader_stats(c.band_stats(packed(spark, sf))), "mean", "min", "max", "stddev", "valid_percent", digits=3), with_tables("obs", f"with {_COMP}, pk as (select nullif({_R6}, 0) as d from comp) select round(avg(d) * 0.01e0 - 50, 3) as mean, round(min(d) * 0.01e0 - 50, 3) as min, round(max(d) * 0.01e0 - 50, 3) as max, round(stddev_pop(d) * 0.01e0, 3) as stddev, round(100.0 * count(d) / count(*), 3) as valid_percent from pk")),
-    "composite_summary": (lambda spark, sf: _round(c.summary(_comp(spark, sf)), "min_c", "max_c", "mean_c"), with_tables("obs", f"with {_COMP} select count(*) as pixels, count(lst) as valid, round(min(lst), 4) as min_c, round(max(lst), 4) as max_c, round(avg(lst), 4) as mean_c, cast(sum(n) as bigint) as observations from comp")),
-    "median_plausibility": (lambda spark, sf: _round(c.plausibility(_values(spark, sf)), "mean50", "std50", "mean95", "std95"), with_tables("obs", f"with {_V}, p as (select quantile_cont(v4, 0.5) / 4 {_C} as p50, quantile_cont(v4, 0.95) / 4 {_C} as p95 from v group by tile, y, x) select round(avg(p50), 4) as mean50, round(stddev_pop(p50), 4) as std50, round(avg(p95), 4) as mean95, round(stddev_pop(p95), 4) as std95, bool_and(p50 <= p95) as ordered, bool_and(p50 <= p95) and avg(p50) between -20 and 60 and stddev_pop(p50) < 25 as believable from p")),
-    "overview_level": (lambda spark, sf: _round(c.overview(packed(spark, sf)), "lst_dn", "n"), with_tables("obs", f"with {_COMP} select tile, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(coalesce(avg(nullif({_R6}, 0)), 0), 4) as lst_dn, round(avg(n), 4) as n from comp group by tile, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)")),
-    "pyramid_health": (lambda spark, sf: _round(c.pyramid_health(p := packed(spark, sf), c.overview(p)), "native", "level"), with_tables("obs", f"with {_COMP}, lv as (select avg(n) as n from comp group by tile, floor(y / 2), floor(x / 2)), a as (select avg(n) as native from comp), b as (select avg(n) as level, max(n) as most from lv) select round(native, 4) as native, round(level, 4) as level, abs(level - native) <= greatest(1.0, 0.2 * native) and most > 0 as healthy from a, b")),
-    "preview": (lambda spark, sf: _round(c.preview(packed(spark, sf)), "lst"), with_tables("obs", f"with {_COMP} select tile, cast(floor(y / 4) as bigint) as y, cast(floor(x / 4) as bigint) as x, round(nullif({_R6}, 0) * 0.01e0 - 50, 4) as lst from comp where y % 4 = 2 and x % 4 = 2")),
-    "scene_days": (lambda spark, sf: c.scene_days(_dn(spark, sf)), with_tables("obs", f"with {_DN}, d as (select month, count(distinct scene_ts) as days from dn group by month) select cast(m as int) as month, case when m in (12, 1, 2) then 'DJF' when m in (3, 4, 5) then 'MAM' when m in (6, 7, 8) then 'JJA' else 'SON' end as season, coalesce(days, 0) as days from range(1, 13) r(m) left join d on d.month = m")),
-    "class_counts": (lambda spark, sf: _round(c.class_counts(_dn(spark, sf), _classes(spark, sf)), "mean_pixels"), with_tables("obs classes", f"with {_DN}, {_CLS}, p as (select dn.tile, scene_ts, month, class, count(*) as k from dn join cls on dn.tile = cls.tile and dn.y = cls.y and dn.x = cls.x group by dn.tile, scene_ts, month, class) select class, month, round(avg(k), 4) as mean_pixels from p group by class, month")),
-    "summer_delta": (lambda spark, sf: _round(c.summer_delta(_values(spark, sf), _classes(spark, sf)), "annual", "summer", "delta"), with_tables("obs classes", f"with {_V}, {_CLS}, p as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a, quantile_cont(v4, 0.95) filter (month(scene_ts) in (12, 1, 2)) / 4 {_C} as s from v group by tile, y, x) select class, count(*) as pixels, round(median(a), 4) as annual, round(median(s), 4) as summer, round(median(s) - median(a), 4) as delta from p join cls on p.tile = cls.tile and p.y = cls.y and p.x = cls.x group by class")),
-    "window_metrics": (lambda spark, sf: _round(c.window_metrics(_comp(spark, sf), load(spark, sf, "land")), "gap_fraction", *[f"zero_m{m}" for m in c.MONTHS]), with_tables("obs land", f"with {_COMP}, j as (select land.y, lst, {', '.join(f'coalesce(m{m}, 0) as m{m}' for m in c.MONTHS)} from land left join comp on land.tile = comp.tile and land.y = comp.y and land.x = comp.x) select count(*) as land, count(*) filter (lst is null) as gaps, round(avg(case when lst is null then 1 else 0 end), 4) as gap_fraction, {', '.join(f'median(m{m}) as median_m{m}, round(100 * avg(case when m{m} = 0 then 1 else 0 end), 4) as zero_m{m}' for m in c.MONTHS)} from j")),
-    "striping": (lambda spark, sf: _round(c.striping(_comp(spark, sf)), "striping", digits=6), with_tables("obs", f"with {_COMP}, k as (select avg(n) as k from comp group by tile, x) select round(stddev_pop(k) / avg(k), 6) as striping from k")),
-    "cap_sweep": (lambda spark, sf: s.cap_sweep(_table(spark, sf), (1.0, 3.0, 5.0, 10.0, 15.0, 30.0), P.floor), with_tables("obs", f"with {_OFF} select cap, count(*) filter (n_valid >= 10 and abs(offset_c) <= cap) as kept, count(*) filter (not (n_valid >= 10 and abs(offset_c) <= cap)) as rejected from tab, (values (1.0e0), (3.0e0), (5.0e0), (10.0e0), (15.0e0), (30.0e0)) c(cap) group by cap")),
-    "annual_ablation": (lambda spark, sf: _round(c.percentiles(n.debias(d := _dn(spark, sf), n.annual_offsets(d, 150)), (0.95,)), "p95"), with_tables("obs", f"with {_DN}, r as (select tile, y, x, cast(2 * median(dn) as bigint) as ref2 from dn group by tile, y, x), o as (select dn.tile, scene_ts, count(*) as n_valid, cast(2 * median(2 * dn - ref2) as bigint) as offset4 from dn join r on dn.tile = r.tile and dn.y = r.y and dn.x = r.x group by dn.tile, scene_ts) select dn.tile, y, x, round(quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C}, 4) as p95 from dn join o on dn.tile = o.tile and dn.scene_ts = o.scene_ts group by dn.tile, y, x")),
-    "lenient_ablation": (lambda spark, sf: _round(c.percentiles(n.debias(_dn(spark, sf), n.lenient_offsets(_table(spark, sf), 150)), (0.95,)), "p95"), with_tables("obs", f"with {_OFF} select dn.tile, y, x, round(quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C}, 4) as p95 from dn join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts group by dn.tile, y, x")),
-    "destripe_comparison": (lambda spark, sf: _round(s.compare_composites(c.percentiles(_values(spark, sf), (0.95,)), c.percentiles(n.debias(_dn(spark, sf), n.lenient_offsets(_table(spark, sf), 150)), (0.95,)), "p95"), "median_abs", "max_abs", "bias", "share_over", "corr"), with_tables("obs", f"with {_V}, a as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a from v group by tile, y, x), b as (select dn.tile, y, x, quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C} as b from dn join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts group by dn.tile, y, x) select count(*) as pixels, round(median(abs(b - a)), 4) as median_abs, round(max(abs(b - a)), 4) as max_abs, round(avg(b - a), 4) as bias, round(avg(case when abs(b - a) > 0.1 then 1 else 0 end), 4) as share_over, round(corr(a, b), 4) as corr from a join b on a.tile = b.tile and a.y = b.y and a.x = b.x")),
-    "thinned_offsets": (lambda spark, sf: _round(s.thinned(_dn(spark, sf), (2, 3), P), "median_delta", "max_delta"), with_tables("obs", f"with {_OFF}, k as (select dn.*, f from dn, (values (2), (3)) t(f) where (year(scene_ts) * 12 + month) % f = 0), c2 as (select f, tile, y, x, month, cast(2 * median(dn) as bigint) as ref2 from k group by f, tile, y, x, month), o2 as (select k.f, k.tile, scene_ts, count(*) as n_valid, median(2 * dn - ref2) / 2 * 0.00341802e0 as o from k join c2 on k.f = c2.f and k.tile = c2.tile and k.y = c2.y and k.x = c2.x and k.month = c2.month group by k.f, k.tile, scene_ts) select cast(f as int) as f, count(*) as scenes, round(median(abs(o - offset_c)), 4) as median_delta, round(max(abs(o - offset_c)), 4) as max_delta, count(*) filter (keep <> (o2.n_valid >= 10 and abs(o) <= 15)) as flips from o2 join tab on o2.tile = tab.tile and o2.scene_ts = tab.scene_ts group by f")),
-    "subsampling_verdict": (lambda spark, sf: _round(s.compare_offsets(_table(spark, sf), s.coarse_table(load(spark, sf, "obs"), P), P.floor, P.coarse_floor, P.cap), "median_abs", "p99_abs", "max_abs", "bias", "corr", "slope", "flip_margin", "flip_frac"), with_tables("obs", f"""with {_OFF}, cs as (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(avg(nullif(lwir11, 0))) as dn, min(case when y % 2 = 1 and x % 2 = 1 then qa_pixel end) as qa from obs group by tile, scene_ts, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)),
+    "pixel_scalars": (pixel_scalars, with_tables("obs", f"""select o1, nr, o3, o4, o5, o6, (qa_pixel & 62) = 0 as clear, round(c, 4) as c, lwir11 between {DN_LOW} and {DN_HIGH} as plausible, round(case when lwir11 <> 0 then lwir11 * 0.01e0 - 50 end, 4) as decoded, case when c is null then 'missing' when c >= 40 then 'hot' else 'cool' end as state, case when m in (12, 1, 2) then 'DJF' when m in (3, 4, 5) then 'MAM' when m in (6, 7, 8) then 'JJA' else 'SON' end as season, m in (12, 1, 2) as summer
+        from (select *, month(scene_ts) as m, case when lwir11 <> 0 then lwir11 {_C} end as c
+        from obs) t""")),
+    "scene_search": (scene_search, with_tables("scenes", """select item_id, platform, cloud
+        from scenes
+        where west <= 20 and west + 10 >= -60 and south <= 25 and south + 10 >= -30 and datetime between timestamp '1996-01-01' and timestamp '1998-12-31' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
+    "scene_sample": (scene_sample, with_tables("scenes", """with o as (select item_id, datetime, row_number() over (order by datetime, item_id) - 1 as pos, count(*) over () as total
+        from scenes) select item_id, datetime
+        from o
+        where pos in (select cast(floor(i * total / 40) as bigint)
+        from range(40) r(i)) """)),
+    "coarse_scan": (coarse_scan, with_tables("obs", """select tile, scene_ts, y, x, round(lwir11, 4) as lwir11, qa_pixel
+        from (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, avg(nullif(lwir11, 0)) as lwir11, min(case when y % 2 = 1 and x % 2 = 1 then qa_pixel end) as qa_pixel
+        from obs
+        group by tile, scene_ts, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)) t
+        where lwir11 is not null and qa_pixel is not null""")),
+    "input_digest": (input_digest, with_tables("scenes", """select substr(sha256(string_agg(cast(item_id as varchar), chr(10)
+        order by cast(item_id as varchar)) || chr(10) || 'factor=2'), 1, 16) as digest
+        from scenes
+        where west <= 20 and west + 10 >= -60 and south <= 25 and south + 10 >= -30 and datetime between timestamp '1996-01-01' and timestamp '1996-06-30' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
+    "climatology": (
+        lambda spark, sf: n.climatology(_dn(spark, sf)),
+        with_tables("obs", f"with {_OFF} select tile, y, x, month, ref2 from clim")),
+    "scene_offsets": (
+        lambda spark, sf: _round(_table(spark, sf), "offset_c"),
+        with_tables("obs", f"with {_OFF} select tile, scene_ts, n_valid, offset4, round(offset_c, 4) as offset_c, keep from tab")),
+    "offset_diagnostics": (
+        lambda spark, sf: _round(n.diagnostics(_table(spark, sf)), "rejected", "std", "min", "max", "p01", "p50", "p99"),
+        with_tables("obs", f"""with {_OFF} select count(*) as n_scenes, count(*) filter (keep) as n_kept, round(avg(case when keep then 0 else 1 end), 4) as rejected, round(stddev_pop(offset_c), 4) as std, round(min(offset_c), 4) as min, round(max(offset_c), 4) as max, round(quantile_cont(offset_c, 0.01), 4) as p01, round(quantile_cont(offset_c, 0.5), 4) as p50, round(quantile_cont(offset_c, 0.99), 4) as p99
+        from tab""")),
+    "multi_percentiles": (
+        lambda spark, sf: _round(c.percentiles(_values(spark, sf)), "p50", "p75", "p90", "p95"),
+        with_tables("obs", f"""with {_V} select tile, y, x, {', '.join(f'round(quantile_cont(v4, {p / 100}) / 4 {_C}, 4) as p{p}' for p in (50, 75, 90, 95))}
+        from v
+        group by tile, y, x""")),
+    "coverage_summary": (
+        lambda spark, sf: _round(c.coverage(_comp(spark, sf)), "zero_fraction"),
+        with_tables("obs", f"""with {_COMP} select min(n) as min_n, median(n) as median_n, max(n) as max_n, round(count(*) filter (n = 0) / count(*), 4) as zero_fraction
+        from comp""")),
+    "band_stats": (
+        lambda spark, sf: _round(c.reader_stats(c.band_stats(packed(spark, sf))), "mean", "min", "max", "stddev", "valid_percent", digits=3),
+        with_tables("obs", f"""with {_COMP}, pk as (select nullif({_R6}, 0) as d
+        from comp) select round(avg(d) * 0.01e0 - 50, 3) as mean, round(min(d) * 0.01e0 - 50, 3) as min, round(max(d) * 0.01e0 - 50, 3) as max, round(stddev_pop(d) * 0.01e0, 3) as stddev, round(100.0 * count(d) / count(*), 3) as valid_percent
+        from pk""")),
+    "composite_summary": (
+        lambda spark, sf: _round(c.summary(_comp(spark, sf)), "min_c", "max_c", "mean_c"),
+        with_tables("obs", f"""with {_COMP} select count(*) as pixels, count(lst) as valid, round(min(lst), 4) as min_c, round(max(lst), 4) as max_c, round(avg(lst), 4) as mean_c, cast(sum(n) as bigint) as observations
+        from comp""")),
+    "median_plausibility": (
+        lambda spark, sf: _round(c.plausibility(_values(spark, sf)), "mean50", "std50", "mean95", "std95"),
+        with_tables("obs", f"""with {_V}, p as (select quantile_cont(v4, 0.5) / 4 {_C} as p50, quantile_cont(v4, 0.95) / 4 {_C} as p95
+        from v
+        group by tile, y, x) select round(avg(p50), 4) as mean50, round(stddev_pop(p50), 4) as std50, round(avg(p95), 4) as mean95, round(stddev_pop(p95), 4) as std95, bool_and(p50 <= p95) as ordered, bool_and(p50 <= p95) and avg(p50) between -20 and 60 and stddev_pop(p50) < 25 as believable
+        from p""")),
+    "overview_level": (
+        lambda spark, sf: _round(c.overview(packed(spark, sf)), "lst_dn", "n"),
+        with_tables("obs", f"""with {_COMP} select tile, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(coalesce(avg(nullif({_R6}, 0)), 0), 4) as lst_dn, round(avg(n), 4) as n
+        from comp
+        group by tile, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)""")),
+    "pyramid_health": (
+        lambda spark, sf: _round(c.pyramid_health(p := packed(spark, sf), c.overview(p)), "native", "level"),
+        with_tables("obs", f"""with {_COMP}, lv as (select avg(n) as n
+        from comp
+        group by tile, floor(y / 2), floor(x / 2)),
+        a as (select avg(n) as native
+        from comp),
+        b as (select avg(n) as level, max(n) as most
+        from lv) select round(native, 4) as native, round(level, 4) as level, abs(level - native) <= greatest(1.0, 0.2 * native) and most > 0 as healthy
+        from a, b""")),
+    "preview": (
+        lambda spark, sf: _round(c.preview(packed(spark, sf)), "lst"),
+        with_tables("obs", f"""with {_COMP} select tile, cast(floor(y / 4) as bigint) as y, cast(floor(x / 4) as bigint) as x, round(nullif({_R6}, 0) * 0.01e0 - 50, 4) as lst
+        from comp
+        where y % 4 = 2 and x % 4 = 2""")),
+    "scene_days": (
+        lambda spark, sf: c.scene_days(_dn(spark, sf)),
+        with_tables("obs", f"""with {_DN}, d as (select month, count(distinct scene_ts) as days
+        from dn
+        group by month) select cast(m as int) as month, case when m in (12, 1, 2) then 'DJF' when m in (3, 4, 5) then 'MAM' when m in (6, 7, 8) then 'JJA' else 'SON' end as season, coalesce(days, 0) as days
+        from range(1, 13) r(m)
+        left
+        join d on d.month = m""")),
+    "class_counts": (
+        lambda spark, sf: _round(c.class_counts(_dn(spark, sf), _classes(spark, sf)), "mean_pixels"),
+        with_tables("obs classes", f"""with {_DN}, {_CLS}, p as (select dn.tile, scene_ts, month, class, count(*) as k
+        from dn
+        join cls on dn.tile = cls.tile and dn.y = cls.y and dn.x = cls.x
+        group by dn.tile, scene_ts, month, class) select class, month, round(avg(k), 4) as mean_pixels
+        from p
+        group by class, month""")),
+    "summer_delta": (
+        lambda spark, sf: _round(c.summer_delta(_values(spark, sf), _classes(spark, sf)), "annual", "summer", "delta"),
+        with_tables("obs classes", f"""with {_V}, {_CLS}, p as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a, quantile_cont(v4, 0.95) filter (month(scene_ts) in (12, 1, 2)) / 4 {_C} as s
+        from v
+        group by tile, y, x) select class, count(*) as pixels, round(median(a), 4) as annual, round(median(s), 4) as summer, round(median(s) - median(a), 4) as delta
+        from p
+        join cls on p.tile = cls.tile and p.y = cls.y and p.x = cls.x
+        group by class""")),
+    "window_metrics": (
+        lambda spark, sf: _round(c.window_metrics(_comp(spark, sf), load(spark, sf, "land")), "gap_fraction", *[f"zero_m{m}" for m in c.MONTHS]),
+        with_tables("obs land", f"""with {_COMP}, j as (select land.y, lst, {', '.join(f'coalesce(m{m}, 0) as m{m}' for m in c.MONTHS)}
+        from land
+        left
+        join comp on land.tile = comp.tile and land.y = comp.y and land.x = comp.x) select count(*) as land, count(*) filter (lst is null) as gaps, round(avg(case when lst is null then 1 else 0 end), 4) as gap_fraction, {', '.join(f'median(m{m}) as median_m{m}, round(100 * avg(case when m{m} = 0 then 1 else 0 end), 4) as zero_m{m}' for m in c.MONTHS)}
+        from j""")),
+    "striping": (
+        lambda spark, sf: _round(c.striping(_comp(spark, sf)), "striping", digits=6),
+        with_tables("obs", f"with {_COMP}, k as (select avg(n) as k from comp group by tile, x) select round(stddev_pop(k) / avg(k), 6) as striping from k")),
+    "cap_sweep": (
+        lambda spark, sf: s.cap_sweep(_table(spark, sf), (1.0, 3.0, 5.0, 10.0, 15.0, 30.0), P.floor),
+        with_tables("obs", f"""with {_OFF} select cap, count(*) filter (n_valid >= 10 and abs(offset_c) <= cap) as kept, count(*) filter (not (n_valid >= 10 and abs(offset_c) <= cap)) as rejected
+        from tab, (values (1.0e0), (3.0e0), (5.0e0), (10.0e0), (15.0e0), (30.0e0)) c(cap)
+        group by cap""")),
+    "annual_ablation": (
+        lambda spark, sf: _round(c.percentiles(n.debias(d := _dn(spark, sf), n.annual_offsets(d, 150)), (0.95,)), "p95"),
+        with_tables("obs", f"""with {_DN}, r as (select tile, y, x, cast(2 * median(dn) as bigint) as ref2
+        from dn
+        group by tile, y, x),
+        o as (select dn.tile, scene_ts, count(*) as n_valid, cast(2 * median(2 * dn - ref2) as bigint) as offset4
+        from dn
+        join r on dn.tile = r.tile and dn.y = r.y and dn.x = r.x
+        group by dn.tile, scene_ts) select dn.tile, y, x, round(quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C}, 4) as p95
+        from dn
+        join o on dn.tile = o.tile and dn.scene_ts = o.scene_ts
+        group by dn.tile, y, x""")),
+    "lenient_ablation": (
+        lambda spark, sf: _round(c.percentiles(n.debias(_dn(spark, sf), n.lenient_offsets(_table(spark, sf), 150)), (0.95,)), "p95"),
+        with_tables("obs", f"""with {_OFF} select dn.tile, y, x, round(quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C}, 4) as p95
+        from dn
+        join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts
+        group by dn.tile, y, x""")),
+    "destripe_comparison": (
+        lambda spark, sf: _round(s.compare_composites(c.percentiles(_values(spark, sf), (0.95,)), c.percentiles(n.debias(_dn(spark, sf), n.lenient_offsets(_table(spark, sf), 150)), (0.95,)), "p95"), "median_abs", "max_abs", "bias", "share_over", "corr"),
+        with_tables("obs", f"""with {_V}, a as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a
+        from v
+        group by tile, y, x),
+        b as (select dn.tile, y, x, quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C} as b
+        from dn
+        join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts
+        group by dn.tile, y, x) select count(*) as pixels, round(median(abs(b - a)), 4) as median_abs, round(max(abs(b - a)), 4) as max_abs, round(avg(b - a), 4) as bias, round(avg(case when abs(b - a) > 0.1 then 1 else 0 end), 4) as share_over, round(corr(a, b), 4) as corr
+        from a
+        join b on a.tile = b.tile and a.y = b.y and a.x = b.x""")),
+    "thinned_offsets": (
+        lambda spark, sf: _round(s.thinned(_dn(spark, sf), (2, 3), P), "median_delta", "max_delta"),
+        with_tables("obs", f"""with {_OFF}, k as (select dn.*, f
+        from dn, (values (2), (3)) t(f)
+        where (year(scene_ts) * 12 + month) % f = 0),
+        c2 as (select f, tile, y, x, month, cast(2 * median(dn) as bigint) as ref2
+        from k
+        group by f, tile, y, x, month),
+        o2 as (select k.f, k.tile, scene_ts, count(*) as n_valid, median(2 * dn - ref2) / 2 * 0.00341802e0 as o
+        from k
+        join c2 on k.f = c2.f and k.tile = c2.tile and k.y = c2.y and k.x = c2.x and k.month = c2.month
+        group by k.f, k.tile, scene_ts) select cast(f as int) as f, count(*) as scenes, round(median(abs(o - offset_c)), 4) as median_delta, round(max(abs(o - offset_c)), 4) as max_delta, count(*) filter (keep <> (o2.n_valid >= 10 and abs(o) <= 15)) as flips
+        from o2
+        join tab on o2.tile = tab.tile and o2.scene_ts = tab.scene_ts
+        group by f""")),
+    "subsampling_verdict": (
+        lambda spark, sf: _round(s.compare_offsets(_table(spark, sf), s.coarse_table(load(spark, sf, "obs"), P), P.floor, P.coarse_floor, P.cap), "median_abs", "p99_abs", "max_abs", "bias", "corr", "slope", "flip_margin", "flip_frac"),
+        with_tables("obs", f"""with {_OFF}, cs as (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(avg(nullif(lwir11, 0))) as dn, min(case when y % 2 = 1 and x % 2 = 1 then qa_pixel end) as qa from obs group by tile, scene_ts, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)),
  cd as (select *, month(scene_ts) as month from cs where dn between {DN_LOW} and {DN_HIGH} and (qa & 62) = 0), cc as (select tile, y, x, month, median(dn) as ref from cd group by tile, y, x, month),
  co as (select cd.tile, scene_ts, count(*) as nb, median(dn - ref) * 0.00341802e0 as b from cd join cc on cd.tile = cc.tile and cd.y = cc.y and cd.x = cc.x and cd.month = cc.month group by cd.tile, scene_ts),
  j as (select offset_c as a, b, n_valid >= 10 as oa, nb >= 4 as ob, abs(offset_c) <= 15 as ka, abs(b) <= 15 as kb from offs join co on offs.tile = co.tile and offs.scene_ts = co.scene_ts), k as (select *, oa and ob as fit, oa and ob and ka and kb as scored, oa and ob and ka <> kb as flip from j),
  r as (select count(*) filter (scored) as scored, coalesce(median(abs(b - a)) filter (scored), 0) as median_abs, coalesce(quantile_cont(abs(b - a), 0.99) filter (scored), 0) as p99_abs, coalesce(max(abs(b - a)) filter (scored), 0) as max_abs, coalesce(median(b - a) filter (scored), 0) as bias, case when count(*) filter (scored) > 2 then corr(a, b) filter (scored) else 0 end as corr, case when count(*) filter (scored) > 2 then regr_slope(b, a) filter (scored) else 0 end as slope, count(*) filter (fit) as admissible, count(*) filter (flip) as flips, coalesce(max(abs(abs(a) - 15)) filter (flip), 0) as flip_margin, count(*) filter (oa <> ob) as sparse_flips, count(*) filter (flip) / greatest(count(*) filter (fit), 1) as flip_frac from k)
  select scored, round(median_abs, 4) as median_abs, round(p99_abs, 4) as p99_abs, round(max_abs, 4) as max_abs, round(bias, 4) as bias, round(corr, 4) as corr, round(slope, 4) as slope, admissible, flips, round(flip_margin, 4) as flip_margin, sparse_flips, round(flip_frac, 4) as flip_frac, median_abs <= 0.05 and p99_abs <= 0.25 and max_abs <= 0.5 and abs(bias) <= 0.05 and flip_frac <= 0.01 and flip_margin <= 1 as accepted from r""")),
-    "cloud_tradeoff": (lambda spark, sf: s.cloud_tradeoff(_table(spark, sf), s.scene_cover(load(spark, sf, "scenes")), (20, 40, 50, 60)), with_tables("obs scenes", f"with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover from scenes group by 1), j as (select tab.*, cover from tab join cov on tab.scene_ts = cov.scene_ts) select cast(t as int) as threshold, count(*) filter (cover >= t) as dropped, count(*) filter (cover >= t and not keep) as already_rejected, cast(coalesce(sum(n_valid) filter (cover >= t and keep), 0) as bigint) as observations_lost from j, (values (20), (40), (50), (60)) c(t) group by t")),
-    "cloud_correlation": (lambda spark, sf: _round(s.cloud_correlation(_table(spark, sf), s.scene_cover(load(spark, sf, "scenes")), 288), "corr"), with_tables("obs scenes", f"with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover from scenes group by 1) select round(corr(cover, n_valid / 288.0e0), 4) as corr, count(*) filter (cover > 50 and n_valid / 288.0e0 > 0.5) as cloudy_but_clear from tab join cov on tab.scene_ts = cov.scene_ts")),
-    "window_comparison": (lambda spark, sf: _round(s.window_comparison(_values(spark, sf), load(spark, sf, "land"), 2001, (1, 3, 5)), "gap_fraction", "striping", *[f"zero_m{m}" for m in c.MONTHS]), with_tables("obs land", f"with {_V}, w as (select k, tile, y, x, count(*) as n, {_MONTHS} from v, (values (1), (3), (5)) t(k) where year(scene_ts) between 2001 - k + 1 and 2001 group by k, tile, y, x), g as (select k, l.tile, l.y, l.x from land l, (values (1), (3), (5)) t(k)), j as (select g.k as years, g.tile, g.y, g.x, w.n, {', '.join(f'coalesce(m{m}, 0) as m{m}' for m in c.MONTHS)} from g left join w on g.k = w.k and g.tile = w.tile and g.y = w.y and g.x = w.x), sx as (select years, stddev_pop(c) / avg(c) as striping from (select years, tile, x, avg(coalesce(n, 0)) as c from j group by years, tile, x) q group by years) select cast(j.years as int) as years, count(*) as land, count(*) filter (n is null) as gaps, round(avg(case when n is null then 1 else 0 end), 4) as gap_fraction, cast(coalesce(sum(n), 0) as bigint) as observations, round(max(striping), 4) as striping, {', '.join(f'median(m{m}) as median_m{m}, round(100 * avg(case when m{m} = 0 then 1 else 0 end), 4) as zero_m{m}' for m in c.MONTHS)} from j join sx on sx.years = j.years group by j.years")),
+    "cloud_tradeoff": (
+        lambda spark, sf: s.cloud_tradeoff(_table(spark, sf), s.scene_cover(load(spark, sf, "scenes")), (20, 40, 50, 60)),
+        with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover
+        from scenes
+        group by 1),
+        j as (select tab.*, cover
+        from tab
+        join cov on tab.scene_ts = cov.scene_ts) select cast(t as int) as threshold, count(*) filter (cover >= t) as dropped, count(*) filter (cover >= t and not keep) as already_rejected, cast(coalesce(sum(n_valid) filter (cover >= t and keep), 0) as bigint) as observations_lost
+        from j, (values (20), (40), (50), (60)) c(t)
+        group by t""")),
+    "cloud_correlation": (
+        lambda spark, sf: _round(s.cloud_correlation(_table(spark, sf), s.scene_cover(load(spark, sf, "scenes")), 288), "corr"),
+        with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover
+        from scenes
+        group by 1) select round(corr(cover, n_valid / 288.0e0), 4) as corr, count(*) filter (cover > 50 and n_valid / 288.0e0 > 0.5) as cloudy_but_clear
+        from tab
+        join cov on tab.scene_ts = cov.scene_ts""")),
+    "window_comparison": (
+        lambda spark, sf: _round(s.window_comparison(_values(spark, sf), load(spark, sf, "land"), 2001, (1, 3, 5)), "gap_fraction", "striping", *[f"zero_m{m}" for m in c.MONTHS]),
+        with_tables("obs land", f"""with {_V}, w as (select k, tile, y, x, count(*) as n, {_MONTHS}
+        from v, (values (1), (3), (5)) t(k)
+        where year(scene_ts) between 2001 - k + 1 and 2001
+        group by k, tile, y, x),
+        g as (select k, l.tile, l.y, l.x
+        from land l, (values (1), (3), (5)) t(k)),
+        j as (select g.k as years, g.tile, g.y, g.x, w.n, {', '.join(f'coalesce(m{m}, 0) as m{m}' for m in c.MONTHS)}
+        from g
+        left
+        join w on g.k = w.k and g.tile = w.tile and g.y = w.y and g.x = w.x),
+        sx as (select years, stddev_pop(c) / avg(c) as striping
+        from (select years, tile, x, avg(coalesce(n, 0)) as c
+        from j
+        group by years, tile, x) q
+        group by years) select cast(j.years as int) as years, count(*) as land, count(*) filter (n is null) as gaps, round(avg(case when n is null then 1 else 0 end), 4) as gap_fraction, cast(coalesce(sum(n), 0) as bigint) as observations, round(max(striping), 4) as striping, {', '.join(f'median(m{m}) as median_m{m}, round(100 * avg(case when m{m} = 0 then 1 else 0 end), 4) as zero_m{m}' for m in c.MONTHS)}
+        from j
+        join sx on sx.years = j.years
+        group by j.years""")),
 }

@@ -21,13 +21,23 @@ TABLES = {
     "scenes": """select o_orderkey as item_id, o_orderdate as datetime, cast(floor(o_totalprice) as bigint) % 101 as cloud,
         case o_custkey % 3 when 0 then 'landsat-8' when 1 then 'landsat-9' else 'landsat-7' end as platform,
         (o_custkey * 7) % 340 - 170 as west, (o_custkey * 11) % 110 - 55 as south from {orders}""",
-    "land": "select case when o = 0 then 'N05E000' else 'N10E000' end as tile, y, x from (select distinct l_partkey % 24 as y from {lineitem}) a join (select distinct l_orderkey % 24 as x from {lineitem}) b on true join (select distinct l_orderkey % 2 as o from {lineitem}) c on true where (y * 7 + x * 3 + o) % 5 <> 0",
+    "land": """select case when o = 0 then 'N05E000' else 'N10E000' end as tile, y, x
+        from (select distinct l_partkey % 24 as y
+        from {lineitem}) a
+        join (select distinct l_orderkey % 24 as x
+        from {lineitem}) b on true
+        join (select distinct l_orderkey % 2 as o
+        from {lineitem}) c on true
+        where (y * 7 + x * 3 + o) % 5 <> 0""",
     "cells": "select cast(floor(k / 5) as int) as \"row\", k % 5 as col, k * 7 % 6 - 1 as numobs from (select distinct p_partkey % 25 as k from {part}) t",
     "classes": "select p_partkey % 1152 as pixel, max(p_size % 4) as class from {part} group by p_partkey % 1152",
     "prices": "select s_suppkey % 3 as region, s_nationkey as type, max(abs(s_acctbal) / 10000) as hourly from {supplier} group by s_suppkey % 3, s_nationkey",
-    "beats": "select user_id as tile, ts as updated_at, case event_type when 'error' then 'failed' when 'signup' then 'done' when 'purchase' then 'skipped' else event_type end as phase, value as rss, event_id % 3 as attempt, event_id, cast(floor(event_id / 700) as bigint) as seq, event_id * 3 % 2900 as done, 3000 as total from {events}",
-    "tasks": "select event_id as task, ts as started, value as seconds, case event_id % 11 when 0 then 'open_qa' when 1 then 'keixel' when 2 then 'where-x' when 3 then 'sub' when 4 then 'getitem_sum-a' when 5 then 'Rechunk-merge' when 6 then 'shuffle_p2p' when 7 then 'transpose' when 8 then 'getitem' when 9 then 'store-map' else 'finalize' end as prefix, user_id as worker from {events}",
-    "places": "select s_suppkey as id, s_name as name, s_suppkey % 12 * 5 * (case when s_suppkey % 2 = 0 then 1 else -1 end) as lat, cast(floor(s_suppkey / 12) as bigint) % 36 * 5 * (case when s_suppkey % 3 = 0 then 1 else -1 end) as lon from {supplier}",
+    "beats": """select user_id as tile, ts as updated_at, case event_type when 'error' then 'failed' when 'signup' then 'done' when 'purchase' then 'skipped' else event_type end as phase, value as rss, event_id % 3 as attempt, event_id, cast(floor(event_id / 700) as bigint) as seq, event_id * 3 % 2900 as done, 3000 as total
+        from {events}""",
+    "tasks": """select event_id as task, ts as started, value as seconds, case event_id % 11 when 0 then 'open_qa' when 1 then 'keixel' when 2 then 'where-x' when 3 then 'sub' when 4 then 'getitem_sum-a' when 5 then 'Rechunk-merge' when 6 then 'shuffle_p2p' when 7 then 'transpose' when 8 then 'getitem' when 9 then 'store-map' else 'finalize' end as prefix, user_id as worker
+        from {events}""",
+    "places": """select s_suppkey as id, s_name as name, s_suppkey % 12 * 5 * (case when s_suppkey % 2 = 0 then 1 else -1 end) as lat, cast(floor(s_suppkey / 12) as bigint) % 36 * 5 * (case when s_suppkey % 3 = 0 then 1 else -1 end) as lon
+        from {supplier}""",
 }
 _BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
