@@ -200,9 +200,9 @@ QUERIES = {
         lambda spark, sf: _round(r.sample_gaps(load(spark, sf, "beats"), 600.0), "mean", "max", digits=3),
         with_tables("beats", f"""with d as (select ({_US} - lag({_US}) over (partition by tile
         order by updated_at, event_id)) / 1e6 as g
-        from beats) select round(avg(g), 3) as mean, round(max(g), 3) as max, count(*) filter (g > 600) as over
+        from beats) select round(avg(g), 3) as mean, round(max(g), 3) as max, count(*) filter (g > 600) as "over"
         from d
-        where g is not null""").replace(" as over ", ' as "over" ')),
+        where g is not null""")),
     "late_attach": (
         lambda spark, sf: r.late_attach(load(spark, sf, "beats"), F.lit("2024-01-01 06:00:00").cast("timestamp"), 3600.0),
         with_tables("beats", "select tile, min(updated_at) < timestamp '2024-01-01 04:00:00' as late from beats group by tile")),
