@@ -87,7 +87,11 @@ def offsets(anom: DataFrame, params: Params = Params()) -> DataFrame:
     Exact by histogram: anomalies are integers, so a scene has a bounded number of different ones; they are counted
     before the shuffle and the two middle ones are read off the running count.
     """
-    hist = anom.groupBy(*SCENE, "anom2").agg(F.count("*").alias("n"))
+    return offsets_of_histogram(anom.groupBy(*SCENE, "anom2").agg(F.count("*").alias("n")), params)
+
+
+def offsets_of_histogram(hist: DataFrame, params: Params = Params()) -> DataFrame:
+    """D2-D4 from ``hist(tile, scene_ts, anom2, n)``."""
     run = Window.partitionBy(*SCENE).orderBy("anom2")
     every = Window.partitionBy(*SCENE)
     at = hist.select(*SCENE, "anom2", "n", F.sum("n").over(run).alias("upto"), F.sum("n").over(every).alias("total"))

@@ -11,6 +11,7 @@ from ..sources.storage import written
 from . import composite as c
 from . import masks as m
 from . import normalize as n
+from . import series
 
 
 def of_jobs(obs: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -34,25 +35,30 @@ def tile_offsets(dn: DataFrame, params: Params = Params()) -> DataFrame:
     return written(n.offsets(n.anomalies(dn, n.climatology(dn)), params), "offsets")
 
 
-def process(obs: DataFrame, jobs: DataFrame, land: DataFrame, gap_cells: DataFrame, params: Params = Params(), factor: int = 1, cell: int = 36, hot: float = HOT_C) -> DataFrame:
+def process(obs: DataFrame, jobs: DataFrame, land: DataFrame, gap_cells: DataFrame, params: Params = Params(), factor: int = 1, cell: int = 36, hot: float = HOT_C, max_scenes: int = series.MAX_SCENES) -> DataFrame:
     """(tile, window, y, x, lst, lst_dn, n, m1 ... m12, scene_count): a row per land pixel of each job.
 
     Offsets are estimated over land, on the native grid or one ``factor`` times coarser, before any gap mask. Values that
-    are hot in a gap go; counts stay. The valid stack is written once and read by estimate and composite.
+    are hot in a gap go; counts stay. The valid observations are shuffled once, to a row per pixel that is written and read
+    by estimate and composite; beyond ``max_scenes`` scenes, whose offsets tasks could not all hold, they stay rows.
     """
     ours, ground = of_jobs(obs, jobs), land_of_jobs(land, jobs)
-    dn = written(m.mask_land(n.stack(ours), ground), "stack")
+    rows = series.series(ours, ground)
     if factor > 1:
         centre = (F.col("y") % factor == factor // 2) & (F.col("x") % factor == factor // 2)
         coarse_land = ground.where(centre).select("tile", *[F.floor(F.col(k) / factor).cast("long").alias(k) for k in ("y", "x")])
         coarse = n.stack(n.coarsen(ours, factor).withColumns({"lwir11": F.round("lwir11").cast("long"), "rank": F.lit(0).cast("long")}))
         estimate = m.mask_land(coarse, coarse_land)
+        table = tile_offsets(estimate, params.on_grid(factor))
     else:
-        estimate = dn
-    table = tile_offsets(estimate, params.on_grid(factor))
+        table = series.offsets(rows, params)
     # a scene of which nothing is left to estimate from is dropped like one that is too sparse
-    values = n.debias(dn.join(table.select(*n.SCENE), n.SCENE, "left_semi"), table)
-    comp = ground.join(c.composite(values), n.PIXEL, "left")
+    if table.count() <= max_scenes:
+        comp = series.composite(rows, table, strict=factor == 1)
+    else:
+        dn = written(m.mask_land(n.stack(ours), ground).join(table.select(*n.SCENE), n.SCENE, "left_semi"), "stack")
+        comp = c.composite(n.debias(dn, table))
+    comp = ground.join(comp, n.PIXEL, "left")
     counts = ["n", *[f"m{k}" for k in c.MONTHS]]
     comp = comp.withColumns({k: F.coalesce(k, F.lit(0).cast("long")) for k in counts})
     comp = m.mask_gaps(m.flag_gap(m.with_cell(comp, cell), gap_cells), hot).drop("row", "col", "in_gap")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rasterspark.functions import grid, quality
 from rasterspark.operators import audit, catalog, composite, masks, normalize, runs, sweeps
+from rasterspark.operators import series
 from rasterspark.operators import tile as whole
 from rasterspark.params import DN_HIGH, DN_LOW, Params
 from rasterspark.plans import tile
@@ -234,3 +235,24 @@ def test_full_tile_on_a_coarser_estimate(spark):
     got = whole.process(obs, jobs, load(spark, SF, "land"), gaps, tile.P, factor=2, cell=5, hot=tile.HOT).collect()
     land = load(spark, SF, "land").count()
     assert len(got) == 2 * land and any(r.lst is not None for r in got) and all((r.lst_dn == 0) == (r.lst is None) for r in got)
+
+
+def test_series_and_rows_agree(spark):
+    obs = load(spark, SF, "obs")
+    dn = normalize.stack(obs)
+    table = whole.tile_offsets(dn, tile.P)
+    rows = series.series(obs)
+    assert sorted(map(tuple, series.offsets(rows, tile.P).collect())) == sorted(map(tuple, table.collect()))
+    a, b = (sorted((r.tile, r.y, r.x, round(r.lst, 6), r.n, *[r[f"m{k}"] for k in range(1, 13)]) for r in df.collect()) for df in (composite.composite(normalize.debias(dn, table)), series.composite(rows, table)))
+    assert a == b and len(a) > 100
+    with pytest.raises(ValueError, match="rejected"):
+        series.composite(rows, table.withColumn("keep", F.lit(False)))
+    with pytest.raises(Exception, match="no offset"):
+        series.composite(rows, table.where("keep").limit(3)).collect()
+    assert series.series(obs.limit(0)).count() == 0
+
+
+def test_full_tile_beyond_the_scene_limit(spark):
+    parts = load(spark, SF, "obs"), tile.jobs(spark, SF), load(spark, SF, "land"), load(spark, SF, "cells").where("numobs = 0")
+    one, other = (sorted((tuple(round(v, 6) if isinstance(v, float) else v is None or v for v in r)) for r in whole.process(*parts, tile.P, cell=5, hot=tile.HOT, max_scenes=k).collect()) for k in (10**6, 0))
+    assert one == other
