@@ -79,7 +79,7 @@ def write(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, file_
     """Write a record per row of ``pages(page_id, url, html)``; returns the archives: (file, n).
 
     Of equal payloads of at least ``min_bytes`` bytes that of the smallest page_id is the response and the others
-    revisit it. Null html is an empty payload; rows without a page_id never are the response that others refer to;
+    revisit it. Very long payloads are written whole and extra columns are ignored. Null html is an empty payload; rows without a page_id never are the response that others refer to;
     rows that repeat the smallest id with the same payload are responses as well. No rows give no archives.
     """
     spark = small_batches(pages).sparkSession
@@ -182,6 +182,16 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
 
 
 def read(files: DataFrame) -> DataFrame:
-    """A row per record of normalised archives, each found by its index entry and checked against its digest."""
+    """A row per record of normalised archives, each found by its index entry: responses checked against their digest, revisits against a response of the page they name.
+
+    A revisit whose page has no response of the digest and length it states fails the job. No archives give no rows.
+    """
     n = max(1, files.count())
-    return files.select("file", "index").repartitionByRange(n, "file").mapInArrow(_reader, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    rows = files.select("file", "index").repartitionByRange(n, "file").mapInArrow(_reader, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    rows = materialise(rows, "warc-rows")
+    responses, revisits = rows.where("record_type = 'response'"), rows.where("record_type <> 'response'")
+    named = responses.where("page_id is not null").select(F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload_bytes").alias("_bytes")).distinct()
+    met = salted_join(revisits, named, ["refers_to", "payload_digest"], "left", hash_right=True)
+    wrong = F.raise_error(F.concat(F.lit("a revisit refers to no response like it: page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))).cast("long")
+    checked = F.when(F.col("_bytes").isNull() | (F.col("_bytes") != F.col("payload_bytes")), wrong).otherwise(F.col("payload_bytes"))
+    return responses.union(met.select("page_id", checked.alias("payload_bytes"), "payload_digest", "record_type", "refers_to"))
