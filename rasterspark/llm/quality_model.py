@@ -1,6 +1,6 @@
 """Quality scores: random Fourier features, ridge regression, isotonic calibration.
 
-Statistics of each whole text become standardised features; cosines of random projections approximate a
+Statistics of each whole text become standardised features, which are inputs of the regression themselves; cosines of random projections approximate a
 Gaussian kernel over them (Rahimi and Recht 2007). Each partition sums its part of the normal equations,
 the parts are summed by row over all tasks, and the driver solves one system whose size does not depend on the
 data. The scores of a held-back quarter of the training rows are binned and made monotone by pooling
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import materialise, small_batches
 
 FOURIER, RIDGE, SEED, BINS = 300, 1e-3, 11, 400
+#: Tasks that sum equations: each ships a matrix of fixed size, so their number bounds what is shuffled.
+PARTS = 256
 FEATURES = ("bytes", "words", "lines", "word_length", "longest", "distinct", "repeated", "top", "repeated_lines", "short_lines", "capitals", "digits", "others", "stops", "commas", "exclaims", "bars", "marks", "shouted", "closed")
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b"#$%&*@<>{}[]\\^~=+_/")] = True
@@ -134,7 +136,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Rows whose crc32(doc_id as text) mod 3 is 1 are held out: their labels are never read. All other labelled rows
     take part, three quarters in the regression and one in the calibration. Null and empty texts get the score of
-    an empty text; a null id is not held out; null labels count for nothing; without any label every score is 0.5.
+    an empty text; very long ones are measured whole; repeated rows are scored each; a null id is not held out; null labels
+    count for nothing; without any label every score is 0.5; extra columns are ignored; an empty table gives an empty result.
     """
     small_batches(docs)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
@@ -146,7 +149,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     map_, solution, knots, values = None, None, np.zeros(0), np.zeros(0)
     if sums[0]:
         map_ = Map(np.array(sums[1::2]), np.array(sums[2::2]), fourier, seed)
-        parts = known.where("not later").select("x", "y").mapInArrow(_equations(map_), "i int, row array<double>")
+        parts = known.where("not later").select("x", "y").coalesce(PARTS).mapInArrow(_equations(map_), "i int, row array<double>")
         rows = parts.repartition("i").mapInArrow(_sum_rows, "i int, row array<double>").collect()  # one system, of a fixed size
         a = np.array([r.row for r in sorted(rows, key=lambda r: r.i)])
         a, b = a[:, :-1], a[:, -1]

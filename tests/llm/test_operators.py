@@ -226,6 +226,18 @@ def test_warc(spark, pages):
     assert got[10_002][3] == 10_001
 
 
+def test_a_revisit_must_be_like_its_response(spark, tmp_path):
+    for i, refers_to in enumerate((1, 7, 3)):  # as it should be, of no page, of a page with another payload
+        rows = spark.createDataFrame([(1, "u", "same", None), (2, "u", "same", refers_to), (3, "u", "other", None)], "page_id long, url string, html string, refers_to long")
+        files = rows.coalesce(1).mapInArrow(warc._writer(f"file://{tmp_path}/{i}", 1 << 20), "file string, n long")
+        back = warc.read(warc.normalise(spark.createDataFrame(files.collect(), files.schema)))
+        if not i:
+            assert sorted((r.page_id, r.record_type, r.refers_to) for r in back.collect()) == [(1, "response", None), (2, "revisit", 1), (3, "response", None)]
+        else:
+            with pytest.raises(Exception, match="refers to no response"):
+                back.collect()
+
+
 def test_secrets(docs):
     got = by_id(secrets.scan(docs).collect())
     for r in docs.collect():
