@@ -131,7 +131,7 @@ def window_table(hashes: DataFrame, count: int) -> np.ndarray:
 
 
 def _may_be(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Whether both bits of each hash are set; for most hashes one look is enough."""
+    """Whether both bits of each hash are set."""
     mask, one = np.uint64(len(table) - 1), np.uint64(1)
     out = (table[(h >> np.uint64(6) & mask).astype(np.int64)] >> (h & np.uint64(63)) & one).astype(bool)
     at = np.flatnonzero(out)
@@ -147,22 +147,30 @@ def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
 
     def run(batches):
         forms = _Forms()
+        if table is not None:  # the first bit of each hash as a byte, folded to what a cache holds: one look for most windows
+            first_bits = np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
+            first = first_bits.reshape(-1, min(len(first_bits), 1 << 22)).any(0)
+            mask = np.uint64(len(first) - 1)
         for b in batches:
             n, hits = [], []
             for text in b.column(1).to_pylist():
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 tokens, slots, plain, names = template(words, forms)
-                first = np.where(slots, plain, np.uint64(_NAME_FORM))
+                lead = np.where(slots, plain, np.uint64(_NAME_FORM))
                 rows = []
                 for size in [min(WINDOW, len(words))] * (len(words) > 0) if whole else sizes:
                     ways = [(*exact_windows(plain, size), None, True)]
                     if size >= SHORTEST:
                         ways.append((*windows(tokens, slots, size), slots, False))
                     if size >= SHORTEST and not whole:  # a capital at the start of a window, as a name and as none
-                        h, ok = windows(tokens, slots, size, first)
+                        h, ok = windows(tokens, slots, size, lead)
                         ways.append((h, ok & names[: len(h)], slots, True))
                     for h, ok, slot_of, other in ways:
-                        at = np.flatnonzero(ok if table is None else ok & _may_be(table, h))
+                        if table is not None:
+                            ok = ok & first[(h & mask).astype(np.int64)]
+                        at = np.flatnonzero(ok)
+                        if table is not None and len(at):
+                            at = at[_may_be(table, h[at])]
                         for i in at.tolist():
                             cut = [w.strip(_EDGE).lower().decode("utf-8", "surrogatepass").lower().encode("utf-8", "replace").decode() for w in words[i : i + size]]
                             if slot_of is None:
