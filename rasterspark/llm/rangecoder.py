@@ -22,7 +22,7 @@ import zlib
 
 import numpy as np
 
-MAGIC, STEPS, GROUP, BLOCK = b"RSB2", 256, 16384, 1 << 21
+MAGIC, STEPS, GROUP, BLOCK = b"RSB2", 256, 16384, 1 << 22
 RENEW = 1  # distributions are taken anew when a block has grown by this part
 IDS = 1 << 16
 _HEAD = "<4sIIII"
@@ -175,9 +175,8 @@ def _shift(low: np.ndarray, span: np.ndarray):
 
 def encode_block(ids: np.ndarray) -> bytes:
     n = len(ids)
-    ids = ids.astype(np.int64)
     lanes, active = _lanes(n)
-    grid = np.zeros(lanes * STEPS, np.int64)
+    grid = np.zeros(lanes * STEPS, np.uint16)
     grid[:n] = ids
     grid = grid.reshape(lanes, STEPS).T.copy()
     model = Model(False)
@@ -190,7 +189,7 @@ def encode_block(ids: np.ndarray) -> bytes:
                 k = min(len(low), int(active[t]) - g)
                 if k <= 0:
                     break
-                x = grid[t, g : g + k]
+                x = grid[t, g : g + k].astype(np.int64)
                 p2, q1, q2 = model.predict(a[:k], b[:k])
                 hit2 = (p2 == x) & (q2 > 0)
                 start, freq = np.zeros(k, np.int64), q2 << _BASE  # where order 2 holds
@@ -245,7 +244,7 @@ def decode_block(data: bytes, at: int = 0) -> np.ndarray:
     words = np.frombuffer(data, "<u2", size // 2, at + 2 * lanes).astype(_U)
     words = np.concatenate([words, np.zeros(8, _U)])
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    grid = np.zeros((STEPS, lanes), np.int64)
+    grid = np.zeros((STEPS, lanes), np.uint16)
     model = Model(True)
     with np.errstate(over="ignore"):
         for g in range(0, lanes, GROUP):
