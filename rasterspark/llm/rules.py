@@ -107,9 +107,10 @@ def thresholds(judged: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     start = F.struct(F.lit(0).cast("long").alias("held"), F.lit(0).alias("next"), F.array().cast("array<int>").alias("of"))
     # what is left over at the end joins the stratum before it
     seen = seen.withColumn("_s", F.aggregate("n", start, step)).withColumn("of", F.transform("_s.of", lambda g: F.greatest(F.least(g, F.col("_s.next") - 1), F.lit(0))))
-    over = lambda b, f: sum((F.when(F.col("of")[c] == F.col("of")[b], f(c)).otherwise(F.lit(0).cast("long")) for c in bands), F.lit(0).cast("long"))
-    tests = [F.struct(F.lit(b).alias("band"), F.col("of")[b].alias("stratum"), over(b, lambda c: F.col("n")[c]).alias("n"), F.lit(i).alias("level"), over(b, lambda c, i=i: F.col("k")[c][i]).alias("k")) for b in bands for i in range(LEVELS)]
-    rows = seen.select(F.inline(F.array(*tests)))
+    rows = seen.select("n", "k", "of", F.posexplode("of").alias("band", "stratum"))
+    mine = lambda values: F.aggregate(F.zip_with(values, "of", lambda v, g: F.when(g == F.col("stratum"), v).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, v: s + v)
+    rows = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    rows = rows.select("band", "stratum", "level", mine(F.col("n")).alias("n"), mine(F.transform("k", lambda k: F.get(k, F.col("level")))).alias("k"))
     n, k = F.col("n").cast("double"), F.col("k")
     first = F.struct((n * F.log(F.lit(1 - risk))).alias("log"), F.exp(n * F.log(F.lit(1 - risk))).alias("sum"))
     terms = F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<long>"))
