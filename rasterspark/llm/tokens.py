@@ -58,7 +58,7 @@ class WordIds:
     turn; each new word goes to the library once, many in one call. Any other vocabulary gets whole texts.
     """
 
-    LIMIT = 1_500_000
+    LIMIT = 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, models, pre_tokenizers
