@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality_model, rules, secrets, simhash, substrings, tokens, urlfilter, warc
+from . import decontaminate, mixing, ordermin, quality_model, resample, rules, secrets, simhash, substrings, tokens, urlfilter, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,8 +63,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents, of their edited texts, and how alike they are. A null text is empty; rows of one id follow each other; no rows give none."""
+    return ordermin.compare_edited(_table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights towards the benchmark, scores and the ranks of what is drawn. A null text has no words and is never drawn; no rows give none."""
+    drawn = resample.draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings, a row per vector and component. Vectors that are null or have null or non-finite entries go; no rows give none."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_decontamination, op4_substrings, op5_quality_classifier, op6_warc, op7_secret_scan, op8_token_files, op9_url_filter, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_decontamination, op4_substrings, op5_quality_classifier, op6_warc, op7_secret_scan, op8_token_files, op9_url_filter, op10_quality_rules, op11_order_minhash, op12_resampling, op13_whitening)}
 
 
 def _rules_sql() -> str:
