@@ -14,6 +14,7 @@ CLEAR_BITS = 62  # bits 1 to 5: dilated cloud, cirrus, cloud, shadow, snow
 PLATFORMS = ("landsat-8", "landsat-9")
 TILE_DEG, PX_PER_DEG, PX_PER_CELL = 5, 3600, 36
 NORTH, SOUTH = 60, -60
+MERCATOR_RADIUS = 6378137.0
 
 
 def _celsius(dn: int) -> float:

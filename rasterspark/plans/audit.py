@@ -67,10 +67,10 @@ def class_areas(spark: SparkSession, sf: str) -> DataFrame:
     return _round(a.gap_shares(a.tier_area(p.join(t, ["row", "col"]), 0.25), (2, 3)), "gap_share")
 
 
-def _edges(spark: SparkSession, sf: str) -> DataFrame:
+def _edges(spark: SparkSession, sf: str, scale: float = 1.0) -> DataFrame:
     """Diamonds around parts of the grid, one polygon per place."""
     k = F.col("id")
-    cx, cy, r = (k * 7 % 20 + 2.25).alias("cx"), (k * 11 % 20 + 2.35).alias("cy"), (k % 3 + 1.5).alias("r")
+    cx, cy, r = (k * 7 % 20 + 2.25).alias("cx"), (k * 11 % 20 + 2.35).alias("cy"), ((k % 3 + 1.5) * scale).alias("r")
     d = load(spark, sf, "places").select(k.alias("poly_id"), (k % 4).alias("class"), cx, cy, r)
     px, py = lambda dx: F.col("cx") + F.col("r") * dx, lambda dy: F.col("cy") + F.col("r") * dy
     ring = ((1, 0), (0, 1), (-1, 0), (0, -1))
@@ -78,12 +78,60 @@ def _edges(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("poly_id", "class", F.inline(F.array(*sides)))
 
 
+def _grid(spark: SparkSession, side: int, size: int) -> DataFrame:
+    """side x side tiles of the local grid, named by row and column."""
+    t = spark.range(side * side).select(F.floor(F.col("id") / side).alias("row"), (F.col("id") % side).alias("col"))
+    return t.select(F.concat_ws("_", "row", "col").alias("tile"), "row", "col")
+
+
 _DIAMOND = """dia as (select id % 4 as class, id * 7 % 20 + 2.25e0 as cx, id * 11 % 20 + 2.35e0 as cy, id % 3 + 1.5e0 as r
         from places),
         pxl as (select y, x
         from range(24) a(y), range(24) b(x))"""
 
 
+def _holed(spark: SparkSession, sf: str) -> DataFrame:
+    """The diamonds with a hole of half their size."""
+    return _edges(spark, sf).union(_edges(spark, sf, 0.5))
+
+
+def _blocks(spark: SparkSession, sf: str) -> DataFrame:
+    i = F.col("id") % 25
+    return load(spark, sf, "places").select(F.col("id").alias("block"), (i * 12 - 150.0).alias("west"), (i * 3 - 40.0).alias("south"), (i * 12 - 138.0).alias("east"), (i * 3 - 33.0).alias("north"), (F.col("id") % 4 != 0).alias("land"))
+
+
+def _footprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Rotated rectangles with sides along (-1, 2) and (2, 1); a tenth of the scenes has none, another tenth an empty one."""
+    point = lambda dx, dy: F.struct((F.col("west") + 0.5 + dx).alias("x"), (F.col("south") + 0.5 + dy).alias("y"))
+    ring = F.array(point(0, 0), point(4, 2), point(3, 4), point(-1, 2))
+    i = F.col("item_id") % 10
+    return load(spark, sf, "scenes").select(F.when(i == 0, None).when(i == 1, F.slice(F.array(ring), 1, 0)).otherwise(F.array(ring)).alias("rings"))
+
+
+_QUADS = """b as (select id as block, id % 25 * 12 - 150.0e0 as w, id % 25 * 3 - 40.0e0 as s, id % 25 * 12 - 138.0e0 as e, id % 25 * 3 - 33.0e0 as n, id % 4 <> 0 as land
+        from places),
+        q as (select item_id as id, west + 0.5e0 as x0, south + 0.5e0 as y0, west + 4.5e0 as x1, south + 2.5e0 as y1, west + 3.5e0 as x2, south + 4.5e0 as y2, west - 0.5e0 as x3, south + 2.5e0 as y3
+        from scenes
+        where item_id % 10 > 1)"""
+
+
+def _coast(spark: SparkSession, sf: str) -> DataFrame:
+    """Islands: diamonds of different reach in longitude and latitude off the north-west corner of the grid."""
+    k = F.col("id")
+    d = load(spark, sf, "places").where("id <= 12").select(k.alias("poly_id"), (k % 4).alias("class"), (k * 7 % 20 * 0.25 - 179.55).alias("cx"), (59.55 - k * 11 % 20 * 0.25).alias("cy"), (k % 3 * 0.3 + 0.2).alias("rx"), (k % 4 * 0.2 + 0.15).alias("ry"))
+    px, py = lambda dx: F.col("cx") + F.col("rx") * dx, lambda dy: F.col("cy") + F.col("ry") * dy
+    ring = ((1, 0), (0, 1), (-1, 0), (0, -1))
+    sides = [F.struct(px(p[0]).alias("lon0"), py(p[1]).alias("lat0"), px(s[0]).alias("lon1"), py(s[1]).alias("lat1")) for p, s in zip(ring, ring[1:] + ring[:1])]
+    return d.select("poly_id", "class", F.inline(F.array(*sides)))
+
+
+_COAST = """dia as (select id * 7 % 20 * 0.25e0 - 179.55e0 as cx, 59.55e0 - id * 11 % 20 * 0.25e0 as cy, id % 3 * 0.3e0 + 0.2e0 as rx, id % 4 * 0.2e0 + 0.15e0 as ry
+        from places
+        where id <= 12),
+        side as (select cx + rx * ax as lon0, cy + ry * ay as lat0, cx + rx * bx as lon1, cy + ry * by_ as lat1
+        from dia, (values (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) v(ax, ay, bx, by_))"""
+
+
 def granule_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Granules that tiles need against those present and listed."""
     tiles = load(spark, sf, "places").select(F.col("name").alias("tile"), (F.col("id") * 130).alias("row0"), (F.col("id") * 90).alias("col0"))
@@ -217,10 +265,10 @@ QUERIES = {
         lambda spark, sf: a.cells_of_class(_classes(spark, sf), (2, 3)),
         with_tables("classes", f"with {_MOLL} select distinct cast(floor(lat) as int) as lat, cast(floor(lon) as int) as lon from moll where class in (2, 3)")),
     "polygon_raster": (
-        lambda spark, sf: m.rasterise(_edges(spark, sf), 24, 24),
+        lambda spark, sf: m.rasterise(_edges(spark, sf), _grid(spark, 1, 24), 24, 24).drop("tile"),
         with_tables("places", f"with {_DIAMOND} select y, x, max(class) as class from pxl, dia where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r group by y, x")),
     "polygon_buffer": (
-        lambda spark, sf: m.buffered_mask(_edges(spark, sf), 24, 24, 0.8),
+        lambda spark, sf: m.rasterise(e := _edges(spark, sf), _grid(spark, 1, 24), 24, 24).select("y", "x").union(m.near_edges(e, 24, 24, 0.8)).distinct(),
         with_tables("places", f"""with {_DIAMOND}, sd as (select cx + r * ax as x0, cy + r * ay as y0, cx + r * bx as x1, cy + r * by_ as y1
         from dia, (values (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) v(ax, ay, bx, by_)),
         nr as (select y, x, x0, y0, x1 - x0 as dx, y1 - y0 as dy, greatest(0.0e0, least(1.0e0, ((x + 0.5e0 - x0) * (x1 - x0) + (y + 0.5e0 - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) as t
@@ -294,13 +342,50 @@ QUERIES = {
         order by line)) as hash
         from l"""),
     "block_weights": (
-        lambda spark, sf: m.block_weights(load(spark, sf, "places").select(F.col("id").alias("block"), ((F.col("id") % 25) * 12 - 150.0).alias("west"), ((F.col("id") % 25) * 3 - 40.0).alias("south"), ((F.col("id") % 25) * 12 - 138.0).alias("east"), ((F.col("id") % 25) * 3 - 33.0).alias("north"), (F.col("id") % 4 != 0).alias("land")), load(spark, sf, "scenes").select("item_id", *[F.when(F.col("item_id") % 10 > 0, v).alias(k) for k, v in (("west", F.col("west") + 0.5), ("south", F.col("south") + 0.5), ("east", F.col("west") + 3.5), ("north", F.col("south") + 2.5))])),
-        with_tables("scenes places", """with b as (select id as block, id % 25 * 12 - 150.0e0 as w, id % 25 * 3 - 40.0e0 as s, id % 25 * 12 - 138.0e0 as e, id % 25 * 3 - 33.0e0 as n, id % 4 <> 0 as land
-        from places) select block, count(item_id) as scenes
+        lambda spark, sf: m.block_weights(_blocks(spark, sf), _footprints(spark, sf)),
+        with_tables("scenes places", f"""with {_QUADS}, far as (select block, id
         from b
+        join q on true
+        where not land or exists (select 1
+        from (values (1.0e0, 0.0e0), (0.0e0, 1.0e0), (2.0e0, 1.0e0), (-1.0e0, 2.0e0)) axis(nx, ny)
+        where greatest(w * nx, e * nx) + greatest(s * ny, n * ny) < least(x0 * nx + y0 * ny, x1 * nx + y1 * ny, x2 * nx + y2 * ny, x3 * nx + y3 * ny)
+          or least(w * nx, e * nx) + least(s * ny, n * ny) > greatest(x0 * nx + y0 * ny, x1 * nx + y1 * ny, x2 * nx + y2 * ny, x3 * nx + y3 * ny)))
+        select block, (select count(*) from q) - (select count(*) from far where far.block = b.block) as scenes
+        from b""")),
+    "coastal_buffer": (
+        lambda spark, sf: m.buffered_mask(_coast(spark, sf), _grid(spark, 2, 30), 30, 30, 25000.0, 60, -180.0, 10.0),
+        with_tables("places", f"""with {_COAST}, px as (select r, c, -180 + (c + 0.5e0) / 10 as lon, 60 - (r + 0.5e0) / 10 as lat
+        from range(60) a(r), range(60) b(c)),
+        m as (select r, c, lon, lat, 6378137.0e0 * radians(lon) as x, 6378137.0e0 * ln(tan(pi() / 4 + radians(lat) / 2)) as y
+        from px),
+        e as (select 6378137.0e0 * radians(lon0) as x0, 6378137.0e0 * ln(tan(pi() / 4 + radians(lat0) / 2)) as y0, 6378137.0e0 * radians(lon1) as x1, 6378137.0e0 * ln(tan(pi() / 4 + radians(lat1) / 2)) as y1
+        from side),
+        t as (select r, c, x - x0 as px, y - y0 as py, x1 - x0 as dx, y1 - y0 as dy, greatest(0.0e0, least(1.0e0, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) as k
+        from m, e),
+        hit as (select r, c
+        from t
+        where sqrt(pow(px - k * dx, 2) + pow(py - k * dy, 2)) <= 25000 union select r, c
+        from px, dia
+        where abs(lon - cx) / rx + abs(lat - cy) / ry < 1)
+        select (r // 30) || '_' || (c // 30) as tile, r % 30 as y, c % 30 as x
+        from hit""")),
+    "polygon_tiles": (
+        lambda spark, sf: m.rasterise(_holed(spark, sf), _grid(spark, 3, 8).where("tile <> '1_1'"), 8, 8),
+        with_tables("places", f"""with {_DIAMOND} select (y // 8) || '_' || (x // 8) as tile, y % 8 as y, x % 8 as x, max(class) as class
+        from pxl, dia
+        where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r and abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) >= r / 2 and not (y // 8 = 1 and x // 8 = 1)
+        group by y, x""")),
+    "land_shares": (
+        lambda spark, sf: _round(m.land_shares(m.rasterise(_holed(spark, sf), t := _grid(spark, 3, 8), 8, 8), t, 64), "fraction"),
+        with_tables("places", f"""with {_DIAMOND}, hit as (select distinct y // 8 as r, x // 8 as c, y, x
+        from pxl, dia
+        where abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) < r and abs(x + 0.5e0 - cx) + abs(y + 0.5e0 - cy) >= r / 2)
+        select a.r || '_' || b.c as tile, round(count(hit.y) / 64, 4) as fraction
+        from range(3) a(r)
+        join range(3) b(c) on true
         left
-        join scenes on land and item_id % 10 > 0 and w < west + 3.5 and west + 0.5 < e and s < south + 2.5 and south + 0.5 < n
-        group by block""")),
+        join hit on hit.r = a.r and hit.c = b.c
+        group by a.r, b.c""")),
     "tile_dimension": (
         lambda spark, sf: g.tiles(spark).join(load(spark, sf, "places").select(((F.col("id") % 25) * 10 - 120).cast("int").alias("lon")).distinct(), "lon").select("name", F.col("lat"), "lon", *[v.alias(k) for k, v in zip(("plat", "plon"), g.parse_tile(F.col("name")))]),
         with_tables("places", """select case when lat >= 0 then 'N' else 'S' end || lpad(cast(abs(lat) as varchar), 2, '0') || case when lon >= 0 then 'E' else 'W' end || lpad(cast(abs(lon) as varchar), 3, '0') as name, cast(lat as int) as lat, cast(lon as int) as lon, cast(lat as int) as plat, cast(lon as int) as plon
