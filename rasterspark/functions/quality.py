@@ -52,13 +52,13 @@ def threshold_dn(t: float, scale: float = PACK_SCALE, offset: float = PACK_OFFSE
 
 
 def observation_tier(n: Column) -> Column:
-    """Absent, 0, 1, 2, 3 or 4 (and more)."""
-    return F.when(n < 0, "absent").otherwise(F.least(n, F.lit(4)).cast("string"))
+    """Absent, 0, 1, 2, 3 or >=4."""
+    return F.when(n < 0, "absent").when(n >= 4, ">=4").otherwise(n.cast("string"))
 
 
 def coverage_tier(n: Column, water: Column) -> Column:
-    """Over land normal (3 and more), low (1, 2) or gap; null over water."""
-    return F.when(water, None).when(n >= 3, "normal").when(n >= 1, "low").otherwise("gap")
+    """Over land normal (3 and more), low_confidence (1, 2) or gap; null over water."""
+    return F.when(water, None).when(n >= 3, "normal").when(n >= 1, "low_confidence").otherwise("gap")
 
 
 def pixel_state(c: Column, hot: float = HOT_C) -> Column:

@@ -11,30 +11,70 @@ from .masks import dilate, flag_gap
 from .normalize import PIXEL, require_empty
 
 
+# Observation tiers in the order of a report.
+TIERS = ("0", "1", "2", "3", ">=4", "absent")
+
+
+def _pct(part: Column, whole: Column) -> Column:
+    """Per cent; null where there is nothing to divide by."""
+    return 100.0 * part / F.nullif(whole, F.lit(0))
+
+
+def tile_totals(pixels: DataFrame) -> DataFrame:
+    """A row per tile of ``pixels(tile, tier, state)``: pixels, valid, missing and hot ones, with their shares."""
+    t = _tallies(pixels).where("_all").drop("_all", "tier")
+    return t.withColumns({"valid_pct": _pct(F.col("valid_pixels"), F.col("total_pixels")), "missing_pct": _pct(F.col("missing_pixels"), F.col("total_pixels")), "hot_pct_of_valid": _pct(F.col("hot_pixels"), F.col("valid_pixels"))})
+
+
+def _tallies(pixels: DataFrame) -> DataFrame:
+    """Pixels by state of each tier of a tile and, marked _all, of the tile; both from one grouping."""
+    of = lambda s: F.count_if(F.col("state") == s)
+    g = pixels.groupingSets([["tile", "tier"], ["tile"]], "tile", "tier")
+    return g.agg(F.count("*").alias("total_pixels"), (F.count("*") - of("missing")).alias("valid_pixels"), of("missing").alias("missing_pixels"), of("hot").alias("hot_pixels"), (F.grouping("tier") == 1).alias("_all"))
+
+
 def cross_tab(pixels: DataFrame) -> DataFrame:
-    """(tier, state, n, share, hot_rate, enrichment) of ``pixels(tier, state)``; null where there is nothing to divide by."""
-    g = pixels.groupBy("tier", "state").agg(F.count("*").alias("n"))
-    tiers = g.groupBy("tier").agg(F.sum("n").alias("t"), F.sum(F.when(F.col("state") == "hot", F.col("n")).otherwise(0)).alias("th"))
-    total = g.agg(F.sum("n").alias("a"), F.sum(F.when(F.col("state") == "hot", F.col("n")).otherwise(0)).alias("ah")).withColumn("k", F.lit(1))
-    j = g.join(tiers, "tier").withColumn("k", F.lit(1)).join(total, "k")
-    zero = F.lit(0)
-    rate, all_rate = F.col("th") / F.nullif(F.col("t"), zero), F.col("ah") / F.nullif(F.col("a"), zero)
-    return j.select("tier", "state", "n", (F.col("n") / F.nullif(F.col("t"), zero)).alias("share"), rate.alias("hot_rate"), (rate / F.nullif(all_rate, F.lit(0.0))).alias("enrichment"))
+    """A row per tile and tier, tiers without pixels included, of ``pixels(tile, tier, state)``.
+
+    Shares of the tile and of its hot and missing pixels, the tier's own rates (hot ones of its valid pixels), and both rates over
+    the tile's; in per cent, null where there is nothing to divide by.
+    """
+    t = _tallies(pixels)
+    counts = ["total_pixels", "valid_pixels", "missing_pixels", "hot_pixels"]
+    whole = t.where("_all").select("tile", F.explode(F.array(*map(F.lit, TIERS))).alias("tier"), *[F.col(c).alias(f"_{c}") for c in counts])
+    j = whole.join(t.where("not _all").drop("_all"), ["tile", "tier"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+    total, valid, missing, hot = (F.col(c) for c in counts)
+    all_total, all_valid, all_missing, all_hot = (F.col(f"_{c}") for c in counts)
+    over = lambda part, whole, all_part, all_whole: _pct(part, whole) / F.nullif(_pct(all_part, all_whole), F.lit(0.0))
+    return j.select(
+        "tile", "tier", *counts,
+        _pct(total, all_total).alias("share_of_tile_pct"), _pct(valid, total).alias("valid_pct_of_tier"), _pct(missing, total).alias("missing_pct_of_tier"), _pct(hot, valid).alias("hot_pct_of_tier_valid"),
+        _pct(hot, all_hot).alias("share_of_tile_hot_pct"), _pct(missing, all_missing).alias("share_of_tile_missing_pct"),
+        over(hot, valid, all_hot, all_valid).alias("hot_enrichment_vs_tile"), over(missing, total, all_missing, all_total).alias("missing_enrichment_vs_tile"),
+    )
 
 
 def tradeoffs(pixels: DataFrame, gaps: DataFrame, radii: tuple = (0, 1), columns: int = 36000) -> DataFrame:
-    """(rule, cool, hot, missing): pixels that each candidate rule takes: gaps grown by each radius, and the hot ones of these only.
+    """A row per tile and candidate rule: gaps grown by each radius, and the hot pixels of these only (value-gated), with what it takes and what that is of the tile.
 
-    ``pixels(row, col, state)``.
+    ``pixels(tile, row, col, state)``. Gap cells are grown once, each with its distance; a pixel is then tried on all rules at once.
     """
-    out = None
-    for r in radii:
-        hit = pixels.join(dilate(gaps, r, columns) if r else gaps.select("row", "col").distinct(), ["row", "col"], "left_semi")
-        for gated in (False, True):
-            took = hit.where("state = 'hot'") if gated else hit
-            row = took.agg(F.lit(f"grow{r}" + "_hot" * gated).alias("rule"), *[F.count_if(F.col("state") == s).alias(s) for s in ("cool", "hot", "missing")])
-            out = row if out is None else out.unionByName(row)
-    return out
+    step = F.sequence(F.lit(-max(radii)), F.lit(max(radii)))
+    grown = gaps.withColumn("_dr", F.explode(step)).withColumn("_dc", F.explode(step))
+    near = grown.groupBy((F.col("row") + F.col("_dr")).alias("row"), F.pmod(F.col("col") + F.col("_dc"), F.lit(columns)).alias("col")).agg(F.min(F.greatest(F.abs("_dr"), F.abs("_dc"))).alias("_far"))
+    rules = F.explode(F.array(*[F.struct(F.lit(f"grow{r}" + "_hot" * g).alias("rule"), F.lit(bool(g)).alias("value_gated"), F.lit(r).alias("_r")) for r in radii for g in (0, 1)]))
+    tried = pixels.select("tile", "row", "col", "state").join(near, ["row", "col"], "left").select("tile", "state", "_far", rules.alias("_rule")).select("tile", "state", "_far", "_rule.*")
+    hit = F.coalesce(F.col("_far") <= F.col("_r"), F.lit(False)) & (~F.col("value_gated") | (F.col("state") == "hot"))
+    of = lambda s: F.count_if(hit & (F.col("state") == s))
+    at = lambda s: F.count_if(F.col("state") == s)
+    t = tried.groupBy("tile", "rule", "value_gated").agg(of("cool").alias("cool"), of("hot").alias("hot"), of("missing").alias("missing"), at("hot").alias("_hot"), at("missing").alias("_missing"), F.count("*").alias("_all"))
+    removed = F.col("cool") + F.col("hot")
+    return t.select(
+        "tile", "rule", "value_gated", removed.alias("valid_pixels_removed"), _pct(removed, F.col("_all") - F.col("_missing")).alias("valid_pixels_removed_pct"),
+        F.col("hot").alias("hot_pixels_removed"), _pct(F.col("hot"), F.col("_hot")).alias("hot_pixels_removed_pct"), (F.col("_hot") - F.col("hot")).alias("hot_pixels_remaining"),
+        F.col("cool").alias("cool_valid_pixels_removed"), F.col("missing").alias("missing_pixels_annotated"), _pct(F.col("missing"), F.col("_missing")).alias("missing_pixels_annotated_pct"),
+        (F.col("cool") / F.nullif("hot", F.lit(0))).alias("cool_pixels_lost_per_hot_pixel_removed"),
+    )
 
 
 def registration(pixels: DataFrame, gaps: DataFrame, reach: int = 2) -> DataFrame:
@@ -85,7 +125,7 @@ def content_hash(gaps: DataFrame, consumed: DataFrame, absent: DataFrame, produc
 def granule_cell(points: Column) -> tuple[Column, Column]:
     """South-west corner, in whole degrees, of a nested metadata polygon array<struct<lat, lon>>; null when unusable."""
     low = lambda f: F.floor(F.array_min(F.transform(points, lambda p: p[f]))).cast("int")
-    ok = F.size(points) >= 4
+    ok = F.size(points) > 0
     return F.when(ok, low("lat")), F.when(ok, low("lon"))
 
 
@@ -119,12 +159,16 @@ def tier_area(rows: DataFrame, km2: float, partial: DataFrame | None = None) ->
 
 
 def gap_shares(area: DataFrame, urban: tuple) -> DataFrame:
-    """(class, gap_share) for each class, for all and for the urban ones; 0 where there is no area."""
-    share = (F.coalesce(F.sum(F.when(F.col("tier") == "gap", F.col("km2"))), F.lit(0.0)) / F.nullif(F.sum("km2"), F.lit(0.0)))
-    each = area.groupBy(F.col("class").cast("string").alias("class")).agg(share.alias("gap_share"))
-    every = area.agg(share.alias("gap_share")).select(F.lit("all").alias("class"), "gap_share")
-    town = area.where(F.col("class").isin(*urban)).agg(share.alias("gap_share")).select(F.lit("urban").alias("class"), "gap_share")
-    return each.union(every).union(town).withColumn("gap_share", F.coalesce("gap_share", F.lit(0.0)))
+    """(class, land_km2, gap_km2, low_confidence_km2, gap_pct, low_confidence_pct) of ``area(class, tier, km2)``: for each class, for all and for the urban ones, in one grouping; zeros where there is no area."""
+    km2 = lambda t: F.sum(F.when(F.col("tier") == t, F.col("km2")))
+    a = area.select("tier", "km2", F.col("class").cast("string").alias("class"), F.when(F.col("class").isin(*urban), "urban").alias("town"))
+    g = a.groupingSets([["class"], ["town"], []], "class", "town").agg(F.sum("km2").alias("land_km2"), km2("gap").alias("gap_km2"), km2("low_confidence").alias("low_confidence_km2"), F.grouping_id("class", "town").alias("_set"))
+    name = F.when(F.col("_set") == 1, F.col("class")).when(F.col("_set") == 2, F.col("town")).otherwise("all")
+    found = g.select(name.alias("class"), "land_km2", "gap_km2", "low_confidence_km2").where("class is not null")
+    always = area.sparkSession.createDataFrame([("all",), ("urban",)], "class string")
+    out = found.select("class").union(always).distinct().join(found, "class", "left").na.fill(0.0)
+    share = lambda c: F.coalesce(_pct(F.col(c), F.nullif("land_km2", F.lit(0.0))), F.lit(0.0))
+    return out.select("class", "land_km2", "gap_km2", "low_confidence_km2", share("gap_km2").alias("gap_pct"), share("low_confidence_km2").alias("low_confidence_pct"))
 
 
 def cells_of_class(points: DataFrame, classes: tuple) -> DataFrame:
@@ -134,11 +178,15 @@ def cells_of_class(points: DataFrame, classes: tuple) -> DataFrame:
 
 
 def validate(predicted: DataFrame, observed: DataFrame, land: DataFrame) -> DataFrame:
-    """C20: hits, misses and false alarms of predicted gaps over land."""
-    a, b = predicted.withColumn("p", F.lit(True)), observed.withColumn("o", F.lit(True))
-    j = a.join(b, PIXEL, "full").join(land, PIXEL, "left_semi")
+    """C20: a row per tile of ``land``: its pixels, predicted and observed gaps on them in per cent, their agreement (intersection over union, 1 without any), and what only one side has."""
+    flag = lambda d, c: d.select(*PIXEL).distinct().withColumn(c, F.lit(True))
+    j = land.join(flag(predicted, "p"), PIXEL, "left").join(flag(observed, "o"), PIXEL, "left")
     p, o = F.coalesce("p", F.lit(False)), F.coalesce("o", F.lit(False))
-    return j.agg(F.count_if(p & o).alias("hits"), F.count_if(~p & o).alias("misses"), F.count_if(p & ~o).alias("false_alarms"))
+    either = F.count_if(p | o)
+    return j.groupBy("tile").agg(
+        F.count("*").alias("land_pixels"), (100.0 * F.count_if(o) / F.count("*")).alias("observed_gap_pct"), (100.0 * F.count_if(p) / F.count("*")).alias("predicted_gap_pct"),
+        F.coalesce(F.count_if(p & o) / F.nullif(either, F.lit(0)), F.lit(1.0)).alias("agreement_iou"), F.count_if(o & ~p).alias("observed_only_pixels"), F.count_if(p & ~o).alias("predicted_only_pixels"),
+    )
 
 
 # What is known of a granule that isn't there.
@@ -157,23 +205,37 @@ def classify_absent(missing: DataFrame, inventory: DataFrame | None = None, doma
     return j.select("granule", label.alias("label"))
 
 
-def coverage_report(expected: DataFrame, present: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Counts of expected, missing, extra, core-missing, absent upstream and fetchable granules, tiles that a fetchable one (or a core one) concerns, 25 names as a sample.
+SAMPLE = 25
 
-    ``expected(tile, granule, core)``.
+
+def coverage_report(expected: DataFrame, present: DataFrame, inventory: DataFrame | None = None, domain: DataFrame | None = None) -> DataFrame:
+    """One row on the granules that tiles need, of ``expected(tile, granule, core)``, ``present(granule)`` and what upstream lists.
+
+    A missing granule that upstream lacks cannot be fetched; without an inventory none is known to lack. Tiles count as
+    missing core (or any) if a fetchable core (or any) granule of theirs is. Counts by label, and the first 25 names
+    of fetchable and of upstream-absent core granules, in order.
     """
-    g = expected.groupBy("granule").agg(F.bool_or("core").alias("core"))
-    missing = g.join(present.select("granule").distinct(), "granule", "left_anti")
-    extra = present.select("granule").distinct().exceptAll(g.select("granule"))
-    fetchable = missing.select("granule").intersect(inventory.select("granule"))
-    touched = expected.join(fetchable, "granule", "left_semi")
-    tiles, core_tiles = (t.select("tile").distinct() for t in (touched, touched.where("core")))
-    counts = [(g, "expected"), (missing, "missing"), (extra, "extra"), (missing.where("core"), "missing_core"), (missing.select("granule").subtract(inventory.select("granule")), "absent_upstream"), (fetchable, "fetchable"), (tiles, "tiles_affected"), (core_tiles, "core_tiles_affected")]
-    first = missing.select("granule").orderBy("granule").limit(25)
-    out = first.agg(F.array_join(F.array_sort(F.collect_list("granule")), ",").alias("sample")).withColumn("k", F.lit(1))
-    for df, name in counts:
-        out = out.join(df.agg(F.count("*").alias(name)).withColumn("k", F.lit(1)), "k")
-    return out.drop("k")
+    flag = lambda d, c: d.select("granule").distinct().withColumn(c, F.lit(True))
+    need = expected.groupBy("granule").agg(F.bool_or("core").alias("core"))
+    all_of = need.withColumn("_need", F.lit(True)).join(flag(present, "_have"), "granule", "full")
+    missing = all_of.where("_need and _have is null").select("granule", "core")
+    labels = missing.join(classify_absent(missing.select("granule"), inventory, domain), "granule")
+    gone = F.col("label") == ABSENT_UPSTREAM
+    count = lambda c: F.count_if(c)
+    held = all_of.agg(F.count("_need").alias("expected"), count(F.col("_need") & F.col("_have")).alias("consumed_of_expected"), count(F.col("_need").isNull()).alias("extra_not_expected"))
+    lost = labels.agg(
+        F.count("*").alias("missing"), count("core").alias("missing_core"), count(gone).alias("absent_upstream"), count(gone & F.col("core")).alias("absent_upstream_core"),
+        count(~gone).alias("fetchable"), count(~gone & F.col("core")).alias("fetchable_core"),
+        *[count(F.col("label") == name).alias("class_" + name.replace("-", "_")) for name in (ABSENT_OUTSIDE, ABSENT_UNVERIFIED, ABSENT_UPSTREAM, ABSENT_WITHIN)],
+    )
+    fetchable = labels.where(~gone)
+    touched = expected.join(flag(fetchable, "_f"), "granule", "left").groupBy("tile").agg(F.bool_or(F.col("_f")).alias("any"), F.bool_or(F.col("_f") & F.col("core")).alias("core"))
+    tiles = touched.agg(F.count("*").alias("tiles"), count(F.coalesce("core", F.lit(False))).alias("tiles_missing_core"), count(F.coalesce("any", F.lit(False))).alias("tiles_missing_any"))
+    out = held.withColumn("k", F.lit(1))
+    first = lambda d, name: d.where("core").select("granule").orderBy("granule").limit(SAMPLE).agg(F.array_join(F.array_sort(F.collect_list("granule")), ",").alias(name))
+    for part in (lost, tiles, first(fetchable, "fetchable_core_sample"), first(labels.where(gone), "absent_upstream_core_sample")):
+        out = out.join(part.withColumn("k", F.lit(1)), "k")  # one row each
+    return out.drop("k").withColumn("complete", F.col("fetchable") == 0)
 
 
 def check_inventory(inventory: DataFrame, product: str, version: str, hits: int) -> DataFrame:

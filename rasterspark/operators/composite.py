@@ -43,11 +43,21 @@ def coverage(comp: DataFrame) -> DataFrame:
     return hist.agg(F.min("n").alias("min_n"), F.percentile("n", F.lit(0.5), F.col("k")).alias("median_n"), F.max("n").alias("max_n"), (F.coalesce(F.sum(F.when(F.col("n") == 0, F.col("k"))), F.lit(0)) / F.sum("k")).alias("zero_fraction"))
 
 
-def band_stats(comp: DataFrame, col: str = "lst_dn") -> DataFrame:
-    """Of the non-zero counts; zeros where there is none."""
-    v = F.nullif(F.col(col), F.lit(0))
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("double")
-    return comp.agg(zero(F.min(v)).alias("min"), zero(F.max(v)).alias("max"), zero(F.avg(v)).alias("mean"), zero(F.stddev_pop(v)).alias("stddev"), zero(100 * F.count(v) / F.nullif(F.count("*"), F.lit(0))).alias("valid_percent"))
+def _zero(c: Column) -> Column:
+    return F.coalesce(c, F.lit(0)).cast("double")
+
+
+def band_stats(comp: DataFrame, col: str = "lst_dn", nodata: int | None = 0) -> DataFrame:
+    """Of the band's values but ``nodata``; a band without nodata keeps its zeros; zeros where there is none."""
+    v = F.col(col) if nodata is None else F.nullif(F.col(col), F.lit(nodata))
+    return comp.agg(_zero(F.min(v)).alias("min"), _zero(F.max(v)).alias("max"), _zero(F.avg(v)).alias("mean"), _zero(F.stddev_pop(v)).alias("stddev"), _zero(100 * F.count(v) / F.nullif(F.count("*"), F.lit(0))).alias("valid_percent"))
+
+
+def band_table(comp: DataFrame, bands: dict[str, int | None]) -> DataFrame:
+    """(tile, band, min, max, mean, stddev, valid_percent): the same for several bands of each tile in one pass; ``bands``: their nodata or None."""
+    value = lambda c, none: F.col(c).cast("double") if none is None else F.nullif(F.col(c).cast("double"), F.lit(float(none)))
+    rows = comp.select("tile", F.explode(F.array(*[F.struct(F.lit(c).alias("band"), value(c, none).alias("v")) for c, none in bands.items()])).alias("b")).select("tile", "b.*")
+    return rows.groupBy("tile", "band").agg(_zero(F.min("v")).alias("min"), _zero(F.max("v")).alias("max"), _zero(F.avg("v")).alias("mean"), _zero(F.stddev_pop("v")).alias("stddev"), (100 * F.count("v") / F.count("*")).alias("valid_percent"))
 
 
 def reader_stats(stats: DataFrame) -> DataFrame:
@@ -61,11 +71,22 @@ def summary(comp: DataFrame) -> DataFrame:
     return comp.agg(F.count("*").alias("pixels"), F.count("lst").alias("valid"), F.min("lst").alias("min_c"), F.max("lst").alias("max_c"), F.avg("lst").alias("mean_c"), F.sum("n").alias("observations"))
 
 
+# What medians of a believable composite keep to (C).
+UNIFORM_STD, PLAUSIBLE, MEAN_PLAUSIBLE = 0.1, (-20.0, 80.0), (10.0, 50.0)
+
+
 def plausibility(values: DataFrame) -> DataFrame:
-    """Means and spreads of the median and 95th percentile and whether they are believable."""
-    p = percentiles(values, (0.5, 0.95))
-    a = p.agg(F.avg("p50").alias("mean50"), F.stddev_pop("p50").alias("std50"), F.avg("p95").alias("mean95"), F.stddev_pop("p95").alias("std95"), F.bool_and(F.col("p50") <= F.col("p95")).alias("ordered"))
-    return a.withColumn("believable", F.col("ordered") & F.col("mean50").between(-20, 60) & (F.col("std50") < 25))
+    """(tile, valid, reason, min, max, mean, std, physically_plausible, mean_reasonable) of the pixels' medians; a value of 0 is none.
+
+    Medians that hardly differ are an error by themselves: they are judged no further.
+    """
+    v = F.nullif(F.col("p50"), F.lit(0.0))
+    a = percentiles(values, (0.5,)).groupBy("tile").agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+    judged = F.col("std") >= UNIFORM_STD
+    physical = F.when(judged, (F.col("min") >= PLAUSIBLE[0]) & (F.col("max") <= PLAUSIBLE[1]))
+    mean = F.when(judged, F.col("mean").between(*MEAN_PLAUSIBLE))
+    reason = F.when(F.col("n") == 0, "no valid pixels").when(~judged, "uniform values")
+    return a.select("tile", F.coalesce(physical & mean, F.lit(False)).alias("valid"), reason.alias("reason"), "min", "max", F.when(judged, F.col("mean")).alias("mean"), "std", physical.alias("physically_plausible"), mean.alias("mean_reasonable"))
 
 
 def overview(level: DataFrame, value: str = "lst_dn", count: str = "n") -> DataFrame:
@@ -81,6 +102,38 @@ def pyramid_health(native: DataFrame, level: DataFrame, count: str = "n") -> Dat
     return both.select("native", "level", ((F.abs(F.col("level") - F.col("native")) <= F.greatest(F.lit(1.0), 0.2 * F.col("native"))) & (F.col("most") > 0)).alias("healthy"))
 
 
+FACTORS = (2, 4, 8, 16, 32, 64)
+COUNTS = tuple(f"m{m}" for m in MONTHS)
+
+
+def pyramid(native: DataFrame, factors: tuple = FACTORS, value: str = "lst_dn", counts: tuple = COUNTS) -> DataFrame:
+    """(tile, factor, y, x, value, counts): all levels of the pyramid at once, each from the native pixels: mean of valid values, means of counts with zeros.
+
+    A pixel is expanded to its block of each level and the blocks are grouping sets of one aggregation, which combines
+    before its only shuffle. Blocks are cut on the global grid.
+    """
+    at = {f"{c}{f}": F.floor(F.col(c) / f).cast("long") for f in factors for c in ("y", "x")}
+    sets = [["tile", f"y{f}", f"x{f}"] for f in factors]
+    means = [F.coalesce(F.avg(F.nullif(F.col(value), F.lit(0))), F.lit(0.0)).alias(value), *[F.avg(c).alias(c) for c in counts]]
+    level = F.coalesce(*[F.when(F.grouping(f"y{f}") == 0, f) for f in factors])
+    g = native.select("tile", value, *counts, *[v.alias(k) for k, v in at.items()]).groupingSets(sets, "tile", *at).agg(*means, level.alias("factor"))
+    return g.select("tile", "factor", F.coalesce(*[f"y{f}" for f in factors]).alias("y"), F.coalesce(*[f"x{f}" for f in factors]).alias("x"), value, *counts)
+
+
+def pyramid_report(native: DataFrame, levels: DataFrame, factors: tuple = FACTORS, counts: tuple = COUNTS) -> DataFrame:
+    """(tile, band, factor, native, mean, nonzero, problem) of each count band at each level.
+
+    A level is missing, has collapsed to zeros, or has drifted: its mean is more than max(1, 20 %) off the band's native one; else
+    problem is null.
+    """
+    base = band_table(native, dict.fromkeys(counts)).select("tile", "band", F.col("mean").alias("native"), F.explode(F.array(*map(F.lit, factors))).alias("factor"))
+    rows = levels.select("tile", "factor", F.explode(F.array(*[F.struct(F.lit(c).alias("band"), F.col(c).alias("v")) for c in counts])).alias("b")).select("tile", "factor", "b.*")
+    seen = rows.groupBy("tile", "band", "factor").agg(F.avg("v").alias("mean"), F.avg((F.col("v") != 0).cast("double")).alias("nonzero"))
+    off = F.abs(F.col("mean") - F.col("native")) > F.greatest(F.lit(1.0), 0.2 * F.col("native"))
+    problem = F.when(F.col("mean").isNull(), "missing").when(F.col("nonzero") == 0, "collapsed").when(off, "drifted")
+    return base.join(seen, ["tile", "band", "factor"], "left").select("tile", "band", "factor", "native", "mean", "nonzero", problem.alias("problem"))
+
+
 def preview(comp: DataFrame, step: int = 4) -> DataFrame:
     """The centre pixel of each block, decoded."""
     at = comp.where((F.col("y") % step == step // 2) & (F.col("x") % step == step // 2))
@@ -108,10 +161,17 @@ def scene_days(dn: DataFrame) -> DataFrame:
     return every.join(got, "month", "left").select("month", season(F.col("month")).alias("season"), F.coalesce("days", F.lit(0)).alias("days"))
 
 
-def class_counts(dn: DataFrame, classes: DataFrame) -> DataFrame:
-    """(class, month, mean_pixels): valid pixels of a scene by class, averaged over the month's scenes."""
+def class_counts(dn: DataFrame, classes: DataFrame, scenes: DataFrame) -> DataFrame:
+    """(tile, class, period, mean_pixels): valid pixels of a scene by class, averaged over the scenes of each month and of summer and the rest.
+
+    ``scenes(tile, scene_ts)``: all scenes; one without a pixel of a class counts 0. ``period``: 1 to 12, summer or non_summer.
+    """
     per = dn.join(classes, PIXEL).groupBy("tile", "scene_ts", "class").agg(F.count("*").alias("pixels"))
-    return per.groupBy("class", F.month("scene_ts").alias("month")).agg(F.avg("pixels").alias("mean_pixels"))
+    every = scenes.select("tile", "scene_ts").distinct().join(classes.select("tile", "class").distinct(), "tile")
+    month = F.month("scene_ts")
+    filled = every.join(per, ["tile", "scene_ts", "class"], "left").select("tile", "class", F.coalesce("pixels", F.lit(0)).alias("pixels"), month.cast("string").alias("month"), F.when(summer(month), "summer").otherwise("non_summer").alias("part"))
+    g = filled.groupingSets([["tile", "class", "month"], ["tile", "class", "part"]], "tile", "class", "month", "part").agg(F.avg("pixels").alias("mean_pixels"))
+    return g.select("tile", "class", F.coalesce("month", "part").alias("period"), "mean_pixels")
 
 
 def summer_delta(values: DataFrame, classes: DataFrame) -> DataFrame:
@@ -132,6 +192,7 @@ def window_metrics(comp: DataFrame, land: DataFrame) -> DataFrame:
     return c.agg(F.count("*").alias("land"), F.count_if(F.col("lst").isNull()).alias("gaps"), F.avg(F.col("lst").isNull().cast("double")).alias("gap_fraction"), *aggs)
 
 
-def striping(comp: DataFrame) -> DataFrame:
-    """Spread of the columns' mean counts over their mean."""
-    return comp.groupBy("tile", "x").agg(F.avg("n").alias("c")).agg((F.stddev_pop("c") / F.avg("c")).alias("striping"))
+def striping(comp: DataFrame, land: DataFrame) -> DataFrame:
+    """(tile, striping): spread of the columns' mean counts over their mean, over land; land without observations counts 0; 0 where all is 0."""
+    c = land.join(comp.select(*PIXEL, "n"), PIXEL, "left").groupBy("tile", "x").agg(F.avg(F.coalesce("n", F.lit(0))).alias("c"))
+    return c.groupBy("tile").agg(F.coalesce(F.stddev_pop("c") / F.nullif(F.avg("c"), F.lit(0.0)), F.lit(0.0)).alias("striping"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import clear, plausible
 from ..params import DN_SCALE, PLATFORMS, Params
+from ..sources.storage import bucketed
 
 #: What a pixel and a scene are known by. ``tile`` may also name a tile and window, as of a job.
 PIXEL, SCENE = ["tile", "y", "x"], ["tile", "scene_ts"]
@@ -24,10 +25,20 @@ def require_empty(df: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {row[0].asDict()}")
 
 
+def meets_box(west: float, south: float, east: float, north: float) -> Column:
+    """Whether a row's box (west, south, east, north) and a given one share a point; a box whose west is above its east runs over the antimeridian."""
+    over = F.col("west") > F.col("east")
+    if west > east:
+        lon = over | (F.col("east") >= west) | (F.col("west") <= east)
+    else:
+        lon = F.when(over, (F.col("west") <= east) | (F.col("east") >= west)).otherwise((F.col("west") <= east) & (F.col("east") >= west))
+    return lon & (F.col("south") <= north) & (F.col("north") >= south)
+
+
 def search(scenes: DataFrame, west: float, south: float, east: float, north: float, first: str, last: str, params: Params = Params()) -> DataFrame:
-    """A1: scenes that meet a box within dates, below the cloud limit (strictly), of the wanted platforms."""
-    meets = (F.col("west") <= east) & (F.col("west") + 10 >= west) & (F.col("south") <= north) & (F.col("south") + 10 >= south)
-    return scenes.where(meets & F.col("datetime").between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")) & (F.col("cloud") < params.max_cloud) & F.col("platform").isin(*PLATFORMS))
+    """A1: scenes whose box meets a given one, of the days ``first`` to ``last`` (both whole), below the cloud limit (strictly), of the wanted platforms."""
+    days = (F.col("datetime") >= F.lit(first).cast("timestamp")) & (F.col("datetime") < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp"))
+    return scenes.where(meets_box(west, south, east, north) & days & (F.col("cloud") < params.max_cloud) & F.col("platform").isin(*PLATFORMS))
 
 
 def sample_scenes(scenes: DataFrame, n: int) -> DataFrame:
@@ -70,15 +81,27 @@ def coarsen(obs: DataFrame, factor: int) -> DataFrame:
     return agg.where("lwir11 is not null and qa_pixel is not null")
 
 
+#: What a climatology is grouped and joined by.
+PIXEL_MONTH = [*PIXEL, "month"]
+
+
+def _with_month(dn: DataFrame) -> DataFrame:
+    return dn if "month" in dn.columns else dn.withColumn("month", F.month("scene_ts"))
+
+
+def stack_by_pixel(dn: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``stack`` with the month, written in buckets by pixel and month: climatology and anomalies then read it where it is, without a shuffle."""
+    return bucketed(_with_month(dn), "stack", PIXEL_MONTH, buckets)
+
+
 def climatology(dn: DataFrame) -> DataFrame:
     """(tile, y, x, month, ref2): twice the median count of a pixel and month over all years."""
-    month = F.month("scene_ts").alias("month")
-    return dn.groupBy(*PIXEL, month).agg((2 * F.median("dn")).cast("long").alias("ref2"))
+    return _with_month(dn).groupBy(*PIXEL_MONTH).agg((2 * F.median("dn")).cast("long").alias("ref2"))
 
 
 def anomalies(dn: DataFrame, clim: DataFrame) -> DataFrame:
     """(tile, scene_ts, y, x, dn, anom2): twice the count less its pixel-month reference."""
-    return dn.withColumn("month", F.month("scene_ts")).join(clim, [*PIXEL, "month"]).select("scene_ts", *PIXEL, "dn", (2 * F.col("dn") - F.col("ref2")).alias("anom2"))
+    return _with_month(dn).join(clim, PIXEL_MONTH).select("scene_ts", *PIXEL, "dn", (2 * F.col("dn") - F.col("ref2")).alias("anom2"))
 
 
 def offsets(anom: DataFrame, params: Params = Params()) -> DataFrame:

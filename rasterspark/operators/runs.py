@@ -19,19 +19,69 @@ TERMINAL = {"done": "done", "failed": "failed", "skipped": "done"}
 OFFSET_RATE, COMPOSITE_RATE, OFFSET_MINUTES, COMPOSITE_MINUTES, VM_HOUR = 140.0, 45.5, 15.0, 38.0, 0.504
 OUTPUT_GB_PER_TILE, USD_PER_GB_MONTH = 1.5, 0.023
 STALE_S, RATE_WINDOW = 120.0, 5
+# Endings of a run's artifacts, the most specific first; minutes of a worker's boot and of a unit's compute by stage.
+KINDS = (("profile", ".profile.json"), ("progress", ".progress.json"), ("log", ".log"), ("state", ".json"))
+BOOT_MIN, OFFSETS_MIN, COMPOSITE_MIN = 5.0, 6.0, 15.0
+# Classes of tasks, provenances from the strongest to the weakest, the approval ceiling (USD).
+CLASSES = ("read", "compute", "rechunk", "store", "other")
+PROVENANCES = ("measured", "published", "derived", "assumed")
+CEILING_USD = 3000.0
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object per tile attempt; tile, attempt and kind come from the path."""
-    df = spark.read.schema(RUN_STATE).option("recursiveFileLookup", True).json(path)
-    return df.withColumns(dict(zip(("tile", "attempt", "kind"), key_parts(F.col("_metadata.file_path")))))
+    """One JSON object per tile attempt; tile and attempt come from the path. Profiles and other files that lie there are left out."""
+    df = spark.read.schema(RUN_STATE).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
+    parts = dict(zip(("tile", "attempt", "kind", "label"), key_parts(F.col("_metadata.file_path"))))
+    return df.withColumns(parts).where(F.col("kind").isin("state", "progress")).drop("label")
 
 
-def key_parts(key: Column) -> tuple[Column, Column, Column]:
-    """(tile, attempt, kind) of .../<tile>/attempt-<n>/<kind>.json or .../<tile>/<kind>.json (attempt 0)."""
-    pattern = r"([NS]\d{2}[EW]\d{3})/(?:attempt-(\d+)/)?([a-z_]+)\.json$"
-    part = lambda i: F.nullif(F.regexp_extract(key, pattern, i), F.lit(""))
-    return part(1), F.when(part(1).isNotNull(), F.coalesce(part(2).cast("int"), F.lit(0))), part(3)
+def key_parts(key: Column) -> tuple[Column, Column, Column, Column]:
+    """(tile, attempt, kind, label) of a run's artifact, by the last part of its key; nulls for others.
+
+    <tile>[.<attempt>].<label>.profile.json, <tile>.progress.json (an older heartbeat), <tile>[.<attempt>].log and
+    <tile>[.<attempt>].json (a state), the most specific first; without an attempt it is 0, what a settled tile leaves.
+    """
+    def kind_of(name):
+        kind = F.lit(None)
+        for k, suffix in reversed(KINDS):
+            kind = F.when(name.endswith(suffix), k).otherwise(kind)
+        return F.struct(kind.alias("kind"), F.regexp_replace(name, r"\.(profile\.json|progress\.json|log|json)$", "").alias("stem"))
+
+    def body_of(p):
+        return F.struct(p["kind"].alias("kind"), p["stem"].alias("stem"), F.when(p["kind"] == "profile", F.regexp_extract(p["stem"], r"^(.*)\.[^.]*$", 1)).otherwise(p["stem"]).alias("body"))
+
+    def parts_of(p):
+        tried = F.when(p["kind"] != "progress", F.nullif(F.regexp_extract(p["body"], r"^.+\.(\d+)$", 1), F.lit("")))
+        label = F.when(p["kind"] == "profile", F.regexp_extract(p["stem"], r"([^.]*)$", 1))
+        whole = F.struct(F.when(tried.isNotNull(), F.regexp_extract(p["body"], r"^(.+)\.\d+$", 1)).otherwise(p["body"]).alias("tile"), F.coalesce(tried.cast("int"), F.lit(0)).alias("attempt"), p["kind"].alias("kind"), label.alias("label"))
+        return F.when(p["kind"].isNotNull() & ((p["kind"] != "profile") | (p["body"] != "")), whole)
+
+    steps = F.array(F.regexp_extract(key, r"([^/]*)$", 1))
+    for step in (kind_of, body_of, parts_of):
+        steps = F.transform(steps, step)
+    return tuple(steps[0][k] for k in ("tile", "attempt", "kind", "label"))
+
+
+def artifacts(listing: DataFrame) -> DataFrame:
+    """A row per tile of ``listing(key)``: maps from attempt to key of states and logs, from attempt and label of profiles, and what follows from them.
+
+    (tile, states, logs, profiles, legacy_progress, attempt, state_key, log_key, profile_keys, body_key, settled, attempts,
+    highest_attempt): attempt is the newest that left a state, highest_attempt the newest that left anything. Of several keys of one
+    meaning the greatest counts.
+    """
+    parts = listing.select("key", *[v.alias(k) for k, v in zip(("tile", "attempt", "kind", "label"), key_parts(F.col("key")))]).where("kind is not null")
+    one = parts.groupBy("tile", "kind", "attempt", "label").agg(F.max("key").alias("key"))
+    entry = F.struct("attempt", "key")
+    of = lambda k: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("kind") == k, entry))))
+    labelled = F.array_sort(F.collect_list(F.when(F.col("kind") == "profile", F.struct("attempt", "label", "key"))))
+    t = one.groupBy("tile").agg(of("state").alias("states"), of("log").alias("logs"), labelled.alias("_p"), F.max(F.when(F.col("kind") == "progress", F.col("key"))).alias("legacy_progress"), F.max(F.when(F.col("kind") != "progress", F.col("attempt"))).alias("_highest"))
+    dumps = lambda k: F.map_from_entries(F.transform(F.filter("_p", lambda p: p["attempt"] == k), lambda p: F.struct(p["label"], p["key"])))
+    tries = F.array_sort(F.filter(F.map_keys("states"), lambda k: k > 0))
+    t = t.withColumn("profiles", F.map_from_entries(F.transform(F.array_distinct(F.transform("_p", lambda p: p["attempt"])), lambda k: F.struct(k, dumps(k)))))
+    t = t.withColumns({"attempts": tries, "attempt": F.coalesce(F.array_max(tries), F.lit(0)), "settled": F.map_contains_key("states", 0), "highest_attempt": F.coalesce("_highest", F.lit(0))})
+    newest = lambda m: F.coalesce(F.try_element_at(m, F.col("attempt")), F.try_element_at(m, F.lit(0)))
+    t = t.withColumns({"state_key": newest(F.col("states")), "log_key": newest(F.col("logs")), "profile_keys": newest(F.col("profiles"))})
+    return t.withColumn("body_key", F.coalesce("legacy_progress", "state_key")).drop("_p", "_highest")
 
 
 def billed_seconds(s: Column) -> Column:
@@ -128,20 +178,35 @@ def previous(df: DataFrame, unit: str, ts: str, order: list[str], cols: list[str
     return j.withColumn("_prev", F.coalesce(F.lag(F.struct(*cols)).over(within), F.col("_carried"))).drop("_bucket", "_carried")
 
 
-def timeline(samples: DataFrame, tasks: DataFrame) -> DataFrame:
-    """(worker, ts, active, finished): tasks running and done as of each sample; a start or end at that moment counts."""
+def timeline(samples: DataFrame, tasks: DataFrame, reads: DataFrame) -> DataFrame:
+    """(worker, ts, active_<class>_tasks ..., sources_started, sources_finished) as of each of ``samples(worker, ts)``; a start or end at that moment counts.
+
+    ``tasks(worker, class, started, seconds)``: one without seconds has not ended. ``reads(worker, started, finished)``.
+    """
     end = F.timestamp_micros(F.unix_micros("started") + (F.col("seconds") * 1_000_000).cast("long"))
-    ev = tasks.select("worker", F.col("started").alias("ts"), F.lit(1).alias("up"), F.lit(0).alias("down"), F.lit(0).alias("kind"))
-    ev = ev.unionAll(tasks.select("worker", end.alias("ts"), F.lit(0), F.lit(1), F.lit(0)))
-    ev = ev.unionAll(samples.select("worker", "ts", F.lit(0), F.lit(0), F.lit(1)))
-    run = running(ev, "worker", "ts", ["ts", "kind"], ["up", "down"])
-    return run.where("kind = 1").select("worker", "ts", (F.col("up_") - F.col("down_")).alias("active"), F.col("down_").alias("finished"))
+    names = [f"active_{c}_tasks" for c in CLASSES] + ["sources_started", "sources_finished"]
+
+    def events(df, ts, kind, **one):
+        return df.where(ts.isNotNull()).select("worker", ts.alias("ts"), F.lit(kind).alias("kind"), *[F.coalesce(one.get(c, F.lit(0)), F.lit(0)).cast("int").alias(c) for c in names])
+
+    by_class = lambda sign: {f"active_{c}_tasks": F.when(F.col("class") == c, sign) for c in CLASSES}
+    ev = events(tasks, F.col("started"), 0, **by_class(1)).unionAll(events(tasks, end, 0, **by_class(-1)))
+    ev = ev.unionAll(events(reads, F.col("started"), 0, sources_started=F.lit(1))).unionAll(events(reads, F.col("finished"), 0, sources_finished=F.lit(1)))
+    run = running(ev.unionAll(events(samples, F.col("ts"), 1)), "worker", "ts", ["ts", "kind"], names)
+    return run.where("kind = 1").select("worker", "ts", *[F.col(f"{c}_").alias(c) for c in names])
 
 
 def plan_comparison(plan: DataFrame, results: DataFrame) -> DataFrame:
-    """Planned and greatest observed memory and scenes of a tile, with their ratio."""
-    seen = results.groupBy("tile").agg(F.max("peak").alias("peak"), F.max("scenes").alias("scenes"))
-    return plan.join(seen, "tile").select("tile", "planned", "peak", (F.col("peak") / F.nullif(F.col("planned"), F.lit(0.0))).alias("ratio"), "scenes")
+    """A row per run: the largest planned floor of its phases against the worst peak, and planned against observed scenes.
+
+    ``plan(run, scenes, floors map<string, double>)`` in GiB, floors of 0 are none; ``results(run, peak_mb, scene_count)``.
+    """
+    entry = F.array_max(F.transform(F.filter(F.map_entries("floors"), lambda e: e["value"] > 0), lambda e: F.struct(e["value"].alias("gib"), e["key"].alias("phase"))))
+    seen = results.groupBy("run").agg(F.round(F.max("peak_mb") / 1024, 2).alias("observed_peak_gib"), F.count("peak_mb").alias("observed_tiles"), F.min("scene_count").alias("scenes_min"), F.max("scene_count").alias("scenes_max"), F.count("scene_count").alias("scenes_tiles"))
+    j = plan.withColumn("_f", entry).join(seen, "run", "left")
+    ratio = F.round(F.nullif("observed_peak_gib", F.lit(0.0)) / F.col("_f.gib"), 2)
+    tiles = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return j.select("run", F.col("_f.gib").alias("floor_gib"), F.col("_f.phase").alias("floor_phase"), "observed_peak_gib", tiles("observed_tiles"), ratio.alias("ratio"), F.col("scenes").alias("scenes_planned"), "scenes_min", "scenes_max", tiles("scenes_tiles"))
 
 
 def attempts(beats: DataFrame) -> DataFrame:
@@ -157,18 +222,32 @@ def newest(beats: DataFrame) -> DataFrame:
 
 
 def outcome(tiles: DataFrame, listing: DataFrame, states: DataFrame) -> DataFrame:
-    """What the listing of finished tiles says, else the newest record."""
-    j = tiles.join(listing.withColumn("_done", F.lit("done")), "tile", "left").join(states.select("tile", "phase"), "tile", "left")
-    return j.select("tile", F.coalesce("_done", "phase", F.lit("unknown")).alias("outcome"))
+    """(tile, status, phase): completed if the listing of finished tiles has it, else failed, whatever its newest record says; the record's phase beside it."""
+    j = tiles.join(listing.select("tile").distinct().withColumn("_done", F.lit("completed")), "tile", "left").join(states.select("tile", "phase"), "tile", "left")
+    return j.select("tile", F.coalesce("_done", F.lit("failed")).alias("status"), "phase")
 
 
-def fleet_cost(rows: DataFrame, all_tiles: int) -> DataFrame:
-    """Cost of ``rows(tile, seconds, hourly, provenance)``, its mean per tile and that for all tiles; the weakest provenance counts; nulls without rows."""
-    cost = billed_seconds(F.col("seconds")) / 3600 * F.col("hourly")
-    weak = F.when(F.col("provenance") == "published", 0).when(F.col("provenance") == "assumed", 1).otherwise(2)
-    per = rows.groupBy("tile").agg(F.sum(cost).alias("cost"), F.max(weak).alias("weak"))
-    a = per.agg(F.count("*").alias("tiles"), F.sum("cost").alias("cost"), F.avg("cost").alias("mean"), F.max("weak").alias("weak"))
-    return a.select("tiles", "cost", "mean", (F.col("mean") * all_tiles).alias("all_tiles"), F.element_at(F.array(F.lit("published"), F.lit("assumed"), F.lit("none")), F.col("weak") + 1).alias("provenance"))
+def tile_cost(rows: DataFrame) -> DataFrame:
+    """(tile, low, high, provenance) of ``rows(tile, seconds, hourly, provenance, lifecycle)``, one row a tile.
+
+    A tile without duration or price is left out, not priced at nothing. The cost is derived where a published price of an on-demand
+    machine makes it a point; every band and every substituted price is assumed.
+    """
+    band, hours = rate_band(F.col("hourly"), F.col("lifecycle")), billed_seconds(F.col("seconds")) / 3600
+    exact = (F.col("provenance") == "published") & (F.col("lifecycle") == "on-demand")
+    priced = rows.where("seconds is not null and hourly is not null")
+    return priced.select("tile", (band["low"] * hours).alias("low"), (band["high"] * hours).alias("high"), F.when(exact, "derived").otherwise("assumed").alias("provenance"))
+
+
+def fleet_cost(estimates: DataFrame, tiles: int) -> DataFrame:
+    """One row on ``tile_cost``: observed tiles, the mean interval of one and that of all ``tiles``; no row without estimates.
+
+    The weakest provenance counts; where fewer tiles were observed than are priced it is assumed.
+    """
+    strength = F.array_position(F.array(*map(F.lit, PROVENANCES)), F.col("provenance"))
+    a = estimates.agg(F.count("*").alias("observed_tiles"), F.avg("low").alias("mean_low"), F.avg("high").alias("mean_high"), F.max(strength).alias("_weak")).where("observed_tiles > 0")
+    weakest = F.when(F.col("observed_tiles") < tiles, PROVENANCES[-1]).otherwise(F.element_at(F.array(*map(F.lit, PROVENANCES)), F.col("_weak").cast("int")))
+    return a.select("observed_tiles", F.lit(tiles).alias("tiles"), "mean_low", "mean_high", (F.col("mean_low") * tiles).alias("low"), (F.col("mean_high") * tiles).alias("high"), weakest.alias("provenance"))
 
 
 def task_summary(tasks: DataFrame) -> DataFrame:
@@ -191,20 +270,61 @@ def quantiles(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 
 
 def phase_stats(states: DataFrame, by: list[str]) -> DataFrame:
-    """Least, median and greatest seconds of each phase of ``states(phase_seconds map)``."""
+    """Number, least, median and greatest seconds of each phase of ``states(phase_seconds map)``."""
     rows = states.select(*by, F.explode("phase_seconds").alias("phase", "seconds"))
-    return rows.groupBy(*by, "phase").agg(F.min("seconds").alias("min"), F.median("seconds").alias("median"), F.max("seconds").alias("max"))
+    return rows.groupBy(*by, "phase").agg(F.count("*").alias("n"), F.min("seconds").alias("min"), F.median("seconds").alias("median"), F.max("seconds").alias("max"))
+
 
+def phase_comparison(states: DataFrame, arm: str, one: str, other: str) -> DataFrame:
+    """The statistics of two arms of ``states`` side by side, a row per phase that either has."""
+    s = phase_stats(states, [arm])
+    side = lambda k: s.where(F.col(arm) == k).select("phase", *[F.col(c).alias(f"{k}_{c}") for c in ("n", "min", "median", "max")])
+    return side(one).join(side(other), "phase", "full")
 
-def wave_envelope(workers: DataFrame) -> DataFrame:
-    """(wave, workers, span, billed, useful, idle) of ``workers(wave, life, boot, useful)``, a row per worker."""
-    billed, work = billed_seconds(F.col("life")), F.least("life", F.col("boot") + F.col("useful"))
-    return workers.groupBy("wave").agg(F.count("*").alias("workers"), F.max("life").alias("span"), F.sum(billed).alias("billed"), F.sum(F.greatest(work - F.col("boot"), F.lit(0.0))).alias("useful"), F.sum(F.greatest(billed - work, F.lit(0.0))).alias("idle"))
 
+def wave_envelope(records: DataFrame, boot_s: float = 60 * BOOT_MIN) -> DataFrame:
+    """What a wave's three stamps say, of ``records(stage, wave, units, max_workers, submitted_at, first_completion_at, last_completion_at)``, in seconds.
 
-def cost_layers(stages: DataFrame, equivalents: float) -> DataFrame:
-    """Compute and provisioning cost by stage for so many tile equivalents."""
-    return stages.groupBy("stage").agg((F.sum("compute") * equivalents).alias("compute"), (F.sum("provisioning") * equivalents).alias("provisioning"))
+    Workers start together and stop with the last unit, so the time billed is an observation; without timings of units idle time is
+    bounded only. Records without a stamp or workers, or that end before they begin, say nothing and go.
+    """
+    stamps = [F.col(c) for c in ("submitted_at", "first_completion_at", "last_completion_at")]
+    submitted, first, last = stamps
+    r = records.where(submitted.isNotNull() & first.isNotNull() & last.isNotNull() & (F.col("max_workers") > 0) & (last >= submitted))
+    workers = F.col("max_workers").cast("double")
+    billed, boot, units = workers * (last - submitted), workers * boot_s, F.coalesce("units", F.lit(0))
+    return r.select(
+        "stage", "wave", units.alias("units"), workers.alias("workers"), F.greatest(F.ceil(units / F.floor(workers)), F.lit(1)).alias("queue_depth"),
+        F.round(billed, 1).alias("billed_vm_s"), F.round(boot, 1).alias("boot_vm_s"), F.round(first - submitted, 1).alias("time_to_first_completion_s"),
+        F.round(last - first, 1).alias("drain_tail_s"), F.round(F.greatest(billed - boot, F.lit(0.0)), 1).alias("idle_upper_bound_vm_s"),
+    )
+
+
+def split_cluster(clusters: DataFrame) -> DataFrame:
+    """``clusters(stage, usd_per_min, lifetimes array<double>)`` with the workers' minutes and dollars of boot, useful work and idle time.
+
+    Worker by worker: boot is at most the worker's life, work at most what is left of it, idle the rest, so the three make up its life.
+    """
+    unit = F.when(F.col("stage").startswith("composite"), COMPOSITE_MIN).otherwise(OFFSETS_MIN)
+    total = lambda f: F.aggregate("lifetimes", F.lit(0.0), lambda acc, life: acc + f(life))
+    boot = lambda life: F.least(life, F.lit(BOOT_MIN))
+    useful = lambda life: F.least(unit, F.greatest(life - BOOT_MIN, F.lit(0.0)))
+    idle = lambda life: F.greatest(life - boot(life) - useful(life), F.lit(0.0))
+    out = clusters.withColumns({"workers": F.size("lifetimes"), "boot_min": total(boot), "useful_min": total(useful), "idle_min": total(idle)})
+    return out.withColumns({f"{k}_usd": F.col(f"{k}_min") * F.col("usd_per_min") for k in ("boot", "useful", "idle")})
+
+
+def cost_layers(split: DataFrame, offsets_equivalents: float, composite_equivalents: float) -> DataFrame:
+    """One row on ``split_cluster``: compute and provisioning (boot and idle) of all tiles, each stage by its own number of tile equivalents."""
+    composite = F.col("stage").startswith("composite")
+    of = lambda c, which, e: F.coalesce(F.sum(F.when(which, c)), F.lit(0.0)) * e
+    work, rest = F.col("useful_usd"), F.col("boot_usd") + F.col("idle_usd")
+    a = split.agg(
+        of(work, ~composite, offsets_equivalents).alias("compute_offsets_usd"), of(work, composite, composite_equivalents).alias("compute_composite_usd"),
+        of(rest, ~composite, offsets_equivalents).alias("provisioning_offsets_usd"), of(rest, composite, composite_equivalents).alias("provisioning_composite_usd"),
+    )
+    compute = F.col("compute_offsets_usd") + F.col("compute_composite_usd")
+    return a.withColumns({"compute_usd": compute, "provisioning_usd": F.col("provisioning_offsets_usd") + F.col("provisioning_composite_usd"), "compute_composite_share": F.col("compute_composite_usd") / F.nullif(compute, F.lit(0.0))})
 
 
 def tile_equivalents(tiles: DataFrame, reference: str) -> DataFrame:
@@ -215,15 +335,21 @@ def tile_equivalents(tiles: DataFrame, reference: str) -> DataFrame:
     return a.select((F.col("w") / F.col("rw")).alias("by_work"), (F.col("s") / F.col("rs")).alias("by_scenes"))
 
 
-def project(compute: float, provisioning: float, tiles: int, scenarios: DataFrame) -> DataFrame:
-    """On-demand and spot cost intervals of ``scenarios(name, capture_low, capture_high, retry, contingency)``.
+def project(compute: float, provisioning: float, tiles: int, scenarios: DataFrame, vcpu_hours: float = 0.0, credits: tuple = (0.0, 0.0), ceiling: float = CEILING_USD) -> DataFrame:
+    """On-demand, spot and credit intervals of ``scenarios(name, capture_low, capture_high, retry, contingency)``, and where the spot interval lies to the ceiling.
 
-    Capture is the share of the provisioning that consolidation removes: the highest cost has the least of it.
+    Capture is the share of the provisioning that consolidation removes: the highest cost has the least of it. Credits follow
+    ``vcpu_hours``, of which the same share is provisioning, at ``credits`` an hour; nothing prices them.
     """
     up = (1 + F.col("retry")) * (1 + F.col("contingency"))
     storage = OUTPUT_GB_PER_TILE * tiles * USD_PER_GB_MONTH
-    j = scenarios.withColumns({"low": (compute + provisioning * (1 - F.col("capture_high"))) * up, "high": (compute + provisioning * (1 - F.col("capture_low"))) * up})
-    return j.select("name", "low", "high", (F.col("low") * SPOT_BAND[0] + storage).alias("spot_low"), (F.col("high") * SPOT_BAND[1] + storage).alias("spot_high"))
+    share = provisioning / (provisioning + compute) if provisioning + compute else 0.0
+    j = scenarios.withColumns({
+        "low": (compute + provisioning * (1 - F.col("capture_high"))) * up, "high": (compute + provisioning * (1 - F.col("capture_low"))) * up,
+        "credits_low": vcpu_hours * (1 - share * F.col("capture_high")) * up * credits[0], "credits_high": vcpu_hours * (1 - share * F.col("capture_low")) * up * credits[1],
+    }).withColumns({"spot_low": F.col("low") * SPOT_BAND[0] + storage, "spot_high": F.col("high") * SPOT_BAND[1] + storage})
+    where = F.when(F.col("spot_low") > ceiling, "above").when(F.col("spot_high") < ceiling, "below").otherwise("straddles")
+    return j.select("name", "low", "high", "spot_low", "spot_high", "credits_low", "credits_high", F.lit(storage).alias("storage_month"), where.alias("ceiling"))
 
 
 def scenes_per_tile(scenes: DataFrame) -> DataFrame:
@@ -281,13 +407,13 @@ def eta(total: Column, done: Column, rate: Column) -> Column:
 
 
 def sample_gaps(beats: DataFrame, limit_s: float = 2.0) -> DataFrame:
-    """Mean and largest gap between beats and the number above a limit."""
+    """Mean and largest gap between beats and the number of those of a limit and more."""
     j = previous(beats, "tile", "updated_at", ["updated_at", "event_id"], ["updated_at"])
     gap = (F.unix_micros("updated_at") - F.unix_micros("_prev.updated_at")) / 1e6
-    return j.select(gap.alias("g")).where("g is not null").agg(F.avg("g").alias("mean"), F.max("g").alias("max"), F.count_if(F.col("g") > limit_s).alias("over"))
+    return j.select(gap.alias("g")).where("g is not null").agg(F.avg("g").alias("mean"), F.max("g").alias("max"), F.count_if(F.col("g") >= limit_s).alias("over"))
 
 
-def late_attach(beats: DataFrame, started: Column, interval_s: float) -> DataFrame:
-    """Tiles whose first beat is older than two intervals before ``started``."""
-    first = beats.groupBy("tile").agg(F.min("updated_at").alias("first"))
-    return first.select("tile", (F.unix_micros("first") < F.unix_micros(started) - int(2e6 * interval_s)).alias("late"))
+def late_attach(beats: DataFrame, interval_s: float) -> DataFrame:
+    """(tile, late): whether the first kept beat came when its tile had been at work (elapsed_s) for more than two intervals; unknown is not late."""
+    first = beats.groupBy("tile").agg(F.min_by("elapsed_s", F.struct("updated_at", "event_id")).alias("elapsed_s"))
+    return first.select("tile", F.coalesce(F.col("elapsed_s") > 2 * interval_s, F.lit(False)).alias("late"))

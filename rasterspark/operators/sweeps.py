@@ -26,16 +26,16 @@ def cap_sweep(table: DataFrame, caps: tuple, floor: int) -> DataFrame:
     return table.withColumn("cap", each(caps)).groupBy("cap").agg(F.count_if(ok).alias("kept"), F.count_if(~ok).alias("rejected"))
 
 
-def scene_cover(items: DataFrame) -> DataFrame:
-    """(scene_ts, cover): mean cloud cover of the items of a time step."""
-    return items.groupBy(F.date_trunc("month", "datetime").alias("scene_ts")).agg(F.avg("cloud").alias("cover"))
-
-
 def solar_day_cover(items: DataFrame, centre_lon: float) -> DataFrame:
     """(day, n, cover, first_ts): items of one solar day are one step, stamped by its first item."""
     return items.groupBy(solar_day(F.col("datetime"), F.lit(centre_lon)).alias("day")).agg(F.count("*").alias("n"), F.avg("cloud").alias("cover"), F.min("datetime").alias("first_ts"))
 
 
+def scene_cover(items: DataFrame, centre_lon: float) -> DataFrame:
+    """(scene_ts, cover): mean cloud cover of the items behind each solar-day scene."""
+    return solar_day_cover(items, centre_lon).select(F.col("first_ts").alias("scene_ts"), "cover")
+
+
 def align_cover(cover: DataFrame, times: DataFrame) -> DataFrame:
     """C14: cover on exactly the given times, else an error."""
     n.require_empty(times.join(cover, "scene_ts", "left_anti"), "a time has no cover")
@@ -44,29 +44,49 @@ def align_cover(cover: DataFrame, times: DataFrame) -> DataFrame:
 
 
 def cloud_tradeoff(table: DataFrame, cover: DataFrame, thresholds: tuple) -> DataFrame:
-    """What a cloud threshold drops, what of it normalisation rejects already, and the observations lost."""
+    """A row per tile and threshold: scenes a cloud threshold drops, those of them that normalisation rejects already, and the observations lost; each also as a share."""
     out = table.join(cover, "scene_ts").withColumn("threshold", each(thresholds))
     gone = F.col("cover") >= F.col("threshold")
-    return out.groupBy("threshold").agg(F.count_if(gone).alias("dropped"), F.count_if(gone & ~F.col("keep")).alias("already_rejected"), F.coalesce(F.sum(F.when(gone & F.col("keep"), F.col("n_valid"))), F.lit(0)).alias("observations_lost"))
+    lost = lambda c: F.coalesce(F.sum(F.when(c & F.col("keep"), F.col("n_valid"))), F.lit(0))
+    a = out.groupBy("tile", "threshold").agg(F.count("*").alias("_all"), F.count_if(gone).alias("dropped"), F.count_if(gone & ~F.col("keep")).alias("already_rejected"), lost(gone).alias("observations_lost"), lost(F.lit(True)).alias("_total"))
+    return a.select(
+        "tile", "threshold", "dropped", (F.col("dropped") / F.col("_all")).alias("dropped_frac"), "already_rejected", (F.col("already_rejected") / F.greatest("dropped", F.lit(1))).alias("already_rejected_frac"),
+        "observations_lost", F.coalesce(F.col("observations_lost") / F.nullif("_total", F.lit(0)), F.lit(0.0)).alias("observations_lost_frac"),
+    )
+
 
+# Covers from which a scene counts as cloudy, share of the best scene's pixels above which it is clear all the same.
+CLOUDY, CLEAR_SHARE = (70, 90), 0.5
 
-def cloud_correlation(table: DataFrame, cover: DataFrame, pixels: int) -> DataFrame:
-    """D19."""
-    share = F.col("n_valid") / pixels
-    return table.join(cover, "scene_ts").agg(F.corr("cover", share).alias("corr"), F.count_if((F.col("cover") > 50) & (share > 0.5)).alias("cloudy_but_clear"))
 
+def cloud_correlation(table: DataFrame, cover: DataFrame) -> DataFrame:
+    """(tile, corr, cloudy_but_clear_70, cloudy_but_clear_90): cover against the share of the tile's best scene that is valid, and kept scenes that are cloudy by cover but not here."""
+    best = table.groupBy("tile").agg(F.max("n_valid").alias("_best"))
+    share = F.col("n_valid") / F.col("_best")
+    clear = F.col("keep") & (share > CLEAR_SHARE)
+    return table.join(cover, "scene_ts").join(best, "tile").groupBy("tile").agg(F.corr("cover", share).alias("corr"), *[F.count_if((F.col("cover") >= t) & clear).alias(f"cloudy_but_clear_{t}") for t in CLOUDY])
 
-def thinned(dn: DataFrame, factors: tuple, params: Params = Params()) -> DataFrame:
-    """Offsets from every f-th month only, against the full ones: deltas and changed decisions of shared scenes."""
-    full = n.offsets(n.anomalies(dn, n.climatology(dn)), params).select(*n.SCENE, F.col("offset_c").alias("o"), F.col("keep").alias("k"))
-    out = None
-    for f in factors:
-        part = dn.where((F.year("scene_ts") * 12 + F.month("scene_ts")) % f == 0)
-        t = n.offsets(n.anomalies(part, n.climatology(part)), params).join(full, n.SCENE)
-        d = F.abs(F.col("offset_c") - F.col("o"))
-        row = t.agg(F.lit(f).alias("f"), F.count("*").alias("scenes"), F.median(d).alias("median_delta"), F.max(d).alias("max_delta"), F.count_if(F.col("keep") != F.col("k")).alias("flips"))
-        out = row if out is None else out.unionByName(row)
-    return out
+
+def thinned(dn: DataFrame, cover: DataFrame, thresholds: tuple, params: Params = Params()) -> DataFrame:
+    """A row per tile and cover threshold: offsets from the scenes below it only, against those from all.
+
+    Each scene is dealt to the subsets it belongs to, so references, anomalies and offsets of all subsets come from one plan, keyed by
+    subset and tile. Scenes that both sets have are compared: deltas of offsets and changed decisions.
+    """
+    subset = F.explode(F.array(F.lit("all"), *[F.lit(str(t)) for t in thresholds]))
+    marked = cover.select("scene_ts", "cover", subset.alias("_subset")).where((F.col("_subset") == "all") | (F.col("cover") < F.col("_subset").cast("double")))
+    dealt = dn.join(marked.select("scene_ts", "_subset"), "scene_ts").withColumn("tile", F.concat_ws("/", "_subset", "tile")).drop("_subset")
+    key = F.split("tile", "/", 2)
+    t = n.offsets(n.anomalies(dealt, n.climatology(dealt)), params).withColumns({"threshold": key[0], "tile": key[1]})
+    full = t.where("threshold = 'all'").select(*n.SCENE, F.col("offset_c").alias("_o"), F.col("keep").alias("_k"))
+    j = t.where("threshold <> 'all'").join(full, n.SCENE)
+    d = F.abs(F.col("offset_c") - F.col("_o"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    flips = F.count_if(F.col("keep") != F.col("_k"))
+    return j.groupBy("tile", F.col("threshold").cast("int").alias("threshold")).agg(
+        F.count("*").alias("scenes"), F.avg((~F.col("keep")).cast("double")).alias("rejected_frac"), zero(F.median(d)).alias("median_abs_delta"), zero(F.percentile(d, F.lit(0.99))).alias("p99_abs_delta"), zero(F.max(d)).alias("max_abs_delta"),
+        flips.alias("decision_flips"), (flips / F.count("*")).alias("decision_flip_frac"),
+    )
 
 
 def coarse_table(obs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -108,11 +128,22 @@ def compare_offsets(native: DataFrame, coarse: DataFrame, floor: int, coarse_flo
     return out.withColumn("accepted", accepted)
 
 
-def compare_composites(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
-    """Pixel by pixel where both have a value."""
-    j = a.select(*PIXEL, F.col(col).alias("a")).join(b.select(*PIXEL, F.col(col).alias("b")), PIXEL).where("a is not null and b is not null")
-    d = F.col("b") - F.col("a")
-    return j.agg(F.count("*").alias("pixels"), F.median(F.abs(d)).alias("median_abs"), F.max(F.abs(d)).alias("max_abs"), F.avg(d).alias("bias"), F.avg((F.abs(d) > 0.1).cast("double")).alias("share_over"), F.corr("a", "b").alias("corr"))
+# Fixed value: what of a difference is seen on a map (C).
+MATERIAL_C = 0.1
+
+
+def compare_composites(a: DataFrame, b: DataFrame, value: str = "lst", count: str = "n") -> DataFrame:
+    """A row per tile: differences b - a where both have a value, and of the counts over all pixels that either has."""
+    take = lambda d, k: d.select(*PIXEL, F.col(value).alias(k), F.col(count).alias(f"n{k}"))
+    j = take(a, "a").join(take(b, "b"), PIXEL, "full")
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    d = F.when(both, F.col("b") - F.col("a"))
+    at = lambda c: F.when(both, F.col(c))
+    delta = F.coalesce("nb", F.lit(0)) - F.coalesce("na", F.lit(0))
+    return j.groupBy("tile").agg(
+        F.count(d).alias("pixels"), F.avg(d).alias("mean_delta"), F.median(F.abs(d)).alias("median_abs"), F.percentile(F.abs(d), F.lit(0.99)).alias("p99_abs"), F.max(F.abs(d)).alias("max_abs"),
+        F.avg((F.abs(d) > MATERIAL_C).cast("double")).alias("share_over"), F.corr(at("a"), at("b")).alias("corr"), F.avg(delta).alias("coverage_delta_mean"),
+    )
 
 
 def window_comparison(values: DataFrame, land: DataFrame, last: int, years: tuple) -> DataFrame:
@@ -154,9 +185,11 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def repeat_stats(df: DataFrame, by: list[str], ok: Column, value: str) -> DataFrame:
-    """Success rate, mean, sample spread and extremes of the successful runs."""
+    """Runs, successes and failures, success rate, and mean, sample spread (0 of one run) and extremes of the successful ones."""
     v = F.when(ok, F.col(value))
-    return df.groupBy(*by).agg(F.avg(ok.cast("double")).alias("success"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.min(v).alias("min"), F.max(v).alias("max"))
+    good = F.count_if(ok)
+    sd = F.when(F.count(v) > 1, F.stddev_samp(v)).when(F.count(v) == 1, 0.0)
+    return df.groupBy(*by).agg(F.count("*").alias("total_runs"), good.alias("successful"), (F.count("*") - good).alias("failed"), (good / F.count("*")).alias("success"), F.avg(v).alias("mean"), sd.alias("sd"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
 def relative_effect(df: DataFrame, arm: str, value: str, method: str = "median", order: str | None = None, lower_is_better: bool = True) -> DataFrame:

@@ -14,15 +14,21 @@ from . import normalize as n
 from . import series
 
 
+def store_observations(obs: DataFrame, path: str) -> None:
+    """Observations by tile and year, a folder each, so that a scan for some jobs opens only theirs."""
+    obs.withColumn("year", F.year("scene_ts")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile", "year").parquet(path)
+
+
 def of_jobs(obs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Observations of the jobs ``(tile, window, start, end)``; tile becomes <tile>/<window>, so a job is a group of its own.
 
-    An observation belongs to every job of its tile whose years hold it; filters on tile and time reach the scan.
+    An observation belongs to every job of its tile whose years hold it. Jobs meet it by tile and year, so of a table that
+    ``store_observations`` wrote, Spark's dynamic pruning opens the jobs' folders only.
     """
-    j = jobs.select(F.col("tile").alias("_tile"), "window", "start", "end")
-    year = F.year("scene_ts")
-    met = obs.join(j, (F.col("tile") == F.col("_tile")) & (year >= F.col("start")) & (year <= F.col("end")))
-    return met.withColumn("tile", F.concat_ws("/", "tile", "window")).drop("_tile", "window", "start", "end")
+    j = jobs.select(F.col("tile").alias("_tile"), "window", F.explode(F.sequence("start", "end")).alias("_year"))
+    year = F.col("year") if "year" in obs.columns else F.year("scene_ts")
+    met = obs.join(j, (F.col("tile") == F.col("_tile")) & (year == F.col("_year")))
+    return met.withColumn("tile", F.concat_ws("/", "tile", "window")).drop("_tile", "window", "_year", "year")
 
 
 def land_of_jobs(land: DataFrame, jobs: DataFrame) -> DataFrame:

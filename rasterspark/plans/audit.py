@@ -39,8 +39,24 @@ def gap_composite(spark: SparkSession, sf: str) -> DataFrame:
 
 def tier_cross_tab(spark: SparkSession, sf: str) -> DataFrame:
     """B13, B15, C4, D26."""
+    out = a.cross_tab(_tiered(spark, sf))
+    return _round(out, *[k for k, kind in out.dtypes if kind == "double"])
+
+
+def _tiered(spark: SparkSession, sf: str) -> DataFrame:
     cells = load(spark, sf, "cells").select("row", "col", q.observation_tier(F.col("numobs")).alias("tier"))
-    return _round(a.cross_tab(_pixels(spark, sf).join(cells, ["row", "col"])), "share", "hot_rate", "enrichment")
+    return _pixels(spark, sf).join(cells, ["row", "col"])
+
+
+def tile_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """The tiles' totals."""
+    return _round(a.tile_totals(_tiered(spark, sf)), "valid_pct", "missing_pct", "hot_pct_of_valid")
+
+
+def mask_tradeoffs(spark: SparkSession, sf: str) -> DataFrame:
+    """D27."""
+    out = a.tradeoffs(_pixels(spark, sf), _gaps(spark, sf), (0, 1))
+    return _round(out, *[k for k, kind in out.dtypes if kind == "double"])
 
 
 def coverage_tiers(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +80,7 @@ def class_areas(spark: SparkSession, sf: str) -> DataFrame:
     p = _classes(spark, sf).withColumns({"lat": lat, "lon": lon}).where("lat is not null and lon is not null")
     p = p.withColumns({"row": F.floor((90 - F.col("lat")) / 36).cast("long"), "col": F.floor((F.col("lon") + 180) / 72).cast("long")})
     t = load(spark, sf, "cells").select("row", "col", q.coverage_tier(F.col("numobs"), F.lit(False)).alias("tier"))
-    return _round(a.gap_shares(a.tier_area(p.join(t, ["row", "col"]), 0.25), (2, 3)), "gap_share")
+    return _round(a.gap_shares(a.tier_area(p.join(t, ["row", "col"]), 0.25), (2, 3)), "land_km2", "gap_km2", "low_confidence_km2", "gap_pct", "low_confidence_pct")
 
 
 def _edges(spark: SparkSession, sf: str, scale: float = 1.0) -> DataFrame:
@@ -139,12 +155,20 @@ def granule_coverage(spark: SparkSession, sf: str) -> DataFrame:
     name = F.concat_ws("_", "gr", "gc")
     need = w.select("tile", name.alias("granule"), (F.col("gr") == F.floor(F.col("row0") / 100)).alias("core"))
     have = load(spark, sf, "supplier").select(F.concat_ws("_", F.col("s_suppkey") % 34, F.col("s_suppkey") % 23).alias("granule"))
-    listed = load(spark, sf, "customer").select(F.concat_ws("_", F.col("c_custkey") % 30, F.col("c_custkey") % 20).alias("granule"))
-    return a.coverage_report(need, have, listed)
+    listed = load(spark, sf, "customer").select(F.concat_ws("_", F.col("c_custkey") % 30, F.col("c_custkey") % 20).alias("granule")).union(need.where("granule like '%7'").select("granule"))
+    domain = need.select("granule").where(F.split("granule", "_")[0].cast("int") % 2 == 0)
+    return a.coverage_report(need, have, listed, domain)
+
+
+def gap_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """C20."""
+    pixels = _comp(spark, sf)
+    predicted = m.flag_gap(m.with_cell(pixels, 5), _gaps(spark, sf)).where("in_gap")
+    return _round(a.validate(predicted, pixels.where("n < 30"), load(spark, sf, "land")), "observed_gap_pct", "predicted_gap_pct", "agreement_iou")
 
 
 _GRAN = """w as (select name as tile, id * 130 as row0, id * 90 as col0 from places), need as (select tile, gr || '_' || (gc % 360) as granule, gr = floor(row0 / 100) as core from (select *, unnest(range(cast(floor(row0 / 100) as bigint), cast(floor((row0 + 149) / 100) as bigint) + 1)) as gr from w) a, lateral (select unnest(range(cast(floor(a.col0 / 100) as bigint), cast(floor((a.col0 + 119) / 100) as bigint) + 1)) as gc) b),
- have as (select distinct (s_suppkey % 34) || '_' || (s_suppkey % 23) as granule from supplier), listed as (select distinct (c_custkey % 30) || '_' || (c_custkey % 20) as granule from customer), g as (select granule, bool_or(core) as core from need group by granule), mis as (select * from g where granule not in (select granule from have))"""
+ have as (select distinct (s_suppkey % 34) || '_' || (s_suppkey % 23) as granule from supplier), listed as (select distinct (c_custkey % 30) || '_' || (c_custkey % 20) as granule from customer union select granule from need where granule like '%7'), g as (select granule, bool_or(core) as core from need group by granule), mis as (select * from g where granule not in (select granule from have))"""
 
 def _class_points(spark: SparkSession, sf: str) -> DataFrame:
     lat, lon = a.mollweide(F.col("x"), F.col("y"))
@@ -163,10 +187,10 @@ def _fine_tiers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ring():
-    """A footprint as nested metadata; of too few points where item_id % 7 is 0."""
+    """A footprint as nested metadata; of two points where item_id % 7 is 0, of none where it is 1."""
     point = lambda dy, dx: F.struct((F.col("south") + dy).alias("lat"), (F.col("west") + dx).alias("lon"))
     ring = [point(0.25, 0.5), point(0.25, 1.5), point(1.25, 1.5), point(1.25, 0.5)]
-    return F.when(F.col("item_id") % 7 != 0, F.array(*ring)).otherwise(F.array(*ring[:2]))
+    return F.when(F.col("item_id") % 7 == 0, F.array(*ring[:2])).when(F.col("item_id") % 7 == 1, F.slice(F.array(*ring), 1, 0)).otherwise(F.array(*ring))
 
 
 def _granule_cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,6 +204,14 @@ def _absent(spark: SparkSession, sf: str) -> DataFrame:
     return a.classify_absent(missing, listed, domain).join(a.classify_absent(missing, listed).withColumnRenamed("label", "without_domain"), "granule")
 
 
+_TIERED = f"""{_PIX}, p2 as (select pix.tile, pix.state, case when numobs < 0 then 'absent' when numobs >= 4 then '>=4' else cast(numobs as varchar) end as tier
+        from pix
+        join cells on pix.r = cells.\"row\" and pix.k = cells.col),
+        al as (select tile, count(*) as t, count(*) filter (state = 'missing') as m, count(*) filter (state = 'hot') as h
+        from p2
+        group by tile)"""
+
+
 QUERIES = {
     "gap_composite": (gap_composite, with_tables("obs land cells", f"""with {_COMP}, big as (select distinct \"row\" + dr as r, (((col + dc) % 36000) + 36000) % 36000 as k
         from cells, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc)
@@ -195,39 +227,31 @@ QUERIES = {
     "land_observations": (
         lambda spark, sf: m.mask_land(_dn(spark, sf), load(spark, sf, "land")).groupBy("scene_ts").agg(F.count("*").alias("n")),
         with_tables("obs land", f"with {_V} select scene_ts, count(*) as n from dn join land on dn.tile = land.tile and dn.y = land.y and dn.x = land.x group by scene_ts")),
-    "tier_cross_tab": (tier_cross_tab, with_tables("obs cells", f"""with {_PIX}, p2 as (select pix.state, case when numobs < 0 then 'absent' else cast(least(numobs, 4) as varchar) end as tier
-        from pix
-        join cells on pix.r = cells.\"row\" and pix.k = cells.col),
-        gr as (select tier, state, count(*) as n
-        from p2
-        group by tier, state),
-        t as (select tier, sum(n) as t, coalesce(sum(n) filter (state = 'hot'), 0) as th
-        from gr
-        group by tier),
-        al as (select sum(n) as a, coalesce(sum(n) filter (state = 'hot'), 0) as ah
-        from gr) select gr.tier, state, n, round(n / t, 4) as share, round(th / t, 4) as hot_rate, round((th / t) / nullif(ah / a, 0), 4) as enrichment
-        from gr
-        join t on gr.tier = t.tier, al""")),
-    "coverage_tiers": (coverage_tiers, with_tables("cells", """select case when col = 4 then null when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier, count(*) as n
+    "tier_cross_tab": (tier_cross_tab, with_tables("obs cells", f"""with {_TIERED}, g as (select al.tile, lab.tier, count(state) as t, count(*) filter (state = 'missing') as m, count(*) filter (state = 'hot') as h, any_value(al.t) as all_t, any_value(al.m) as all_m, any_value(al.h) as all_h
+        from al
+        join (values ('0'), ('1'), ('2'), ('3'), ('>=4'), ('absent')) lab(tier) on true
+        left
+        join p2 on p2.tile = al.tile and p2.tier = lab.tier
+        group by al.tile, lab.tier)
+        select tile, tier, t as total_pixels, t - m as valid_pixels, m as missing_pixels, h as hot_pixels, round(100.0 * t / nullif(all_t, 0), 4) as share_of_tile_pct, round(100.0 * (t - m) / nullif(t, 0), 4) as valid_pct_of_tier, round(100.0 * m / nullif(t, 0), 4) as missing_pct_of_tier, round(100.0 * h / nullif(t - m, 0), 4) as hot_pct_of_tier_valid,
+        round(100.0 * h / nullif(all_h, 0), 4) as share_of_tile_hot_pct, round(100.0 * m / nullif(all_m, 0), 4) as share_of_tile_missing_pct, round(h / nullif(t - m, 0) / nullif(all_h / nullif(all_t - all_m, 0), 0), 4) as hot_enrichment_vs_tile, round(m / nullif(t, 0) / nullif(all_m / nullif(all_t, 0), 0), 4) as missing_enrichment_vs_tile
+        from g""")),
+    "tile_totals": (tile_totals, with_tables("obs cells", f"""with {_TIERED} select tile, t as total_pixels, t - m as valid_pixels, m as missing_pixels, h as hot_pixels, round(100.0 * (t - m) / t, 4) as valid_pct, round(100.0 * m / t, 4) as missing_pct, round(100.0 * h / nullif(t - m, 0), 4) as hot_pct_of_valid
+        from al""")),
+    "coverage_tiers": (coverage_tiers, with_tables("cells", """select case when col = 4 then null when numobs >= 3 then 'normal' when numobs >= 1 then 'low_confidence' else 'gap' end as tier, count(*) as n
         from cells
         group by 1""")),
-    "mask_tradeoffs": (
-        lambda spark, sf: a.tradeoffs(_pixels(spark, sf), _gaps(spark, sf)),
-        with_tables("obs cells", f"""with {_PIX}, big as (select distinct r + dr as r, k + dc as k
+    "mask_tradeoffs": (mask_tradeoffs, with_tables("obs cells", f"""with {_PIX}, big as (select distinct r + dr as r, k + dc as k
         from gaps, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc)),
-        h as (select 'grow0' as rule, state
-        from pix
-        where (r, k) in (select (r, k)
-        from gaps)
-        union all select 'grow1', state
-        from pix
-        where (r, k) in (select (r, k)
-        from big)) select rule, count(*) filter (state = 'cool') as cool, count(*) filter (state = 'hot') as hot, count(*) filter (state = 'missing') as missing
-        from h
-        group by rule
-        union all select rule || '_hot', 0, count(*) filter (state = 'hot'), 0
+        h as (select tile, state, rule, gated, case when rule like 'grow0%' then (r, k) in (select (r, k)
+        from gaps) else (r, k) in (select (r, k)
+        from big) end and (not gated or state = 'hot') as hit
+        from pix, (values ('grow0', false), ('grow1', false), ('grow0_hot', true), ('grow1_hot', true)) u(rule, gated)),
+        g as (select tile, rule, gated, count(*) filter (hit and state = 'cool') as c, count(*) filter (hit and state = 'hot') as h, count(*) filter (hit and state = 'missing') as m, count(*) filter (state = 'hot') as ah, count(*) filter (state = 'missing') as am, count(*) as n
         from h
-        group by rule""")),
+        group by 1, 2, 3)
+        select tile, rule, gated as value_gated, c + h as valid_pixels_removed, round(100.0 * (c + h) / nullif(n - am, 0), 4) as valid_pixels_removed_pct, h as hot_pixels_removed, round(100.0 * h / nullif(ah, 0), 4) as hot_pixels_removed_pct, ah - h as hot_pixels_remaining, c as cool_valid_pixels_removed, m as missing_pixels_annotated, round(100.0 * m / nullif(am, 0), 4) as missing_pixels_annotated_pct, round(c / nullif(h, 0), 4) as cool_pixels_lost_per_hot_pixel_removed
+        from g""")),
     "registration_scan": (
         lambda spark, sf: a.registration(_pixels(spark, sf), _gaps(spark, sf)),
         with_tables("obs cells", f"""with {_PIX}, s as (select dr, dc
@@ -249,7 +273,7 @@ QUERIES = {
         group by dr, dc) select dr, dc, hits
         from h
         order by hits desc, abs(dr) + abs(dc), dr, dc limit 1""")),
-    "class_gap_shares": (class_areas, with_tables("classes cells", f"""with {_MOLL}, t as (select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier
+    "class_gap_shares": (class_areas, with_tables("classes cells", f"""with {_MOLL}, t as (select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low_confidence' else 'gap' end as tier
         from moll
         join cells on floor((90 - lat) / 36) = \"row\" and floor((lon + 180) / 72) = col),
         u as (select cast(class as varchar) as c, tier
@@ -258,7 +282,7 @@ QUERIES = {
         from t
         union all select 'urban', tier
         from t
-        where class in (2, 3)) select c as class, round(count(*) filter (tier = 'gap') / count(*), 4) as gap_share
+        where class in (2, 3)) select c as class, count(*) * 0.25e0 as land_km2, count(*) filter (tier = 'gap') * 0.25e0 as gap_km2, count(*) filter (tier = 'low_confidence') * 0.25e0 as low_confidence_km2, round(100.0 * count(*) filter (tier = 'gap') / count(*), 4) as gap_pct, round(100.0 * count(*) filter (tier = 'low_confidence') / count(*), 4) as low_confidence_pct
         from u
         group by c""")),
     "class_cells": (
@@ -278,35 +302,29 @@ QUERIES = {
         from nr
         where pow(x + 0.5e0 - x0 - t * dx, 2) + pow(y + 0.5e0 - y0 - t * dy, 2) <= 0.64e0""")),
     "gap_validation": (
-        lambda spark, sf: a.validate(m.flag_gap(m.with_cell(p := _comp(spark, sf), 5), _gaps(spark, sf)).where("in_gap").select("tile", "y", "x"), p.where("n < 30").select("tile", "y", "x"), load(spark, sf, "land")),
-        with_tables("obs land cells", f"""with {_PIX}, j as (select (r, k) in (select (r, k)
-        from gaps) as p, n < 30 as o
-        from pix
-        join land on pix.tile = land.tile and pix.y = land.y and pix.x = land.x) select count(*) filter (p and o) as hits, count(*) filter (not p and o) as misses, count(*) filter (p and not o) as false_alarms
-        from j""")),
-    "granule_coverage": (granule_coverage, with_tables("places", f"""with {_GRAN} select (select array_to_string(list_slice(list_sort(list(granule)), 1, 25), ',')
-        from mis) as sample, (select count(*)
-        from g) as expected, (select count(*)
-        from mis) as missing, (select count(*)
-        from have
-        where granule not in (select granule
-        from g)) as extra, (select count(*)
-        from mis
-        where core) as missing_core, (select count(*)
-        from mis
-        where granule not in (select granule
-        from listed)) as absent_upstream, (select count(*)
-        from mis
-        where granule in (select granule
-        from listed)) as fetchable, (select count(distinct tile)
-        from need
-        where granule in (select granule
-        from mis) and granule in (select granule
-        from listed)) as tiles_affected, (select count(distinct tile)
-        from need
-        where core and granule in (select granule
-        from mis) and granule in (select granule
-        from listed)) as core_tiles_affected""")),
+        gap_validation,
+        with_tables("obs land cells", f"""with {_PIX}, j as (select land.tile, coalesce((r, k) in (select (r, k)
+        from gaps), false) as p, coalesce(n < 30, false) as o
+        from land
+        left
+        join pix on pix.tile = land.tile and pix.y = land.y and pix.x = land.x) select tile, count(*) as land_pixels, round(100.0 * count(*) filter (o) / count(*), 4) as observed_gap_pct, round(100.0 * count(*) filter (p) / count(*), 4) as predicted_gap_pct, round(coalesce(count(*) filter (p and o) / nullif(count(*) filter (p or o), 0), 1), 4) as agreement_iou, count(*) filter (o and not p) as observed_only_pixels, count(*) filter (p and not o) as predicted_only_pixels
+        from j
+        group by tile""")),
+    "granule_coverage": (granule_coverage, with_tables("places", f"""with {_GRAN}, lab as (select granule, core, granule not in (select granule
+        from listed) as gone, cast(split_part(granule, '_', 1) as int) % 2 = 0 as near
+        from mis),
+        ok as (select * from lab where not gone) select
+        coalesce((select array_to_string(list_slice(list_sort(list(granule)), 1, 25), ',') from ok where core), '') as fetchable_core_sample,
+        coalesce((select array_to_string(list_slice(list_sort(list(granule)), 1, 25), ',') from lab where gone and core), '') as absent_upstream_core_sample,
+        (select count(*) from g) as expected, (select count(*) from g where granule in (select granule from have)) as consumed_of_expected,
+        (select count(*) from have where granule not in (select granule from g)) as extra_not_expected,
+        (select count(*) from lab) as missing, (select count(*) from lab where core) as missing_core,
+        (select count(*) from lab where gone) as absent_upstream, (select count(*) from lab where gone and core) as absent_upstream_core,
+        (select count(*) from ok) as fetchable, (select count(*) from ok where core) as fetchable_core,
+        (select count(*) from ok where not near) as class_absent_outside_fetch_domain, 0 as class_absent_unverified_upstream,
+        (select count(*) from lab where gone) as class_absent_upstream, (select count(*) from ok where near) as class_absent_within_fetch_domain,
+        (select count(distinct tile) from need) as tiles, (select count(distinct tile) from need where core and granule in (select granule from ok)) as tiles_missing_core,
+        (select count(distinct tile) from need where granule in (select granule from ok)) as tiles_missing_any, (select count(*) from ok) = 0 as complete""")),
     "absent_granules": (_absent, """select cast(s_suppkey as varchar) as granule, case when s_suppkey % 3 = 0 then 'absent-upstream' when s_suppkey % 5 = 0 then 'absent-outside-fetch-domain' else 'absent-within-fetch-domain' end as label, case when s_suppkey % 3 = 0 then 'absent-upstream' else 'absent-unverified-upstream' end as without_domain
         from supplier
         where s_suppkey % 2 = 0"""),
@@ -409,7 +427,7 @@ QUERIES = {
         group by o.tile""")),
     "partial_classes": (
         lambda spark, sf: _round(a.tier_area(_class_points(spark, sf), 0.25, load(spark, sf, "classes").where("class = 1").select("class").distinct()), "km2"),
-        with_tables("classes cells", f"""with {_MOLL} select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low' else 'gap' end as tier, round(count(*) * 0.25e0, 4) as km2
+        with_tables("classes cells", f"""with {_MOLL} select class, case when numobs >= 3 then 'normal' when numobs >= 1 then 'low_confidence' else 'gap' end as tier, round(count(*) * 0.25e0, 4) as km2
         from moll
         join cells on floor((90 - lat) / 36) = \"row\" and floor((lon + 180) / 72) = col
         where class <> 1
@@ -430,7 +448,7 @@ QUERIES = {
         group by 1, 2"""),
     "granule_cells": (
         lambda spark, sf: load(spark, sf, "scenes").select("item_id", *[v.alias(k) for k, v in zip(("lat", "lon"), a.granule_cell(_ring()))]),
-        with_tables("scenes", """select item_id, case when item_id % 7 <> 0 then cast(floor(south + 0.25) as int) end as lat, case when item_id % 7 <> 0 then cast(floor(west + 0.5) as int) end as lon
+        with_tables("scenes", """select item_id, case when item_id % 7 <> 1 then cast(floor(south + 0.25) as int) end as lat, case when item_id % 7 <> 1 then cast(floor(west + 0.5) as int) end as lon
         from scenes""")),
     "mask_cells": (
         lambda spark, sf: a.mask_cells(load(spark, sf, "orders").select((F.col("o_orderkey") % 180).alias("r"), (F.col("o_custkey") % 360).alias("c"), (F.col("o_totalprice") > 100000).alias("v"))).distinct(),

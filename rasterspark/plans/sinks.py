@@ -71,9 +71,10 @@ def matched_times(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def aligned_cover(spark: SparkSession, sf: str) -> DataFrame:
-    """Cover on the axis of its own times."""
-    cover = s.scene_cover(load(spark, sf, "scenes"))
-    return _round(s.align_cover(cover, cover.select("scene_ts")), "cover")
+    """Cover of the solar-day scenes over a tile, on the axis of the first item of each of its days."""
+    items = load(spark, sf, "scenes")
+    axis = items.groupBy(F.to_date(F.col("datetime") + F.expr("interval 10 hours"))).agg(F.min("datetime").alias("scene_ts"))
+    return _round(s.align_cover(s.scene_cover(items, 150.0), axis.select("scene_ts")), "cover")
 
 
 def coarse_offsets(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,12 +88,35 @@ def merged_bands(spark: SparkSession, sf: str) -> DataFrame:
     return c.merge_bands([comp.where("y < 9"), comp.where("y between 9 and 15"), comp.where("y > 15")], 24)
 
 
-def artifact_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """Keys of run artifacts, with and without an attempt, and others."""
+def _listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of run artifacts of all shapes, with and without attempts, and others."""
     o = F.col("o_orderkey")
-    tile = F.format_string("N%02dW%03d", o % 12 * 5, o % 36 * 5)
-    key = F.when(o % 3 == 0, F.concat(F.lit("runs/a/"), tile, F.lit("/state.json"))).when(o % 3 == 1, F.concat(F.lit("runs/a/"), tile, F.format_string("/attempt-%d/heart_beat.json", o % 7))).otherwise("runs/a/readme.txt")
-    return load(spark, sf, "orders").select(*[v.alias(name) for name, v in zip(("tile", "attempt", "kind"), r.key_parts(key))]).groupBy("tile", "attempt", "kind").agg(F.count("*").alias("n"))
+    tile = F.format_string("N%02dW%03d", o % 12 * 5, F.col("o_custkey") % 36 * 5)
+    tried = F.when(o % 4 == 0, "").otherwise(F.format_string(".%d", o % 11))
+    shapes = ((0, ".json"), (1, ".log"), (2, ".offsets.profile.json"), (3, ".merge.profile.json"), (4, ".json"))
+    name = F.lit("readme.txt")
+    for k, suffix in shapes:
+        name = F.when(o % 7 == k, F.concat(tile, tried, F.lit(suffix))).otherwise(name)
+    return load(spark, sf, "orders").select(F.concat(F.lit("runs/a/"), F.when(o % 7 == 5, F.concat(tile, F.lit(".progress.json"))).otherwise(name)).alias("key"))
+
+
+_LISTING = """k as (select o_orderkey as o, 'N' || lpad(cast(o_orderkey % 12 * 5 as varchar), 2, '0') || 'W' || lpad(cast(o_custkey % 36 * 5 as varchar), 3, '0') as tile, case when o_orderkey % 4 = 0 then 0 else o_orderkey % 11 end as attempt, case when o_orderkey % 4 = 0 then '' else '.' || o_orderkey % 11 end as tried, o_orderkey % 7 as s
+        from orders),
+        e as (select tile, case when s = 5 then 0 else attempt end as attempt, case when s in (0, 4) then 'state' when s = 1 then 'log' when s in (2, 3) then 'profile' else 'progress' end as kind, case s when 2 then 'offsets' when 3 then 'merge' end as label, 'runs/a/' || tile || case when s = 5 then '.progress.json' else tried || case s when 1 then '.log' when 2 then '.offsets.profile.json' when 3 then '.merge.profile.json' else '.json' end end as key
+        from k
+        where s < 6)"""
+
+
+def artifact_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """What keys say."""
+    key = _listing(spark, sf)
+    return key.select(*[v.alias(name) for name, v in zip(("tile", "attempt", "kind", "label"), r.key_parts(F.col("key")))]).groupBy("tile", "attempt", "kind", "label").agg(F.count("*").alias("n"))
+
+
+def tile_artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per tile."""
+    pairs = lambda m: F.concat_ws(" ", F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"]))))
+    return r.artifacts(_listing(spark, sf)).select("tile", pairs("states").alias("states"), pairs("logs").alias("logs"), F.coalesce(pairs("profile_keys"), F.lit("")).alias("profile_keys"), "legacy_progress", "attempt", "state_key", "log_key", "body_key", "settled", F.concat_ws(" ", F.col("attempts").cast("array<string>")).alias("attempts"), "highest_attempt")
 
 
 _COARSE = """cs as (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(avg(nullif(lwir11, 0))) as dn, min(case when y % 2 = 1 and x % 2 = 1 then qa_pixel end) as qa from obs group by 1, 2, 3, 4),
@@ -118,11 +142,31 @@ QUERIES = {
         group by kind""")),
     "merged_partials": (merged_partials, with_tables("obs", f"with {_OFF} select tile, scene_ts, n_valid, keep from tab")),
     "matched_times": (matched_times, with_tables("obs", f"with {_OFF} select tile, scene_ts + interval 250 milliseconds as scene_ts, offset4 from tab")),
-    "aligned_cover": (aligned_cover, with_tables("scenes", "select date_trunc('month', datetime) as scene_ts, round(avg(cloud), 4) as cover from scenes group by 1")),
+    "aligned_cover": (aligned_cover, with_tables("scenes", "select min(datetime) as scene_ts, round(avg(cloud), 4) as cover from scenes group by cast(datetime + interval 10 hours as date)")),
     "coarse_offsets": (coarse_offsets, with_tables("obs", _coarse_sql())),
     "merged_bands": (merged_bands, with_tables("obs", f"with {_COMP} select tile, y, x, n from comp")),
-    "artifact_keys": (artifact_keys, """with k as (select case when o_orderkey % 3 < 2 then 'N' || lpad(cast(o_orderkey % 12 * 5 as varchar), 2, '0') || 'W' || lpad(cast(o_orderkey % 36 * 5 as varchar), 3, '0') end as tile, case o_orderkey % 3 when 0 then 0 when 1 then o_orderkey % 7 end as attempt, case o_orderkey % 3 when 0 then 'state' when 1 then 'heart_beat' end as kind
-        from orders) select tile, attempt, kind, count(*) as n
+    "artifact_keys": (artifact_keys, f"""with {_LISTING} select tile, attempt, kind, label, count(*) as n
+        from e
+        group by all
+        union all select null, null, null, null, count(*)
         from k
-        group by all"""),
+        where s = 6
+        having count(*) > 0"""),
+    "tile_artifacts": (tile_artifacts, f"""with {_LISTING}, u as (select distinct * from e),
+        t as (select tile, coalesce(string_agg(attempt || '=' || key, ' ' order by attempt || '=' || key) filter (kind = 'state'), '') as states, coalesce(string_agg(attempt || '=' || key, ' ' order by attempt || '=' || key) filter (kind = 'log'), '') as logs, max(key) filter (kind = 'progress') as legacy_progress,
+        coalesce(max(attempt) filter (kind = 'state'), 0) as attempt, count(*) filter (kind = 'state' and attempt = 0) > 0 as settled, coalesce(string_agg(cast(attempt as varchar), ' ' order by attempt) filter (kind = 'state' and attempt > 0), '') as attempts, coalesce(max(attempt) filter (kind <> 'progress'), 0) as highest_attempt
+        from u
+        group by tile),
+        of as (select t.tile, kind, label, u.attempt, key
+        from t
+        join u on u.tile = t.tile and (u.attempt = t.attempt or u.attempt = 0)),
+        best as (select *
+        from of
+        qualify attempt = max(attempt) over (partition by tile, kind)),
+        pick as (select tile, max(key) filter (kind = 'state') as state_key, max(key) filter (kind = 'log') as log_key, coalesce(string_agg(label || '=' || key, ' ' order by label || '=' || key) filter (kind = 'profile'), '') as profile_keys
+        from best
+        group by tile) select t.tile, states, logs, coalesce(profile_keys, '') as profile_keys, legacy_progress, attempt, state_key, log_key, coalesce(legacy_progress, state_key) as body_key, settled, attempts, highest_attempt
+        from t
+        left
+        join pick on pick.tile = t.tile"""),
 }

@@ -13,7 +13,7 @@ from ..operators import sweeps as s
 from ..operators import tile as t
 from ..params import CLEAR_BITS, DN_HIGH, DN_LOW, Params
 from ..sources.fixtures import load, with_tables
-from ..sources.storage import written
+from ..sources.storage import shared_dir, written
 
 _C = "* 0.00341802e0 + 149.0e0 - 273.15e0"
 _DN = f"""dn as (select tile, scene_ts, y, x, lwir11 as dn, month(scene_ts) as month from (select *, row_number() over (partition by tile, scene_ts, y, x order by "rank", lwir11) as rn
@@ -34,6 +34,10 @@ _COMP = f"""{_V}, comp0 as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C}
         from comp0)"""
 _PACK = f"""{_COMP}, pack as (select *, case when lst is null then 0 when (lst + 50) / 0.01e0 >= 1 and floor((lst + 50) / 0.01e0) <= 65535 then cast(floor((lst + 50) / 0.01e0) as int) else 0 end as lst_dn
         from comp)"""
+_R6 = """case when lst is null then 0 when (round(lst, 6) + 50) / 0.01e0 >= 1 and floor((round(lst, 6) + 50) / 0.01e0) <= 65535 then cast(floor((round(lst, 6) + 50) / 0.01e0) as int) else 0 end"""
+_LEVELS = f"""lv as (select tile, f as factor, cast(floor(y / f) as bigint) as y, cast(floor(x / f) as bigint) as x, coalesce(avg(nullif({_R6}, 0)), 0) as lst_dn, {', '.join(f'avg(m{m}) as m{m}' for m in c.MONTHS)}
+        from comp, (values (2), (4), (8), (16)) k(f)
+        group by 1, 2, 3, 4)"""
 P = Params(floor=10, coarse_floor=4)  # a scene of the fixtures has some hundreds of pixels
 
 
@@ -41,16 +45,76 @@ def _dn(spark: SparkSession, sf: str) -> DataFrame:
     return n.stack(load(spark, sf, "obs"))
 
 
+def _stack(spark: SparkSession, sf: str) -> DataFrame:
+    """The stack in buckets by pixel and month."""
+    return n.stack_by_pixel(_dn(spark, sf))
+
+
 def _table(spark: SparkSession, sf: str) -> DataFrame:
-    dn = _dn(spark, sf)
-    return t.tile_offsets(dn, P)
+    return t.tile_offsets(_stack(spark, sf), P)
 
 
 def _values(spark: SparkSession, sf: str) -> DataFrame:
-    dn = written(_dn(spark, sf), "stack")
+    dn = _stack(spark, sf)
     return n.debias(dn, t.tile_offsets(dn, P))
 
 
+def _lenient(spark: SparkSession, sf: str, dn: DataFrame, table: DataFrame) -> DataFrame:
+    return n.debias(dn, n.lenient_offsets(table, 150))
+
+
+def destripe_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """The composite against that of the lenient variant; stack and offsets are computed once."""
+    dn = _stack(spark, sf)
+    table = t.tile_offsets(dn, P)
+    a, b = c.composite(n.debias(dn, table)), c.composite(_lenient(spark, sf, dn, table))
+    return _round(s.compare_composites(a, b), "mean_delta", "median_abs", "p99_abs", "max_abs", "share_over", "corr", "coverage_delta_mean")
+
+
+def lenient_ablation(spark: SparkSession, sf: str) -> DataFrame:
+    """D24."""
+    dn = _stack(spark, sf)
+    return _round(c.percentiles(_lenient(spark, sf, dn, t.tile_offsets(dn, P)), (0.95,)), "p95")
+
+
+def month_cover(items: DataFrame) -> DataFrame:
+    """Cover on the fixtures' scenes, which are months."""
+    return items.groupBy(F.date_trunc("month", "datetime").alias("scene_ts")).agg(F.avg("cloud").alias("cover"))
+
+
+def class_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """All scenes count, those without a valid pixel included."""
+    return _round(c.class_counts(_dn(spark, sf), _classes(spark, sf), load(spark, sf, "obs").select("tile", "scene_ts")), "mean_pixels")
+
+
+LEVELS = (2, 4, 8, 16)
+
+
+def pyramid_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """D43."""
+    return _round(c.pyramid(packed(spark, sf), LEVELS), "lst_dn", *c.COUNTS)
+
+
+def pyramid_report(spark: SparkSession, sf: str) -> DataFrame:
+    """D44, of a pyramid whose level 8 has lost its first month and whose level 16 is not there for half of the tiles."""
+    native = written(packed(spark, sf), "native")
+    levels = c.pyramid(native, LEVELS).withColumn("m1", F.when(F.col("factor") == 8, 0.0).otherwise(F.col("m1")))
+    return _round(c.pyramid_report(native, levels.where("factor <> 16 or tile <> 'N05E000'"), LEVELS), "native", "mean", "nonzero")
+
+
+def count_band_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the counts, which have no nodata, and of the values, which have."""
+    return _round(c.band_table(packed(spark, sf), {"lst_dn": 0} | dict.fromkeys(c.COUNTS)), "mean", "stddev", "valid_percent")
+
+
+def pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """From a table of a folder per tile and year the observations of the first window's jobs of one tile."""
+    path = shared_dir(spark, "observations")
+    t.store_observations(load(spark, sf, "obs"), path)
+    some = jobs(spark, sf).where("window = '1995-1998' and tile = 'N10E000'")
+    return t.of_jobs(spark.read.parquet(path), some).groupBy("tile", "scene_ts").agg(F.count("*").alias("n"), F.sum("lwir11").alias("total"))
+
+
 def _comp(spark: SparkSession, sf: str) -> DataFrame:
     return c.composite(_values(spark, sf))
 
@@ -98,7 +162,6 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
     return _round(_packed(spark, sf).withColumn("lst_dn", q.encode(F.round("lst", 6))), "lst")
 
 
-_R6 = """case when lst is null then 0 when (round(lst, 6) + 50) / 0.01e0 >= 1 and floor((round(lst, 6) + 50) / 0.01e0) <= 65535 then cast(floor((round(lst, 6) + 50) / 0.01e0) as int) else 0 end"""
 
 
 def pixel_scalars(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +174,18 @@ def pixel_scalars(spark: SparkSession, sf: str) -> DataFrame:
 
 def scene_search(spark: SparkSession, sf: str) -> DataFrame:
     """A1, A2."""
-    return n.resolve(n.search(load(spark, sf, "scenes"), -60, -30, 20, 25, "1996-01-01", "1998-12-31")).select("item_id", "platform", "cloud")
+    return n.resolve(n.search(boxes(spark, sf), -60, -30, 20, 25, "1996-01-01", "1998-12-31")).select("item_id", "platform", "cloud")
+
+
+def scene_search_over(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 with a box over the antimeridian."""
+    return n.search(boxes(spark, sf), 165, -30, -172, 25, "1996-01-01", "1998-12-31").select("item_id", "west", "east")
+
+
+def boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Scenes with their own boxes, of several sizes; some run over the antimeridian."""
+    east = F.col("west") + 8 + F.col("item_id") % 7
+    return load(spark, sf, "scenes").withColumns({"east": F.when(east > 180, east - 360).otherwise(east), "north": F.col("south") + 5 + F.col("item_id") % 3})
 
 
 def scene_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,7 +200,7 @@ def coarse_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def input_digest(spark: SparkSession, sf: str) -> DataFrame:
     """B32."""
-    return n.digest(n.search(load(spark, sf, "scenes"), -60, -30, 20, 25, "1996-01-01", "1996-06-30"), "factor=2")
+    return n.digest(n.search(boxes(spark, sf), -60, -30, 20, 25, "1996-01-01", "1996-06-30"), "factor=2")
 
 
 QUERIES = {
@@ -137,7 +211,15 @@ QUERIES = {
         from obs) t""")),
     "scene_search": (scene_search, with_tables("scenes", """select item_id, platform, cloud
         from scenes
-        where west <= 20 and west + 10 >= -60 and south <= 25 and south + 10 >= -30 and datetime between timestamp '1996-01-01' and timestamp '1998-12-31' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
+        where west <= 20 and (west + 8 + item_id % 7 >= -60 or west + 8 + item_id % 7 > 180) and south <= 25 and south + 5 + item_id % 3 >= -30 and cast(datetime as date) between date '1996-01-01' and date '1998-12-31' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
+    "scene_search_over": (scene_search_over, with_tables("scenes", """with s as (select *, west + 8 + item_id % 7 as e
+        from scenes) select item_id, west, case when e > 180 then e - 360 else e end as east
+        from s
+        where (e >= 165 or west <= -172) and south <= 25 and south + 5 + item_id % 3 >= -30 and cast(datetime as date) between date '1996-01-01' and date '1998-12-31' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
+    "pruned_scan": (pruned_scan, with_tables("obs", """select tile || '/1995-1998' as tile, scene_ts, count(*) as n, cast(sum(lwir11) as bigint) as total
+        from obs
+        where tile = 'N10E000' and year(scene_ts) <= 1998
+        group by tile, scene_ts""")),
     "scene_sample": (scene_sample, with_tables("scenes", """with o as (select item_id, datetime, row_number() over (order by datetime, item_id) - 1 as pos, count(*) over () as total
         from scenes) select item_id, datetime
         from o
@@ -151,7 +233,7 @@ QUERIES = {
     "input_digest": (input_digest, with_tables("scenes", """select substr(sha256(string_agg(cast(item_id as varchar), chr(10)
         order by cast(item_id as varchar)) || chr(10) || 'factor=2'), 1, 16) as digest
         from scenes
-        where west <= 20 and west + 10 >= -60 and south <= 25 and south + 10 >= -30 and datetime between timestamp '1996-01-01' and timestamp '1996-06-30' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
+        where west <= 20 and west + 8 + item_id % 7 >= -60 and south <= 25 and south + 5 + item_id % 3 >= -30 and cast(datetime as date) between date '1996-01-01' and date '1996-06-30' and cloud < 100 and platform in ('landsat-8', 'landsat-9')""")),
     "climatology": (
         lambda spark, sf: n.climatology(_dn(spark, sf)),
         with_tables("obs", f"with {_OFF} select tile, y, x, month, ref2 from clim")),
@@ -181,11 +263,14 @@ QUERIES = {
         with_tables("obs", f"""with {_COMP} select count(*) as pixels, count(lst) as valid, round(min(lst), 4) as min_c, round(max(lst), 4) as max_c, round(avg(lst), 4) as mean_c, cast(sum(n) as bigint) as observations
         from comp""")),
     "median_plausibility": (
-        lambda spark, sf: _round(c.plausibility(_values(spark, sf)), "mean50", "std50", "mean95", "std95"),
-        with_tables("obs", f"""with {_V}, p as (select quantile_cont(v4, 0.5) / 4 {_C} as p50, quantile_cont(v4, 0.95) / 4 {_C} as p95
+        lambda spark, sf: _round(c.plausibility(_values(spark, sf)), "min", "max", "mean", "std"),
+        with_tables("obs", f"""with {_V}, p as (select tile, nullif(quantile_cont(v4, 0.5) / 4 {_C}, 0) as p50
         from v
-        group by tile, y, x) select round(avg(p50), 4) as mean50, round(stddev_pop(p50), 4) as std50, round(avg(p95), 4) as mean95, round(stddev_pop(p95), 4) as std95, bool_and(p50 <= p95) as ordered, bool_and(p50 <= p95) and avg(p50) between -20 and 60 and stddev_pop(p50) < 25 as believable
-        from p""")),
+        group by tile, y, x),
+        a as (select tile, count(p50) as k, min(p50) as lo, max(p50) as hi, avg(p50) as mu, stddev_pop(p50) as sd
+        from p
+        group by tile) select tile, coalesce(sd >= 0.1 and lo >= -20 and hi <= 80 and mu >= 10 and mu <= 50, false) as valid, case when k = 0 then 'no valid pixels' when sd < 0.1 then 'uniform values' end as reason, round(lo, 4) as min, round(hi, 4) as max, round(case when sd >= 0.1 then mu end, 4) as mean, round(sd, 4) as std, case when sd >= 0.1 then lo >= -20 and hi <= 80 end as physically_plausible, case when sd >= 0.1 then mu >= 10 and mu <= 50 end as mean_reasonable
+        from a""")),
     "overview_level": (
         lambda spark, sf: _round(c.overview(packed(spark, sf)), "lst_dn", "n"),
         with_tables("obs", f"""with {_COMP} select tile, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(coalesce(avg(nullif({_R6}, 0)), 0), 4) as lst_dn, round(avg(n), 4) as n
@@ -201,6 +286,22 @@ QUERIES = {
         b as (select avg(n) as level, max(n) as most
         from lv) select round(native, 4) as native, round(level, 4) as level, abs(level - native) <= greatest(1.0, 0.2 * native) and most > 0 as healthy
         from a, b""")),
+    "pyramid_levels": (pyramid_levels, with_tables("obs", f"""with {_COMP}, {_LEVELS} select tile, factor, y, x, round(lst_dn, 4) as lst_dn, {', '.join(f'round(m{m}, 4) as m{m}' for m in c.MONTHS)}
+        from lv""")),
+    "pyramid_report": (pyramid_report, with_tables("obs", f"""with {_COMP}, {_LEVELS}, nat as ({' union all '.join(f"select tile, 'm{m}' as band, avg(m{m}) as native from comp group by tile" for m in c.MONTHS)}),
+        seen as ({' union all '.join(f"select tile, factor, 'm{m}' as band, {'case when factor = 8 then 0 else m1 end' if m == 1 else f'm{m}'} as v from lv where not (factor = 16 and tile = 'N05E000')" for m in c.MONTHS)}),
+        agg as (select tile, factor, band, avg(v) as mean, avg(case when v <> 0 then 1 else 0 end) as nonzero
+        from seen
+        group by 1, 2, 3) select nat.tile, nat.band, cast(f as int) as factor, round(native, 4) as native, round(mean, 4) as mean, round(nonzero, 4) as nonzero, case when mean is null then 'missing' when nonzero = 0 then 'collapsed' when abs(mean - native) > greatest(1.0, 0.2 * native) then 'drifted' end as problem
+        from nat
+        join (values (2), (4), (8), (16)) k(f) on true
+        left
+        join agg on agg.tile = nat.tile and agg.band = nat.band and agg.factor = f""")),
+    "count_band_stats": (count_band_stats, with_tables("obs", f"""with {_COMP}, b as (select tile, 'lst_dn' as band, cast(nullif({_R6}, 0) as double) as v
+        from comp
+        union all {' union all '.join(f"select tile, 'm{m}', m{m} from comp" for m in c.MONTHS)}) select tile, band, coalesce(min(v), 0) as min, coalesce(max(v), 0) as max, round(coalesce(avg(v), 0), 4) as mean, round(coalesce(stddev_pop(v), 0), 4) as stddev, round(100.0 * count(v) / count(*), 4) as valid_percent
+        from b
+        group by tile, band""")),
     "preview": (
         lambda spark, sf: _round(c.preview(packed(spark, sf)), "lst"),
         with_tables("obs", f"""with {_COMP} select tile, cast(floor(y / 4) as bigint) as y, cast(floor(x / 4) as bigint) as x, round(nullif({_R6}, 0) * 0.01e0 - 50, 4) as lst
@@ -214,14 +315,24 @@ QUERIES = {
         from range(1, 13) r(m)
         left
         join d on d.month = m""")),
-    "class_counts": (
-        lambda spark, sf: _round(c.class_counts(_dn(spark, sf), _classes(spark, sf)), "mean_pixels"),
-        with_tables("obs classes", f"""with {_DN}, {_CLS}, p as (select dn.tile, scene_ts, month, class, count(*) as k
+    "class_counts": (class_counts, with_tables("obs classes", f"""with {_DN}, {_CLS}, every as (select o.tile, scene_ts, class, case when month(scene_ts) in (12, 1, 2) then 'summer' else 'non_summer' end as part
+        from (select distinct tile, scene_ts
+        from obs) o
+        join (select distinct tile, class
+        from cls) k on k.tile = o.tile),
+        p as (select dn.tile, scene_ts, class, count(*) as k
         from dn
         join cls on dn.tile = cls.tile and dn.y = cls.y and dn.x = cls.x
-        group by dn.tile, scene_ts, month, class) select class, month, round(avg(k), 4) as mean_pixels
-        from p
-        group by class, month""")),
+        group by 1, 2, 3),
+        f as (select every.*, coalesce(k, 0) as k
+        from every
+        left
+        join p on p.tile = every.tile and p.scene_ts = every.scene_ts and p.class = every.class) select tile, class, cast(month(scene_ts) as varchar) as period, round(avg(k), 4) as mean_pixels
+        from f
+        group by 1, 2, 3
+        union all select tile, class, part, round(avg(k), 4)
+        from f
+        group by 1, 2, 3""")),
     "summer_delta": (
         lambda spark, sf: _round(c.summer_delta(_values(spark, sf), _classes(spark, sf)), "annual", "summer", "delta"),
         with_tables("obs classes", f"""with {_V}, {_CLS}, p as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a, quantile_cont(v4, 0.95) filter (month(scene_ts) in (12, 1, 2)) / 4 {_C} as s
@@ -238,8 +349,14 @@ QUERIES = {
         join comp on land.tile = comp.tile and land.y = comp.y and land.x = comp.x) select count(*) as land, count(*) filter (lst is null) as gaps, round(avg(case when lst is null then 1 else 0 end), 4) as gap_fraction, {', '.join(f'median(m{m}) as median_m{m}, round(100 * avg(case when m{m} = 0 then 1 else 0 end), 4) as zero_m{m}' for m in c.MONTHS)}
         from j""")),
     "striping": (
-        lambda spark, sf: _round(c.striping(_comp(spark, sf)), "striping", digits=6),
-        with_tables("obs", f"with {_COMP}, k as (select avg(n) as k from comp group by tile, x) select round(stddev_pop(k) / avg(k), 6) as striping from k")),
+        lambda spark, sf: _round(c.striping(_comp(spark, sf), load(spark, sf, "land")), "striping", digits=6),
+        with_tables("obs land", f"""with {_COMP}, k as (select land.tile, avg(coalesce(n, 0)) as k
+        from land
+        left
+        join comp on land.tile = comp.tile and land.y = comp.y and land.x = comp.x
+        group by land.tile, land.x) select tile, round(coalesce(stddev_pop(k) / nullif(avg(k), 0), 0), 6) as striping
+        from k
+        group by tile""")),
     "cap_sweep": (
         lambda spark, sf: s.cap_sweep(_table(spark, sf), (1.0, 3.0, 5.0, 10.0, 15.0, 30.0), P.floor),
         with_tables("obs", f"""with {_OFF} select cap, count(*) filter (n_valid >= 10 and abs(offset_c) <= cap) as kept, count(*) filter (not (n_valid >= 10 and abs(offset_c) <= cap)) as rejected
@@ -258,37 +375,45 @@ QUERIES = {
         join o on dn.tile = o.tile and dn.scene_ts = o.scene_ts
         group by dn.tile, y, x""")),
     "lenient_ablation": (
-        lambda spark, sf: _round(c.percentiles(n.debias(_dn(spark, sf), n.lenient_offsets(_table(spark, sf), 150)), (0.95,)), "p95"),
+        lenient_ablation,
         with_tables("obs", f"""with {_OFF} select dn.tile, y, x, round(quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C}, 4) as p95
         from dn
         join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts
         group by dn.tile, y, x""")),
-    "destripe_comparison": (
-        lambda spark, sf: _round(s.compare_composites(c.percentiles(_values(spark, sf), (0.95,)), c.percentiles(n.debias(_dn(spark, sf), n.lenient_offsets(_table(spark, sf), 150)), (0.95,)), "p95"), "median_abs", "max_abs", "bias", "share_over", "corr"),
-        with_tables("obs", f"""with {_V}, a as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a
+    "destripe_comparison": (destripe_comparison, with_tables("obs", f"""with {_V}, a as (select tile, y, x, quantile_cont(v4, 0.95) / 4 {_C} as a, count(*) as na
         from v
         group by tile, y, x),
-        b as (select dn.tile, y, x, quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C} as b
+        b as (select dn.tile, y, x, quantile_cont(4 * dn - case when n_valid > 150 then offset4 else 0 end, 0.95) / 4 {_C} as b, count(*) as nb
         from dn
         join tab on dn.tile = tab.tile and dn.scene_ts = tab.scene_ts
-        group by dn.tile, y, x) select count(*) as pixels, round(median(abs(b - a)), 4) as median_abs, round(max(abs(b - a)), 4) as max_abs, round(avg(b - a), 4) as bias, round(avg(case when abs(b - a) > 0.1 then 1 else 0 end), 4) as share_over, round(corr(a, b), 4) as corr
+        group by dn.tile, y, x),
+        j as (select coalesce(a.tile, b.tile) as tile, a, b, b - a as d, coalesce(nb, 0) - coalesce(na, 0) as dn
         from a
-        join b on a.tile = b.tile and a.y = b.y and a.x = b.x""")),
+        full
+        join b on a.tile = b.tile and a.y = b.y and a.x = b.x) select tile, count(d) as pixels, round(avg(d), 4) as mean_delta, round(median(abs(d)), 4) as median_abs, round(quantile_cont(abs(d), 0.99), 4) as p99_abs, round(max(abs(d)), 4) as max_abs, round(avg(case when abs(d) > 0.1 then 1.0e0 when d is not null then 0 end), 4) as share_over, round(corr(a, b), 4) as corr, round(avg(dn), 4) as coverage_delta_mean
+        from j
+        group by tile""")),
     "thinned_offsets": (
-        lambda spark, sf: _round(s.thinned(_dn(spark, sf), (2, 3), P), "median_delta", "max_delta"),
-        with_tables("obs", f"""with {_OFF}, k as (select dn.*, f
-        from dn, (values (2), (3)) t(f)
-        where (year(scene_ts) * 12 + month) % f = 0),
+        lambda spark, sf: _round(s.thinned(_dn(spark, sf), month_cover(load(spark, sf, "scenes")), (48, 50, 52), P), "rejected_frac", "median_abs_delta", "p99_abs_delta", "max_abs_delta", "decision_flip_frac"),
+        with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover
+        from scenes
+        group by 1),
+        k as (select dn.*, f
+        from dn
+        join cov on dn.scene_ts = cov.scene_ts
+        join (values (48), (50), (52)) t(f) on cover < f),
         c2 as (select f, tile, y, x, month, cast(2 * median(dn) as bigint) as ref2
         from k
         group by f, tile, y, x, month),
         o2 as (select k.f, k.tile, scene_ts, count(*) as n_valid, median(2 * dn - ref2) / 2 * 0.00341802e0 as o
         from k
         join c2 on k.f = c2.f and k.tile = c2.tile and k.y = c2.y and k.x = c2.x and k.month = c2.month
-        group by k.f, k.tile, scene_ts) select cast(f as int) as f, count(*) as scenes, round(median(abs(o - offset_c)), 4) as median_delta, round(max(abs(o - offset_c)), 4) as max_delta, count(*) filter (keep <> (o2.n_valid >= 10 and abs(o) <= 15)) as flips
+        group by k.f, k.tile, scene_ts),
+        j as (select f, o2.tile, abs(o - offset_c) as d, o2.n_valid >= 10 and abs(o) <= 15 as k2, keep
         from o2
-        join tab on o2.tile = tab.tile and o2.scene_ts = tab.scene_ts
-        group by f""")),
+        join tab on o2.tile = tab.tile and o2.scene_ts = tab.scene_ts) select tile, cast(f as int) as threshold, count(*) as scenes, round(avg(case when k2 then 0 else 1 end), 4) as rejected_frac, round(median(d), 4) as median_abs_delta, round(quantile_cont(d, 0.99), 4) as p99_abs_delta, round(max(d), 4) as max_abs_delta, count(*) filter (keep <> k2) as decision_flips, round(count(*) filter (keep <> k2) / count(*), 4) as decision_flip_frac
+        from j
+        group by tile, f""")),
     "subsampling_verdict": (
         lambda spark, sf: _round(s.compare_offsets(_table(spark, sf), s.coarse_table(load(spark, sf, "obs"), P), P.floor, P.coarse_floor, P.cap), "median_abs", "p99_abs", "max_abs", "bias", "corr", "slope", "flip_margin", "flip_frac"),
         with_tables("obs", f"""with {_OFF}, cs as (select tile, scene_ts, cast(floor(y / 2) as bigint) as y, cast(floor(x / 2) as bigint) as x, round(avg(nullif(lwir11, 0))) as dn, min(case when y % 2 = 1 and x % 2 = 1 then qa_pixel end) as qa from obs group by tile, scene_ts, cast(floor(y / 2) as bigint), cast(floor(x / 2) as bigint)),
@@ -298,22 +423,27 @@ QUERIES = {
  r as (select count(*) filter (scored) as scored, coalesce(median(abs(b - a)) filter (scored), 0) as median_abs, coalesce(quantile_cont(abs(b - a), 0.99) filter (scored), 0) as p99_abs, coalesce(max(abs(b - a)) filter (scored), 0) as max_abs, coalesce(median(b - a) filter (scored), 0) as bias, case when count(*) filter (scored) > 2 then corr(a, b) filter (scored) else 0 end as corr, case when count(*) filter (scored) > 2 then regr_slope(b, a) filter (scored) else 0 end as slope, count(*) filter (fit) as admissible, count(*) filter (flip) as flips, coalesce(max(abs(abs(a) - 15)) filter (flip), 0) as flip_margin, count(*) filter (oa <> ob) as sparse_flips, count(*) filter (flip) / greatest(count(*) filter (fit), 1) as flip_frac from k)
  select scored, round(median_abs, 4) as median_abs, round(p99_abs, 4) as p99_abs, round(max_abs, 4) as max_abs, round(bias, 4) as bias, round(corr, 4) as corr, round(slope, 4) as slope, admissible, flips, round(flip_margin, 4) as flip_margin, sparse_flips, round(flip_frac, 4) as flip_frac, median_abs <= 0.05 and p99_abs <= 0.25 and max_abs <= 0.5 and abs(bias) <= 0.05 and flip_frac <= 0.01 and flip_margin <= 1 as accepted from r""")),
     "cloud_tradeoff": (
-        lambda spark, sf: s.cloud_tradeoff(_table(spark, sf), s.scene_cover(load(spark, sf, "scenes")), (20, 40, 50, 60)),
+        lambda spark, sf: _round(s.cloud_tradeoff(_table(spark, sf), month_cover(load(spark, sf, "scenes")), (48, 50, 52, 60)), "dropped_frac", "already_rejected_frac", "observations_lost_frac"),
         with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover
         from scenes
         group by 1),
         j as (select tab.*, cover
         from tab
-        join cov on tab.scene_ts = cov.scene_ts) select cast(t as int) as threshold, count(*) filter (cover >= t) as dropped, count(*) filter (cover >= t and not keep) as already_rejected, cast(coalesce(sum(n_valid) filter (cover >= t and keep), 0) as bigint) as observations_lost
-        from j, (values (20), (40), (50), (60)) c(t)
-        group by t""")),
+        join cov on tab.scene_ts = cov.scene_ts),
+        a as (select tile, t, count(*) as k, count(*) filter (cover >= t) as d, count(*) filter (cover >= t and not keep) as w, cast(coalesce(sum(n_valid) filter (cover >= t and keep), 0) as bigint) as lost, coalesce(sum(n_valid) filter (keep), 0) as total
+        from j, (values (48), (50), (52), (60)) c(t)
+        group by tile, t) select tile, cast(t as int) as threshold, d as dropped, round(d / k, 4) as dropped_frac, w as already_rejected, round(w / greatest(d, 1), 4) as already_rejected_frac, lost as observations_lost, round(coalesce(lost / nullif(total, 0), 0), 4) as observations_lost_frac
+        from a""")),
     "cloud_correlation": (
-        lambda spark, sf: _round(s.cloud_correlation(_table(spark, sf), s.scene_cover(load(spark, sf, "scenes")), 288), "corr"),
-        with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover
+        lambda spark, sf: _round(s.cloud_correlation(_table(spark, sf), month_cover(load(spark, sf, "scenes")).withColumn("cover", F.col("cover") * 1.6)), "corr"),
+        with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) * 1.6e0 as cover
         from scenes
-        group by 1) select round(corr(cover, n_valid / 288.0e0), 4) as corr, count(*) filter (cover > 50 and n_valid / 288.0e0 > 0.5) as cloudy_but_clear
+        group by 1),
+        j as (select tab.tile, cover, keep, n_valid / max(n_valid) over (partition by tab.tile) as share
         from tab
-        join cov on tab.scene_ts = cov.scene_ts""")),
+        join cov on tab.scene_ts = cov.scene_ts) select tile, round(corr(cover, share), 4) as corr, count(*) filter (cover >= 70 and keep and share > 0.5) as cloudy_but_clear_70, count(*) filter (cover >= 90 and keep and share > 0.5) as cloudy_but_clear_90
+        from j
+        group by tile""")),
     "window_comparison": (
         lambda spark, sf: _round(s.window_comparison(_values(spark, sf), load(spark, sf, "land"), 2001, (1, 3, 5)), "gap_fraction", "striping", *[f"zero_m{m}" for m in c.MONTHS]),
         with_tables("obs land", f"""with {_V}, w as (select k, tile, y, x, count(*) as n, {_MONTHS}

@@ -19,15 +19,20 @@ def _rate(done: list, at: list, k: int) -> float | None:
     return max(done[-1] - done[-1 - k], 0) / seconds if seconds > 0 else None
 
 
-def _row(key, state: tuple, silent: bool) -> pd.DataFrame:
-    at, seq, done, total, phase, beats = state
+def status(key: tuple, at: list, seq: list, done: list, total: int, phase: str, beats: int, silent: bool) -> tuple:
+    """A row of LATEST from a tile's newest beats, oldest first, times in microseconds: the rate is over those of the newest one's graph whose count never fell."""
     k = 0
     while k + 1 < len(at) and seq[-2 - k] == seq[-1] and done[-2 - k] <= done[-1 - k]:
         k += 1
     rate = _rate(done, at, k)
     left = max(total - done[-1], 0) / rate if rate else None
-    category = TERMINAL.get(phase, "stale" if silent else "running")
-    return pd.DataFrame({"tile": [key[0]], "attempt": [key[1]], "updated_at": [pd.Timestamp(at[-1], unit="us")], "phase": [phase], "beats": [beats], "rate": pd.Series([rate], dtype="float64"), "eta_s": pd.Series([left], dtype="float64"), "category": [category]})
+    return (*key, at[-1], phase, beats, rate, left, TERMINAL.get(phase, "stale" if silent else "running"))
+
+
+def _row(key, state: tuple, silent: bool) -> pd.DataFrame:
+    at, seq, done, total, phase, beats = state
+    tile, attempt, ts, phase, beats, rate, left, category = status(key, at, seq, done, total, phase, beats, silent)
+    return pd.DataFrame({"tile": [tile], "attempt": [attempt], "updated_at": [pd.Timestamp(ts, unit="us")], "phase": [phase], "beats": [beats], "rate": pd.Series([rate], dtype="float64"), "eta_s": pd.Series([left], dtype="float64"), "category": [category]})
 
 
 def _advance(stale_ms: int):

@@ -136,12 +136,10 @@ def test_hilbert_is_a_curve(spark):
 
 
 def test_run_states(spark, tmp_path):
-    for key in ("N05W060/attempt-2/state", "N05W060/state"):
-        p = tmp_path / f"{key}.json"
-        p.parent.mkdir(parents=True, exist_ok=True)
-        p.write_text(json.dumps({"phase": "read", "updated_at": "2024-01-01T00:00:00Z", "phase_seconds": {"read": 2.0}, "rss_series": [[0.0, 1.0]]}))
+    for name in ("N05W060.2.json", "N05W060.json", "N10W060.progress.json", "N05W060.2.offsets.profile.json", "N05W060.2.log"):
+        (tmp_path / name).write_text(json.dumps({"phase": "read", "updated_at": "2024-01-01T00:00:00Z", "phase_seconds": {"read": 2.0}, "rss_series": [[0.0, 1.0]]}))
     got = {(r.tile, r.attempt, r.kind, r.phase_seconds["read"]) for r in runs.read_states(spark, str(tmp_path)).collect()}
-    assert got == {("N05W060", 2, "state", 2.0), ("N05W060", 0, "state", 2.0)}
+    assert got == {("N05W060", 2, "state", 2.0), ("N05W060", 0, "state", 2.0), ("N10W060", 0, "progress", 2.0)}
 
 
 def test_tables_as_files(spark, tmp_path):
@@ -185,7 +183,8 @@ def test_orientation_and_cells(spark):
     m = spark.createDataFrame([(0, 0, True), (1, 1, False)], "r int, c int, v boolean")
     assert [tuple(x) for x in audit.mask_cells(m).collect()] == [(89, -180)]
     p = spark.createDataFrame([([(1.5, 2.5), (1.2, 3.0), (2.0, 2.1), (1.5, 2.5)],), ([(1.0, 2.0)],)], "p array<struct<lat:double,lon:double>>")
-    assert [tuple(x) for x in p.select(*audit.granule_cell(F.col("p"))).collect()] == [(1, 2), (None, None)]
+    none = spark.createDataFrame([([],), (None,)], p.schema)
+    assert [tuple(x) for x in p.union(none).select(*audit.granule_cell(F.col("p"))).collect()] == [(1, 2), (1, 2), (None, None), (None, None)]
 
 
 def test_clamp_reaches_the_scan(spark, tmp_path):
