@@ -7,6 +7,8 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow.fs as pafs
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,11 @@ _scratch: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a local temporary one only where that is unset."""
+    """A fresh folder below ``spark.checkpoint.dir``. Where that is unset, a temporary one on a local master; on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="rasterspark-"))
         base = "file://" + _own_dir[0]
@@ -45,8 +49,9 @@ def scratch(name: str):
 def release(spark: SparkSession, name: str) -> None:
     """Delete what belongs to ``name``: to be called once nothing reads it any more."""
     for path in _scratch.pop(name, []):
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        fs, at = pafs.FileSystem.from_uri(path)
+        if fs.get_file_info(at).type == pafs.FileType.Directory:
+            fs.delete_dir(at)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -161,6 +166,10 @@ class Rolling:
             return (sums[end] - sums[start]) * self.down[start]
 
 
+#: Words of more bytes are hashed one by one: a polynomial modulo 2**64 can take long words for each other, whatever its base.
+LONG_WORD = 64
+
+
 def word_hashes(data: bytes, rolling: Rolling) -> np.ndarray:
     """A 64-bit hash of each word of ``data`` (words joined by single spaces)."""
     if not data:
@@ -170,4 +179,7 @@ def word_hashes(data: bytes, rolling: Rolling) -> np.ndarray:
     start, end = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(a)]])
     out = rolling.hashes(rolling.sums(a.astype(np.uint64) + np.uint64(1)), start, end)
     with np.errstate(over="ignore"):
-        return mix64(out ^ (end - start).astype(np.uint64) * _M1)
+        out = mix64(out ^ (end - start).astype(np.uint64) * _M1)
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : end[i]], rolling.base & 0xFFFF)
+    return out

@@ -55,7 +55,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all URLs, by rules and by the list. Nulls, empty, very long and repeated rows as the operator says."""
-    return urlfilter.judge(_table(spark, sf_dir, "pages"))
+    pages = _table(spark, sf_dir, "pages")
+    listed = urlfilter.bad_content(pages, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return urlfilter.judge(pages, listed, urlfilter.LISTED_WORDS)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

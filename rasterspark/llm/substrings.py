@@ -5,8 +5,9 @@ matter. Suffixes are parted until a part's subtree fits in memory, and only what
 
 1. A suffix belongs to the part of its head's least ``GRAM``-word gram. Equal heads have equal least grams,
    so no node is split over parts. Parts with suffixes of one document only hold no repeat and end here.
-2. Within a part, suffixes that follow one another form a run. Runs of equal words (128 bits of two hashes) are one path of
-   the tree: all later documents' suffixes on it are repeats. A part with a single path ends here.
+2. Within a part, suffixes that follow one another form a run. Runs of equal words are one path of the tree: all later
+   documents' suffixes on it are repeats. A path is named by 128 bits of BLAKE2b of its words, which no two
+   different texts are known to share or can be made to. A part with a single path ends here.
 3. The first document's run of each remaining path is opened, with its words. A part of up to ``WORDS`` words is one group.
    Suffixes of larger parts are parted by prefixes of their own, 8 words long, then 16 and so on, until a group is small
    enough; groups that are still too large at 48 words are grouped by the whole head.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import Rolling, materialise, mix64, salted_join, small_batches, word_hashes
 
 HEAD, GRAM, WORDS = 50, 8, 2_000_000
-_letters, _words = (Rolling(0x9E3779B97F4A7C15), Rolling(0xC2B2AE3D27D4EB4F)), (Rolling(0xD1342543DE82EF95), Rolling(0x2545F4914F6CDD1D))
+_letters, _words = Rolling(0x9E3779B97F4A7C15), Rolling(0xD1342543DE82EF95)
 
 
 def _split(text: str | None) -> list[bytes]:
@@ -38,17 +39,21 @@ def _split(text: str | None) -> list[bytes]:
 
 
 class Suffixes:
-    """The suffixes of one document: ``part`` and ``head`` hash of each position."""
+    """The suffixes of one document: the ``part`` of each position and the words they are told by.
+
+    Parts come from a fast hash: texts that it takes for each other are dealt together, which costs time and changes nothing.
+    """
 
     def __init__(self, words: list[bytes]):
         self.n = max(0, len(words) - HEAD + 1)
         if not self.n:
             self.part = np.zeros(0, np.uint64)
             return
-        data = b" ".join(words)
-        self.sums = [w.sums(word_hashes(data, k)) for w, k in zip(_words, _letters)]
+        self.data = b" ".join(words)
+        self.begin = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])])  # where each word begins; one past the last one's end
+        sums = _words.sums(word_hashes(self.data, _letters))
         i = np.arange(len(words) - GRAM + 1)
-        low = mix64(_words[0].hashes(self.sums[0], i, i + GRAM))
+        low = mix64(_words.hashes(sums, i, i + GRAM))
         width, done = HEAD - GRAM + 1, 1
         while 2 * done <= width:  # least over windows of 1, 2, 4 ... grams, then of width
             low = np.minimum(low[:-done], low[done:])
@@ -58,12 +63,13 @@ class Suffixes:
         self.part = low
 
     def runs(self) -> tuple[np.ndarray, ...]:
-        """part, path (two hashes), first position and number of suffixes of each run."""
+        """part, path (a digest's two halves), first position and number of suffixes of each run."""
         cut = np.flatnonzero(self.part[1:] != self.part[:-1]) + 1
         s, e = np.concatenate([[0], cut]), np.concatenate([cut, [self.n]])
-        with np.errstate(over="ignore"):
-            path = [mix64(w.hashes(x, s, e - 1 + HEAD) ^ mix64((e - s).astype(np.uint64))).view(np.int64) for w, x in zip(_words, self.sums)]
-        return self.part[s].view(np.int64), *path, s.astype(np.int32), (e - s).astype(np.int32)
+        digest, data = hashlib.blake2b, memoryview(self.data)
+        stretches = zip(self.begin[s].tolist(), (self.begin[e - 1 + HEAD] - 1).tolist())
+        path = np.frombuffer(b"".join(digest(data[i:j], digest_size=16).digest() for i, j in stretches), np.int64).reshape(-1, 2)
+        return self.part[s].view(np.int64), path[:, 0].copy(), path[:, 1].copy(), s.astype(np.int32), (e - s).astype(np.int32)
 
 
 def _digest(words: list[bytes]) -> str:

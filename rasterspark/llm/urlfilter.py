@@ -9,13 +9,17 @@ by shuffling the distinct URL hashes only.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, salted_join
+from .common import WORD, materialise, salted_join
 
 #: (verdict, host, path). The longest rule that fits wins.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+#: Fewest words of a sentence that tells one page's content from another's.
+TELLING = 8
 #: Words in the host of a URL that put it on the list, where no list is given.
 LISTED_WORDS = ("spam", "pills", "casino", "malware", "phish", "bets", "ads-", "adult")
 BITS_PER_URL, BROADCAST_BLOCKS = 16, 1 << 18
@@ -49,6 +53,26 @@ def canonical(url: Column) -> Column:
     return F.when(url.isNotNull(), F.concat(name, place, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
 
 
+def _sentences(text: Column) -> Column:
+    """Hashes (two of 64 bits) of a text's different sentences of ``TELLING`` words or more; markup parts sentences like line ends do."""
+    parts = F.transform(F.split(text, r"[\n<>]+|\. "), lambda s: F.trim(s, F.lit(". \t\r")))
+    telling = F.filter(parts, lambda s: F.regexp_count(s, F.lit(WORD)) >= TELLING)
+    return F.array_distinct(F.transform(telling, lambda s: F.struct(F.xxhash64(s).alias("s0"), F.xxhash64(F.lit(1), s).alias("s1"))))
+
+
+def bad_content(pages: DataFrame, docs: DataFrame, labels: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "doc_id", text_col: str = "text", bad_col: str = "toxic") -> DataFrame:
+    """(url): the URLs of pages that carry a sentence found in documents labelled bad and in none labelled otherwise.
+
+    What a page says decides, not its host. Null texts, pages and labels say nothing; very long ones are read whole; repeated rows
+    change nothing; extra columns are ignored; without labels the list is empty.
+    """
+    known = labels.where(F.col(bad_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(bad_col).alias("_bad"))
+    said = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(known, "_id").select("_bad", F.inline(_sentences(F.col("_text"))))
+    bad = said.groupBy("s0", "s1").agg(F.min("_bad").alias("_bad")).where("_bad > 0").select("s0", "s1")
+    shown = pages.where(F.col(url_col).isNotNull()).select(F.col(url_col).alias("url"), F.inline(_sentences(F.col(html_col))))
+    return salted_join(shown, bad, ["s0", "s1"], "left_semi").select("url").distinct()
+
+
 def rule_columns(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, else nulls; among equally long ones the first."""
     rule = verdict = F.lit(None).cast("string")
@@ -76,18 +100,21 @@ def may_be_listed(probe: DataFrame, table: DataFrame, blocks: int, broadcast_blo
     return met.drop("block", *[f"w{i}" for i in range(4)])
 
 
-def judge(pages: DataFrame, listed: DataFrame | None = None, rules=RULES, id_col: str = "page_id", url_col: str = "url", bits_per_url: int = BITS_PER_URL, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
+def judge(pages: DataFrame, listed: DataFrame | None = None, words: tuple | None = None, rules=RULES, id_col: str = "page_id", url_col: str = "url", bits_per_url: int = BITS_PER_URL, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """(page_id, host, path, rule, verdict, listed): one row per row of ``pages``.
 
-    A rule decides; without one, a URL on the list is blocked and all others are allowed. ``listed(url)`` are the
-    listed URLs; by default those of ``pages`` whose host contains one of ``LISTED_WORDS``. Null URLs and those
+    A rule decides; without one, a URL on the list is blocked and all others are allowed. The list are the URLs of
+    ``listed(url)``, as of ``bad_content``, and those of ``pages`` whose host contains one of ``words``; without either ``LISTED_WORDS`` are taken. Null URLs and those
     without :// have empty host and path, no rule, and are on no list; very long ones are judged whole; repeated rows are
     judged each; extra columns are ignored; an empty list or table is no error.
     """
     url = F.col(url_col)
-    if listed is None:
-        listed = pages.where(host(url).rlike("|".join(LISTED_WORDS))).select(url.alias("url"))
-    known = materialise(listed.where("url is not null").select(canonical(F.col("url")).alias("canon")).distinct().withColumn("h", F.xxhash64("canon")), "listed")
+    known = [listed.select("url")] if listed is not None else []
+    words = words or (LISTED_WORDS if listed is None else ())
+    if words:
+        known.append(pages.where(host(url).rlike("|".join(words))).select(url.alias("url")))
+    known = functools.reduce(DataFrame.union, known) if known else pages.select(url.alias("url")).limit(0)
+    known = materialise(known.where("url is not null").select(canonical(F.col("url")).alias("canon")).distinct().withColumn("h", F.xxhash64("canon")), "listed")
     blocks = max(1, known.count() * bits_per_url // 256)
     rows = pages.select(F.col(id_col).alias("page_id"), host(url).alias("host"), path(url).alias("path"), canonical(url).alias("canon"))
     rows = rows.withColumns({"h": F.xxhash64("canon"), "nr": F.monotonically_increasing_id()})

@@ -87,6 +87,35 @@ def test_minhash(spark):
     assert {r.doc_id for r in near_duplicates(spark, df, "").collect()} == {min(j for j in group if group[j] == g) for g in group.values()}
 
 
+def test_listed_by_content(spark):
+    at = "/root/testdata/sf0.01"
+    pages, docs, labels = (spark.read.parquet(f"{at}/{t}.parquet") for t in ("pages", "documents", "labels"))
+
+    def said(text):
+        parts = (p.strip(". \t\r") for p in re.split(r"[\n<>]+|\. ", text or ""))
+        return {p for p in parts if len(WORD.findall(p)) >= urlfilter.TELLING}
+
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    bad, good = set(), set()
+    for r in docs.collect():
+        if r.doc_id in toxic:
+            (bad if toxic[r.doc_id] else good).update(said(r.text))
+    want = {r.url for r in pages.collect() if said(r.html) & (bad - good)}
+    listed = urlfilter.bad_content(pages, docs, labels)
+    assert {r.url for r in listed.collect()} == want and want
+    assert not any(re.search("|".join(urlfilter.LISTED_WORDS), u.split("/")[2]) for u in want)  # no host test finds these
+    from rasterspark.llm import queries
+
+    rows = queries.op9_url_filter(spark, at).collect()
+    by_content = {r.page_id for r in pages.collect() if r.url in want}
+    assert {r.page_id for r in rows if r.listed} >= by_content and any(r.verdict == "block" and r.rule is None and r.page_id in by_content for r in rows)
+    assert urlfilter.bad_content(pages, docs, labels.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, None), ("http://a.b/c", None), (None, "x"), ("http://a.b/d", "<p>one two three four five six seven eight</p>"), ("http://a.b/d", "<p>one two three four five six seven eight</p>")], "url string, html string")
+    texts = spark.createDataFrame([(1, None), (2, "One. one two three four five six seven eight. End"), (None, "x")], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 1), (None, 1), (3, None)], "doc_id long, toxic int")
+    assert [r.url for r in urlfilter.bad_content(odd, texts, marks).collect()] == ["http://a.b/d"]
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 600)], "a long, b long")
     assert {r.node: r.root for r in components(e).collect()} == {i: 0 for i in range(201)} | {500: 500, 600: 500}
@@ -190,6 +219,21 @@ def test_substrings_forked(spark):
         assert {r.doc_id: tuple(r)[1:] for r in substrings.cut_repeats(df, words=words).collect()} == slow_cut(texts)
 
 
+def alike():
+    """Two words of 1,024 letters that polynomial hashes modulo 2**64 take for each other (Thue and Morse)."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_hash_alike_are_told_apart(spark):
+    one, other = alike()
+    head, tail = " ".join(f"h{i}" for i in range(49)), " ".join(f"t{i}" for i in range(49))
+    texts = {1: f"{head} {one} {tail}", 2: f"{head} {other} {tail}", 3: f"{head} {one} {tail} end"}
+    got = {r.doc_id: tuple(r)[1:] for r in substrings.cut_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == slow_cut(texts) and got[2][1] == 0 and got[3][1] == 99
+    assert len(np.intersect1d(minhash.shingles(texts[1]), minhash.shingles(texts[2]))) == 90
+
+
 def test_subtrees_compare_words():
     words = [f"w{i}" for i in range(60)]
     other = [*words[:49], "new", *words[50:]]
