@@ -8,16 +8,24 @@ the words behind the placeholders, must map each item value to one document valu
 cover at least ``COVER`` of an item's windows: verbatim if all slots are equal, else re-parameterised.
 Windows of the lower-cased words themselves are joined beside them, whatever the words are (items of fewer words give
 the whole item): a document with at least ``EXACT_COVER`` of these is contaminated too, verbatim if it has all.
+
+What is joined are units, not items. Whether slots are consistent depends only on which of an item's slots are equal, so all
+items of one template with one pattern of equal slots are one class, looked for once, by the one of least id. So are
+the words of a template's windows without slots, where these alone make up ``EXACT_COVER``; else items of equal words are a
+unit of their own (beside such a class, to be found word for word only). A unit is met by its rarest windows only: as many
+as leave too few others to cover it (prefix filtering), so windows that many units share make no candidates.
+A candidate's windows and the document's are then compared, a row each.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Rolling, materialise, mix64, rows_of, salted_join, small_batches, text_keys
@@ -139,6 +147,14 @@ def _may_be(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return out
 
 
+def _keys(words: list[bytes], slots: np.ndarray) -> dict:
+    """Digests of an item's plain words and of its template, where each slot is known by the first one that it equals."""
+    plain = [w.strip(_EDGE).lower() for w in words]
+    seen: dict[bytes, int] = {}
+    shape = [b"\0%d" % seen.setdefault(w, len(seen)) if s else w for w, s in zip(plain, slots.tolist())] if len(words) >= SHORTEST else plain
+    return {k: hashlib.blake2b(b" ".join(v), digest_size=16).hexdigest() for k, v in (("words", plain), ("template", shape))}
+
+
 def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
     """Over (id, text): the windows, all of them or those that ``table`` may hold. ``whole``: short texts count as one window.
 
@@ -152,7 +168,7 @@ def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
             first = first_bits.reshape(-1, min(len(first_bits), 1 << 22)).any(0)
             mask = np.uint64(len(first) - 1)
         for b in batches:
-            n, hits = [], []
+            n, hits, keys = [], [], []
             for text in b.column(1).to_pylist():
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 tokens, slots, plain, names = template(words, forms)
@@ -174,52 +190,123 @@ def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
                         for i in at.tolist():
                             cut = [w.strip(_EDGE).lower().decode("utf-8", "surrogatepass").lower().encode("utf-8", "replace").decode() for w in words[i : i + size]]
                             if slot_of is None:
-                                rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": "\1" + " ".join(cut), "slots": []})
+                                rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": "\1" + " ".join(cut), "slots": [""] * bool(whole and slots[i : i + size].any())})
                                 continue
                             slot = slot_of[i : i + size].tolist()
                             slot[0] ^= other
                             rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": " ".join("\0" if s else w for w, s in zip(cut, slot)), "slots": [w if s else None for w, s in zip(cut, slot)]})
                 n.append(len(words))
                 hits.append(rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("form", pa.string()), ("slots", pa.list_(pa.string()))])))], ["id", "n", "hits"])
+                keys.append(_keys(words, slots) if whole else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("form", pa.string()), ("slots", pa.list_(pa.string()))]))), pa.array(keys, pa.struct([("words", pa.string()), ("template", pa.string())]))], ["id", "n", "hits", "keys"])
 
     return run
 
 
+_FOUND = f"n int, hits {_HIT}, keys struct<words:string,template:string>"
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    items = benchmark.select(F.col("item_id").alias("id"), "text").mapInArrow(_finder([], True, None), f"id long, {_FOUND}")
+    return materialise(items.where("size(hits) > 0"), "templates")
+
+
+def classes(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text_id, class_id): of each benchmark item the least ids of those of equal words and of those of its template class."""
+    items = _items(benchmark).select("id", "keys.*")
+    least = lambda k, name: items.groupBy(k).agg(F.min("id").alias(name))
+    return salted_join(salted_join(items, least("words", "text_id"), ["words"]), least("template", "class_id"), ["template"]).select(F.col("id").alias("item_id"), "text_id", "class_id")
+
+
+def _units(items: DataFrame) -> DataFrame:
+    """(unit, item, kind, n, need, windows): what documents are compared with; ``n`` windows make it whole, ``need`` of them find it.
+
+    Kinds: template, literal (a class's words without slots), words.
+    """
+    exact = F.filter("hits", lambda x: x["form"].startswith("\1"))
+    free = F.filter(exact, lambda x: F.size(x["slots"]) == 0)
+    texts = items.groupBy("keys.words").agg(F.min_by(F.struct("id", "hits", "keys.template"), "id").alias("t")).select("t.*")
+    texts = texts.withColumns({"exact": exact, "free": free, "typed": F.filter("hits", lambda x: ~x["form"].startswith("\1"))})
+    texts = texts.withColumn("broad", F.size("free") >= F.ceil(EXACT_COVER * F.size("exact")))
+    shape = texts.groupBy("template").agg(F.min_by(F.struct("id", "typed", "free", "exact", "broad"), "id").alias("c"), F.count("*").alias("members"))
+    of = lambda kind, item, n, need, windows: F.struct(F.lit(kind).alias("kind"), item.alias("item"), n.cast("int").alias("n"), need.cast("int").alias("need"), windows.alias("windows"))
+    c = lambda k: F.col(f"c.{k}")
+    enough = lambda k, share: F.ceil(F.lit(share) * F.size(k) - 1e-9)
+    of_shape = F.array(of("template", c("id"), F.size("c.typed"), enough("c.typed", COVER), c("typed")), of("literal", c("id"), F.size("c.exact"), enough("c.exact", EXACT_COVER), F.when(c("broad") & (F.col("members") > 1), c("free")).otherwise(F.slice(c("free"), 1, 0))))
+    several = shape.select("template", F.col("members") > 1)
+    by_words = texts.join(several.toDF("template", "many"), "template").select(of("words", F.col("id"), F.size("exact"), F.when(F.col("broad") & F.col("many"), F.size("exact")).otherwise(enough("exact", EXACT_COVER)), F.col("exact")).alias("u"))
+    units = shape.select(F.explode(of_shape).alias("u")).union(by_words).select("u.*").where("size(windows) > 0")
+    return materialise(units.withColumn("unit", F.concat_ws(":", "kind", "item")), "units")
+
+
+def _index(units: DataFrame) -> DataFrame:
+    """(h, form, unit): the rarest windows of each unit: one more than it can lack and still be found."""
+    every = units.select("unit", "need", F.size("windows").alias("size"), F.explode("windows").alias("w")).select("unit", "need", "size", "w.h", "w.form", "w.at")
+    shared = every.groupBy("h", "form").agg(F.count("*").alias("units"))
+    rank = F.row_number().over(Window.partitionBy("unit").orderBy("units", "at"))  # an item's windows
+    kept = salted_join(every, shared, ["h", "form"]).withColumn("rank", rank).where("rank <= size - need + 1")
+    return kept.select("h", "form", "unit").distinct()
+
+
+def _compare(batches):
+    """Candidates whose windows cover the unit: (nr, item, cover, same)."""
+    for b in batches:
+        out = []
+        for nr, hits, item, kind, n, need, windows in zip(*(b.column(i).to_pylist() for i in range(7))):
+            here: dict[str, list] = {}
+            for w in windows:
+                here.setdefault(w["form"], []).append(w)
+            if kind != "template":
+                forms = {x["form"] for x in hits}
+                got = sum(len(ws) for form, ws in here.items() if form in forms)
+                same = kind == "words" and got == n
+            else:
+                lines: dict[int, tuple[set, dict, list]] = {}
+                for x in hits:
+                    for w in here.get(x["form"], ()):
+                        at, values, state = lines.setdefault(x["at"] - w["at"], (set(), {}, [True, True]))  # consistent, equal
+                        at.add(w["at"])
+                        for i, d in zip(w["slots"], x["slots"]):
+                            if i is not None:
+                                state[0] &= values.setdefault(i, d) == d
+                                state[1] &= i == d
+                good = [(at, state[1]) for at, _, state in lines.values() if state[0]]
+                got, same = len(set().union(*(at for at, _ in good))), all(e for _, e in good)
+            if got >= need:
+                out.append((nr, item, min(got / n, 1.0), same))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 4, (pa.int64(), pa.int64(), pa.float64(), pa.bool_()))], ["nr", "item", "cover", "same"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
     """(doc_id, contaminated, verbatim, n_items, items, cover): one row per row of ``docs``.
 
-    items: the ids of the benchmark items found, in order; cover: the largest share of an item's windows. Null and
+    items: in order, the least ids of the template classes found and of the texts (items of equal words) found word for word or
+    nearly; ``classes`` has the ids of all members. cover: the largest share of a unit's windows. Null and
     empty texts contain nothing and items with null texts or without a letter or digit are never found, those of fewer
     than ``SHORTEST`` words only as they are; rows
     of one id are judged apart; very long texts are judged whole; extra columns are ignored; either table may be empty.
     ``keyed``: (doc_id, k0, k1) of the contaminated rows only; k0 and k1 are ``text_keys``.
     """
     small_batches(docs)
-    items = benchmark.select(F.col("item_id").alias("id"), "text").mapInArrow(_finder([], True, None), f"id long, n int, hits {_HIT}")
-    items = materialise(items.where("size(hits) > 0"), "templates")
-    is_exact = lambda f: f.startswith("\1")
-    n_exact = F.size(F.filter("hits", lambda x: is_exact(x["form"])))
-    total = items.select("id", n_exact.alias("n_exact"), F.size("hits").alias("n_all"), F.inline("hits"))
-    total = total.withColumns({"exact": is_exact(F.col("form")), "windows": F.when(is_exact(F.col("form")), F.col("n_exact")).otherwise(F.col("n_all") - F.col("n_exact"))}).drop("n_exact", "n_all")
-    total = total.withColumnRenamed("at", "item_at").withColumnRenamed("slots", "item_slots").withColumnRenamed("id", "item_id")
+    items = _items(benchmark)
+    units = _units(items)
+    hashes = units.select(F.explode("windows.h").alias("h")).distinct()
     sizes = [r.n for r in items.select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect()]  # WINDOW values at most
-    table = window_table(total.select("h").distinct(), total.count())
+    table = window_table(hashes, hashes.count())
     key = F.struct(F.monotonically_increasing_id().alias("nr"), F.col(id_col).cast("long").alias("doc_id"), *text_keys(F.col(text_col)) * keyed)
     kind = "struct<nr:long,doc_id:long" + ",k0:long,k1:long" * keyed + ">"
-    found = docs.select(key.alias("id"), F.col(text_col).alias("text")).mapInArrow(_finder(sizes, False, table), f"id {kind}, n int, hits {_HIT}")
+    found = docs.select(key.alias("id"), F.col(text_col).alias("text")).mapInArrow(_finder(sizes, False, table), f"id {kind}, {_FOUND}")
     if keyed:
         found = found.where("size(hits) > 0")
     found = materialise(found.select("id.*", "hits"), "templates-found")
-    hits = found.where("size(hits) > 0").select("nr", F.inline("hits"))
-    met = salted_join(hits, total, ["h", "form"]).withColumn("shift", F.col("at") - F.col("item_at"))
-    pair = F.filter(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")), lambda p: p["i"].isNotNull())
-    lines = met.groupBy("nr", "item_id", "exact", "shift", "windows").agg(F.count("*").alias("n"), F.collect_set("item_at").alias("item_ats"), F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"))
-    lines = lines.where(F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs"))
-    covered = F.when(F.col("exact"), F.size(F.array_distinct(F.flatten(F.collect_set("item_ats"))))).otherwise(F.sum("n"))
-    equal = F.when(F.col("exact"), F.col("cover") >= 1).otherwise(F.col("equal"))
-    per = lines.groupBy("nr", "item_id", "exact", "windows").agg(F.least(covered / F.col("windows"), F.lit(1.0)).alias("cover"), F.bool_and(~F.exists("pairs", lambda p: p["i"] != p["d"])).alias("equal")).withColumn("same", equal)
-    per = per.where(F.col("cover") >= F.when(F.col("exact"), EXACT_COVER).otherwise(COVER)).groupBy("nr").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("cover").alias("cover"), F.bool_or("same").alias("verbatim"))
+    hits = found.where("size(hits) > 0").select("nr", F.explode("hits").alias("x")).select("nr", "x.h", "x.form").distinct()
+    index = materialise(_index(units), "unit-index")
+    candidates = materialise(salted_join(hits, index, ["h", "form"]).select("nr", "unit").distinct(), "candidates")
+    # a document has few candidates, a unit may be in very many documents
+    pairs = candidates.join(found.select("nr", "hits").where("size(hits) > 0"), "nr")
+    pairs = salted_join(pairs, units, ["unit"]).select("nr", "hits", "item", "kind", "n", "need", "windows")
+    per = pairs.mapInArrow(_compare, "nr long, item long, cover double, same boolean")
+    per = per.groupBy("nr").agg(F.array_sort(F.collect_set("item")).alias("items"), F.max("cover").alias("cover"), F.bool_or("same").alias("verbatim"))
     if keyed:
         return found.drop("hits").join(per, "nr", "left_semi").select("doc_id", "k0", "k1").distinct()
     out = found.drop("hits").join(per, "nr", "left")

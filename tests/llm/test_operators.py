@@ -184,6 +184,35 @@ def test_exact_way(spark):
     assert [got[i].verbatim for i in range(5)] == [True, True, True, False, False]
 
 
+def test_one_template_of_many_items(spark):
+    """Work and result grow with items and documents, not with their product."""
+    say = lambda a, b, c: f"A farmer has {a} green apples and gives {b} of them to the old baker who then bakes {c} pies for the whole village feast"
+    n = 400
+    items = spark.createDataFrame([(i, say(i + 1000, i * 7 + 3, i + 9000)) for i in range(n)], "item_id long, text string")
+    texts = [f"note {k} " + say(k + 50000, k * 3 + 70000, k + 90000) for k in range(n)] + [say(1005, 38, 9005) + " indeed", "nothing of the kind is said here at all today", say(1005, 1005, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = {tuple(r) for r in decontaminate.classes(items).select("text_id", "class_id").collect()}
+    assert kinds == {(i, 0) for i in range(n)}
+    units = decontaminate._units(decontaminate._items(items))
+    index = decontaminate._index(units)
+    assert units.where("kind = 'template'").count() == 1
+    got = by_id(decontaminate.contamination(docs, items).collect())
+    assert all(got[k].items == [0] and not got[k].verbatim and got[k].cover == 1 for k in range(n))
+    assert got[n].items == [0, 5] and got[n].verbatim and got[n + 1].items == [] and got[n + 2].contaminated
+    shared = index.groupBy("h", "form").count().agg(F.max("count")).first()[0]
+    assert shared < 10  # no window of the index leads to more than a few units
+
+
+def test_windows_that_all_items_share_find_none(spark):
+    head = "Answer the following question as briefly as you can and then give a reason for it in one line"
+    items = spark.createDataFrame([(i, head + " " + " ".join(f"w{i}x{j}y" for j in range(30))) for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, head), (2, head + " of something else"), (3, head + " " + " ".join(f"w7x{j}y" for j in range(30)))], "doc_id long, text string")
+    got = by_id(decontaminate.contamination(docs, items).collect())
+    assert [got[i].items for i in (1, 2, 3)] == [[], [], [7]] and got[3].verbatim
+    windows = decontaminate._index(decontaminate._units(decontaminate._items(items)))
+    assert windows.where(F.col("form").contains("briefly")).count() == 0
+
+
 def slow_cut(docs):
     words = {i: WORD.findall(t or "") for i, t in docs.items()}
     least = {}
