@@ -87,6 +87,34 @@ def test_minhash(spark):
     assert {r.doc_id for r in near_duplicates(spark, df, "").collect()} == {min(j for j in group if group[j] == g) for g in group.values()}
 
 
+def test_minhash_recall_on_chains(spark):
+    """Families of texts that drift apart step by step: neighbours are alike, ends are not. Thousands of pairs, against brute force."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for family in range(40):
+        words = [f"f{family}w{i}" for i in rng.integers(0, 4000, 150)]
+        for step in range(40):
+            rows.append((len(rows), family, " ".join(words)))
+            words[int(rng.integers(0, 150))] = f"n{family}s{step}"
+    sets = [frozenset(tuple(t.split()[k : k + 5]) for k in range(146)) for _, _, t in rows]
+    pairs = [(i, j) for f in range(40) for i in range(f * 40, f * 40 + 40) for j in range(i + 1, f * 40 + 40) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(pairs) > 3000
+    df = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    group = {r.doc_id: r.group for r in minhash.groups(df).collect()}
+    met = sum(group[i] == group[j] for i, j in pairs)
+    assert met >= 0.99 * len(pairs)
+    assert all(rows[i][1] == rows[j][1] for i in range(len(rows)) for j in (i - 1,) if i and group[i] == group[j])
+    once = {r.doc_id: r.group for r in minhash.groups(df, rounds=1).collect()}
+    assert met >= sum(once[i] == once[j] for i, j in pairs)
+
+
+def test_nodes_of_different_sets_are_told_apart(spark):
+    rows = spark.createDataFrame([(1, 5, 10), (2, 5, 10), (3, 5, 11), (4, 6, 1)], "doc_id int, node long, check long")
+    got = {r.doc_id: r.node for r in minhash._told_apart(rows).collect()}
+    assert got[1] == got[2] != got[3] and got[4] == 6
+    assert {r.node for r in minhash._told_apart(rows.where("doc_id <> 3")).collect()} == {5, 6}
+
+
 def test_listed_by_content(spark):
     at = "/root/testdata/sf0.01"
     pages, docs, labels = (spark.read.parquet(f"{at}/{t}.parquet") for t in ("pages", "documents", "labels"))
