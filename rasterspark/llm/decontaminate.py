@@ -20,6 +20,7 @@ A candidate's windows and the document's are then compared, a row each.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -79,13 +80,15 @@ _NAME_FORM, _NONE = _hash(b"\0%d" % NAME), np.uint64(_hash(b""))
 _EXACT = np.uint64(0xE7037ED1A0B428DB)
 
 
-def template(words: list[bytes], forms: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def template(words: list[bytes], forms: dict, begin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each template token; whether it is a slot; hash of the word itself; whether it may be a name.
 
-    A capital that starts no sentence makes a name.
+    A capital that starts no sentence makes a name. ``begin``: where texts begin, if the words are of several.
     """
     f = np.fromiter(map(forms.__getitem__, words), np.int64, len(words))
     start = np.concatenate([[True], (f[:-1] & 2) > 0]) if len(f) else np.zeros(0, bool)
+    if begin is not None:
+        start[begin] = True
     name = ((f & 1) > 0) & ~start
     plain = (f & ~7).astype(np.uint64)
     for i in np.flatnonzero(f & 4).tolist():
@@ -93,23 +96,25 @@ def template(words: list[bytes], forms: dict) -> tuple[np.ndarray, np.ndarray, n
     return np.where(name, np.uint64(_NAME_FORM), (f & ~7).astype(np.uint64)), name | ((f & 4) > 0), plain, (f & 1) > 0
 
 
-def windows(tokens: np.ndarray, slots: np.ndarray, size: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def windows(tokens: np.ndarray, slots: np.ndarray, size: int, first: np.ndarray | None = None, at: np.ndarray | None = None):
     """Hashes of all windows of ``size`` tokens; whether each has enough plain tokens.
 
-    ``first``: the first token of each window is this one instead, a slot where it was none and the reverse.
+    ``first``: those at ``at`` once more, their first token replaced by this one, a slot where it was none and the reverse;
+    then both results are given.
     """
     n = len(tokens) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    at = np.arange(n)
+    enough = min(LITERALS, size - 1)
     mixed = mix64(tokens)
-    h = _words.hashes(_words.sums(mixed), at, at + size)
+    where = np.arange(max(0, n))
+    h = _words.hashes(_words.sums(mixed), where, where + size)
     count = np.concatenate([[0], np.cumsum(~slots)])
     count = count[size:] - count[:-size]
-    if first is not None:
-        h = h + (mix64(first[:n]) - mixed[:n])
-        count = count + np.where(slots[:n], 1, -1)
-    return mix64(h ^ np.uint64(size)), count >= min(LITERALS, size - 1)
+    out = mix64(h ^ np.uint64(size)), count[: len(h)] >= enough
+    if first is None:
+        return out
+    with np.errstate(over="ignore"):
+        other = mix64(h[at] + (mix64(first[at]) - mixed[at]) ^ np.uint64(size))
+    return out, (other, count[at] + np.where(slots[at], 1, -1) >= enough)
 
 
 def exact_windows(plain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,6 +166,26 @@ def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
     The form of a window of the words themselves begins with \\1.
     """
 
+    def ways(size, tokens, slots, plain, names):
+        """(places, hashes of the windows there, which count, slots or None, whether the first token is the other kind)."""
+        n = max(0, len(plain) - size + 1)
+        yield np.arange(n), *exact_windows(plain, size), None, False
+        if size >= SHORTEST and whole:
+            yield np.arange(n), *windows(tokens, slots, size), slots, False
+        elif size >= SHORTEST:  # a capital at the start of a window, as a name and as none
+            at = np.flatnonzero(names[:n])
+            as_is, other = windows(tokens, slots, size, np.where(slots, plain, np.uint64(_NAME_FORM)), at)
+            yield np.arange(n), *as_is, slots, False
+            yield at, *other, slots, True
+
+    def hit(h, words, i, at, size, slot_of, other, slots):
+        cut = [w.strip(_EDGE).lower().decode("utf-8", "surrogatepass").lower().encode("utf-8", "replace").decode() for w in words[i : i + size]]
+        if slot_of is None:
+            return {"h": h, "at": at, "form": "\1" + " ".join(cut), "slots": [""] * bool(whole and slots[i : i + size].any())}
+        slot = slot_of[i : i + size].tolist()
+        slot[0] ^= other
+        return {"h": h, "at": at, "form": " ".join("\0" if s else w for w, s in zip(cut, slot)), "slots": [w if s else None for w, s in zip(cut, slot)]}
+
     def run(batches):
         forms = _Forms()
         if table is not None:  # the first bit of each hash as a byte, folded to what a cache holds: one look for most windows
@@ -168,36 +193,31 @@ def _finder(sizes: list[int], whole: bool, table: np.ndarray | None):
             first = first_bits.reshape(-1, min(len(first_bits), 1 << 22)).any(0)
             mask = np.uint64(len(first) - 1)
         for b in batches:
-            n, hits, keys = [], [], []
-            for text in b.column(1).to_pylist():
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                tokens, slots, plain, names = template(words, forms)
-                lead = np.where(slots, plain, np.uint64(_NAME_FORM))
-                rows = []
-                for size in [min(WINDOW, len(words))] * (len(words) > 0) if whole else sizes:
-                    ways = [(*exact_windows(plain, size), None, True)]
-                    if size >= SHORTEST:
-                        ways.append((*windows(tokens, slots, size), slots, False))
-                    if size >= SHORTEST and not whole:  # a capital at the start of a window, as a name and as none
-                        h, ok = windows(tokens, slots, size, lead)
-                        ways.append((h, ok & names[: len(h)], slots, True))
-                    for h, ok, slot_of, other in ways:
+            texts = [(t or "").encode("utf-8", "surrogatepass").split() for t in b.column(1).to_pylist()]
+            n, hits, keys = list(map(len, texts)), [[] for _ in texts], [None] * len(texts)
+            if whole:
+                for words, rows, k in zip(texts, hits, range(len(texts))):
+                    parts = template(words, forms)
+                    keys[k] = _keys(words, parts[1])
+                    for size in [min(WINDOW, len(words))] * (len(words) > 0):
+                        for _, h, ok, slot_of, other in ways(size, *parts):
+                            rows += [hit(int(h[i].view(np.int64)), words, i, i, size, slot_of, other, parts[1]) for i in np.flatnonzero(ok).tolist()]
+            else:  # all texts of the batch in one line; windows end with their text
+                words, bounds = list(itertools.chain.from_iterable(texts)), np.concatenate([[0], np.cumsum(n)])
+                parts = template(words, forms, bounds[:-1][np.diff(bounds) > 0])
+                left = np.repeat(bounds[1:], n) - np.arange(len(words))
+                for size in sizes:
+                    for places, h, ok, slot_of, other in ways(size, *parts):
                         if table is not None:
                             ok = ok & first[(h & mask).astype(np.int64)]
                         at = np.flatnonzero(ok)
+                        at = at[left[places[at]] >= size]
                         if table is not None and len(at):
                             at = at[_may_be(table, h[at])]
-                        for i in at.tolist():
-                            cut = [w.strip(_EDGE).lower().decode("utf-8", "surrogatepass").lower().encode("utf-8", "replace").decode() for w in words[i : i + size]]
-                            if slot_of is None:
-                                rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": "\1" + " ".join(cut), "slots": [""] * bool(whole and slots[i : i + size].any())})
-                                continue
-                            slot = slot_of[i : i + size].tolist()
-                            slot[0] ^= other
-                            rows.append({"h": int(h[i].view(np.int64)), "at": i, "form": " ".join("\0" if s else w for w, s in zip(cut, slot)), "slots": [w if s else None for w, s in zip(cut, slot)]})
-                n.append(len(words))
-                hits.append(rows)
-                keys.append(_keys(words, slots) if whole else None)
+                        at, h = places[at], h[at].view(np.int64)
+                        of = np.searchsorted(bounds, at, "right") - 1
+                        for i, key, d, local in zip(at.tolist(), h.tolist(), of.tolist(), (at - bounds[of]).tolist()):
+                            hits[d].append(hit(key, words, i, local, size, slot_of, other, parts[1]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(hits, pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("form", pa.string()), ("slots", pa.list_(pa.string()))]))), pa.array(keys, pa.struct([("words", pa.string()), ("template", pa.string())]))], ["id", "n", "hits", "keys"])
 
     return run
