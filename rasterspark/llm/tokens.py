@@ -1,7 +1,7 @@
 """Token ids in files of range-coded blocks.
 
-Documents are range-partitioned by id and sorted; a task encodes its documents' words to ids and writes one
-file, so the files in order of their part hold all ids in ascending document order. A file is a row of
+Documents are range-partitioned by id and sorted; a task encodes its documents' words to ids and writes files
+of about ``FILE_IDS`` ids, so the files in order of their part hold all ids in ascending document order. A file is a row of
 independent blocks (see rangecoder), then the documents' ids and lengths, compressed, with their checksum
 and place in the last bytes. Tasks name their files anew at each attempt and only the names that a task
 returned are read, so a lost or repeated task leaves nothing behind that counts.
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import materialise, shared_dir, small_batches
 from .rangecoder import BLOCK, IDS, block_size, decode_block, encode_block
 
-END, GATHER = 2, 32 << 20
+END, GATHER, FILE_IDS = 2, 32 << 20, 1 << 26
+#: Files of one task, for the numbers of parts.
+_PER_TASK = 1 << 20
 _TAIL = "<QQIII4s"  # start and size of the table, its crc32, documents, of these with null id, magic
 _MAGIC = b"RSTF"
 # The vocabulary's word-end mark and its way to cut texts, which ``WordIds`` relies on.
@@ -167,61 +169,80 @@ def _word_ids(path: str) -> WordIds:
     return _loaded[path]
 
 
-def _gathered(batches):
-    """Batches put together up to some GATHER bytes of text."""
+def _gathered(batches, gather: int):
+    """Batches put together up to some ``gather`` bytes of text."""
     held, size = [], 0
     for b in batches:
         held.append(b)
         size += b.nbytes
-        if size >= GATHER:
+        if size >= gather:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, size = [], 0
     if sum(b.num_rows for b in held):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _writer(folder: str, vocabulary: str, block: int):
+class _File:
+    """A file being written: whole blocks go out as they fill; documents' ids and lengths, and the last block, at the end."""
+
+    def __init__(self, folder: str, part: int, block: int):
+        self.fs, path = pafs.FileSystem.from_uri(folder)
+        self.fs.create_dir(path, recursive=True)
+        name = f"part-{part:012d}-{uuid.uuid4().hex}.rstf"
+        self.part, self.block, self.url, self.out = part, block, f"{folder}/{name}", self.fs.open_output_stream(f"{path}/{name}")
+        self.docs, self.sizes, self.kept, self.n, self.at, self.nulls, self.rows = [], [], np.zeros(0, np.uint16), 0, 0, 0, 0
+
+    def add(self, docs: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.nulls += docs.null_count  # they sort first
+        self.rows += len(docs)
+        self.docs.append(np.asarray(docs.drop_null(), "<i8"))
+        self.sizes.append(counts)
+        self.kept = np.concatenate([self.kept, ids])
+        self.n += len(ids)
+        whole = len(self.kept) // self.block * self.block
+        for i in range(0, whole, self.block):
+            self.at += self.out.write(encode_block(self.kept[i : i + self.block]))
+        self.kept = self.kept[whole:]
+
+    def close(self) -> pa.RecordBatch:
+        if len(self.kept):
+            self.at += self.out.write(encode_block(self.kept))
+        table = zlib.compress(np.concatenate(self.docs).tobytes() + np.concatenate(self.sizes).astype("<u8").tobytes())
+        self.out.write(table)
+        self.out.write(struct.pack(_TAIL, self.at, len(table), zlib.crc32(table), self.rows, self.nulls, _MAGIC))
+        self.out.close()
+        return pa.RecordBatch.from_pydict({"part": pa.array([self.part], pa.int64()), "file": [self.url], "n_docs": pa.array([self.rows], pa.int64()), "n_ids": pa.array([self.n], pa.int64())})
+
+
+def _writer(folder: str, vocabulary: str, block: int, file_ids: int, gather: int):
     def run(batches):
-        part, codes = TaskContext.get().partitionId(), None
-        fs, path = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(path, recursive=True)
-        name = f"part-{part:06d}-{uuid.uuid4().hex}.rstf"
-        ids, sizes, kept, n, at = [], [], np.zeros(0, np.uint16), 0, 0
-        with fs.open_output_stream(f"{path}/{name}") as out:
-            for b in _gathered(batches):
-                codes = codes or _word_ids(vocabulary)
-                new, counts = codes.encode(b.column(1))
-                ids += b.column(0).to_pylist()
-                sizes.append(counts)
-                kept = np.concatenate([kept, new])
-                n += len(new)
-                while len(kept) >= block:
-                    at += out.write(encode_block(kept[:block]))
-                    kept = kept[block:]
-            if not ids:
-                return
-            if len(kept):
-                at += out.write(encode_block(kept))
-            nulls = sum(i is None for i in ids)  # they sort first
-            table = zlib.compress(np.array([i for i in ids if i is not None], "<i8").tobytes() + np.concatenate(sizes).astype("<u8").tobytes())
-            out.write(table)
-            out.write(struct.pack(_TAIL, at, len(table), zlib.crc32(table), len(ids), nulls, _MAGIC))
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": [f"{folder}/{name}"], "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([n], pa.int64())})
+        part, open_file = TaskContext.get().partitionId() * _PER_TASK, None
+        for b in _gathered(batches, gather):
+            ids, counts = _word_ids(vocabulary).encode(b.column(1))
+            open_file = open_file or _File(folder, part, block)
+            open_file.add(b.column(0), ids, counts)
+            if open_file.n >= file_ids:
+                yield open_file.close()
+                open_file, part = None, part + 1
+        if open_file is not None:
+            yield open_file.close()
 
     return run
 
 
-def write(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def write(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS, gather: int = GATHER) -> DataFrame:
     """Write all rows of ``docs``; returns the files: (part, file, n_docs, n_ids).
 
     Null texts have the end id only, very long ones run over as many blocks as they need; null ids come first; rows of
-    one id go by their text, repeated rows are written each; extra columns are ignored. An empty table gives no files.
+    one id go by a hash of their text, so that many of them are still many tasks' work, and repeated rows are written each;
+    extra columns are ignored. An empty table gives no files. A file ends with the document that brings it to ``file_ids`` ids or with the texts, ``gather`` bytes at least, that are encoded with it.
     ``folder`` is a URI that executors and driver share; ``vocabulary`` is a file that all can open, of up to 65,536 ids.
     """
     spark = small_batches(docs).sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    out = rows.mapInArrow(_writer(folder or shared_dir(spark, "tokens"), vocabulary or default_vocabulary(), block), "part int, file string, n_docs long, n_ids long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h"), F.monotonically_increasing_id().alias("nr"))
+    first = F.col("doc_id").asc_nulls_first()
+    rows = rows.repartitionByRange(first, "h", "nr").sortWithinPartitions(first, "h", "text").select("doc_id", "text")
+    out = rows.mapInArrow(_writer(folder or shared_dir(spark, "tokens"), vocabulary or default_vocabulary(), block, file_ids, gather), "part long, file string, n_docs long, n_ids long")
     return materialise(out, "token-files")
 
 
@@ -238,23 +259,22 @@ def _reader(batches):
                 table = zlib.decompress(table)
                 ids = [None] * nulls + np.frombuffer(table, "<i8", n - nulls).tolist()
                 counts = np.frombuffer(table, "<u8", n, 8 * (n - nulls)).astype(np.int64)
-                done, at, rest, begun = 0, 0, np.zeros(0, "<u4"), 0
-                while done < n:
-                    if at < start:
-                        head = f.read_at(20, at)
-                        step = block_size(head)
-                        rest = np.concatenate([rest, decode_block(f.read_at(step, at))])
-                        at += step
-                    upto = np.cumsum(counts[done:])
-                    k = int(np.searchsorted(upto, len(rest), "right"))
-                    if not k:
-                        if at >= start:
-                            raise ValueError(f"{file} holds fewer ids than its table counts")
-                        continue
-                    cuts = [0, *upto[:k].tolist()]
-                    crcs = [zlib.crc32(rest[s:e].tobytes()) for s, e in zip(cuts, cuts[1:])]
-                    yield pa.RecordBatch.from_arrays([pa.array([part] * k, pa.int32()), pa.array(ids[done : done + k], pa.int64()), pa.array(begun + np.array(cuts[:-1]), pa.int64()), pa.array(counts[done : done + k]), pa.array(crcs, pa.int64())], ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
-                    rest, begun, done = rest[cuts[-1] :], begun + cuts[-1], done + k
+                first = np.concatenate([[0], np.cumsum(counts)])  # ids before each document
+                done, at, seen, crc = 0, 0, 0, 0  # crc: of what there is of a document that goes on
+                while at < start:
+                    step = block_size(f.read_at(20, at))
+                    x = decode_block(f.read_at(step, at))
+                    at += step
+                    upto = int(np.searchsorted(first, seen + len(x), "right")) - 1
+                    crcs = []
+                    for s, e in zip(first[done:upto].tolist(), first[done + 1 : upto + 1].tolist()):
+                        crcs.append(zlib.crc32(x[max(s - seen, 0) : e - seen].tobytes(), crc))
+                        crc = 0
+                    crc = zlib.crc32(x[max(int(first[upto]) - seen, 0) :].tobytes(), crc)
+                    yield pa.RecordBatch.from_arrays([pa.array([part] * (upto - done), pa.int64()), pa.array(ids[done:upto], pa.int64()), pa.array(first[done:upto]), pa.array(counts[done:upto]), pa.array(crcs, pa.int64())], ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
+                    seen, done = seen + len(x), upto
+                if seen != first[-1]:
+                    raise ValueError(f"{file} holds {'fewer' if seen < first[-1] else 'more'} ids than its table counts")
 
 
 def read(files: DataFrame) -> DataFrame:
@@ -262,5 +282,5 @@ def read(files: DataFrame) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file, no documents
     first = files.select("part", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
     n = max(1, files.count())
-    docs = files.select("part", "file").repartitionByRange(n, "part").mapInArrow(_reader, "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    docs = files.select("part", "file").repartitionByRange(n, "part").mapInArrow(_reader, "part long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return docs.join(F.broadcast(first), "part").select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -433,6 +433,29 @@ def test_other_vocabularies_get_whole_texts():
     assert not w.by_word and ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
 
 
+def test_many_documents_in_many_blocks_and_files(spark):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(tokens.default_vocabulary())
+    rows = [(None, f"null number {i}") for i in range(400)] + [(i, " ".join(f"word{k}" for k in range(i % 7))) for i in range(3000)] + [(4000, "long " * 30_000), (4001, None), (4001, "twice"), (4001, "twice")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    files = tokens.write(df, block=300, file_ids=2_000, gather=20_000)
+    got = tokens.read(files).collect()
+    assert files.count() >= 3 and files.select("part").distinct().count() == files.count()
+    want = collections.Counter((i, zlib.crc32(np.array(tk.encode(t or "", add_special_tokens=False).ids + [tokens.END], "<u4").tobytes())) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.ids_crc32) for r in got) == want
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+    # rows of one id are several tasks' work
+    first = F.col("doc_id").asc_nulls_first()
+    one = df.where("doc_id is null").select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("nr")).repartitionByRange(4, first, "h", "nr")
+    assert one.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0] < 250
+
+
 def test_damaged_token_file(spark, docs, tmp_path):
     import glob
     import struct
