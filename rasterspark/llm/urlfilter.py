@@ -67,10 +67,12 @@ def bad_content(pages: DataFrame, docs: DataFrame, labels: DataFrame, url_col: s
     change nothing; extra columns are ignored; without labels the list is empty.
     """
     known = labels.where(F.col(bad_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(bad_col).alias("_bad"))
-    said = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(known, "_id").select("_bad", F.inline(_sentences(F.col("_text"))))
+    # hashes of sentences meet the labels, not texts, and by shuffle at every size
+    said = docs.select(F.col(id_col).alias("_id"), _sentences(F.col(text_col)).alias("_said")).where("size(_said) > 0")
+    said = salted_join(said, known, ["_id"], hash_right=True).select("_bad", F.inline("_said"))
     bad = said.groupBy("s0", "s1").agg(F.min("_bad").alias("_bad")).where("_bad > 0").select("s0", "s1")
     shown = pages.where(F.col(url_col).isNotNull()).select(F.col(url_col).alias("url"), F.inline(_sentences(F.col(html_col))))
-    return salted_join(shown, bad, ["s0", "s1"], "left_semi").select("url").distinct()
+    return salted_join(shown, bad, ["s0", "s1"], "left_semi", hash_right=True).select("url").distinct()
 
 
 def rule_columns(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
