@@ -71,11 +71,12 @@ def thinned(dn: DataFrame, cover: DataFrame, thresholds: tuple, params: Params =
     """A row per tile and cover threshold: offsets from the scenes below it only, against those from all.
 
     Each scene is dealt to the subsets it belongs to, so references, anomalies and offsets of all subsets come from one plan, keyed by
-    subset and tile. Scenes that both sets have are compared: deltas of offsets and changed decisions.
+    subset and tile. Scenes that both sets have are compared: deltas of offsets and changed decisions. ``thresholds`` are whole per
+    cents; a scene without a cover is below none.
     """
-    subset = F.explode(F.array(F.lit("all"), *[F.lit(str(t)) for t in thresholds]))
-    marked = cover.select("scene_ts", "cover", subset.alias("_subset")).where((F.col("_subset") == "all") | (F.col("cover") < F.col("_subset").cast("double")))
-    dealt = dn.join(marked.select("scene_ts", "_subset"), "scene_ts").withColumn("tile", F.concat_ws("/", "_subset", "tile")).drop("_subset")
+    below = F.filter(F.array(*[F.lit(float(t)) for t in thresholds]), lambda t: F.col("cover") < t)
+    subsets = F.concat(F.array(F.lit("all")), F.transform(F.coalesce(below, F.array().cast("array<double>")), lambda t: t.cast("int").cast("string")))
+    dealt = dn.join(cover, "scene_ts", "left").withColumn("_subset", F.explode(subsets)).withColumn("tile", F.concat_ws("/", "_subset", "tile")).drop("_subset", "cover")
     key = F.split("tile", "/", 2)
     t = n.offsets(n.anomalies(dealt, n.climatology(dealt)), params).withColumns({"threshold": key[0], "tile": key[1]})
     full = t.where("threshold = 'all'").select(*n.SCENE, F.col("offset_c").alias("_o"), F.col("keep").alias("_k"))

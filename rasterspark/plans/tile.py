@@ -9,6 +9,7 @@ from ..functions import grid as g
 from ..functions import quality as q
 from ..operators import composite as c
 from ..operators import normalize as n
+from ..operators import series
 from ..operators import sweeps as s
 from ..operators import tile as t
 from ..params import CLEAR_BITS, DN_HIGH, DN_LOW, Params
@@ -116,7 +117,9 @@ def pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _comp(spark: SparkSession, sf: str) -> DataFrame:
-    return c.composite(_values(spark, sf))
+    """The composite by pixel series: one shuffle of the observations."""
+    rows = series.series(load(spark, sf, "obs"))
+    return series.composite(rows, series.offsets(rows, P))
 
 
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
