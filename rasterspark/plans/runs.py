@@ -114,7 +114,7 @@ def active_tasks(spark: SparkSession, sf: str) -> DataFrame:
 def plan_memory(spark: SparkSession, sf: str) -> DataFrame:
     """A run per customer, its orders are the tiles."""
     c = F.col("c_custkey")
-    plan = load(spark, sf, "customer").select(c.alias("run"), (c * 10).alias("scenes"), F.create_map(F.lit("offsets"), (c % 7 * 1.37), F.lit("composite"), (c % 5 * 1.3)).alias("floors"))
+    plan = load(spark, sf, "customer").select(c.alias("run"), (c * 10).alias("scenes"), F.create_map(F.lit("offsets"), (c % 7 * 1.3711), F.lit("composite"), (c % 5 * 1.313)).alias("floors"))
     o = load(spark, sf, "orders").select(F.col("o_custkey").alias("run"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_totalprice") / 10).alias("peak_mb"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("scene_count"))
     return r.plan_comparison(plan, o)
 
@@ -371,7 +371,7 @@ QUERIES = {
         g as (select run, round(max(p) / 1024, 2) as peak, count(p) as np, min(s) as lo, max(s) as hi, count(s) as ns
         from o
         group by run),
-        f as (select c_custkey as run, c_custkey % 7 * 1.37e0 as a, c_custkey % 5 * 1.3e0 as b
+        f as (select c_custkey as run, c_custkey % 7 * 1.3711e0 as a, c_custkey % 5 * 1.313e0 as b
         from customer),
         h as (select run, nullif(greatest(a, b), 0) as gib, case when a = 0 and b = 0 then null when a > b then 'offsets' when a < b then 'composite' else 'offsets' end as phase
         from f) select h.run, gib as floor_gib, phase as floor_phase, peak as observed_peak_gib, coalesce(np, 0) as observed_tiles, round(peak / gib, 2) as ratio, h.run * 10 as scenes_planned, lo as scenes_min, hi as scenes_max, coalesce(ns, 0) as scenes_tiles
