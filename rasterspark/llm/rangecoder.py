@@ -6,7 +6,7 @@ the model learns these ids; each group also knows all groups before it.
 
 Three orders predict. Order 2 gives the id last seen behind the two ids before, with a confidence; order 1 gives
 the distribution of what followed the id before, order 0 that of all ids, both of the block so far and taken
-anew whenever it has grown by a quarter. How far orders 2 and 1 can be trusted is an adaptive hit rate for each
+anew whenever it has grown by a half. How far orders 2 and 1 can be trusted is an adaptive hit rate for each
 confidence; an online logistic mixer weighs both rates, in integers throughout, so encoder and decoder agree on any
 machine. The id's interval is order 2's if that holds, else its share of order 1's, else of order 0's.
 Coders are carry-less range coders with 64-bit states that emit 16-bit words.
@@ -22,8 +22,8 @@ import zlib
 
 import numpy as np
 
-MAGIC, STEPS, GROUP, BLOCK = b"RSB3", 256, 4096, 1 << 22
-RENEW = 4  # distributions are taken anew when a block has grown by one part in so many
+MAGIC, STEPS, GROUP, BLOCK = b"RSB3", 256, 16384, 1 << 22
+RENEW = 2  # distributions are taken anew when a block has grown by one part in so many
 IDS = 1 << 16
 _HEAD = "<4sIIII"
 _PROB = 12  # bits of a hit rate
@@ -33,7 +33,7 @@ _WIDTH = (1 << 20) - 1
 _TOP, _LOW = _U(1 << 48), _U(1 << 32)
 _STRETCH = np.array([round(256 * math.log((i + 0.5) / ((1 << _PROB) - i - 0.5))) for i in range(1 << _PROB)], np.int64)
 _SQUASH = np.array([min((1 << _PROB) - 32, max(32, round((1 << _PROB) / (1 + math.exp(-i / 256))))) for i in range(-2560, 2561)], np.int64)
-_CTX2, _TABLE = 22, 21  # bits of an order-2 context and of the encoder's table of pairs
+_CTX2, _TABLE = 20, 21  # bits of an order-2 context and of the encoder's table of pairs
 
 
 class Model:
