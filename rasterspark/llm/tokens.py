@@ -9,6 +9,7 @@ returned are read, so a lost or repeated task leaves nothing behind that counts.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import struct
@@ -57,7 +58,7 @@ class WordIds:
     """Ids of whole texts by way of a bounded memory of words.
 
     Where the vocabulary's pre-tokenizer never joins anything across white space, a text's ids are those of its words in
-    turn; each new word goes to the library once, many in one call. Any other vocabulary gets whole texts.
+    turn; each new word goes to the library once, many in one call. Beyond ``LIMIT`` words those of the texts at hand are kept. Any other vocabulary gets whole texts.
     """
 
     LIMIT = 1_000_000
@@ -141,18 +142,28 @@ class WordIds:
             counts = counts + 1
         return ids, counts
 
+    def _keep(self, words: list[bytes]) -> None:
+        """Forget all but ``words``."""
+        known = [w for w in words if w in self.index]
+        at = np.fromiter(map(self.index.__getitem__, known), np.int64, len(known))
+        size, start = self.size[at], self.start[at]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        self.flat = self.flat[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+        self.index, self.start, self.size = dict(zip(known, range(len(known)))), upto[:-1], size
+
     def _encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.index) > self.LIMIT:
-            self._clear()
         split = _split(texts)
         words = split.flatten().dictionary_encode()
         kinds = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
-        new = [w for w in kinds if w not in self.index and w]
-        if new:
-            known = len(self.index)
+        if len(self.index) > self.LIMIT:
+            self._keep(kinds)
+        at = np.fromiter(map(self.index.get, kinds, itertools.repeat(-1)), np.int64, len(kinds))
+        places = [i for i in np.flatnonzero(at < 0).tolist() if kinds[i]]
+        if places:
+            new, known = [kinds[i] for i in places], len(self.index)
+            at[places] = np.arange(known, known + len(new))
             self.index.update(zip(new, range(known, known + len(new))))
             self._learn(new)
-        at = np.fromiter((self.index.get(w, -1) for w in kinds), np.int64, len(kinds))
         # the splitter gives an empty word for white space at either end
         size, start = (np.where(at >= 0, x[at], 0) if len(x) else np.zeros(len(at), np.int64) for x in (self.size, self.start))
         word = np.asarray(words.indices)

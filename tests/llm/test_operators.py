@@ -433,6 +433,18 @@ def test_other_vocabularies_get_whole_texts():
     assert not w.by_word and ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
 
 
+def test_a_full_memory_of_words_keeps_those_at_hand():
+    w = tokens.WordIds(tokens.default_vocabulary())
+    w.LIMIT = 50
+    rng = np.random.default_rng(6)
+    for turn in range(8):
+        texts = [" ".join(f"w{i}x" for i in rng.integers(turn * 20, turn * 20 + 60, 40)), "", None, "Déjà vu, isn't it? <|x|> 12.5"]
+        ids, counts = w.encode(pa.array(texts))
+        want = [w.tokenizer.encode(t or "", add_special_tokens=False).ids + [tokens.END] for t in texts]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+        assert len(w.index) == len(w.start) == len(w.size) < 200
+
+
 def test_many_documents_in_many_blocks_and_files(spark):
     from tokenizers import Tokenizer
 
