@@ -37,6 +37,8 @@ _WORD_END = "</w>"
 _CUTS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
 #: A word of Latin letters with marks before and after it; no apostrophe, which may be cut with letters behind it.
 _SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
+#: What most words that aren't letters only end in.
+_STOPS = frozenset(".,;:!?")
 #: Latin letters beyond ASCII as the two characters that byte-level vocabularies have for their bytes.
 _BYTES = {c: "".join(chr(b if b > 160 and b != 173 else 323 if b == 173 else 162 + b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 _loaded: dict = {}
@@ -98,12 +100,16 @@ class WordIds:
         many: list[int] | np.ndarray = []
         lines, pieces, alone = [], [], []
         for i, t in enumerate(texts):
-            if t.isalpha() and t.isascii():
+            if (plain := t.isascii()) and t.isalpha():
                 lines.append(t.lower())
                 pieces.append(1)
+            elif plain and t[-1:] in _STOPS and t[:-1].isalpha():
+                lines.append(f"{t[:-1]} {t[-1]}".lower())
+                pieces.append(2)
             elif "<|" not in t and (m := _SIMPLE.fullmatch(t)):
                 parts = [x for x in m.groups() if x]
-                lines.append(" ".join(parts).lower().translate(_BYTES))
+                line = " ".join(parts).lower()
+                lines.append(line if plain else line.translate(_BYTES))
                 pieces.append(len(parts))
             else:
                 alone.append(i)
