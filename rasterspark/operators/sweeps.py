@@ -20,6 +20,17 @@ def each(values: tuple) -> Column:
     return F.explode(F.array(*[F.lit(v) for v in values]))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's over the pairs that have both: NaN where either is constant, null where there is no pair.
+
+    Constant is what has one value, since sums of squares merged from several tasks may miss zero by rounding. ``F.corr`` divides by zero there.
+    """
+    at = lambda c: F.when(x.isNotNull() & y.isNotNull(), c)
+    flat = (F.min(at(x)) == F.max(at(x))) | (F.min(at(y)) == F.max(at(y)))
+    spread = F.nullif(F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)), F.lit(0.0))
+    return F.when(flat, F.lit(float("nan"))).otherwise(F.regr_sxy(y, x) / spread)
+
+
 def cap_sweep(table: DataFrame, caps: tuple, floor: int) -> DataFrame:
     """(cap, kept, rejected) scenes."""
     ok = (F.col("n_valid") >= floor) & (F.abs("offset_c") <= F.col("cap"))
@@ -64,7 +75,7 @@ def cloud_correlation(table: DataFrame, cover: DataFrame) -> DataFrame:
     best = table.groupBy("tile").agg(F.max("n_valid").alias("_best"))
     share = F.col("n_valid") / F.col("_best")
     clear = F.col("keep") & (share > CLEAR_SHARE)
-    return table.join(cover, "scene_ts").join(best, "tile").groupBy("tile").agg(F.corr("cover", share).alias("corr"), *[F.count_if((F.col("cover") >= t) & clear).alias(f"cloudy_but_clear_{t}") for t in CLOUDY])
+    return table.join(cover, "scene_ts").join(best, "tile").groupBy("tile").agg(correlation(F.col("cover"), share).alias("corr"), *[F.count_if((F.col("cover") >= t) & clear).alias(f"cloudy_but_clear_{t}") for t in CLOUDY])
 
 
 def thinned(dn: DataFrame, cover: DataFrame, thresholds: tuple, params: Params = Params()) -> DataFrame:
@@ -143,7 +154,7 @@ def compare_composites(a: DataFrame, b: DataFrame, value: str = "lst", count: st
     delta = F.coalesce("nb", F.lit(0)) - F.coalesce("na", F.lit(0))
     return j.groupBy("tile").agg(
         F.count(d).alias("pixels"), F.avg(d).alias("mean_delta"), F.median(F.abs(d)).alias("median_abs"), F.percentile(F.abs(d), F.lit(0.99)).alias("p99_abs"), F.max(F.abs(d)).alias("max_abs"),
-        F.avg((F.abs(d) > MATERIAL_C).cast("double")).alias("share_over"), F.corr(at("a"), at("b")).alias("corr"), F.avg(delta).alias("coverage_delta_mean"),
+        F.avg((F.abs(d) > MATERIAL_C).cast("double")).alias("share_over"), correlation(at("a"), at("b")).alias("corr"), F.avg(delta).alias("coverage_delta_mean"),
     )
 
 
@@ -181,7 +192,7 @@ def peak_verdict(runs: DataFrame, target: int = PRODUCTION_SCENES) -> DataFrame:
 
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """N, slope, intercept, r and residual spread (n - 2) of y on x."""
-    a = df.agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.corr(x, y).alias("r"), F.regr_syy(y, x).alias("_syy"), F.regr_sxy(y, x).alias("_sxy"))
+    a = df.agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), correlation(F.col(x), F.col(y)).alias("r"), F.regr_syy(y, x).alias("_syy"), F.regr_sxy(y, x).alias("_sxy"))
     return a.select("n", "slope", "intercept", "r", F.sqrt((F.col("_syy") - F.col("slope") * F.col("_sxy")) / (F.col("n") - 2)).alias("residual_sd"))
 
 

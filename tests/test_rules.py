@@ -427,6 +427,21 @@ def test_cloudy_but_clear(spark):
     assert (t[100].dropped, t[100].already_rejected_frac, t[100].observations_lost_frac) == (0, 0.0, 0.0)
 
 
+def test_correlation_of_what_is_constant(spark):
+    at = lambda d: dt.datetime(2021, 1, d)
+    rows = [(t, at(d), n, True) for t, counts in (("flat", (7, 7, 7)), ("one", (5,)), ("two", (4, 8, 6))) for d, n in enumerate(counts, 1)]
+    table = spark.createDataFrame(rows, "tile string, scene_ts timestamp, n_valid long, keep boolean")
+    cover = spark.createDataFrame([(at(1), 10.0), (at(2), 30.0), (at(3), 20.0)], "scene_ts timestamp, cover double")
+    got = {r.tile: r["corr"] for r in sweeps.cloud_correlation(table, cover).collect()}
+    assert math.isnan(got["flat"]) and math.isnan(got["one"]) and abs(got["two"] - 1) < 1e-12
+    make = lambda *r: spark.createDataFrame([("t", 0, i, v, 1) for i, v in enumerate(r)], "tile string, y int, x int, lst double, n int")
+    assert math.isnan(sweeps.compare_composites(make(0.1, 0.1, 0.1), make(1.0, 2.0, 3.0)).first()["corr"])
+    assert sweeps.compare_composites(make(None, 0.1), make(1.0, None)).first()["corr"] is None
+    flat = spark.createDataFrame([(float(i), 0.1) for i in range(49)], "x double, y double").repartition(7)
+    r = sweeps.linear_fit(flat, "x", "y").first()
+    assert r.n == 49 and math.isnan(r.r) and abs(r.slope) < 1e-12
+
+
 def test_thinning_by_cover_in_one_plan(spark):
     dn = normalize.stack(load(spark, SF, "obs"))
     cover = dn.select("scene_ts").distinct().withColumn("cover", (F.month("scene_ts") * 37 + F.year("scene_ts") * 11) % 100 * F.lit(1.0))
