@@ -129,9 +129,10 @@ def compare_offsets(native: DataFrame, coarse: DataFrame, floor: int, coarse_flo
     at = lambda c: F.when(F.col("scored"), c)
     d, zero = at(F.col("b") - F.col("a")), F.lit(0.0)
     scored = F.count_if("scored")
+    slope = F.when(F.min(at(F.col("a"))) == F.max(at(F.col("a"))), F.lit(float("nan"))).otherwise(F.regr_slope(at(F.col("b")), at(F.col("a"))))
     out = j.agg(
         scored.alias("scored"), F.coalesce(F.median(F.abs(d)), zero).alias("median_abs"), F.coalesce(F.percentile(F.abs(d), F.lit(0.99)), zero).alias("p99_abs"), F.coalesce(F.max(F.abs(d)), zero).alias("max_abs"), F.coalesce(F.median(d), zero).alias("bias"),
-        F.when(scored > 2, F.corr(at(F.col("a")), at(F.col("b")))).otherwise(zero).alias("corr"), F.when(scored > 2, F.regr_slope(at(F.col("b")), at(F.col("a")))).otherwise(zero).alias("slope"),
+        F.when(scored > 2, correlation(at(F.col("a")), at(F.col("b")))).otherwise(zero).alias("corr"), F.when(scored > 2, slope).otherwise(zero).alias("slope"),
         F.count_if("fit").alias("admissible"), F.count_if("flip").alias("flips"), F.coalesce(F.max(F.when(F.col("flip"), F.abs(F.abs("a") - cap))), zero).alias("flip_margin"), F.count_if("sparse").alias("sparse_flips"),
     ).withColumn("flip_frac", F.col("flips") / F.greatest("admissible", F.lit(1)))
     accepted = F.lit(True)

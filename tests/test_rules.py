@@ -442,6 +442,16 @@ def test_correlation_of_what_is_constant(spark):
     assert r.n == 49 and math.isnan(r.r) and abs(r.slope) < 1e-12
 
 
+def test_offsets_compared_where_they_are_constant(spark):
+    make = lambda *r: spark.createDataFrame([("t", dt.datetime(2021, 1, i + 1), v, 100) for i, v in enumerate(r)], "tile string, scene_ts timestamp, offset_c double, n_valid long")
+    flat, bent = make(0.1, 0.1, 0.1), make(0.1, 0.2, 0.3)
+    r = sweeps.compare_offsets(bent, flat, 10, 4).first()
+    assert r.scored == 3 and math.isnan(r["corr"]) and r.slope == 0
+    r = sweeps.compare_offsets(flat, bent, 10, 4).first()
+    assert math.isnan(r["corr"]) and math.isnan(r.slope)
+    assert sweeps.compare_offsets(make(0.1, 0.1), make(0.1, 0.1), 10, 4).first()["corr"] == 0  # two are too few
+
+
 def test_thinning_by_cover_in_one_plan(spark):
     dn = normalize.stack(load(spark, SF, "obs"))
     cover = dn.select("scene_ts").distinct().withColumn("cover", (F.month("scene_ts") * 37 + F.year("scene_ts") * 11) % 100 * F.lit(1.0))
