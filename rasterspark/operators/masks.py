@@ -79,23 +79,25 @@ def polygon_meets_box(edges: Column, west: Column, south: Column, east: Column,
 def block_weights(blocks: DataFrame, footprints: DataFrame, bucket: float = 10.0) -> DataFrame:
     """(block, scenes): footprint polygons that meet each block, touching included; 0 on blocks off land; missing and empty footprints are skipped.
 
-    ``blocks(block, west, south, east, north, land)``, ``footprints(rings)``. Both sides are dealt to the grid buckets that their
+    ``blocks(block, west, south, east, north, land)``, ``footprints(rings)``. Equal boxes and equal footprints are compared
+    once and counted as often as they are there. Both sides are dealt to the grid buckets that their
     boxes touch, so only near ones are compared; a pair that shares several buckets is looked at in the one
     that holds the lower corner of what their boxes share, so nothing has to be told apart afterwards.
     """
     at = lambda c: F.floor(c / bucket).cast("int")
+    box = ["west", "south", "east", "north"]
 
     def dealt(df, west, south, east, north):
         return df.withColumn("_bx", F.explode(F.sequence(at(F.col(west)), at(F.col(east))))).withColumn("_by", F.explode(F.sequence(at(F.col(south)), at(F.col(north)))))
 
-    f = footprints.select(sides(F.col("rings")).alias("_edges")).where("size(_edges) > 0")
+    f = footprints.groupBy("rings").agg(F.count("*").alias("_n")).select(sides(F.col("rings")).alias("_edges"), "_n").where("size(_edges) > 0")
     ends = {"_west": F.array_min("_edges.x0"), "_south": F.array_min("_edges.y0"), "_east": F.array_max("_edges.x0"), "_north": F.array_max("_edges.y0")}
     f = f.withColumns(ends)
-    b = dealt(blocks.where("land"), "west", "south", "east", "north")
+    b = dealt(blocks.where("land").select(*box).distinct(), *box)
     j = b.join(dealt(f, *ends), ["_bx", "_by"]).where((F.col("_bx") == at(F.greatest("west", "_west"))) & (F.col("_by") == at(F.greatest("south", "_south"))))
-    met = j.where("west <= _east and _west <= east and south <= _north and _south <= north").where(polygon_meets_box(F.col("_edges"), *[F.col(k) for k in ("west", "south", "east", "north")]))
-    n = met.groupBy("block").agg(F.count("*").alias("scenes"))
-    return blocks.join(n, "block", "left").select("block", F.coalesce("scenes", F.lit(0)).alias("scenes"))
+    met = j.where("west <= _east and _west <= east and south <= _north and _south <= north").where(polygon_meets_box(F.col("_edges"), *[F.col(k) for k in box]))
+    n = met.groupBy(*box).agg(F.sum("_n").alias("scenes"))
+    return blocks.join(n, box, "left").select("block", F.when(F.col("land"), F.coalesce("scenes", F.lit(0))).otherwise(0).alias("scenes"))
 
 
 def _rows_of_tiles(df: DataFrame, tiles: DataFrame, height: int) -> DataFrame:

@@ -142,6 +142,21 @@ def test_footprints_meet_blocks(spark, footprints, land, want):
         assert [r.scenes for r in masks.block_weights(blocks(spark, land), f, bucket).orderBy("block").collect()] == want
 
 
+def test_equal_footprints_and_boxes_are_compared_once(spark, monkeypatch):
+    seen, meets = spark.sparkContext.accumulator(0), masks.polygon_meets_box
+
+    def count(met):
+        seen.add(1)
+        return met
+
+    counted = F.udf(count, "boolean").asNondeterministic()
+    monkeypatch.setattr(masks, "polygon_meets_box", lambda *a: counted(meets(*a)))
+    f = spark.createDataFrame([(box(0.5, 0.5, 1.5, 1.5),), (box(5, 5, 6, 6),)] * 300, "rings array<array<struct<x:double,y:double>>>")
+    b = spark.range(200).select(F.col("id").alias("block"), *[F.lit(v).alias(k) for k, v in (("west", 0.0), ("south", 0.0), ("east", 1.0), ("north", 1.0))], (F.col("id") % 2 == 0).alias("land"))
+    got = {r.block: r.scenes for r in masks.block_weights(b, f).collect()}
+    assert got == {i: 300 if i % 2 == 0 else 0 for i in range(200)} and 0 < seen.value < 10
+
+
 def edges_of(poly_id, cls, *rings):
     return [(poly_id, cls, float(p[0]), float(p[1]), float(q[0]), float(q[1])) for r in rings for p, q in zip(r, r[1:] + r[:1])]
 
