@@ -14,7 +14,7 @@ from ..operators import sweeps as s
 from ..operators import tile as t
 from ..params import CLEAR_BITS, DN_HIGH, DN_LOW, Params
 from ..sources.fixtures import load, with_tables
-from ..sources.storage import shared_dir, written
+from ..sources.storage import bucketed, shared_dir, written
 
 _C = "* 0.00341802e0 + 149.0e0 - 273.15e0"
 _DN = f"""dn as (select tile, scene_ts, y, x, lwir11 as dn, month(scene_ts) as month from (select *, row_number() over (partition by tile, scene_ts, y, x order by "rank", lwir11) as rn
@@ -78,6 +78,12 @@ def lenient_ablation(spark: SparkSession, sf: str) -> DataFrame:
     return _round(c.percentiles(_lenient(spark, sf, dn, t.tile_offsets(dn, P)), (0.95,)), "p95")
 
 
+def annual_ablation(spark: SparkSession, sf: str) -> DataFrame:
+    """D23; the observations are read once: stack, in buckets by pixel, and offsets are written."""
+    dn = bucketed(_dn(spark, sf), "stack", n.PIXEL)
+    return _round(c.percentiles(n.debias(dn, written(n.annual_offsets(dn, 150), "offsets")), (0.95,)), "p95")
+
+
 def month_cover(items: DataFrame) -> DataFrame:
     """Cover on the fixtures' scenes, which are months."""
     return items.groupBy(F.date_trunc("month", "datetime").alias("scene_ts")).agg(F.avg("cloud").alias("cover"))
@@ -366,7 +372,7 @@ QUERIES = {
         from tab, (values (1.0e0), (3.0e0), (5.0e0), (10.0e0), (15.0e0), (30.0e0)) c(cap)
         group by cap""")),
     "annual_ablation": (
-        lambda spark, sf: _round(c.percentiles(n.debias(d := _dn(spark, sf), n.annual_offsets(d, 150)), (0.95,)), "p95"),
+        annual_ablation,
         with_tables("obs", f"""with {_DN}, r as (select tile, y, x, cast(2 * median(dn) as bigint) as ref2
         from dn
         group by tile, y, x),
@@ -397,7 +403,7 @@ QUERIES = {
         from j
         group by tile""")),
     "thinned_offsets": (
-        lambda spark, sf: _round(s.thinned(_dn(spark, sf), month_cover(load(spark, sf, "scenes")), (48, 50, 52), P), "rejected_frac", "median_abs_delta", "p99_abs_delta", "max_abs_delta", "decision_flip_frac"),
+        lambda spark, sf: _round(s.thinned(written(_dn(spark, sf), "stack"), month_cover(load(spark, sf, "scenes")), (48, 50, 52), P), "rejected_frac", "median_abs_delta", "p99_abs_delta", "max_abs_delta", "decision_flip_frac"),
         with_tables("obs scenes", f"""with {_OFF}, cov as (select date_trunc('month', datetime) as scene_ts, avg(cloud) as cover
         from scenes
         group by 1),

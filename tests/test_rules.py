@@ -467,6 +467,11 @@ def test_offsets_compared_where_they_are_constant(spark):
     assert sweeps.compare_offsets(make(0.1, 0.1), make(0.1, 0.1), 10, 4).first()["corr"] == 0  # two are too few
 
 
+@pytest.mark.parametrize("name", ["annual_ablation", "thinned_offsets"])
+def test_observations_are_read_once(spark, name):
+    assert "l_shipdate" not in plan(tile.QUERIES[name][0](spark, SF))  # the stack is written by then
+
+
 def test_thinning_by_cover_in_one_plan(spark):
     dn = normalize.stack(load(spark, SF, "obs"))
     cover = dn.select("scene_ts").distinct().withColumn("cover", (F.month("scene_ts") * 37 + F.year("scene_ts") * 11) % 100 * F.lit(1.0))
