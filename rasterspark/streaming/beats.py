@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators.runs import RATE_WINDOW, STALE_S, TERMINAL
 
 LATEST = "tile long, attempt long, updated_at timestamp, phase string, beats long, rate double, eta_s double, category string"
-_STATE = "at array<long>, seq array<long>, done array<long>, total long, phase string, beats long"
+#: Of each of a group's tiles: its newest beats, oldest first, a summary, and when it is due to be stale (milliseconds).
+_STATE = "tile array<long>, attempt array<long>, at array<array<long>>, seq array<array<long>>, done array<array<long>>, total array<long>, phase array<string>, beats array<long>, due array<long>"
+#: Groups that tiles are dealt to by hash.
+GROUPS = 1024
 
 
 def _rate(done: list, at: list, k: int) -> float | None:
@@ -29,43 +33,66 @@ def status(key: tuple, at: list, seq: list, done: list, total: int, phase: str,
     return (*key, at[-1], phase, beats, rate, left, TERMINAL.get(phase, "stale" if silent else "running"))
 
 
-def _row(key, state: tuple, silent: bool) -> pd.DataFrame:
-    at, seq, done, total, phase, beats = state
-    tile, attempt, ts, phase, beats, rate, left, category = status(key, at, seq, done, total, phase, beats, silent)
-    return pd.DataFrame({"tile": [tile], "attempt": [attempt], "updated_at": [pd.Timestamp(ts, unit="us")], "phase": [phase], "beats": [beats], "rate": pd.Series([rate], dtype="float64"), "eta_s": pd.Series([left], dtype="float64"), "category": [category]})
+def _rows(rows: list) -> pd.DataFrame:
+    """Rows of LATEST as a frame."""
+    tile, attempt, at, phase, beats, rate, left, category = zip(*rows)
+    whole, real = (lambda c: pd.array(c, "Int64")), (lambda c: np.array(c, np.float64))
+    return pd.DataFrame({"tile": whole(tile), "attempt": whole(attempt), "updated_at": np.array(at, "datetime64[us]"), "phase": list(phase), "beats": whole(beats), "rate": real(rate), "eta_s": real(left), "category": list(category)})
+
+
+def _take(tiles: dict, f: pd.DataFrame) -> set:
+    """Put a frame's beats to their tiles, whose newest few stay; the tiles that beat."""
+    f = f.assign(at=f["updated_at"].astype("datetime64[us]").astype("int64")).sort_values(["at", "event_id"], kind="stable")
+    new: dict = {}
+    none = lambda c: [None if v != v else int(v) for v in c.tolist()]
+    for tile, attempt, *beat in zip(none(f["tile"]), none(f["attempt"]), *(f[k].tolist() for k in ("at", "event_id", "seq", "done", "total", "phase"))):
+        new.setdefault((tile, attempt), []).append(beat)
+    for key, more in new.items():
+        kept, beats, _ = tiles.get(key, ([], 0, 0))
+        tiles[key] = (sorted([*kept, *more], key=lambda b: (b[0], b[1]))[-RATE_WINDOW:], beats + len(more), 0)
+    return set(new)
 
 
 def _advance(stale_ms: int):
-    def run(key, frames, state: GroupState):
-        if state.hasTimedOut:
-            old = state.get
+    def run(_, frames, state: GroupState):
+        now, tiles, beaten = state.getCurrentWatermarkMs(), {}, set()
+        if state.exists:
+            for tile, attempt, at, seq, done, total, phase, beats, due in zip(*state.get):
+                tiles[tile, attempt] = ([(*b, total, phase) for b in zip(at, [-1] * len(at), seq, done)], beats, due)
+        for f in () if state.hasTimedOut else frames:
+            beaten |= _take(tiles, f)
+        rows = []
+        for key, (kept, beats, due) in list(tiles.items()):
+            if key in beaten:
+                tiles[key] = (kept, beats, max(kept[-1][0] // 1000 + stale_ms, now + 1))
+            elif due < now:
+                del tiles[key]
+            else:
+                continue
+            at, _, seq, done, _, _ = zip(*kept)
+            rows.append(status(key, at, seq, done, kept[-1][4], kept[-1][5], beats, key not in beaten))
+        if tiles:
+            parts = [(*key, *([b[i] for b in kept] for i in (0, 2, 3)), int(kept[-1][4]), kept[-1][5], beats, due) for key, (kept, beats, due) in tiles.items()]
+            state.update(tuple(map(list, zip(*parts))))
+            state.setTimeoutTimestamp(max(min(due for _, _, due in tiles.values()), now + 1))
+        else:
             state.remove()
-            yield _row(key, old, True)
-            return
-        at, seq, done, total, phase, beats = state.get if state.exists else ([], [], [], 0, "", 0)
-        kept = pd.DataFrame({"at": list(at), "seq": list(seq), "done": list(done), "event_id": -1, "total": total, "phase": phase})
-        parts = [kept] if len(kept) else []
-        for f in frames:
-            beats += len(f)
-            f = f.assign(at=f["updated_at"].astype("datetime64[us]").astype("int64"))
-            parts = [pd.concat([*parts, f[kept.columns]]).sort_values(["at", "event_id"]).tail(RATE_WINDOW)]
-        last = parts[0]
-        new = (last["at"].tolist(), last["seq"].tolist(), last["done"].tolist(), int(last["total"].iloc[-1]), last["phase"].iloc[-1], beats)
-        state.update(new)
-        state.setTimeoutTimestamp(max(new[0][-1] // 1000 + stale_ms, state.getCurrentWatermarkMs() + 1))
-        yield _row(key, new, False)
+        if rows:
+            yield _rows(rows)
 
     return run
 
 
-def latest(beats: DataFrame, stale_s: float = STALE_S, delay: str = "10 minutes") -> DataFrame:
+def latest(beats: DataFrame, stale_s: float = STALE_S, delay: str = "10 minutes", groups: int = GROUPS) -> DataFrame:
     """H1-H3: a row per tile and attempt whenever it has new beats: the newest one, tasks a second over the last five of its graph, seconds left, beats so far.
 
     Once the watermark is ``stale_s`` past a tile's newest beat, it gives a last row, stale unless its phase is terminal, and
-    its state goes, so state is bounded by what is live. Time is that of the beats, so runs on stored beats end and agree.
+    what is known of it goes, so state is bounded by what is live. Time is that of the beats, so runs on stored beats end and agree.
+    Tiles share ``groups`` groups by hash, since a call per group costs far more than a tile in it; a group wakes at the first
+    time that one of its tiles is due.
     """
-    marked = beats.withWatermark("updated_at", delay)
-    return marked.groupBy("tile", "attempt").applyInPandasWithState(_advance(int(stale_s * 1000)), LATEST, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    marked = beats.withWatermark("updated_at", delay).withColumn("_group", F.pmod(F.xxhash64("tile", "attempt"), F.lit(groups)))
+    return marked.groupBy("_group").applyInPandasWithState(_advance(int(stale_s * 1000)), LATEST, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def counts_by_category(beats: DataFrame, delay: str = "10 minutes") -> DataFrame:

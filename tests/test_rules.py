@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from rasterspark.params import DN_SCALE, Params
 from rasterspark.plans import tile
 from rasterspark.sources import storage
 from rasterspark.sources.fixtures import BASE_DIR, load
+from rasterspark.streaming import beats as stream
 
 SF = f"{BASE_DIR}/sf0.001"
 
@@ -428,6 +430,35 @@ def test_scenario_costs_have_credits(spark):
     assert r.ceiling == "straddles" and runs.project(3000.0, 1000.0, 700, s, ceiling=9e9).first().ceiling == "below"
 
 
+def test_tiles_of_one_group_turn_stale_on_their_own():
+    class State:
+        exists = hasTimedOut = False
+        now, get, due = 0, None, None
+
+        def getCurrentWatermarkMs(self):
+            return self.now
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def setTimeoutTimestamp(self, at):
+            self.due = at
+
+        def remove(self):
+            self.exists = False
+
+    def call(frames, **what):
+        vars(state).update(what)
+        return {(r.tile, r.attempt): (r.beats, r.category, r.updated_at) for f in run((0,), iter(frames), state) for r in f.itertuples()}
+
+    at = lambda *seconds: [dt.datetime(1970, 1, 1, 0, 0, s) for s in seconds]
+    beats = lambda tiles, seconds: pd.DataFrame({"tile": tiles, "attempt": 1, "updated_at": at(*seconds), "event_id": range(len(tiles)), "seq": 1, "done": range(len(tiles)), "total": 9, "phase": "view"})
+    state, run = State(), stream._advance(10_000)
+    assert call([beats([1, 2, 1], [1, 2, 5]), beats([2], [3])]) == {(1, 1): (2, "running", at(5)[0]), (2, 1): (2, "running", at(3)[0])} and state.due == 13_000
+    assert call([beats([1], [4])], now=13_001) == {(1, 1): (3, "running", at(5)[0]), (2, 1): (2, "stale", at(3)[0])} and state.due == 15_000
+    assert call([], hasTimedOut=True, now=15_001) == {(1, 1): (3, "stale", at(5)[0])} and not state.exists
+
+
 # --- sweeps -------------------------------------------------------------------------------------------------------------
 
 
