@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import materialise, shared_dir, small_batches
 from .rangecoder import BLOCK, IDS, block_size, decode_block, encode_block
 
-END, GATHER, FILE_IDS = 2, 32 << 20, 1 << 26
+END, GATHER, FILE_IDS = 2, 4 << 20, 1 << 26
 #: Files of one task, for the numbers of parts.
 _PER_TASK = 1 << 20
 _TAIL = "<QQIII4s"  # start and size of the table, its crc32, documents, of these with null id, magic

@@ -468,6 +468,21 @@ def test_many_documents_in_many_blocks_and_files(spark):
     assert one.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0] < 250
 
 
+def test_token_writer_takes_few_texts_at_a_time(docs, monkeypatch, tmp_path):
+    sizes = []
+
+    class Words:
+        def encode(self, texts):
+            sizes.append(texts.nbytes)
+            return np.full(len(texts), 2, np.uint16), np.ones(len(texts), np.int64)
+
+    monkeypatch.setattr(tokens, "_word_ids", lambda _: Words())
+    monkeypatch.setattr(tokens.TaskContext, "get", lambda: type("C", (), {"partitionId": staticmethod(lambda: 0)}))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(500), pa.int64()), "text": ["word " * 400] * 500})
+    (file,) = tokens._writer(f"file://{tmp_path}", "", tokens.BLOCK, tokens.FILE_IDS, tokens.GATHER)([batch] * 12)
+    assert file.column("n_docs").to_pylist() == [6000] and max(sizes) < 6 << 20
+
+
 def test_damaged_token_file(spark, docs, tmp_path):
     import glob
     import struct
