@@ -206,15 +206,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return salted_join(rows, known, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component_size", *["k0", "k1", F.col("root").alias("group")] * keyed)
 
 
-def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+def joined(rows: DataFrame, more: DataFrame) -> DataFrame:
+    """``rows(doc_id, k0, k1, group)`` with groups joined where members share a group of ``more``, of the same columns.
+
+    Both know the same texts by ``text_keys``. The groups of ``rows`` that one group of ``more`` meets are linked to the least of them.
+    """
+    rows = materialise(rows.select("doc_id", "k0", "k1", "group"), "near-rows")
+    both = rows.select("k0", "k1", "group").distinct().join(more.select("k0", "k1", F.col("group").alias("other")).distinct(), ["k0", "k1"])
+    met = materialise(both.select("group", "other").distinct(), "near-met")
+    least = met.groupBy("other").agg(F.min("group").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    roots = components(salted_join(met, least, ["other"]).where("group <> least").select(F.col("group").alias("a"), F.col("least").alias("b")))
+    named = salted_join(rows, roots.select(F.col("node").alias("group"), "root"), ["group"], "left")
+    return named.select("doc_id", "k0", "k1", F.coalesce("root", "group").alias("group"))
+
+
+def keep_one(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the least doc_id, null ids last.
 
     Rows are told apart by id and text, so rows of different groups all stay whether their ids are null, repeated
     or neither; of rows alike in both, one stays, whole. Null, empty and blank texts are one group; very long texts are like
-    others; extra columns stay, whatever their names; an empty table stays empty. ``groups(doc_id, k0, k1, group)``: the groups, by default those
-    of ``near_duplicates``.
+    others; extra columns stay, whatever their names; an empty table stays empty. Groups are those of ``near_duplicates``;
+    ``more(doc_id, k0, k1, group)``: groups of ``docs`` by another measure, joined with them.
     """
-    rows = near_duplicates(docs, keyed=True) if groups is None else groups
+    rows = near_duplicates(docs, keyed=True)
+    if more is not None:
+        rows = joined(rows, more)
     each = rows.groupBy("group", "doc_id", "k0", "k1").agg(F.count("*").alias("n"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k0", "k1", "n")
     kept = materialise(each.groupBy("group").agg(F.min(first).alias("r")).select("r.doc_id", "r.k0", "r.k1", "r.n"), "near-kept")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from rasterspark.llm import decontaminate, mixing, tokens
+from rasterspark.llm import decontaminate, mixing, simhash, tokens
 
 from .conftest import BASE
 from .test_operators import WORD, slow_counts
@@ -56,6 +56,28 @@ def test_near_duplicates(spark, docs, rows):
     assert out.columns == docs.columns and ids(out) == sorted({find(i) for i in order}) and len({find(i) for i in order}) < len(order)
 
 
+def test_near_duplicates_by_fingerprint(spark):
+    """Near copies that op1's fingerprints link and shared shingles do not, alone and as a bridge between groups of the other kind."""
+    share = lambda x, y: len(slow_sets(x) & slow_sets(y)) / len(slow_sets(x) | slow_sets(y))
+    found = []
+    for seed in range(5000):
+        rng = np.random.default_rng(seed)
+        words = [f"w{i}" for i in rng.integers(0, 5000, 300)]
+        edited = list(words)
+        for at in np.arange(10, 300, 22) + int(rng.integers(0, 10)):
+            edited[at % 300] = f"n{at}"
+        a, b = " ".join(words), " ".join(edited)
+        if share(a, b) < 0.8 and (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= simhash.BITS:
+            found.append((a, b))
+        if len(found) == 2:
+            break
+    (a, b), (c, d) = found
+    copy = " ".join(d.split()[:-1] + ["end"])  # shares most shingles with d
+    assert share(copy, d) >= 0.8 > share(copy, c)
+    df = spark.createDataFrame([(1, a), (2, b), (3, copy), (4, c), (5, d), (6, "another text of its own")], "doc_id long, text string")
+    assert ids(STAGES["near_duplicates"](spark, df, "")) == [1, 3, 6]
+
+
 def test_decontamination(spark, docs, rows, benchmark):
     norm = lambda t: " ".join(WORD.findall(t or ""))
     items = [norm(r.text) for r in benchmark.collect()]
