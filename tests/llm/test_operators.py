@@ -373,6 +373,24 @@ def test_unseen_formats_are_found(spark):
     assert sum("net:" in r.spans for r in clean) <= 0.01 * len(clean)
 
 
+def test_every_finding_is_learnt_from(spark, docs):
+    """All different labelled pieces are dealt to shards, once each, and every shard trains; none is cut off."""
+    rows = [(i, f"note {i} token = {'Q7' * 6}{i:04d} and plain{'xyz' * 6}{i:04d} end") for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = spark.createDataFrame(df.mapInArrow(secrets._scan, "doc_id long, base array<struct<s:int,e:int,kind:string>>, cands array<struct<s:int,e:int,label:int,piece:string>>").collect(), "doc_id long, base array<struct<s:int,e:int,kind:string>>, cands array<struct<s:int,e:int,label:int,piece:string>>")
+    pieces = {(c.label > 0, c.piece) for r in found.collect() for c in r.cands if c.label >= 0}
+    got = secrets.shards(found, size=100).collect()
+    assert len(got) >= 7 and sum(r.unsure for r in got) == sum(not y for y, _ in pieces) == 700
+    named = sum(k - 1 in [secrets.NAMES.index(n) for n in secrets.KINDS[:3]] for r in got for k in r.kinds)
+    assert named == sum(y for y, _ in pieces) == 700
+    seen = []
+    net = secrets.Network()
+    net._forward = lambda x, f=net._forward: (seen.extend(x[:, 0].tolist()), f(x))[1]
+    x = np.repeat(np.arange(1, 101, dtype=np.uint8)[:, None], secrets.LEFT + secrets.PIECE + secrets.RIGHT, axis=1)
+    net.fit(x, np.arange(100) % 2.0, steps=1, batch=30)
+    assert set(seen) == set(range(1, 101))
+
+
 def test_network_learns():
     rng = np.random.default_rng(0)
     hexes = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(200)]
