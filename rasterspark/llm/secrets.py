@@ -124,18 +124,47 @@ class Network:
         self.scale, self.offset, self.threshold = 1.0, 0.0, 2.0
 
     def _forward(self, x: np.ndarray):
-        e = self.p["emb"][x]
-        steps = x.shape[1] - self.WIDTH + 1
-        cols = np.concatenate([e[:, i : i + steps] for i in range(self.WIDTH)], axis=2)
-        top = np.maximum(cols @ self.p["w"] + self.p["b"], 0)
-        best = top.argmax(1)
+        """Logits and what their gradients need. Codes are cut behind the longest piece; the mean is worked out at the candidate's positions only."""
+        end = min(x.shape[1], int(np.flatnonzero(x.any(0)).max(initial=0)) + 1 + self.WIDTH)  # one window behind the end is kept: all others equal it
+        x, n, steps, b = x[:, :end], len(x), end - self.WIDTH + 1, self.p["b"][:, None]
+        e = self.p["emb"].T.take(x, axis=1, mode="clip")
+        cols = np.empty((self.WIDTH, self.DEPTH, n, steps), np.float32)
+        for i in range(self.WIDTH):
+            cols[i] = e[:, :, i : i + steps]
+        cols = cols.reshape(-1, n * steps)
+        top = self.p["w"].T @ cols
+        best = top.reshape(-1, n, steps).argmax(2) + np.arange(n) * steps
+        most = np.maximum(np.take_along_axis(top, best, 1) + b, 0)
         inside = (x[:, :steps] >= 128) & (x[:, self.WIDTH - 1 :] >= 128)
-        share = inside.astype(np.float32) / np.maximum(inside.sum(1, keepdims=True), 1).astype(np.float32)
-        h = np.concatenate([np.take_along_axis(top, best[:, None], 1)[:, 0], (share[:, None] @ top)[:, 0]], axis=1)
-        return h @ self.p["v"] + self.p["c"][0], h, best, cols, top, share
+        at, count = np.flatnonzero(inside), inside.sum(1)
+        top = np.maximum(top.take(at, axis=1) + b, 0)
+        mean, some = np.zeros_like(most), np.flatnonzero(count)
+        if len(some):
+            mean[:, some] = np.add.reduceat(top, (np.cumsum(count) - count)[some], axis=1) / count[some].astype(np.float32)
+        h = np.concatenate([most, mean]).T
+        return h @ self.p["v"] + self.p["c"][0], h, best, cols, top, at, count
+
+    def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Those of the mean loss. A maximum hangs on one position a filter: these are summed by character first."""
+        z, h, best, cols, top, at, count = self._forward(x)
+        n, (width, depth, filters) = len(x), (self.WIDTH, self.DEPTH, self.FILTERS)
+        steps, w, v = cols.shape[1] // n, self.p["w"], self.p["v"][:, None]
+        g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n).astype(np.float32)
+        mean = (top > 0) * v[filters:]
+        mean *= np.repeat(g / np.maximum(count, 1).astype(np.float32), count)
+        most = (h[:, :filters] > 0).T * v[:filters] * g
+        tap, codes = np.arange(width)[:, None], x.ravel()
+        first = (np.arange(n)[:, None] * x.shape[1] + np.arange(steps)).ravel()
+        peaks = (tap[:, :, None] * filters + np.arange(filters)[:, None]) * 256 + codes[first[best] + tap[:, :, None]]
+        sums = np.bincount(peaks.ravel(), np.broadcast_to(most, peaks.shape).ravel(), width * filters * 256).reshape(width, filters, 256).astype(np.float32)
+        down = (w @ mean).reshape(width, depth, -1)
+        code = codes[first[at] + tap].ravel()
+        emb = np.stack([np.bincount(code, down[:, i].ravel(), 256) for i in range(depth)]) + (w.reshape(width, depth, filters) @ sums).sum(0)
+        grad = cols.take(at, axis=1) @ mean.T + (sums @ self.p["emb"]).transpose(0, 2, 1).reshape(w.shape)
+        return {"v": h.T @ g, "c": np.array([g.sum()]), "b": mean.sum(1) + most.sum(1), "w": grad, "emb": emb.T.astype(np.float32)}
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._forward(x[i : i + 256])[0] for i in range(0, len(x), 256)]) if len(x) else np.zeros(0)
+        return np.concatenate([self._forward(x[i : i + 64])[0] for i in range(0, len(x), 64)]) if len(x) else np.zeros(0)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return self.squash(self.logits(x))
@@ -154,22 +183,10 @@ class Network:
         rng = np.random.default_rng(seed)
         steps = max(steps, -(-len(x) // batch))
         order = np.concatenate([rng.permutation(len(x)) for _ in range(-(-steps * batch // len(x)))])
-        m, s, n = self.m, self.s, self.FILTERS
+        m, s = self.m, self.s
         for t in range(1, steps + 1):
             at = order[(t - 1) * batch : t * batch]
-            z, h, best, cols, top, share = self._forward(x[at])
-            g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) / batch).astype(np.float32)
-            up = share[:, :, None] * (g[:, None] * self.p["v"][n:])[:, None]
-            up[np.arange(batch)[:, None], best, np.arange(n)[None]] += g[:, None] * self.p["v"][:n]
-            up *= top > 0
-            down = (up @ self.p["w"].T).reshape(batch, -1, self.WIDTH, self.DEPTH)
-            emb = np.zeros_like(self.p["emb"])
-            for i in range(self.WIDTH):
-                code = x[at][:, i : i + down.shape[1]].ravel()
-                for d in range(self.DEPTH):
-                    emb[:, d] += np.bincount(code, down[:, :, i, d].ravel(), minlength=256)
-            grads = {"v": h.T @ g, "c": np.array([g.sum()]), "b": up.sum((0, 1)), "w": (cols.transpose(0, 2, 1) @ up).sum(0), "emb": emb}
-            for k, v in grads.items():
+            for k, v in self._gradients(x[at], y[at]).items():
                 m[k] = 0.9 * m[k] + 0.1 * v
                 s[k] = 0.999 * s[k] + 0.001 * v * v
                 self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9 ** (done + t))) / (np.sqrt(s[k] / (1 - 0.999 ** (done + t))) + 1e-8)).astype(np.float32)

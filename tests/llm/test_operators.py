@@ -404,6 +404,44 @@ def test_network_learns():
     assert (p[:200] >= net.threshold).mean() >= 0.95 and (p[200:] >= net.threshold).mean() < 0.05
 
 
+def _plain_step(p, x, y, depth=8, width=4):
+    """Loss and gradients of the network by its definition: every position of every padded piece."""
+    e, steps = p["emb"][x], x.shape[1] - width + 1
+    cols = np.concatenate([e[:, i : i + steps] for i in range(width)], axis=2)
+    top = np.maximum(cols @ p["w"] + p["b"], 0)
+    n, best = p["b"].size, top.argmax(1)
+    inside = (x[:, :steps] >= 128) & (x[:, width - 1 :] >= 128)
+    share = inside / np.maximum(inside.sum(1, keepdims=True), 1)
+    h = np.concatenate([np.take_along_axis(top, best[:, None], 1)[:, 0], (share[:, None] @ top)[:, 0]], axis=1)
+    z = h @ p["v"] + p["c"][0]
+    g = (1 / (1 + np.exp(-z)) - y) / len(x)
+    up = share[:, :, None] * (g[:, None] * p["v"][n:])[:, None]
+    up[np.arange(len(x))[:, None], best, np.arange(n)[None]] += g[:, None] * p["v"][:n]
+    up *= top > 0
+    down, emb = (up @ p["w"].T).reshape(len(x), steps, width, depth), np.zeros_like(p["emb"])
+    for i in range(width):
+        np.add.at(emb, x[:, i : i + steps], down[:, :, i])
+    return z, {"v": h.T @ g, "c": np.array([g.sum()]), "b": up.sum((0, 1)), "w": (cols.transpose(0, 2, 1) @ up).sum(0), "emb": emb}
+
+
+def test_network_skips_what_cannot_matter():
+    """Same logits and gradients as by definition; no windows are multiplied behind the longest piece."""
+    rng = np.random.default_rng(3)
+    word = lambda n: "".join(rng.choice(list(secrets._ALNUM + "-_ "), n))
+    sizes = [(rng.integers(0, 25), rng.integers(1, 65), rng.integers(0, 17)) for _ in range(60)] + [(24, 64, 16), (0, 1, 0), (0, 3, 5), (3, 4, 0)]
+    x = secrets._codes([f"{word(a)}\1{word(b)}\2{word(c)}" for a, b, c in sizes])
+    net, y = secrets.Network(4), rng.integers(0, 2, len(x)).astype(float)
+    net.p["b"] = rng.normal(0, 0.3, net.p["b"].shape).astype(np.float32)
+    for part in (x, x[-3:], x[-3:-2], x[:1]):
+        z, want = _plain_step({k: v.astype(float) for k, v in net.p.items()}, part, y[: len(part)])
+        assert np.allclose(net.logits(part), z, atol=1e-5)
+        got = net._gradients(part.astype(np.uint8), y[: len(part)])
+        assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
+    short = secrets._codes(["\1abcdefghijklmnop\2 end"] * 10)
+    windows = net._forward(short)[3].size // (net.WIDTH * net.DEPTH)
+    assert windows <= 10 * (20 + 1)
+
+
 def test_every_uncovered_candidate_is_asked():
     class Sure:
         threshold = 0.5
