@@ -14,6 +14,7 @@ wanted recall on each format that was never seen. Scaling and thresholds come fr
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 
@@ -29,6 +30,8 @@ from .common import materialise, small_batches
 KINDS = ("assign", "access", "hex", "net")
 SHARD, MADE, FOLDS, ROUNDS, STEPS, MEMBERS, RECALL, SEED = 3000, 250, 3, 4, 75, 3, 0.95, 5
 GRID, FIXED = 1024, (1 << 36, 1 << 40, 1 << 50)
+#: Tasks of a round of training: as many at least where there are so many shards and networks, and shards of a task where there are more.
+TASKS, BUNDLE = 96, 4
 LEFT, PIECE, RIGHT = 24, 64, 16
 _CUE = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]?\x20*["']?""", re.IGNORECASE | re.ASCII)
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -105,6 +108,15 @@ def _codes(pieces: list[str]) -> np.ndarray:
     return out
 
 
+@functools.cache
+def _keep_blocks() -> None:
+    """Make the C library keep freed blocks of up to 30 MB for this process: a step's arrays are else got from the system anew, page by page, each time.
+
+    A block of that size, freed at once, raises its limits (glibc; elsewhere nothing happens). None of its pages is touched.
+    """
+    np.empty(30 << 20, np.uint8)
+
+
 class Network:
     """Embedding, one convolution, its maximum over all positions and its mean over the candidate's, one linear unit; trained by Adam."""
 
@@ -164,6 +176,7 @@ class Network:
         return {"v": h.T @ g, "c": np.array([g.sum()]), "b": mean.sum(1) + most.sum(1), "w": grad, "emb": emb.T.astype(np.float32)}
 
     def logits(self, x: np.ndarray) -> np.ndarray:
+        _keep_blocks()
         return np.concatenate([self._forward(x[i : i + 64])[0] for i in range(0, len(x), 64)]) if len(x) else np.zeros(0)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
@@ -180,6 +193,7 @@ class Network:
 
     def fit(self, x: np.ndarray, y: np.ndarray, seed: int | list[int] = SEED, steps: int = 300, batch: int = 128, rate: float = 5e-3, done: int = 0) -> None:
         """``steps`` steps after ``done``, or as many as it takes to go through all examples, in an order drawn anew each time through."""
+        _keep_blocks()
         rng = np.random.default_rng(seed)
         steps = max(steps, -(-len(x) // batch))
         order = np.concatenate([rng.permutation(len(x)) for _ in range(-(-steps * batch // len(x)))])
@@ -196,7 +210,7 @@ class Network:
         self.threshold = float(self.squash(_kept(self.logits(x)[y > 0], np.ones(int((y > 0).sum())), recall)))
 
     def squash(self, z: np.ndarray | float) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * z + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.scale * np.asarray(z, np.float64) + self.offset, -30, 30)))
 
     def scale_to(self, z: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
         """Platt scaling by Newton steps; ``n``: how often each score and label is there."""
@@ -326,21 +340,33 @@ def _chosen(kinds: np.ndarray, net: int) -> np.ndarray:
     return _fold(kinds) == net if net < FOLDS else np.arange(len(kinds)) % 5 == 0
 
 
+def _tasks(rows: int) -> int:
+    """How many tasks share ``rows`` trainings."""
+    return max(min(rows, TASKS), -(-rows // BUNDLE))
+
+
 def _averaged(data: DataFrame, nets: list[Network], learns, seed: int) -> None:
-    """Train ``nets`` in rounds, each shard on ``learns(net, kinds, unsure)`` of its examples; means are sums of integers, so order is no matter."""
+    """Train ``nets`` in rounds, each shard on ``learns(net, kinds, unsure)`` of its examples; means are sums of integers, so order is no matter.
+
+    A shard travels ``ways`` times, for as many parts of the networks: with many shards once. A task gives one sum per network, of all its shards.
+    """
     n = data.count()
-    each = data.withColumn("net", F.explode(F.array(*[F.lit(i) for i in range(len(nets))]))).repartition(n * len(nets), "shard", "net")
+    ways = max(1, min(len(nets), TASKS // n))
+    each = data.withColumn("way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))).repartitionByRange(_tasks(n * ways), "way", "shard")
     for turn in range(ROUNDS):
         start = [net.state() for net in nets]
 
         def run(batches):
+            sums: dict[int, np.ndarray] = {}
             for b in batches:
-                for i, (shard, x, kinds, unsure) in zip(b.column(4).to_pylist(), _parts([b])):
-                    at = learns(i, kinds, unsure)
-                    net = Network(seed).load(start[i])
-                    net.fit(x[at], (kinds[at] > 0).astype(float), [seed, shard, turn, i % MEMBERS], STEPS, done=turn * STEPS)
-                    out = np.rint(net.state() * np.array(FIXED, np.float64)[:, None]).astype(np.int64).ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out), i)), pa.array(np.arange(len(out))), pa.array(out)], ["net", "at", "v"])
+                for way, (shard, x, kinds, unsure) in zip(b.column(4).to_pylist(), _parts([b])):
+                    for i in range(way, len(start), ways):
+                        at = learns(i, kinds, unsure)
+                        net = Network(seed).load(start[i])
+                        net.fit(x[at], (kinds[at] > 0).astype(float), [seed, shard, turn, i % MEMBERS], STEPS, done=turn * STEPS)
+                        sums[i] = sums.get(i, 0) + np.rint(net.state() * np.array(FIXED, np.float64)[:, None]).astype(np.int64).ravel()
+            for i, out in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out), i)), pa.array(np.arange(len(out))), pa.array(out)], ["net", "at", "v"])
 
         total = np.zeros((len(nets), start[0].size))
         for r in small_batches(each).mapInArrow(run, "net long, at long, v long").groupBy("net", "at").agg(F.sum("v").alias("v")).collect():

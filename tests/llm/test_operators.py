@@ -3,8 +3,12 @@
 import base64
 import collections
 import hashlib
+import os
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -442,6 +446,49 @@ def test_network_skips_what_cannot_matter():
         assert all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
 
 
+def test_many_shards_share_few_tasks(spark, monkeypatch):
+    """A round's tasks do not grow with shards times networks, and its means are those of all shards trained one by one."""
+    rng, n = np.random.default_rng(6), 30
+    shards = [(i, rng.integers(1, 256, (6, 104), np.uint8), bytes(rng.integers(0, 2, 6).tolist()), 0) for i in range(n)]
+    data = spark.createDataFrame([(i, bytearray(x.tobytes()), bytearray(k), u) for i, x, k, u in shards], secrets._SHARD)
+    parts = []
+    monkeypatch.setattr(secrets, "ROUNDS", 1)
+    monkeypatch.setattr(secrets, "STEPS", 2)
+    monkeypatch.setattr(secrets, "small_batches", lambda df: parts.append(df.rdd.getNumPartitions()) or df)
+    nets, want = [secrets.Network(5 + i) for i in range(12)], np.zeros((12, 3, secrets.Network().state().shape[1]))
+    for i, net in enumerate(nets):
+        for shard, x, kinds, _ in shards:
+            one = secrets.Network().load(net.state())
+            one.fit(x, (np.frombuffer(kinds, np.uint8) > 0).astype(float), [5, shard, 0, i % secrets.MEMBERS], 2)
+            want[i] += one.state() / n
+    secrets._averaged(data, nets, lambda i, kinds, unsure: np.ones(len(kinds), bool), 5)
+    assert parts and max(parts) <= 96
+    assert all(np.allclose(net.state(), w, atol=1e-6) for net, w in zip(nets, want))
+
+
+def test_training_keeps_its_memory():
+    """Steps after the first few take no pages from the system."""
+    code = """
+import resource, numpy as np
+from rasterspark.llm import secrets
+x = np.random.default_rng(0).integers(1, 256, (256, 104), np.uint8)
+net = secrets.Network()
+net.fit(x, np.arange(256) % 2.0, steps=5)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+net.fit(x, np.arange(256) % 2.0, steps=20)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).parents[2], env=os.environ | {"OMP_NUM_THREADS": "1"}, check=True)
+    assert int(out.stdout) < 20 * 100
+
+
+def test_scores_and_thresholds_are_in_the_same_precision():
+    net = secrets.Network()
+    net.scale, net.offset = 1.37, -0.21
+    z = np.random.default_rng(1).normal(0, 2, 500).astype(np.float32)
+    assert net.squash(z).tolist() == [float(net.squash(float(v))) for v in z]
+
+
 def test_every_uncovered_candidate_is_asked():
     class Sure:
         threshold = 0.5
