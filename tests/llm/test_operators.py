@@ -112,6 +112,32 @@ def test_minhash_recall_on_chains(spark):
     assert met >= sum(once[i] == once[j] for i, j in pairs)
 
 
+def test_minhash_settles_crowded_bands(spark):
+    """Many unlike families in one band, half of their shingles common to all: whoever is alike is linked, against brute force."""
+    rng, rows = np.random.default_rng(12), []
+    common = rng.integers(0, 1 << 30, 60).tolist()
+    for _ in range(70):
+        own = rng.integers(0, 1 << 30, int(rng.integers(20, 120))).tolist()
+        for copy in range(3):
+            lost = int(rng.integers(0, 25))
+            rows.append((common + own)[lost:] + rng.integers(0, 1 << 30, copy).tolist())
+    sets = [frozenset(r) for r in rows]
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert any(i // 3 != j // 3 for i, j in pairs) or len(pairs) > 70
+    table = [(i, 1000 + i, [7], r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(table, "nr long, node long, bands array<long>, shingles array<int>")
+    found = minhash.links(df, df.select("node", "nr"))
+    got = {r.node: r.root for r in components(found).collect()}
+    root = {i: i for i in range(len(rows))}
+    for _ in rows:  # least reachable, by relaxing
+        before = dict(root)
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+        if root == before:
+            break
+    assert {i: got.get(1000 + i, 1000 + i) - 1000 for i in root} == root
+
+
 def test_nodes_of_different_sets_are_told_apart(spark):
     rows = spark.createDataFrame([(1, 5, 10), (2, 5, 10), (3, 5, 11), (4, 6, 1)], "doc_id int, node long, check long")
     got = {r.doc_id: r.node for r in minhash._told_apart(rows).collect()}
