@@ -128,6 +128,11 @@ def test_minhash_settles_crowded_bands(spark):
     df = spark.createDataFrame(table, "nr long, node long, bands array<long>, shingles array<int>")
     found = minhash.links(df, df.select("node", "nr"))
     got = {r.node: r.root for r in components(found).collect()}
+    alone = df.select("node", F.lit(7).cast("long").alias("band"), F.when(F.col("nr") < 30, 1030).otherwise(F.col("node")).alias("root"))
+    want = {frozenset(p) for p in pairs if p[1] >= 30}
+    for chunk in (2000, 17):  # one part and many
+        links = {frozenset((r.a - 1000, r.b - 1000)) for r in minhash._rest(alone, df, df.select("node", "nr"), 0.8, chunk).collect()}
+        assert links <= want and {p for p in want if min(p) >= 30} <= links
     root = {i: i for i in range(len(rows))}
     for _ in rows:  # least reachable, by relaxing
         before = dict(root)
